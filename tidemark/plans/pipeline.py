@@ -8,6 +8,8 @@ folder and re-reads it, cutting the lineage for tables with many consumers.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import medallion as M
 from tidemark.plans import standins as S
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, shared_dir
 from tidemark.sources.landing import to_bronze
 from tidemark.sources.vendor import daily_downsample
 
@@ -23,14 +25,26 @@ BRONZE_TABLES = ["raw_stock_prices", "raw_stock_fundamentals", "raw_fred_series"
                  "raw_crypto_prices", "raw_fear_greed"]
 
 
+class _Lazy(dict):
+    """Mapping whose values may be zero-argument factories, resolved on first use."""
+
+    def __getitem__(self, key):
+        v = super().__getitem__(key)
+        if callable(v) and not isinstance(v, DataFrame):
+            v = v()
+            super().__setitem__(key, v)
+        return v
+
+
 class Medallion:
     """Lazy registry of every dataset of the pipeline."""
 
-    def __init__(self, bronze: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame],
+    def __init__(self, bronze: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                 seeds: Mapping[str, DataFrame | Callable[[], DataFrame]],
                  index_tickers: Mapping[str, str] = M.INDEX_TICKERS, btc_id: str = M.BTC_ID,
                  macro_series: Mapping[str, str] = M.MACRO_SERIES):
-        self.bronze = dict(bronze)
-        self.seeds = dict(seeds)
+        self.bronze = _Lazy(bronze)
+        self.seeds = _Lazy(seeds)
         self.index_tickers = dict(index_tickers)
         self.btc_id = btc_id
         self.macro_series = dict(macro_series)
@@ -114,6 +128,49 @@ def standin_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def standin_medallion(spark: SparkSession, sf_dir: str) -> Medallion:
-    seeds = {"tickers": S.tickers_seed(spark, sf_dir), "sectors": S.sectors_seed(spark, sf_dir)}
-    return Medallion(standin_bronze(spark, sf_dir), seeds, index_tickers=S.INDEX_STANDIN)
+def _input_tag(sf_dir: str) -> str:
+    """Identity of an input folder: its path plus the size/mtime of its files."""
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    if os.path.isdir(sf_dir):
+        for name in sorted(os.listdir(sf_dir)):
+            st = os.stat(os.path.join(sf_dir, name))
+            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+    return h.hexdigest()[:16]
+
+
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).limit(0).collect()
+        return True
+    except Exception:  # noqa: BLE001 - missing or incomplete table
+        return False
+
+
+def persisted_bronze(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """Bronze tables of ``standin_bronze``, written once to the shared folder.
+
+    Bronze is a stored, append-only layer: later jobs read it back (VARIANT
+    columns are shredded on write, so field extraction becomes a column
+    read). A table whose write did not complete is rebuilt. Returns lazy
+    factories so a query only touches the tables it uses.
+    """
+    root = f"{shared_dir(spark)}/tidemark-bronze/{_input_tag(sf_dir)}"
+
+    def load(name: str) -> DataFrame:
+        path = f"{root}/{name}"
+        if path not in _VERIFIED and not _readable(spark, path):
+            standin_bronze(spark, sf_dir)[name].write.mode("overwrite").parquet(path)
+        _VERIFIED.add(path)
+        return spark.read.parquet(path)
+
+    return {name: (lambda n=name: load(n)) for name in BRONZE_TABLES}
+
+
+_VERIFIED: set[str] = set()
+
+
+def standin_medallion(spark: SparkSession, sf_dir: str, persist: bool = True) -> Medallion:
+    seeds = {"tickers": lambda: S.tickers_seed(spark, sf_dir),
+             "sectors": lambda: S.sectors_seed(spark, sf_dir)}
+    bronze = persisted_bronze(spark, sf_dir) if persist else standin_bronze(spark, sf_dir)
+    return Medallion(bronze, seeds, index_tickers=S.INDEX_STANDIN)

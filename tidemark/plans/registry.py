@@ -4,9 +4,10 @@ Every query reads the driver tables of ``sf_dir`` in full (through the
 shape adapters of ``standins`` where a market-data shape is needed) and runs
 the library's own jobs on them. Output doubles are rounded (6 decimals; 4 for
 price levels, 2 for sums of prices) on both sides, since the engines sum in different
-orders; decimals are compared as doubles. Rounding is ``round(x * 10^d) /
-10^d`` on the double, the same arithmetic on both engines, so exact
-half-way values (prices like 510.30175) round alike.
+orders; decimals are compared as doubles. Rounding is half-away-from-zero of
+``x * 10^d`` on the double, then ``/ 10^d``: the arithmetic DuckDB's
+``round`` uses, so exact half-way values (prices like 510.30175) round
+alike on both sides.
 """
 
 from __future__ import annotations
@@ -52,8 +53,9 @@ def normalise(df: DataFrame, coarse=(), cents=()) -> DataFrame:
             cols.append(F.col(name).cast("double").alias(name))
         elif dtype.startswith("decimal") or dtype in ("double", "float"):
             scale = F.lit(10.0 ** _dp(name, coarse, cents))
-            x = F.col(name).cast("double")
-            cols.append((F.round(x * scale, 0) / scale + F.lit(0.0)).alias(name))
+            y = F.col(name).cast("double") * scale
+            half_away = F.signum(y) * F.floor(F.abs(y) + F.lit(0.5))
+            cols.append((half_away / scale + F.lit(0.0)).alias(name))
         else:
             cols.append(F.col(name))
     return df.select(*cols)

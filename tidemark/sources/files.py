@@ -1,0 +1,19 @@
+"""Scan helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a scan that yields fewer partitions than the
+    cluster can run at once (a few large, unsplittable files).
+
+    A many-file input already has enough partitions and is returned as is,
+    so this costs nothing at scale. The round-robin shuffle sorts rows
+    locally first, so a retried task rebuilds the same partitions.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
