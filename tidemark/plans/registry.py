@@ -222,3 +222,229 @@ def q_asset_prices(spark, d):
 def q_corr_matrix(spark, d):
     """Pearson correlation of asset returns with macro indicators."""
     return _m(spark, d).ref("macro_asset_correlation")
+
+
+# ----------------------------------------------------- tick / vendor normalisation (B)
+
+from tidemark.functions import scalar as SC  # noqa: E402
+from tidemark.operators import relational as R  # noqa: E402
+from tidemark.operators import windows as W  # noqa: E402
+from tidemark.plans import reports as RP  # noqa: E402
+from tidemark.plans.standins import table as _t  # noqa: E402
+from tidemark.sources import vendor as V  # noqa: E402
+
+
+@register("daily_bars", """
+SELECT user_id, CAST(ts AS DATE) AS date, arg_min(value, ts) AS open, max(value) AS high,
+       min(value) AS low, arg_max(value, ts) AS close, count(*) AS volume
+FROM events GROUP BY user_id, CAST(ts AS DATE)""", dbl=("open", "high", "low", "close"))
+def q_daily_bars(spark, d):
+    """Intraday events -> daily OHLCV bars per user (first/last by time)."""
+    return V.ohlcv_bars(_t(spark, d, "events"), "user_id", "ts", "value")
+
+
+@register("daily_downsample", """
+SELECT event_type, date, ts_ms, value, user_id FROM (
+  SELECT event_type, DATE '1970-01-01' + CAST(floor(ts_ms / 86400000) AS INTEGER) AS date, ts_ms, value, user_id,
+         row_number() OVER (PARTITION BY event_type, CAST(floor(ts_ms / 86400000) AS INTEGER)
+                            ORDER BY ts_ms DESC, event_id ASC) AS rn
+  FROM (SELECT *, CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS ts_ms FROM events)) WHERE rn = 1""",
+          dbl=("value",))
+def q_daily_downsample(spark, d):
+    """Per key and UTC day keep the point with the greatest millisecond timestamp."""
+    ev = _t(spark, d, "events").withColumn("ts_ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    return V.daily_downsample(ev, "event_type", "ts_ms", ["value", "user_id"], seq="event_id")
+
+
+@register("dedup_latest", """
+SELECT event_id, user_id, event_date, event_type, value FROM (
+  SELECT event_id, user_id, CAST(ts AS DATE) AS event_date, event_type, value,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1""", dbl=("value",))
+def q_dedup_latest(spark, d):
+    """latest event per (user, day); ties broken by event id."""
+    ev = _t(spark, d, "events").withColumn("event_date", F.to_date("ts"))
+    out = W.dedup_latest(ev, ["user_id", "event_date"],
+                         [F.col("ts").desc_nulls_first(), F.col("event_id").desc_nulls_first()])
+    return out.select("event_id", "user_id", "event_date", "event_type", "value")
+
+
+@register("variant_extract", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       CAST(NULL AS INTEGER) AS missing FROM events""")
+def q_variant_extract(spark, d):
+    """Parse JSON props to VARIANT; typed path extract; a missing path is NULL."""
+    ev = _t(spark, d, "events").select("event_id", F.parse_json("props").alias("v"))
+    return ev.select("event_id", F.variant_get("v", "$.k", "int").alias("k"),
+                     F.try_variant_get("v", "$.missing", "int").alias("missing"))
+
+
+@register("score_band", """
+SELECT event_id, k, CASE WHEN k < 25 THEN 'Extreme Fear' WHEN k < 45 THEN 'Fear'
+                         WHEN k < 55 THEN 'Neutral' WHEN k < 75 THEN 'Greed'
+                         ELSE 'Extreme Greed' END AS band
+FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""")
+def q_score_band(spark, d):
+    """0-100 score -> sentiment band on half-open intervals."""
+    ev = _t(spark, d, "events").select(
+        "event_id", F.variant_get(F.parse_json("props"), "$.k", "int").alias("k"))
+    return ev.select("event_id", "k", SC.score_band("k").alias("band"))
+
+
+@register("epoch_to_date", """
+SELECT event_id, epoch_s, DATE '1970-01-01' + CAST(floor(epoch_s / 86400) AS INTEGER) AS utc_date
+FROM (SELECT event_id, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS epoch_s FROM events)""")
+def q_epoch_to_date(spark, d):
+    """Epoch seconds -> UTC date."""
+    ev = _t(spark, d, "events").select(
+        "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("epoch_s"))
+    return ev.select("event_id", "epoch_s", SC.epoch_to_date("epoch_s").alias("utc_date"))
+
+
+@register("date_range_filter", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'""")
+def q_date_range_filter(spark, d):
+    """Inclusive start <= date <= end."""
+    o = _t(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("order_date"))
+    return o.filter(F.col("order_date").between(F.to_date(F.lit("1996-01-01")),
+                                                F.to_date(F.lit("1996-12-31"))))
+
+
+_RAW_TEXT_SQL = """(SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN '.' WHEN 'O' THEN ''
+       ELSE CAST(o_totalprice AS VARCHAR) END AS raw_value FROM orders)"""
+
+
+@register("sentinel_to_null", f"""
+SELECT o_orderkey, raw_value,
+       CASE WHEN raw_value IS NULL OR raw_value IN ('.', '') THEN NULL ELSE CAST(raw_value AS DOUBLE) END AS value
+FROM {_RAW_TEXT_SQL}""", dbl=("value",))
+def q_sentinel_to_null(spark, d):
+    """B2: vendor text values; '.' and '' are missing, the rest parse as double.
+
+    Stand-in text: order status P -> '.', O -> '', else the total price."""
+    o = _t(spark, d, "orders")
+    raw = (F.when(F.col("o_orderstatus") == "P", ".").when(F.col("o_orderstatus") == "O", "")
+           .otherwise(F.col("o_totalprice").cast("string")))
+    return o.select("o_orderkey", raw.alias("raw_value")).select(
+        "o_orderkey", "raw_value", SC.sentinel_to_null("raw_value").alias("value"))
+
+
+@register("nan_to_null", """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN isnan(TRY_CAST(t AS DOUBLE)) THEN NULL ELSE TRY_CAST(t AS DOUBLE) END AS value
+FROM (SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN 'NaN' WHEN 'A' THEN 'n/a'
+             ELSE CAST(l_discount AS VARCHAR) END AS t FROM lineitem)""", dbl=("value",))
+def q_nan_to_null(spark, d):
+    """Non-numeric or NaN text -> NULL. Stand-in text: flag R -> 'NaN', A -> 'n/a'."""
+    li = _t(spark, d, "lineitem")
+    t = (F.when(F.col("l_returnflag") == "R", "NaN").when(F.col("l_returnflag") == "A", "n/a")
+         .otherwise(F.col("l_discount").cast("string")))
+    return li.select("l_orderkey", "l_linenumber", SC.nan_to_null(t).alias("value"))
+
+
+@register("trunc_int", """
+SELECT l_orderkey, l_linenumber, CAST(trunc(l_extendedprice / 7 - 5000) AS BIGINT) AS truncated
+FROM lineitem""")
+def q_trunc_int(spark, d):
+    """Float -> integer truncating toward zero (negative values included)."""
+    li = _t(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     SC.trunc_int(F.col("l_extendedprice") / F.lit(7) - F.lit(5000)).alias("truncated"))
+
+
+@register("top_n", """
+SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey ASC LIMIT 20""",
+          dbl=("c_acctbal",))
+def q_top_n(spark, d):
+    """Top 20 by a metric (TakeOrderedAndProject)."""
+    return V.top_n_by(_t(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal"),
+                      "c_acctbal", 20, tie="c_custkey")
+
+
+@register("universe_filter", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
+          dbl=("o_totalprice",))
+def q_universe_filter(spark, d):
+    """Keep rows whose key is in a universe table (left semi join)."""
+    universe = _t(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return V.universe_filter(o, universe, "o_custkey", "c_custkey")
+
+
+@register("date_sequence", """
+SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)),
+                                   INTERVAL 1 DAY)) AS DATE) AS date_day FROM orders""")
+def q_date_sequence(spark, d):
+    """Every day between the first and last order date, both inclusive."""
+    b = _t(spark, d, "orders").agg(F.min(F.to_date("o_orderdate")).alias("s"),
+                                   F.max(F.to_date("o_orderdate")).alias("e"))
+    return R.spine_between(b, "s", "e", inclusive=True)
+
+
+@register("date_spine", """
+SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)) - 1,
+                                   INTERVAL 1 DAY)) AS DATE) AS date_day FROM orders""")
+def q_date_spine(spark, d):
+    """Day spine from start up to but excluding end."""
+    b = _t(spark, d, "orders").agg(F.min(F.to_date("o_orderdate")).alias("s"),
+                                   F.max(F.to_date("o_orderdate")).alias("e"))
+    return R.spine_between(b, "s", "e", inclusive=False)
+
+
+@register("spine_join", """
+WITH b AS (SELECT min(CAST(l_shipdate AS DATE)) s, max(CAST(l_shipdate AS DATE)) e FROM lineitem),
+sp AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS date_day FROM b),
+o AS (SELECT CAST(o_orderdate AS DATE) AS date_day, count(*) AS n_orders FROM orders GROUP BY 1)
+SELECT sp.date_day, o.n_orders FROM sp LEFT JOIN o ON sp.date_day = o.date_day""")
+def q_spine_join(spark, d):
+    """Daily order counts aligned on the full shipping calendar; no day dropped."""
+    b = _t(spark, d, "lineitem").agg(F.min(F.to_date("l_shipdate")).alias("s"),
+                                     F.max(F.to_date("l_shipdate")).alias("e"))
+    spine = R.spine_between(b, "s", "e", inclusive=True)
+    counts = _t(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("od")).agg(
+        F.count(F.lit(1)).alias("n_orders"))
+    return R.spine_join(spine, counts, "date_day", "od")
+
+
+@register("safe_divide", """
+SELECT l_orderkey, l_linenumber, l_discount / NULLIF(l_tax, 0) AS ratio,
+       (100 * l_discount) / NULLIF(l_tax, 0) AS ratio_pct FROM lineitem""",
+          dbl=("ratio", "ratio_pct"))
+def q_safe_divide(spark, d):
+    """C4: division that is NULL on a zero denominator; scaled numerator first."""
+    li = _t(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     SC.safe_divide("l_discount", "l_tax").alias("ratio"),
+                     SC.safe_divide(F.lit(100) * F.col("l_discount"), "l_tax").alias("ratio_pct"))
+
+
+@register("case_label", """
+SELECT o_orderkey,
+       CASE WHEN o_totalprice >= 300000 THEN 'large' WHEN o_totalprice >= 100000 THEN 'medium' END AS size_no_else,
+       CASE WHEN o_totalprice >= 300000 THEN 'large' WHEN o_totalprice >= 100000 THEN 'medium'
+            ELSE 'small' END AS size_label
+FROM orders""")
+def q_case_label(spark, d):
+    """Searched CASE with and without ELSE (no ELSE -> NULL)."""
+    o = _t(spark, d, "orders")
+    p = F.col("o_totalprice")
+    no_else = F.when(p >= 300000, "large").when(p >= 100000, "medium")
+    return o.select("o_orderkey", no_else.alias("size_no_else"),
+                    no_else.otherwise("small").alias("size_label"))
+
+
+@register("ilike_filter", "SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%RING%'")
+def q_ilike_filter(spark, d):
+    """Case-insensitive contains (user text is a live pattern)."""
+    return _t(spark, d, "part").select("p_partkey", "p_name").filter(R.ilike_contains("p_name", "RING"))
+
+
+@register("ci_in_filter", """
+SELECT c_custkey, c_name, c_mktsegment FROM customer
+WHERE upper(c_mktsegment) IN ('BUILDING', 'MACHINERY') OR upper(c_name) IN ('CUSTOMER#000000007')""")
+def q_ci_in_filter(spark, d):
+    """Case-insensitive IN list over two columns."""
+    c = _t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return c.filter(R.ci_in(["c_mktsegment", "c_name"], ["building", "Machinery", "customer#000000007"]))
