@@ -448,3 +448,341 @@ def q_ci_in_filter(spark, d):
     """Case-insensitive IN list over two columns."""
     c = _t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
     return c.filter(R.ci_in(["c_mktsegment", "c_name"], ["building", "Machinery", "customer#000000007"]))
+
+
+# ------------------------------------------------------ windows and aggregates (E, F)
+
+from tidemark.functions import indicators as IND  # noqa: E402
+from tidemark.operators import incremental as INC  # noqa: E402
+from tidemark.operators import quality as DQ  # noqa: E402
+from tidemark.plans import medallion as M  # noqa: E402
+
+
+@register("daily_return", O.cte("tech_base") + """
+SELECT ticker, price_date, close_price, prev_close, daily_change, daily_change / NULLIF(prev_close, 0) AS daily_return
+FROM tech_base""", dbl=("daily_return",), coarse=("close_price", "prev_close", "daily_change"))
+def q_daily_return(spark, d):
+    """previous close (previous row), change and return per ticker."""
+    stg = _m(spark, d).ref("stg_daily_prices").select("ticker", "price_date", "close_price")
+    return W.with_returns(stg, "close_price", "ticker", "price_date", prev="prev_close")
+
+
+@register("moving_average", O.cte("technicals") + "SELECT ticker, price_date, ma_20, ma_50, ma_200 FROM technicals",
+          coarse=("ma_20", "ma_50", "ma_200"))
+def q_moving_average(spark, d):
+    """trailing 20/50/200-row simple moving averages (partial frames average what exists)."""
+    stg = _m(spark, d).ref("stg_daily_prices")
+    return stg.select("ticker", "price_date", *[
+        IND.moving_average("close_price", "ticker", "price_date", n).alias(f"ma_{n}") for n in (20, 50, 200)])
+
+
+@register("rsi", O.cte("technicals") + "SELECT ticker, price_date, rsi_14 FROM technicals", dbl=("rsi_14",))
+def q_rsi(spark, d):
+    """14-row RSI from simple gain/loss averages (no losses -> NULL)."""
+    r = W.with_returns(_m(spark, d).ref("stg_daily_prices"), "close_price", "ticker", "price_date")
+    return r.select("ticker", "price_date", IND.rsi("daily_change", "ticker", "price_date", 14).alias("rsi_14"))
+
+
+@register("bollinger", O.cte("technicals") + "SELECT ticker, price_date, bb_middle, bb_upper, bb_lower FROM technicals",
+          coarse=("bb_middle", "bb_upper", "bb_lower"))
+def q_bollinger(spark, d):
+    """20-row Bollinger bands at 2 sample standard deviations."""
+    mid, up, lo = IND.bollinger("close_price", "ticker", "price_date", 20, 2)
+    return _m(spark, d).ref("stg_daily_prices").select(
+        "ticker", "price_date", mid.alias("bb_middle"), up.alias("bb_upper"), lo.alias("bb_lower"))
+
+
+@register("latest_per_key", O.cte("stg_fund") + """
+SELECT ticker, snapshot_date, market_cap, pe_ratio, industry FROM stg_fund
+QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY snapshot_date DESC NULLS FIRST) = 1""",
+          dbl=("pe_ratio",), ints=("market_cap",))
+def q_latest_per_key(spark, d):
+    """newest fundamentals snapshot per ticker."""
+    f = _m(spark, d).ref("stg_fundamentals")
+    return W.latest_per_key(f, "ticker", "snapshot_date").select(
+        "ticker", "snapshot_date", "market_cap", "pe_ratio", "industry")
+
+
+@register("lag_k", O.cte("regime_daily") + "SELECT * FROM regime_daily",
+          dbl=("sp500_return", "btc_return", "vix", "fed_funds_rate", "fed_funds_prev"))
+def q_lag_k(spark, d):
+    """Per-day regime labels; Fed funds compared with its value 5 trading
+    days earlier over the whole (unpartitioned) history."""
+    return M.regime_timeline(_m(spark, d).ref("daily_market_snapshot"))
+
+
+@register("breadth", O.cte("technicals", "tickers") + """
+SELECT t.price_date, count(*) FILTER (WHERE t.daily_return > 0) AS advancers,
+       count(*) FILTER (WHERE t.daily_return < 0) AS decliners
+FROM technicals t JOIN tickers s ON t.ticker = s.ticker GROUP BY t.price_date""")
+def q_breadth(spark, d):
+    """Advancers and decliners among constituents (inner join to the seed)."""
+    m = _m(spark, d)
+    return R.breadth(m.ref("prices_with_technicals"), "daily_return", "price_date",
+                     universe=m.seeds["tickers"], key="ticker")
+
+
+@register("distinct_days", O.cte("stg_prices") + "SELECT DISTINCT price_date AS snapshot_date FROM stg_prices")
+def q_distinct_days(spark, d):
+    """Distinct trading days."""
+    return _m(spark, d).ref("stg_daily_prices").select(F.col("price_date").alias("snapshot_date")).distinct()
+
+
+@register("pivot_entities", O.cte("stg_prices") + """
+SELECT price_date, max(CASE WHEN ticker = '^A' THEN close_price END) AS sp500_close,
+       max(CASE WHEN ticker = '^N' THEN close_price END) AS nasdaq_close,
+       max(CASE WHEN ticker = '^R' THEN close_price END) AS dow_close
+FROM stg_prices GROUP BY price_date""", coarse=("sp500_close", "nasdaq_close", "dow_close"))
+def q_pivot_entities(spark, d):
+    """Index closes pivoted onto one row per date."""
+    return R.pivot_long(_m(spark, d).ref("stg_daily_prices"), "price_date", "ticker", "close_price",
+                        {"^A": "sp500_close", "^N": "nasdaq_close", "^R": "dow_close"})
+
+
+_ASSET_STATS_SQL = """
+SELECT asset_id, arg_min(asset_name, price_date) AS asset_name, arg_min(asset_type, price_date) AS asset_type,
+       count(*) AS num_days,
+       arg_max(close, price_date) FILTER (WHERE close IS NOT NULL) AS latest_close,
+       CASE WHEN count(close) >= 2 THEN arg_max(close, price_date) FILTER (WHERE close IS NOT NULL)
+            / NULLIF(arg_min(close, price_date) FILTER (WHERE close IS NOT NULL), 0) - 1 END AS cumulative_return,
+       avg(daily_return) AS avg_daily_return,
+       CASE WHEN count(daily_return) >= 2 THEN stddev_pop(daily_return) END AS volatility
+FROM {src} GROUP BY asset_id"""
+
+
+@register("asset_stats", O.cte("asset_prices") + _ASSET_STATS_SQL.format(src="asset_prices"),
+          dbl=("cumulative_return", "avg_daily_return", "volatility"), coarse=("latest_close",))
+def q_asset_stats(spark, d):
+    """Per-asset days, latest close, cumulative return, mean return, population volatility."""
+    return R.asset_stats(_m(spark, d).ref("asset_prices"), "asset_id", "price_date", "close",
+                         "daily_return", first_cols=("asset_name", "asset_type"))
+
+
+@register("best_worst", O.cte("sector_perf") + """
+SELECT b.gics_sector, b.price_date AS best_date, b.avg_daily_return AS best_return,
+       w.price_date AS worst_date, w.avg_daily_return AS worst_return
+FROM (SELECT *, row_number() OVER (PARTITION BY gics_sector ORDER BY (avg_daily_return IS NULL),
+                                   avg_daily_return DESC, price_date ASC) AS rn FROM sector_perf) b
+JOIN (SELECT *, row_number() OVER (PARTITION BY gics_sector ORDER BY (avg_daily_return IS NULL),
+                                   avg_daily_return ASC, price_date ASC) AS rn FROM sector_perf) w
+  ON b.gics_sector = w.gics_sector AND b.rn = 1 AND w.rn = 1""", dbl=("best_return", "worst_return"))
+def q_best_worst(spark, d):
+    """Best and worst day per sector (ties -> earliest date, NULL loses)."""
+    bw = R.best_worst(_m(spark, d).ref("sector_performance"), "gics_sector", "price_date", "avg_daily_return")
+    return bw.select("gics_sector", F.col("best_day.date").alias("best_date"),
+                     F.col("best_day.return").alias("best_return"), F.col("worst_day.date").alias("worst_date"),
+                     F.col("worst_day.return").alias("worst_return"))
+
+
+@register("nested_series", O.cte("sector_perf") + """
+SELECT gics_sector, count(*) AS n_days, min(price_date) AS first_date, max(price_date) AS last_date,
+       arg_min_null(avg_daily_return, price_date) AS first_return
+FROM sector_perf GROUP BY gics_sector""", dbl=("first_return",))
+def q_nested_series(spark, d):
+    """Each sector's rows as one date-ordered array (checked by size and ends)."""
+    ns = R.nested_series(_m(spark, d).ref("sector_performance"), "gics_sector", "price_date",
+                         ["avg_daily_return"])
+    s = F.col("daily_series")
+    return ns.select("gics_sector", F.size(s).cast("bigint").alias("n_days"),
+                     F.element_at(s, 1)["price_date"].alias("first_date"),
+                     F.element_at(s, -1)["price_date"].alias("last_date"),
+                     F.element_at(s, 1)["avg_daily_return"].alias("first_return"))
+
+
+@register("sector_cumulative", O.cte("sector_perf") + """
+SELECT gics_sector, sum(avg_daily_return) * 100 AS cumulative_return_pct FROM sector_perf GROUP BY gics_sector""",
+          coarse=("cumulative_return_pct",))
+def q_sector_cumulative(spark, d):
+    """Plain sum of daily mean returns per sector, in percent."""
+    return RP.sector_cumulative(_m(spark, d).ref("sector_performance"))
+
+
+_IND = ["VIX", "TREASURY_10Y", "TREASURY_2Y", "FED_FUNDS_RATE", "WTI_CRUDE_OIL"]
+
+
+@register("corr_wide", O.cte("correlation") + "SELECT asset, " + ", ".join(
+    f"max(CASE WHEN macro_indicator = '{i}' THEN correlation END) AS {i}" for i in _IND)
+          + " FROM correlation GROUP BY asset", dbl=tuple(_IND))
+def q_corr_wide(spark, d):
+    """Asset x indicator matrix (duplicate key fails the job)."""
+    return RP.corr_wide(_m(spark, d).ref("macro_asset_correlation"), _IND)
+
+
+@register("regime_bars", O.cte("regime") + """
+SELECT rate_regime || ' / ' || vol_regime AS regime, avg_sp500_return * 100 AS avg_sp500_return_pct, num_days
+FROM regime""", dbl=("avg_sp500_return_pct",))
+def q_regime_bars(spark, d):
+    """M18/C16/C17: 'rate / vol' label and mean S&P return in percent."""
+    return RP.regime_bars(_m(spark, d).ref("regime_analysis"))
+
+
+@register("corr_interpretation", O.cte("correlation") + """
+SELECT asset, macro_indicator, correlation, n_obs,
+       CASE WHEN correlation IS NULL THEN 'insufficient overlapping data to compute'
+            ELSE (CASE WHEN abs(correlation) >= 0.6 THEN 'strong' WHEN abs(correlation) >= 0.3 THEN 'moderate'
+                       ELSE 'weak' END) || ' ' || (CASE WHEN correlation > 0 THEN 'positive' ELSE 'negative' END)
+                 || ' correlation' END AS interpretation
+FROM correlation""", dbl=("correlation",))
+def q_corr_interpretation(spark, d):
+    """Plain-language reading of every correlation."""
+    c = _m(spark, d).ref("macro_asset_correlation")
+    return c.select("*", SC.corr_interpretation("correlation").alias("interpretation"))
+
+
+# ------------------------------------------------------------------- reports
+
+@register("overview", O.cte("snapshot") + """
+SELECT *, CASE WHEN fng_value IS NULL THEN NULL WHEN fng_value < 25 THEN 'Extreme Fear' WHEN fng_value < 45 THEN 'Fear'
+               WHEN fng_value < 55 THEN 'Neutral' WHEN fng_value < 75 THEN 'Greed' ELSE 'Extreme Greed' END AS fng_band,
+       CASE WHEN spread_10y_2y < 0 THEN 'Inverted' ELSE 'Normal' END AS curve_status
+FROM snapshot ORDER BY snapshot_date DESC NULLS FIRST LIMIT 2""", dbl=SNAP_DBL, coarse=SNAP_COARSE,
+          ints=("fng_value",))
+def q_overview(spark, d):
+    """Two newest snapshot rows with sentiment band and curve label."""
+    return RP.overview(_m(spark, d).ref("daily_market_snapshot"))
+
+
+@register("latest_row", O.cte("snapshot") + "SELECT * FROM snapshot ORDER BY snapshot_date DESC NULLS FIRST LIMIT 1",
+          dbl=SNAP_DBL, coarse=SNAP_COARSE, ints=("fng_value",))
+def q_latest_row(spark, d):
+    """Market snapshot of the latest trading day."""
+    return RP.market_snapshot(_m(spark, d).ref("daily_market_snapshot"), "latest")
+
+
+@register("market_snapshot_on_date", O.cte("snapshot") + "SELECT * FROM snapshot WHERE snapshot_date = DATE '1998-06-15'",
+          dbl=SNAP_DBL, coarse=SNAP_COARSE, ints=("fng_value",))
+def q_snapshot_on_date(spark, d):
+    """Market snapshot of a given 'YYYY-MM-DD' day."""
+    return RP.market_snapshot(_m(spark, d).ref("daily_market_snapshot"), "1998-06-15")
+
+
+@register("sector_report", O.cte("sector_perf") + """
+, win AS (SELECT * FROM sector_perf WHERE gics_sector ILIKE '%asia%'
+          AND price_date >= (SELECT max(price_date) FROM sector_perf) - INTERVAL 30 DAY)
+SELECT (SELECT gics_sector FROM win ORDER BY price_date, gics_sector LIMIT 1) AS sector, '1M' AS period,
+       (SELECT count(*) FROM win) AS num_days, (SELECT avg(avg_daily_return) FROM win) AS avg_daily_return,
+       (SELECT price_date FROM win ORDER BY (avg_daily_return IS NULL), avg_daily_return DESC, price_date LIMIT 1) AS best_date,
+       (SELECT avg_daily_return FROM win ORDER BY (avg_daily_return IS NULL), avg_daily_return DESC, price_date LIMIT 1) AS best_return,
+       (SELECT price_date FROM win ORDER BY (avg_daily_return IS NULL), avg_daily_return ASC, price_date LIMIT 1) AS worst_date,
+       (SELECT avg_daily_return FROM win ORDER BY (avg_daily_return IS NULL), avg_daily_return ASC, price_date LIMIT 1) AS worst_return,
+       (SELECT count(*) FROM win) AS series_len""", dbl=("avg_daily_return", "best_return", "worst_return"))
+def q_sector_report(spark, d):
+    """Trailing-period sector report ('asia', 1M, as of the newest day)."""
+    r = RP.sector_report(_m(spark, d).ref("sector_performance"), "asia", "1M", as_of="latest")
+    return r.select("sector", "period", "num_days", "avg_daily_return",
+                    F.col("best_day.date").alias("best_date"), F.col("best_day.return").alias("best_return"),
+                    F.col("worst_day.date").alias("worst_date"), F.col("worst_day.return").alias("worst_return"),
+                    F.size("daily_series").cast("bigint").alias("series_len"))
+
+
+@register("macro_impact", O.cte("correlation") + """
+SELECT asset, macro_indicator, correlation, n_obs,
+       CASE WHEN correlation IS NULL THEN 'insufficient overlapping data to compute'
+            ELSE (CASE WHEN abs(correlation) >= 0.6 THEN 'strong' WHEN abs(correlation) >= 0.3 THEN 'moderate'
+                       ELSE 'weak' END) || ' ' || (CASE WHEN correlation > 0 THEN 'positive' ELSE 'negative' END)
+                 || ' correlation' END AS interpretation
+FROM correlation WHERE asset ILIKE '%sp%' AND macro_indicator ILIKE '%treasury%'
+ORDER BY asset, macro_indicator LIMIT 1""", dbl=("correlation",))
+def q_macro_impact(spark, d):
+    """First correlation matching both fragments, with its reading."""
+    return RP.macro_impact(_m(spark, d).ref("macro_asset_correlation"), "treasury", "sp")
+
+
+@register("compare_assets", O.cte("asset_prices") + """
+, win AS (SELECT * FROM asset_prices
+          WHERE (upper(asset_id) IN ('^A', 'BITCOIN', 'S7', 'ETH') OR upper(asset_name) IN ('^A', 'BITCOIN', 'S7', 'ETH'))
+            AND price_date >= (SELECT max(price_date) FROM asset_prices) - INTERVAL 365 DAY)
+SELECT '1Y' AS period, 'returns' AS metric, * FROM (""" + _ASSET_STATS_SQL.format(src="win") + ")",
+          dbl=("cumulative_return", "avg_daily_return", "volatility"), coarse=("latest_close",))
+def q_compare_assets(spark, d):
+    """Side-by-side asset statistics over the trailing year."""
+    return RP.compare_assets(_m(spark, d).ref("asset_prices"), ["^a", "bitcoin", "S7", "eth"],
+                             period="1Y", as_of="latest")
+
+
+@register("regime_report", O.cte("regime") + """
+SELECT 'fed_funds_rate' AS indicator, rate_regime, vol_regime, num_days, avg_sp500_return, avg_btc_return
+FROM regime ORDER BY rate_regime, vol_regime""", dbl=("avg_sp500_return", "avg_btc_return"))
+def q_regime_report(spark, d):
+    """Regimes sorted by (rate, vol)."""
+    return RP.regime_report(_m(spark, d).ref("regime_analysis"))
+
+
+# -------------------------------------------------------- quality checks (K1-K8)
+
+@register("dq_not_null", O.cte("macro_wide") + "SELECT observation_date, treasury_2y FROM macro_wide WHERE treasury_2y IS NULL")
+def q_dq_not_null(spark, d):
+    """K1: dates of the wide macro table missing the 2-year yield."""
+    return DQ.dq_not_null(_m(spark, d).ref("macro_pivot"), "treasury_2y").select(
+        "observation_date", F.col("treasury_2y").cast("double").alias("treasury_2y"))
+
+
+@register("dq_unique", O.cte("sectors") + """
+SELECT gics_sector, count(*) AS n_records FROM sectors WHERE gics_sector IS NOT NULL
+GROUP BY gics_sector HAVING count(*) > 1""")
+def q_dq_unique(spark, d):
+    """K2: GICS sectors listed more than once in the sector dimension."""
+    return DQ.dq_unique(_m(spark, d).ref("dim_sectors"), "gics_sector")
+
+
+@register("dq_unique_combo", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_dq_unique_combo(spark, d):
+    """K3: duplicated (order, line) keys."""
+    return DQ.dq_unique_combo(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("dq_range", "SELECT event_id, value FROM events WHERE NOT (value >= 0 AND value <= 100)", dbl=("value",))
+def q_dq_range(spark, d):
+    """K4: values outside [0, 100] (NULL passes)."""
+    return DQ.dq_range(_t(spark, d, "events").select("event_id", "value"), "value", 0, 100)
+
+
+@register("dq_future_dates", O.cte("stg_prices") + """
+SELECT ticker, price_date FROM stg_prices WHERE price_date > DATE '2001-06-30'""")
+def q_dq_future_dates(spark, d):
+    """K5: price dates after the as-of date (2001-06-30)."""
+    stg = _m(spark, d).ref("stg_daily_prices").select("ticker", "price_date")
+    return DQ.dq_future_dates(stg, "price_date", F.to_date(F.lit("2001-06-30")))
+
+
+@register("dq_bounds", O.cte("stg_fund") + """
+SELECT ticker, snapshot_date, market_cap FROM stg_fund
+WHERE market_cap IS NOT NULL AND (market_cap <= 0 OR market_cap > 100000000000000)""", ints=("market_cap",))
+def q_dq_bounds(spark, d):
+    """K6: market caps present but <= 0 or above 100 trillion."""
+    f = _m(spark, d).ref("stg_fundamentals").select("ticker", "snapshot_date", "market_cap")
+    return DQ.dq_bounds(f, "market_cap")
+
+
+@register("dq_report", O.cte("technicals", "stg_fund", "crypto_dom", "stg_prices") + """
+SELECT 'rsi_14_range' AS check_name, count(*) AS failures FROM technicals WHERE NOT (rsi_14 >= 0 AND rsi_14 <= 100)
+UNION ALL SELECT 'stg_prices_close_min', count(*) FROM stg_prices WHERE NOT (close_price >= 0)
+UNION ALL SELECT 'dominance_range', count(*) FROM crypto_dom WHERE NOT (dominance_pct >= 0 AND dominance_pct <= 100)
+UNION ALL SELECT 'market_cap_bounds', count(*) FROM stg_fund
+          WHERE market_cap IS NOT NULL AND (market_cap <= 0 OR market_cap > 100000000000000)
+UNION ALL SELECT 'prices_unique_key', count(*) FROM (SELECT ticker, price_date FROM stg_prices
+          GROUP BY ticker, price_date HAVING count(*) > 1)""")
+def q_dq_report(spark, d):
+    """K8: failure counts of several checks in one result (the build gate input)."""
+    m = _m(spark, d)
+    return DQ.dq_report({
+        "rsi_14_range": DQ.dq_range(m.ref("prices_with_technicals"), "rsi_14", 0, 100),
+        "stg_prices_close_min": DQ.dq_range(m.ref("stg_daily_prices"), "close_price", 0),
+        "dominance_range": DQ.dq_range(m.ref("crypto_with_dominance"), "dominance_pct", 0, 100),
+        "market_cap_bounds": DQ.dq_bounds(m.ref("stg_fundamentals"), "market_cap"),
+        "prices_unique_key": DQ.dq_unique_combo(m.ref("stg_daily_prices"), ["ticker", "price_date"]),
+    })
+
+
+# ------------------------------------------------------------- incremental
+
+@register("incremental_filter", O.cte("stg_prices", "stg_fng") + """
+SELECT ticker, price_date FROM stg_prices WHERE price_date > (SELECT max(reading_date) FROM stg_fng)""")
+def q_incremental_filter(spark, d):
+    """Trading rows newer than the sentiment feed's high-water mark
+    (a scalar subquery over the other table)."""
+    m = _m(spark, d)
+    hwm = INC.high_water_mark(m.ref("stg_fear_greed"), "reading_date")
+    return INC.incremental_filter(m.ref("stg_daily_prices").select("ticker", "price_date"), "price_date", hwm)
