@@ -786,3 +786,116 @@ def q_incremental_filter(spark, d):
     m = _m(spark, d)
     hwm = INC.high_water_mark(m.ref("stg_fear_greed"), "reading_date")
     return INC.incremental_filter(m.ref("stg_daily_prices").select("ticker", "price_date"), "price_date", hwm)
+
+
+# ------------------------------------------------ landing, ingest and streaming (A, J)
+
+from tidemark.session import scratch_path  # noqa: E402
+from tidemark.sources import landing as L  # noqa: E402
+from tidemark.streaming import jobs as ST  # noqa: E402
+
+_EVENT_FIELDS_SQL = """
+SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_date FROM events"""
+
+
+def _event_records(spark, d) -> DataFrame:
+    """Events in landing-record shape (one JSON object per event, dated by day)."""
+    ev = _t(spark, d, "events")
+    return ev.select("event_id", "user_id", "event_type", "value",
+                     F.date_format("ts", "yyyy-MM-dd").alias("date"))
+
+
+def _typed_events(bronze: DataFrame) -> DataFrame:
+    v = F.col("raw_data")
+    return bronze.select(F.variant_get(v, "$.event_id", "bigint").alias("event_id"),
+                         F.variant_get(v, "$.user_id", "bigint").alias("user_id"),
+                         F.variant_get(v, "$.event_type", "string").alias("event_type"),
+                         F.variant_get(v, "$.value", "double").alias("value"),
+                         F.to_date(F.regexp_extract(F.col("_file_name"), r"date=(\d{4}-\d{2}-\d{2})", 1))
+                         .alias("event_date"))
+
+
+@register("json_array_scan", _EVENT_FIELDS_SQL, dbl=("value",))
+def q_json_array_scan(spark, d):
+    """Events landed as JSON files (one folder per day, dynamic
+    overwrite), ingested into Bronze twice through the file ledger (the second
+    run adds nothing), then typed from the VARIANT payload."""
+    root = scratch_path(spark, "landing-events")
+    L.write_landing(_event_records(spark, d), root, "date")
+    bronze, ledger = root + "-bronze", root + "-ledger"
+    L.ingest(spark, root, "events", bronze, ledger)
+    L.ingest(spark, root, "events", bronze, ledger)
+    return _typed_events(spark.read.parquet(bronze))
+
+
+@register("load_counts", """
+WITH t AS (
+  SELECT 'raw_stock_prices' AS table_name, count(DISTINCT CAST(l_shipdate AS DATE)) AS files, 2 * count(*) AS rows_loaded FROM lineitem
+  UNION ALL SELECT 'raw_stock_fundamentals', count(DISTINCT CAST(l_shipdate AS DATE)), count(*) FROM lineitem
+  UNION ALL SELECT 'raw_fred_series', count(DISTINCT CAST(o_orderdate AS DATE)), count(*) FROM orders
+  UNION ALL SELECT 'raw_crypto_prices', 1, count(*) FROM (SELECT DISTINCT o_orderstatus,
+            floor((CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) * 86400000
+                   + o_orderkey % 86400000) / 86400000) FROM orders)
+  UNION ALL SELECT 'raw_fear_greed', count(DISTINCT CAST(o_orderdate AS DATE)), count(*) FROM orders)
+SELECT * FROM t UNION ALL SELECT 'TOTAL', sum(files), sum(rows_loaded) FROM t""",
+          ints=("files", "rows_loaded"))
+def q_load_counts(spark, d):
+    """A4: files and rows loaded per Bronze table, plus the total."""
+    m = _m(spark, d)
+    out = L.load_counts({n: m.bronze[n] for n in ("raw_stock_prices", "raw_stock_fundamentals",
+                                                   "raw_fred_series", "raw_crypto_prices", "raw_fear_greed")})
+    return out.select("table_name", F.col("files").cast("double").alias("files"),
+                      F.col("rows_loaded").cast("double").alias("rows_loaded"))
+
+
+@register("stream_ingest", _EVENT_FIELDS_SQL, dbl=("value",))
+def q_stream_ingest(spark, d):
+    """Landing files ingested by a checkpointed file stream, run twice
+    (the second run finds no new file), then typed from the VARIANT payload."""
+    root = scratch_path(spark, "landing-stream")
+    L.write_landing(_event_records(spark, d), root, "date")
+    bronze, ck = root + "-bronze", root + "-ckpt"
+    for _ in range(2):
+        ST.ingest_stream(spark, root, "events", bronze, ck).awaitTermination()
+    return _typed_events(spark.read.parquet(bronze))
+
+
+@register("stream_dedup_latest", """
+SELECT event_id, user_id, event_date, event_type, value FROM (
+  SELECT event_id, user_id, CAST(ts AS DATE) AS event_date, event_type, value,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1""", dbl=("value",))
+def q_stream_dedup_latest(spark, d):
+    """Latest event per (user, day) kept across micro-batches by a
+    foreachBatch upsert into a versioned table."""
+    src = scratch_path(spark, "events-src")
+    ev = _t(spark, d, "events")
+    ev.write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src) \
+        .withColumn("event_date", F.to_date("ts")) \
+        .select("event_id", "user_id", "event_date", "event_type", "value", "ts")
+    target, ck = src + "-latest", src + "-ckpt"
+    ST.upsert_latest_stream(stream, ["user_id", "event_date"],
+                            [F.col("ts").desc_nulls_first(), F.col("event_id").desc_nulls_first()],
+                            target, ck).awaitTermination()
+    return INC.read_current(spark, target).select("event_id", "user_id", "event_date", "event_type", "value")
+
+
+@register("stream_daily_bars", """
+SELECT event_type, CAST(ts AS DATE) AS date, arg_min(value, ts) AS open, max(value) AS high, min(value) AS low,
+       arg_max(value, ts) AS close, count(*) AS volume
+FROM events
+WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+GROUP BY event_type, CAST(ts AS DATE)""", dbl=("open", "high", "low", "close"))
+def q_stream_daily_bars(spark, d):
+    """Watermarked streaming daily bars (append mode); a day is emitted once
+    the watermark (newest event - 1 hour) passes its end."""
+    src = scratch_path(spark, "ticks-src")
+    ev = _t(spark, d, "events")
+    ev.write.parquet(src)
+    ticks = spark.readStream.schema(ev.schema).parquet(src).withColumn("ts", F.col("ts").cast("timestamp"))
+    out, ck = src + "-bars", src + "-ckpt"
+    (ST.daily_bars_stream(ticks, "event_type", "ts", "value").writeStream.format("parquet")
+     .option("path", out).option("checkpointLocation", ck).outputMode("append")
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(out)

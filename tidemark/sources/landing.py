@@ -69,10 +69,14 @@ def scan_landing(spark: SparkSession, path: str, fail_fast: bool = True) -> Data
 
 
 def read_landing(spark: SparkSession, path: str, source: str, fail_fast: bool = True) -> DataFrame:
-    """Landing files -> Bronze rows stamped with source, load time and file name."""
+    """Landing files -> Bronze rows stamped with source, load time and file.
+
+    ``_file_name`` holds the file's full path: file names alone repeat across
+    the per-day folders of a landing zone.
+    """
     scan = scan_landing(spark, path, fail_fast)
     return scan.select("raw_data", F.lit(source).alias("source"), load_time().alias("_loaded_at"),
-                       F.col("file_name").alias("_file_name"), *LEDGER_KEYS)
+                       F.col("file_path").alias("_file_name"), *LEDGER_KEYS)
 
 
 def new_files_only(scanned: DataFrame, ledger: DataFrame | None) -> DataFrame:
