@@ -128,3 +128,66 @@ def forward_fill(df: DataFrame, cols: Sequence[str], by, order) -> DataFrame:
     w = series_window(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
+
+
+def global_frames(df: DataFrame, order: str, width: int, columns, bucket_rows: int = 4096) -> DataFrame:
+    """Trailing frame aggregates (up to ``width`` rows) over one global order, in parallel.
+
+    Rows get their global position (``global_row_index``) and are cut into
+    buckets of ``bucket_rows``; each bucket also receives a halo copy of the
+    previous bucket's last ``width - 1`` rows, so every frame is complete
+    inside one bucket. ``columns(frame)`` returns the aggregate Columns, where
+    ``frame(n)`` is the trailing ``n``-row WindowSpec (``n <= width``). Halo
+    rows are dropped afterwards.
+    """
+    if width - 1 > bucket_rows:
+        raise ValueError("bucket_rows must be at least width - 1")
+    idx = global_row_index(df, order)
+    b = F.floor(F.col("_row_idx") / F.lit(bucket_rows))
+    main = idx.withColumn("_bkt", b).withColumn("_halo", F.lit(False))
+    halo = (idx.filter(F.col("_row_idx") % F.lit(bucket_rows) >= F.lit(bucket_rows - (width - 1)))
+               .withColumn("_bkt", b + 1).withColumn("_halo", F.lit(True)))
+    def frame(n: int):
+        if n > width:
+            raise ValueError("frame longer than width")
+        return Window.partitionBy("_bkt").orderBy("_row_idx").rowsBetween(-(n - 1), Window.currentRow)
+
+    both = main.unionByName(halo)
+    out = both.select(*[F.col(c) for c in df.columns], "_halo", *columns(frame))
+    return out.filter(~F.col("_halo")).drop("_halo")
+
+
+def forward_fill_global(df: DataFrame, order: str, cols: Sequence[str], bucket: Column | None = None) -> DataFrame:
+    """Carry the last non-NULL value forward along one global order.
+
+    Filled inside coarse buckets (default: the year of ``order``); each
+    bucket's last non-NULL value is carried into later buckets through a
+    small per-bucket table, so no step sees the whole series in one task.
+    """
+    bucket = bucket if bucket is not None else F.year(F.col(order))
+    b = df.withColumn("_bkt", bucket)
+    run = Window.partitionBy("_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = b.select(*[F.col(c) for c in df.columns], "_bkt",
+                     *[F.last(F.col(c), ignorenulls=True).over(run).alias(f"_in_{c}") for c in cols])
+    tails = b.groupBy("_bkt").agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_tail_{c}") for c in cols])
+    before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tails.select("_bkt", *[F.last(F.col(f"_tail_{c}"), ignorenulls=True).over(before).alias(f"_carry_{c}")
+                                   for c in cols])
+    out = inner.join(carry, "_bkt", "left")
+    return out.select(*[F.coalesce(F.col(f"_in_{c}"), F.col(f"_carry_{c}")).alias(c) if c in cols else F.col(c)
+                        for c in df.columns])
+
+
+def zscore(df: DataFrame, value: str, by, out: str = "zscore") -> DataFrame:
+    """``(x - mean) / sample sd`` within each group (aggregate + join back)."""
+    by = _cols(by)
+    stats = df.groupBy(*by).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"))
+    return df.join(stats, by, "left").withColumn(
+        out, safe_divide(F.col(value) - F.col("_mean"), F.col("_sd"))).drop("_mean", "_sd")
+
+
+def top_k_per_group(df: DataFrame, by, order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
+    """First ``k`` rows per group under ``order`` (partial WindowGroupLimit first)."""
+    w = Window.partitionBy(*_cols(by)).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)

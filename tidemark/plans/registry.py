@@ -34,7 +34,7 @@ class Query:
     doc: str = ""
 
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return normalise(self.build(spark, sf_dir), self.coarse, self.cents)
+        return normalise(self.build(spark, sf_dir), self.coarse, self.cents, self.ints)
 
     def oracle(self) -> str | None:
         if self.sql is None:
@@ -46,16 +46,18 @@ def _dp(name, coarse, cents) -> int:
     return 2 if name in cents else 4 if name in coarse else 6
 
 
-def normalise(df: DataFrame, coarse=(), cents=()) -> DataFrame:
+def normalise(df: DataFrame, coarse=(), cents=(), ints=()) -> DataFrame:
     cols = []
     for name, dtype in df.dtypes:
-        if dtype.startswith("decimal(") and dtype.endswith(",0)"):
+        if name in ints or (dtype.startswith("decimal(") and dtype.endswith(",0)")):
             cols.append(F.col(name).cast("double").alias(name))
         elif dtype.startswith("decimal") or dtype in ("double", "float"):
             scale = F.lit(10.0 ** _dp(name, coarse, cents))
             y = F.col(name).cast("double") * scale
             half_away = F.signum(y) * F.floor(F.abs(y) + F.lit(0.5))
-            cols.append((half_away / scale + F.lit(0.0)).alias(name))
+            # |y| >= 2^52 is already integral (and would overflow floor's long)
+            rounded = F.when(F.abs(y) >= F.lit(4.5e15), y).otherwise(half_away)
+            cols.append((rounded / scale + F.lit(0.0)).alias(name))
         else:
             cols.append(F.col(name))
     return df.select(*cols)
@@ -899,3 +901,103 @@ def q_stream_daily_bars(spark, d):
      .option("path", out).option("checkpointLocation", ck).outputMode("append")
      .trigger(availableNow=True).start().awaitTermination())
     return spark.read.parquet(out)
+
+
+@register("merge_upsert", O.cte("snapshot") + "SELECT * FROM snapshot", dbl=SNAP_DBL, coarse=SNAP_COARSE,
+          ints=("fng_value",))
+def q_merge_upsert(spark, d):
+    """The snapshot materialised incrementally. A first run builds the
+    table as of 1998-12-31; the next run builds only days after the table's
+    high-water mark and merges them by snapshot_date into a new version.
+    Without late data this equals a full rebuild."""
+    m = _m(spark, d)
+    root = scratch_path(spark, "snapshot-incremental")
+
+    def build(after):
+        return M.daily_market_snapshot(
+            m.ref("prices_with_technicals"), m.seeds["tickers"], m.ref("crypto_with_dominance"),
+            m.ref("stg_fear_greed"), m.ref("macro_pivot"), m.ref("yield_curve"), m.index_tickers,
+            m.btc_id, after=after)
+
+    cut = F.to_date(F.lit("1998-12-31"))
+    INC.merge_into(spark, root, lambda hwm: build(None).filter(F.col("snapshot_date") <= cut), "snapshot_date")
+    return INC.merge_into(spark, root, build, "snapshot_date")
+
+
+# ------------------------------------------------------------- optional
+
+from tidemark.plans import extras as X  # noqa: E402
+
+
+def _roll_sql(n: int) -> str:
+    w = f"OVER (ORDER BY snapshot_date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    a, b = "sp500_return", "vix"
+    a2, b2 = f"CASE WHEN {b} IS NOT NULL THEN {a} END", f"CASE WHEN {a} IS NOT NULL THEN {b} END"
+    cnt = f"count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) {w}"
+    return (f"CASE WHEN {cnt} >= 3 THEN covar_pop({a2}, {b2}) {w} / NULLIF(stddev_pop({a2}) {w} * "
+            f"stddev_pop({b2}) {w}, 0) END AS corr_{n}, {cnt} AS n_obs_{n}")
+
+
+@register("rolling_correlation", O.cte("snapshot") + "SELECT snapshot_date, sp500_return, vix, "
+          + ", ".join(_roll_sql(n) for n in (30, 60, 90)) + " FROM snapshot",
+          dbl=("sp500_return", "vix", "corr_30", "corr_60", "corr_90"))
+def q_rolling_correlation(spark, d):
+    """Trailing 30/60/90-day S&P return vs VIX correlation (bucketed frames with halo)."""
+    return X.rolling_correlation(_m(spark, d).ref("daily_market_snapshot"))
+
+
+@register("zscore_outliers", O.cte("dim_tickers") + """
+SELECT ticker, gics_sector, CAST(market_cap AS DOUBLE) AS market_cap,
+       (CAST(market_cap AS DOUBLE) - avg(CAST(market_cap AS DOUBLE)) OVER (PARTITION BY gics_sector))
+         / NULLIF(stddev_samp(CAST(market_cap AS DOUBLE)) OVER (PARTITION BY gics_sector), 0) AS zscore,
+       abs((CAST(market_cap AS DOUBLE) - avg(CAST(market_cap AS DOUBLE)) OVER (PARTITION BY gics_sector))
+         / NULLIF(stddev_samp(CAST(market_cap AS DOUBLE)) OVER (PARTITION BY gics_sector), 0)) > 3 AS is_outlier
+FROM dim_tickers""", dbl=("zscore",), ints=("market_cap",))
+def q_zscore_outliers(spark, d):
+    """Per-sector market-cap z-score with a 3-sigma flag."""
+    return X.market_cap_outliers(_m(spark, d).ref("dim_tickers"))
+
+
+@register("top_movers", O.cte("technicals", "tickers") + """
+SELECT price_date, ticker, daily_return, rn AS rank FROM (
+  SELECT t.price_date, t.ticker, t.daily_return,
+         row_number() OVER (PARTITION BY t.price_date ORDER BY abs(t.daily_return) DESC, t.ticker ASC) AS rn
+  FROM technicals t WHERE t.daily_return IS NOT NULL AND t.ticker IN (SELECT ticker FROM tickers)) WHERE rn <= 3""",
+          dbl=("daily_return",))
+def q_top_movers(spark, d):
+    """Three largest absolute constituent moves per day."""
+    m = _m(spark, d)
+    out = X.top_movers(m.ref("prices_with_technicals"), m.seeds["tickers"])
+    return out.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@register("sector_vs_index", O.cte("sector_perf", "snapshot") + """
+SELECT s.gics_sector, s.price_date, s.avg_daily_return, n.sp500_return,
+       s.avg_daily_return - n.sp500_return AS relative_return
+FROM sector_perf s LEFT JOIN snapshot n ON s.price_date = n.snapshot_date""",
+          dbl=("avg_daily_return", "sp500_return", "relative_return"))
+def q_sector_vs_index(spark, d):
+    """Sector return relative to the index on the same day."""
+    m = _m(spark, d)
+    return X.sector_vs_index(m.ref("sector_performance"), m.ref("daily_market_snapshot"))
+
+
+_FF = ("fed_funds_rate", "treasury_10y", "treasury_2y", "vix", "wti_crude_oil")
+
+
+@register("forward_fill", O.cte("macro_wide") + "SELECT observation_date, " + ", ".join(
+    f"last_value({c} IGNORE NULLS) OVER (ORDER BY observation_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}"
+    for c in _FF) + " FROM macro_wide", dbl=_FF)
+def q_forward_fill(spark, d):
+    """Sparse macro series carried forward over the whole history (bucketed)."""
+    return X.macro_ffill(_m(spark, d).ref("macro_pivot"))
+
+
+@register("macro_overlay", O.cte("sector_perf", "macro_wide") + """
+SELECT s.*, m.fed_funds_rate, m.vix, m.treasury_10y
+FROM sector_perf s LEFT JOIN macro_wide m ON s.price_date = m.observation_date""",
+          dbl=("avg_daily_return", "fed_funds_rate", "vix", "treasury_10y"), cents=("total_close_price",))
+def q_macro_overlay(spark, d):
+    """Sector rows with the same day's macro context."""
+    m = _m(spark, d)
+    return X.macro_overlay(m.ref("sector_performance"), m.ref("macro_pivot"))
