@@ -77,8 +77,13 @@ def global_row_index(df: DataFrame, order: str, bucket: Column | None = None,
     buckets of the order key (default: its year), bucket sizes are counted,
     and a prefix sum over the (small) bucket table gives each bucket's offset.
     Deterministic, so a recomputed partition gets the same numbers.
-    ``order`` must be unique, as on a day grain.
+    ``order`` must be unique, as on a day grain. The input is read twice
+    (numbering and bucket sizes), so it is checkpointed first to the shared
+    checkpoint folder: its lineage runs once and is cut.
     """
+    from tidemark.session import shared_dir
+    shared_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
     bucket = bucket if bucket is not None else F.year(F.col(order))
     b = df.withColumn("_bucket", bucket)
     local = b.withColumn("_local", F.row_number().over(
@@ -142,7 +147,7 @@ def global_frames(df: DataFrame, order: str, width: int, columns, bucket_rows: i
     """
     if width - 1 > bucket_rows:
         raise ValueError("bucket_rows must be at least width - 1")
-    idx = global_row_index(df, order)
+    idx = global_row_index(df, order).checkpoint(eager=True)
     b = F.floor(F.col("_row_idx") / F.lit(bucket_rows))
     main = idx.withColumn("_bkt", b).withColumn("_halo", F.lit(False))
     halo = (idx.filter(F.col("_row_idx") % F.lit(bucket_rows) >= F.lit(bucket_rows - (width - 1)))
@@ -163,7 +168,11 @@ def forward_fill_global(df: DataFrame, order: str, cols: Sequence[str], bucket:
     Filled inside coarse buckets (default: the year of ``order``); each
     bucket's last non-NULL value is carried into later buckets through a
     small per-bucket table, so no step sees the whole series in one task.
+    The input is checkpointed first (it is read twice).
     """
+    from tidemark.session import shared_dir
+    shared_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
     bucket = bucket if bucket is not None else F.year(F.col(order))
     b = df.withColumn("_bkt", bucket)
     run = Window.partitionBy("_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
