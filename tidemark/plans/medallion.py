@@ -260,7 +260,11 @@ def regime_analysis(snapshot: DataFrame, lag_days: int = 5, vix_threshold: float
 
 def sector_performance(technicals: DataFrame, tickers_seed: DataFrame,
                        dim_tickers_df: DataFrame) -> DataFrame:
-    """Per (GICS sector, day): constituents, mean daily return, summed close."""
+    """Per (GICS sector, day): constituents, mean daily return, summed close.
+
+    The close total is summed in exact decimal and returned as double, so it
+    does not depend on how rows are split over tasks.
+    """
     prices = technicals.select("ticker", "price_date", "daily_return", "close_price") \
         .join(tickers_seed.select("ticker"), "ticker", "inner")
     dim = dim_tickers_df.select("ticker", "gics_sector")
@@ -268,7 +272,8 @@ def sector_performance(technicals: DataFrame, tickers_seed: DataFrame,
             .groupBy("gics_sector", "price_date")
             .agg(F.count_distinct("ticker").alias("num_constituents"),
                  F.avg("daily_return").alias("avg_daily_return"),
-                 F.sum("close_price").alias("total_close_price")))
+                 F.sum(F.col("close_price").cast("decimal(38,10)")).cast("double")
+                  .alias("total_close_price")))
 
 
 ASSET_PRICE_COLUMNS = ["asset_type", "asset_id", "asset_name", "price_date", "close",

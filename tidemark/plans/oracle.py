@@ -210,7 +210,8 @@ for _an, _ac in (("SP500", "sp500_return"), ("BTC", "btc_return")):
 _def("correlation", ("snapshot",), "\nUNION ALL\n".join(_CORR_ROWS))
 _def("sector_perf", ("technicals", "tickers", "dim_tickers"), """
 SELECT d.gics_sector, p.price_date, count(DISTINCT p.ticker) AS num_constituents,
-       avg(p.daily_return) AS avg_daily_return, sum(p.close_price) AS total_close_price
+       avg(p.daily_return) AS avg_daily_return,
+       CAST(sum(CAST(p.close_price AS DECIMAL(38,10))) AS DOUBLE) AS total_close_price
 FROM (SELECT t.ticker, t.price_date, t.daily_return, t.close_price FROM technicals t
       JOIN tickers s ON t.ticker = s.ticker) p
 JOIN (SELECT ticker, gics_sector FROM dim_tickers) d ON p.ticker = d.ticker

@@ -1001,3 +1001,24 @@ def q_macro_overlay(spark, d):
     """Sector rows with the same day's macro context."""
     m = _m(spark, d)
     return X.macro_overlay(m.ref("sector_performance"), m.ref("macro_pivot"))
+
+
+@register("dq_freshness", """
+WITH t AS (
+  SELECT 'yahoo_finance' AS source, max(l_orderkey) AS seq FROM lineitem
+  UNION ALL SELECT 'fred', max(o_orderkey) FROM orders
+  UNION ALL SELECT 'alternative_me', max(o_orderkey) FROM orders)
+SELECT source, CAST(floor((epoch_us(TIMESTAMP '2001-12-31 00:00:00') - seq * 1000000) / 3600000000) AS BIGINT) AS age_hours,
+       CASE WHEN floor((epoch_us(TIMESTAMP '2001-12-31 00:00:00') - seq * 1000000) / 3600000000) > 48 THEN 'error'
+            WHEN floor((epoch_us(TIMESTAMP '2001-12-31 00:00:00') - seq * 1000000) / 3600000000) > 24 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM t""")
+def q_dq_freshness(spark, d):
+    """K7: age in hours of each Bronze source's newest load at 2001-12-31 00:00
+    (warn > 24 h, error > 48 h)."""
+    m = _m(spark, d)
+    as_of = F.lit("2001-12-31 00:00:00").cast("timestamp_ntz")
+    parts = [DQ.dq_freshness(m.bronze[t], as_of=as_of, source=src)
+             for t, src in (("raw_stock_prices", "yahoo_finance"), ("raw_fred_series", "fred"),
+                            ("raw_fear_greed", "alternative_me"))]
+    return R.union_all(*parts).select("source", "age_hours", "status")
