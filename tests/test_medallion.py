@@ -96,3 +96,25 @@ def test_dims_and_sector(medallion):
     coin = ap.filter("asset_type = 'crypto'").collect()
     assert len(coin) == 4 and all(r.ma_20 is None for r in coin)
     assert ap.filter("asset_id = 'AAPL' and ma_20 is not null").count() == 4
+
+
+def test_full_build_job(spark, tmpdir_path):
+    from tidemark.plans import jobs
+    land = os.path.join(tmpdir_path, "landing")
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    prices = [{"ticker": t, "date": d, "close": float(10 + i + (t == "AAPL"))} for t in ("^GSPC", "AAPL", "MSFT")
+              for i, d in enumerate(days)]
+    _land(land, "stock-prices", "2024-01-03", prices)
+    _land(land, "fred-series", "2024-01-03", [{"series_id": "VIXCLS", "date": d, "value": 18.0} for d in days])
+    _land(land, "fear-greed", "2024-01-03", [{"date": d, "value": 50, "classification": "Neutral"} for d in days])
+    wh = os.path.join(tmpdir_path, "wh")
+    rep = jobs.run(spark, land, wh, gate=True, export_csv=os.path.join(tmpdir_path, "csv"))
+    assert all(r.failures == 0 for r in rep.collect())
+    snap = spark.read.parquet(jobs.layer_path(wh, "gold", "daily_market_snapshot"))
+    assert snap.select("snapshot_date").distinct().count() == 3
+    # a second run with nothing new keeps the table and ingests no file twice
+    jobs.run(spark, land, wh)
+    assert spark.read.parquet(jobs.layer_path(wh, "bronze", "raw_stock_prices")).count() == 9
+    assert jobs.layer_path(wh, None, "x").endswith("/PUBLIC/x")
+    csv_rows = spark.read.option("header", True).csv(os.path.join(tmpdir_path, "csv", "regime_analysis"))
+    assert csv_rows.count() >= 1

@@ -127,3 +127,18 @@ def regime_bars(regime: DataFrame) -> DataFrame:
     return regime.select(F.concat(F.col("rate_regime"), F.lit(" / "), F.col("vol_regime")).alias("regime"),
                          (F.col("avg_sp500_return") * 100).alias("avg_sp500_return_pct"),
                          "num_days").orderBy("avg_sp500_return_pct")
+
+
+def json_rows(df: DataFrame) -> DataFrame:
+    """Report rows as JSON text: decimals become doubles, dates ISO text."""
+    cols = []
+    for name, dtype in df.dtypes:
+        c = F.col(name)
+        if dtype.startswith("decimal"):
+            c = c.cast("double")
+        elif dtype == "date":
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif dtype.startswith("timestamp"):
+            c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+        cols.append(c.alias(name))
+    return df.select(F.to_json(F.struct(*cols)).alias("json"))
