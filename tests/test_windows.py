@@ -114,3 +114,15 @@ def test_technicals_single_exchange_for_all_indicators(spark):
     with contextlib.redirect_stdout(buf):
         W.with_technicals(df, "close", "ticker", "t").explain()
     assert buf.getvalue().count("Exchange hashpartitioning") <= 1
+
+
+def test_prefix_moving_averages_match_frames(spark):
+    random.seed(4)
+    data = [("A" if i % 3 else "B", i, None if i % 11 == 0 else random.random() * 100) for i in range(400)]
+    df = spark.createDataFrame(data, "k string, t int, v double")
+    ours = W.prefix_moving_averages(df, "v", "k", "t", [5, 50])
+    ref = df.select("k", "t", moving_average("v", "k", "t", 5).alias("r5"),
+                    moving_average("v", "k", "t", 50).alias("r50"))
+    for r in ours.join(ref, ["k", "t"]).collect():
+        for a, b in ((r.ma_5, r.r5), (r.ma_50, r.r50)):
+            assert (a is None and b is None) or math.isclose(a, b, rel_tol=1e-12)

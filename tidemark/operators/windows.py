@@ -52,20 +52,51 @@ def with_returns(df: DataFrame, value: str, by, order, prev: str = "prev_value",
     return out.withColumn(ret, safe_divide(F.col(change), F.col(prev)))
 
 
+def prefix_moving_averages(df: DataFrame, value: str, by, order, windows: Sequence[int],
+                           names: Sequence[str] | None = None) -> DataFrame:
+    """Trailing n-row means from running sums: O(1) per row for any n.
+
+    ``mean_n = (S_i - S_{i-n}) / (C_i - C_{i-n})`` with ``S`` the running sum
+    and ``C`` the running count of non-NULL values, so NULLs are skipped but
+    occupy their row of the frame, exactly like ``avg`` over
+    ``rowsBetween(-(n-1), 0)``. Sums are exact decimals (no cancellation on
+    long series); the mean is returned as double. A sliding frame recomputes
+    all n rows per output row instead.
+    """
+    names = list(names or [f"ma_{n}" for n in windows])
+    w = series_window(by, order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    exact = F.col(value).cast("decimal(38,12)")
+    base = df.select("*", F.sum(exact).over(run).alias("_cs"), F.count(F.col(value)).over(run).alias("_cn"))
+    cols = []
+    for n, name in zip(windows, names):
+        s = F.col("_cs") - F.coalesce(F.lag("_cs", n).over(w), F.lit(0))
+        c = F.col("_cn") - F.coalesce(F.lag("_cn", n).over(w), F.lit(0))
+        cols.append((s / F.nullif(c, F.lit(0))).cast("double").alias(name))
+    return base.select("*", *cols).drop("_cs", "_cn")
+
+
 def with_technicals(df: DataFrame, value: str = "close_price", by="ticker",
                     order="price_date", ma_windows: Sequence[int] = (20, 50, 200),
-                    rsi_periods: int = 14, bb_window: int = 20, bb_std: float = 2) -> DataFrame:
+                    rsi_periods: int = 14, bb_window: int = 20, bb_std: float = 2,
+                    ma_method: str = "frame") -> DataFrame:
     """Daily change/return, moving averages, RSI and Bollinger bands per series.
 
-    Adds ``prev_close``-style columns via ``with_returns`` then all framed
-    indicators over the same (by, order) spec: one shuffle, one sort.
+    All columns use the same (by, order) spec: one shuffle, one sort.
+    ``ma_method="frame"`` computes each moving average as ``avg`` over its
+    row frame (bit-identical to a SQL engine's frame average);
+    ``"prefix"`` uses exact running sums, O(1) per row, for very long windows.
     """
     out = with_returns(df, value, by, order, prev="_prev", change="daily_change",
                        ret="daily_return").drop("_prev")
+    if ma_method == "prefix":
+        out = prefix_moving_averages(out, value, by, order, ma_windows)
+        cols = []
+    else:
+        cols = [moving_average(value, by, order, n).alias(f"ma_{n}") for n in ma_windows]
     middle, upper, lower = bollinger(value, by, order, bb_window, bb_std)
-    cols = [moving_average(value, by, order, n).alias(f"ma_{n}") for n in ma_windows]
-    cols.append(rsi("daily_change", by, order, rsi_periods).alias(f"rsi_{rsi_periods}"))
-    cols += [middle.alias("bb_middle"), upper.alias("bb_upper"), lower.alias("bb_lower")]
+    cols += [rsi("daily_change", by, order, rsi_periods).alias(f"rsi_{rsi_periods}"),
+             middle.alias("bb_middle"), upper.alias("bb_upper"), lower.alias("bb_lower")]
     return out.select("*", *cols)
 
 
