@@ -25,7 +25,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     from tidemark.session import local_session
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")))
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", cpus)))
     spark.sparkContext.setLogLevel("ERROR")
     from tidemark.plans.registry import REGISTRY
     # The library plans themselves; queries() adds only the oracle-side rounding.

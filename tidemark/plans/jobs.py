@@ -99,7 +99,7 @@ def run(spark: SparkSession, landing: str, warehouse: str, start: str | None = N
     def build(after):
         return M.daily_market_snapshot(m.ref("prices_with_technicals"), m.seeds["tickers"],
                                        m.ref("crypto_with_dominance"), m.ref("stg_fear_greed"),
-                                       m.ref("macro_pivot"), m.ref("yield_curve"), m.index_tickers,
+                                       m.ref("macro_pivot"), None, m.index_tickers,
                                        m.btc_id, after=after)
 
     m._memo["daily_market_snapshot"] = merge_into(spark, snap_root, build, "snapshot_date")

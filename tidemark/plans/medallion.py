@@ -184,7 +184,7 @@ SNAPSHOT_COLUMNS = ["snapshot_date", "sp500_close", "sp500_return", "nasdaq_clos
 
 
 def daily_market_snapshot(technicals: DataFrame, tickers_seed: DataFrame, crypto_dom: DataFrame,
-                          fear_greed: DataFrame, macro_wide: DataFrame, curve: DataFrame,
+                          fear_greed: DataFrame, macro_wide: DataFrame, curve: DataFrame | None = None,
                           index_tickers: Mapping[str, str] = INDEX_TICKERS, btc_id: str = BTC_ID,
                           after: Column | None = None) -> DataFrame:
     """One row per trading day stitching every source onto the date grain.
@@ -198,6 +198,9 @@ def daily_market_snapshot(technicals: DataFrame, tickers_seed: DataFrame, crypto
     The BTC return is the coin's own day-over-day return, cut to trading days.
     ``after`` restricts the output to later dates (incremental build); the
     filter stops above the windows, which still see the whole history.
+    Without ``curve`` the spread and inversion flag are derived from the same
+    macro row (identical to joining ``yield_curve``, whose rows are exactly
+    the dates with both yields), saving a second pass over the macro data.
     """
     sp, nq, dj = index_tickers["sp500"], index_tickers["nasdaq"], index_tickers["dow"]
     members = tickers_seed.groupBy("ticker").agg(F.count(F.lit(1)).alias("_mult"))
@@ -226,10 +229,15 @@ def daily_market_snapshot(technicals: DataFrame, tickers_seed: DataFrame, crypto
                             F.col("classification").alias("fng_classification"))
     macro = macro_wide.select(F.col("observation_date").alias("snapshot_date"), "fed_funds_rate",
                               "treasury_10y", "treasury_2y", "vix", "wti_crude_oil")
-    yc = curve.select(F.col("observation_date").alias("snapshot_date"), "spread_10y_2y",
-                      "is_inverted")
+    sides = [btc, fng]
+    if curve is None:
+        spread = F.col("treasury_10y") - F.col("treasury_2y")
+        sides.append(macro.select("*", spread.alias("spread_10y_2y"), (spread < 0).alias("is_inverted")))
+    else:
+        sides += [macro, curve.select(F.col("observation_date").alias("snapshot_date"), "spread_10y_2y",
+                                      "is_inverted")]
     out = grain
-    for side in (btc, fng, macro, yc):
+    for side in sides:
         out = out.join(side, "snapshot_date", "left")
     return out.select(*SNAPSHOT_COLUMNS)
 

@@ -67,7 +67,7 @@ class Medallion:
             "daily_market_snapshot": lambda: M.daily_market_snapshot(
                 self.ref("prices_with_technicals"), self.seeds["tickers"],
                 self.ref("crypto_with_dominance"), self.ref("stg_fear_greed"),
-                self.ref("macro_pivot"), self.ref("yield_curve"), self.index_tickers, self.btc_id),
+                self.ref("macro_pivot"), None, self.index_tickers, self.btc_id),
             "regime_analysis": lambda: M.regime_analysis(self.ref("daily_market_snapshot")),
             "sector_performance": lambda: M.sector_performance(
                 self.ref("prices_with_technicals"), self.seeds["tickers"], self.ref("dim_tickers")),

@@ -916,7 +916,7 @@ def q_merge_upsert(spark, d):
     def build(after):
         return M.daily_market_snapshot(
             m.ref("prices_with_technicals"), m.seeds["tickers"], m.ref("crypto_with_dominance"),
-            m.ref("stg_fear_greed"), m.ref("macro_pivot"), m.ref("yield_curve"), m.index_tickers,
+            m.ref("stg_fear_greed"), m.ref("macro_pivot"), None, m.index_tickers,
             m.btc_id, after=after)
 
     cut = F.to_date(F.lit("1998-12-31"))
