@@ -1022,3 +1022,25 @@ def q_dq_freshness(spark, d):
              for t, src in (("raw_stock_prices", "yahoo_finance"), ("raw_fred_series", "fred"),
                             ("raw_fear_greed", "alternative_me"))]
     return R.union_all(*parts).select("source", "age_hours", "status")
+
+
+# ------------------------------------------- rows-only (no stable SQL equivalent)
+
+@register("json_rows", None)
+def q_json_rows(spark, d):
+    """Regime report rows serialised as JSON text (decimals -> double,
+    dates -> ISO). No oracle: engines format numbers differently in JSON."""
+    return RP.json_rows(RP.regime_report(_m(spark, d).ref("regime_analysis")))
+
+
+@register("sector_matrix", None)
+def q_sector_matrix(spark, d):
+    """Sector x date matrix (percent) over the five newest trading days.
+
+    The pivot list is taken from the data (a bounded list of five dates), so
+    the column names are data-dependent and there is no static SQL oracle.
+    """
+    sp = _m(spark, d).ref("sector_performance")
+    days = [r[0].isoformat() for r in
+            sp.select("price_date").distinct().orderBy(F.col("price_date").desc()).limit(5).collect()]
+    return RP.sector_matrix(sp, sorted(days))
