@@ -30,6 +30,8 @@ def main() -> None:
     from tidemark.plans.registry import REGISTRY
     # The library plans themselves; queries() adds only the oracle-side rounding.
     qs = {name: q.build for name, q in REGISTRY.items()}
+    from tidemark.session import apply_core_conf
+    apply_core_conf(spark)
     names = [n for n in HEADLINE if n in qs]
     if len(sys.argv) > 1:
         names = sys.argv[1:]

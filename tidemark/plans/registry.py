@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import oracle as O
 from tidemark.plans.pipeline import standin_medallion
+from tidemark.session import apply_core_conf
 
 
 @dataclass
@@ -34,6 +35,7 @@ class Query:
     doc: str = ""
 
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_core_conf(spark)
         return normalise(self.build(spark, sf_dir), self.coarse, self.cents, self.ints)
 
     def oracle(self) -> str | None:

@@ -48,6 +48,15 @@ def build_session(app: str = "tidemark", master: str | None = None,
     return spark
 
 
+def apply_core_conf(spark: SparkSession) -> SparkSession:
+    """Apply the SQL settings the jobs rely on (UTC, ANSI, AQE) to a session
+    created elsewhere. Runtime SQL settings only; nothing cluster-level."""
+    for key, value in CORE_CONF.items():
+        if not key.startswith("spark.ui."):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
