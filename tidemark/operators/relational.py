@@ -152,6 +152,22 @@ def spine_between(bounds: DataFrame, start_col: str, end_col: str, inclusive: bo
         F.explode(F.sequence(F.col(start_col), end)).alias(name))
 
 
+def between_dates(df: DataFrame, col: str, start: str, end: str) -> DataFrame:
+    """Rows whose day lies in [start, end], both inclusive.
+
+    On a timestamp column the bounds are written as ``start <= ts <
+    end + 1 day`` on the raw column, so the predicate reaches the parquet scan
+    (row-group skipping) instead of wrapping the column in ``to_date``.
+    """
+    dtype = dict(df.dtypes)[col]
+    if dtype == "date":
+        return df.filter(F.col(col).between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    ts_type = "timestamp_ntz" if dtype == "timestamp_ntz" else "timestamp"
+    lo = F.lit(start).cast(ts_type)
+    hi = F.date_add(F.to_date(F.lit(end)), 1).cast(ts_type)
+    return df.filter((F.col(col) >= lo) & (F.col(col) < hi))
+
+
 def spine_join(spine: DataFrame, df: DataFrame, spine_col: str, df_col: str) -> DataFrame:
     """Left join a source onto a day spine so no day is dropped."""
     return spine.join(df.withColumnRenamed(df_col, spine_col), spine_col, "left")

@@ -309,10 +309,9 @@ def q_epoch_to_date(spark, d):
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders
 WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'""")
 def q_date_range_filter(spark, d):
-    """Inclusive start <= date <= end."""
-    o = _t(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("order_date"))
-    return o.filter(F.col("order_date").between(F.to_date(F.lit("1996-01-01")),
-                                                F.to_date(F.lit("1996-12-31"))))
+    """Inclusive start <= date <= end (bounds pushed to the scan)."""
+    o = R.between_dates(_t(spark, d, "orders"), "o_orderdate", "1996-01-01", "1996-12-31")
+    return o.select("o_orderkey", F.to_date("o_orderdate").alias("order_date"))
 
 
 _RAW_TEXT_SQL = """(SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN '.' WHEN 'O' THEN ''
