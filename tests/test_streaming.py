@@ -5,7 +5,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.incremental import read_current
 from tidemark.operators.windows import dedup_latest
 from tidemark.sources import vendor as V
 from tidemark.streaming import jobs as ST
@@ -39,7 +38,9 @@ def test_stream_dedup_equals_batch(spark, tmpdir_path):
     target = os.path.join(tmpdir_path, "t")
     ST.upsert_latest_stream(stream, ["user_id", "d"], order, target,
                             os.path.join(tmpdir_path, "ck")).awaitTermination()
-    got = read_current(spark, target).select("event_id")
+    got = ST.read_latest(spark, target, ["user_id", "d"], order).select("event_id")
+    compacted = ST.compact_latest(spark, target, os.path.join(tmpdir_path, "c"), ["user_id", "d"], order)
+    assert compacted.select("event_id").exceptAll(got).count() == 0
     want = dedup_latest(ev.withColumn("d", F.to_date("ts")), ["user_id", "d"], order).select("event_id")
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 

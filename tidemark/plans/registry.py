@@ -869,8 +869,8 @@ SELECT event_id, user_id, event_date, event_type, value FROM (
          row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn
   FROM events) WHERE rn = 1""", dbl=("value",))
 def q_stream_dedup_latest(spark, d):
-    """Latest event per (user, day) kept across micro-batches by a
-    foreachBatch upsert into a versioned table."""
+    """Latest event per (user, day) kept across micro-batches: each batch
+    is deduplicated and appended (foreachBatch), readers resolve the newest row."""
     src = scratch_path(spark, "events-src")
     ev = _t(spark, d, "events")
     ev.write.parquet(src)
@@ -878,10 +878,10 @@ def q_stream_dedup_latest(spark, d):
         .withColumn("event_date", F.to_date("ts")) \
         .select("event_id", "user_id", "event_date", "event_type", "value", "ts")
     target, ck = src + "-latest", src + "-ckpt"
-    ST.upsert_latest_stream(stream, ["user_id", "event_date"],
-                            [F.col("ts").desc_nulls_first(), F.col("event_id").desc_nulls_first()],
-                            target, ck).awaitTermination()
-    return INC.read_current(spark, target).select("event_id", "user_id", "event_date", "event_type", "value")
+    order = [F.col("ts").desc_nulls_first(), F.col("event_id").desc_nulls_first()]
+    ST.upsert_latest_stream(stream, ["user_id", "event_date"], order, target, ck).awaitTermination()
+    return ST.read_latest(spark, target, ["user_id", "event_date"], order).select(
+        "event_id", "user_id", "event_date", "event_type", "value")
 
 
 @register("stream_daily_bars", """

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.incremental import read_current
 from tidemark.operators.windows import dedup_latest
 from tidemark.sources.landing import BRONZE_COLUMNS, load_time
 
@@ -48,27 +47,40 @@ def ingest_stream(spark: SparkSession, landing_path: str, source: str, bronze_pa
 
 def upsert_latest_stream(stream: DataFrame, keys: Sequence[str], order: Sequence[Column],
                          target_root: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest row per key across micro-batches.
+    """Keep the latest row per key across micro-batches (append-only target).
 
-    Each micro-batch is deduplicated, unioned with the current version of the
-    target and deduplicated again under the same order (so an older late row
-    never replaces a newer one); the result is written as the next version.
+    Each micro-batch is deduplicated and written as its own ``_batch=<epoch>``
+    partition (dynamic overwrite, so a replayed epoch replaces only itself:
+    exactly once). Writes cost O(batch), never O(table). ``read_latest``
+    resolves the newest row per key across batches under the same order, so
+    an older late row never wins; ``compact_latest`` folds the batches.
     """
     keys = list(keys)
 
-    def merge(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        current = read_current(spark, target_root)
-        latest = dedup_latest(batch, keys, order)
-        merged = latest if current is None else dedup_latest(
-            current.unionByName(latest), keys, order)
-        (merged.withColumn("_version", F.lit(int(epoch_id) + 1)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("_version").parquet(target_root))
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        (dedup_latest(batch, keys, order).withColumn("_batch", F.lit(int(epoch_id)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_batch").parquet(target_root))
 
-    return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def read_latest(spark: SparkSession, target_root: str, keys: Sequence[str],
+                order: Sequence[Column]) -> DataFrame:
+    """Newest row per key over all batch partitions of an upsert target."""
+    rows = spark.read.parquet(target_root)
+    return dedup_latest(rows, list(keys), order).drop("_batch")
+
+
+def compact_latest(spark: SparkSession, target_root: str, compacted_root: str, keys: Sequence[str],
+                   order: Sequence[Column]) -> DataFrame:
+    """Write the resolved latest rows to a new table (readers switch to it)."""
+    read_latest(spark, target_root, keys, order).withColumn("_batch", F.lit(0)) \
+        .write.mode("overwrite").partitionBy("_batch").parquet(compacted_root)
+    return spark.read.parquet(compacted_root).drop("_batch")
+
+
 def daily_bars_stream(ticks: DataFrame, key: str, ts: str, price: str,
                       delay: str = "1 hour", size: str | None = None) -> DataFrame:
     """Streaming daily OHLCV bars per key (append mode).
