@@ -234,6 +234,7 @@ from tidemark.functions import scalar as SC  # noqa: E402
 from tidemark.operators import relational as R  # noqa: E402
 from tidemark.operators import windows as W  # noqa: E402
 from tidemark.plans import reports as RP  # noqa: E402
+from tidemark.plans import standins as S  # noqa: E402
 from tidemark.plans.standins import table as _t  # noqa: E402
 from tidemark.sources import vendor as V  # noqa: E402
 
@@ -1045,3 +1046,24 @@ def q_sector_matrix(spark, d):
     days = [r[0].isoformat() for r in
             sp.select("price_date").distinct().orderBy(F.col("price_date").desc()).limit(5).collect()]
     return RP.sector_matrix(sp, sorted(days))
+
+
+@register("align_series", O.cte("crypto_ticks") + """
+, lk AS (SELECT coin_id, ts_ms, arg_max(mcap, seq) AS market_cap, arg_max(tvol, seq) AS total_volume
+         FROM crypto_ticks GROUP BY coin_id, ts_ms)
+SELECT p.coin_id, p.date, p.ts_ms, p.price_usd, lk.market_cap, lk.total_volume
+FROM (SELECT coin_id, DATE '1970-01-01' + CAST(floor(ts_ms / 86400000) AS INTEGER) AS date, ts_ms, price_usd,
+             row_number() OVER (PARTITION BY coin_id, floor(ts_ms / 86400000) ORDER BY ts_ms DESC, seq ASC) AS rn
+      FROM crypto_ticks) p
+LEFT JOIN lk ON p.coin_id = lk.coin_id AND p.ts_ms = lk.ts_ms
+WHERE p.rn = 1""", dbl=("price_usd", "market_cap", "total_volume"))
+def q_align_series(spark, d):
+    """Daily price points with market cap and volume looked up at the
+    chosen timestamp from their own series (last entry wins on a duplicated
+    timestamp; a missing timestamp gives NULL)."""
+    ticks = S.crypto_ticks(spark, d)
+    prices = ticks.select("coin_id", "ts_ms", F.col("price").alias("price_usd"), F.col("seq").alias("pos"))
+    caps = ticks.select("coin_id", "ts_ms", "market_cap", F.col("seq").alias("pos"))
+    vols = ticks.select("coin_id", "ts_ms", "total_volume", F.col("seq").alias("pos"))
+    out = V.align_series(prices, "coin_id", "ts_ms", "price_usd", [caps, vols], ["market_cap", "total_volume"])
+    return out.select("coin_id", "date", "ts_ms", "price_usd", "market_cap", "total_volume")
