@@ -1,9 +1,11 @@
 """Shape adapters: driver test tables -> the market-data inputs the jobs expect.
 
-These functions only rename and re-type columns of the given tables into
-the record shapes of the five landing sources and the two seeds. They do no
-work of the jobs themselves (no dedup, no windows, no joins of sources), and
-every job runs on their output exactly as it would on real landings.
+These functions rename and re-type columns of the given tables into the
+record shapes of the five landing sources and the two seeds. They do none
+of the jobs' work (no dedup, windows or aggregation; the seeds only look up
+nation / region names, and the sentiment label is the library's band of the
+reading, as the vendor's own label would be), and every job runs on their
+output exactly as it would on real landings.
 
     stock prices      lineitem: one price record per line item, keyed by
                       supplier ticker 'S<suppkey>', plus index tickers
