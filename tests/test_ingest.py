@@ -50,15 +50,15 @@ def test_bad_date_strict_vs_try(spark, tmpdir_path):
 
 def test_ingest_is_idempotent_and_reloads_changed_files(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "fear-greed")
-    bronze, ledger = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "ledger")
+    bronze = os.path.join(tmpdir_path, "bronze")
     _write(f"{root}/2024-01-01.json", [{"date": "2024-01-01", "value": 40, "classification": "Fear"}])
-    L.ingest(spark, root, "alternative_me", bronze, ledger)
-    L.ingest(spark, root, "alternative_me", bronze, ledger)
+    assert L.ingest(spark, root, "alternative_me", bronze).first().rows_loaded == 1
+    assert L.ingest(spark, root, "alternative_me", bronze).count() == 0
     assert spark.read.parquet(bronze).count() == 1
     time.sleep(1.1)
     _write(f"{root}/2024-01-01.json", [{"date": "2024-01-01", "value": 60, "classification": "Greed"},
                                        {"date": "2024-01-02", "value": 61, "classification": "Greed"}])
-    L.ingest(spark, root, "alternative_me", bronze, ledger)
+    L.ingest(spark, root, "alternative_me", bronze)
     b = spark.read.parquet(bronze)
     assert b.count() == 3
     stg = {str(r.reading_date): int(r.fng_value) for r in M.stg_fear_greed(b).collect()}

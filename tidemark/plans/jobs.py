@@ -77,9 +77,9 @@ def run(spark: SparkSession, landing: str, warehouse: str, start: str | None = N
     """
     bronze = {}
     for sub, table in L.SUBDIR_TO_TABLE.items():
-        path, ledger = layer_path(warehouse, "bronze", table), layer_path(warehouse, "bronze", f"_ledger_{table}")
+        path = layer_path(warehouse, "bronze", table)
         try:
-            L.ingest(spark, f"{landing.rstrip('/')}/{sub}", sub, path, ledger)
+            L.ingest(spark, f"{landing.rstrip('/')}/{sub}", sub, path)
         except Exception as e:  # noqa: BLE001 - a source with no landing yet
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise

@@ -822,15 +822,15 @@ def _typed_events(bronze: DataFrame) -> DataFrame:
 @register("json_landing_scan", _EVENT_FIELDS_SQL, dbl=("value",))
 def q_json_landing_scan(spark, d):
     """Events landed as JSON-lines files (one folder per day,
-    dynamic overwrite), scanned and ingested into Bronze twice through the
-    file ledger (the second run adds nothing), then typed from the VARIANT
-    payload. The one-array-per-file landing format goes through the same scan
+    dynamic overwrite), scanned and ingested into Bronze twice; Bronze's own
+    file-identity columns act as the ledger (the second run adds nothing).
+    Rows are then typed from the VARIANT payload. The one-array-per-file landing format goes through the same scan
     (covered by the ingest tests)."""
     root = scratch_path(spark, "landing-events")
     L.write_landing(_event_records(spark, d), root, "date")
-    bronze, ledger = root + "-bronze", root + "-ledger"
-    L.ingest(spark, root, "events", bronze, ledger)
-    L.ingest(spark, root, "events", bronze, ledger)
+    bronze = root + "-bronze"
+    L.ingest(spark, root, "events", bronze)
+    L.ingest(spark, root, "events", bronze)
     return _typed_events(spark.read.parquet(bronze))
 
 

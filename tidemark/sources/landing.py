@@ -2,7 +2,8 @@
 
 Landing files hold one top-level JSON array each (``<source>/<date>.json``).
 Bronze rows are ``raw_data VARIANT, source, _loaded_at TIMESTAMP_NTZ,
-_file_name`` and are only ever appended.
+_file_name`` (plus the file's modification time and size when ingested from
+files, which make Bronze its own load ledger) and are only ever appended.
 """
 
 from __future__ import annotations
@@ -98,20 +99,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def ingest(spark: SparkSession, landing_path: str, source: str, bronze_path: str,
-           ledger_path: str) -> DataFrame:
-    """Append new landing files to a Bronze table; return per-file row counts.
+def ingest(spark: SparkSession, landing_path: str, source: str, bronze_path: str) -> DataFrame:
+    """Append new landing files to a Bronze table; return this run's per-file counts.
 
-    Idempotent: files already in the ledger are skipped, so a re-run appends
-    nothing. The ledger is appended after the Bronze write succeeded.
+    Bronze rows carry the file identity (path, modification time, size), so
+    the load ledger is the Bronze table itself: files already present are
+    skipped and a re-run appends nothing. The append is the only write, so
+    an interrupted run leaves either all of a file's rows or none.
     """
-    ledger = spark.read.parquet(ledger_path) if _exists(spark, ledger_path) else None
+    ledger = spark.read.parquet(bronze_path).select(*LEDGER_KEYS) \
+        if _exists(spark, bronze_path) else None
     rows = new_files_only(read_landing(spark, landing_path, source), ledger)
-    staged = rows.select(*BRONZE_COLUMNS, *LEDGER_KEYS)
-    staged.drop(*LEDGER_KEYS).write.mode("append").parquet(bronze_path)
-    counts = staged.groupBy(*LEDGER_KEYS).agg(F.count(F.lit(1)).alias("rows_loaded"))
-    counts.write.mode("append").parquet(ledger_path)
-    return spark.read.parquet(ledger_path)
+    rows.select(*BRONZE_COLUMNS, *LEDGER_KEYS).write.mode("append").parquet(bronze_path)
+    loaded = spark.read.parquet(bronze_path)
+    if ledger is not None:
+        loaded = loaded.join(ledger.distinct(), LEDGER_KEYS, "left_anti")
+    return loaded.groupBy(*LEDGER_KEYS).agg(F.count(F.lit(1)).alias("rows_loaded"))
 
 
 def load_counts(bronze: Mapping[str, DataFrame]) -> DataFrame:
