@@ -126,3 +126,22 @@ def test_prefix_moving_averages_match_frames(spark):
     for r in ours.join(ref, ["k", "t"]).collect():
         for a, b in ((r.ma_5, r.r5), (r.ma_50, r.r50)):
             assert (a is None and b is None) or math.isclose(a, b, rel_tol=1e-12)
+
+
+def test_dedup_plans_partial_group_limit_before_shuffle(spark):
+    df = spark.createDataFrame([("A", 1, 1.0), ("A", 2, 2.0), ("B", 1, 3.0)], "k string, t int, v double")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        W.dedup_latest(df, "k", [F.col("t").desc_nulls_first()]).explain()
+    plan = buf.getvalue()
+    assert plan.count("WindowGroupLimit") == 2
+    # the partial limit sits below the exchange
+    assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def test_share_of_total_uses_aggregate_not_window(spark):
+    df = spark.createDataFrame([("d1", 1.0), ("d1", 3.0)], "d string, v double")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        W.share_of_total(df, "v", "d").explain()
+    assert "Window" not in buf.getvalue() and "HashAggregate" in buf.getvalue()
