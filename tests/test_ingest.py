@@ -79,3 +79,12 @@ def test_load_counts_total(spark):
     b = spark.createDataFrame([(1, "g1")], "x int, _file_name string")
     got = {r.table_name: (r.files, r.rows_loaded) for r in L.load_counts({"a": a, "b": b}).collect()}
     assert got == {"a": (2, 3), "b": (1, 1), "TOTAL": (3, 4)}
+
+
+def test_empty_day_writes_artifact_and_warns(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "land-empty")
+    empty = spark.createDataFrame([], "date string, v int")
+    with pytest.warns(UserWarning):
+        L.write_landing(empty, root, run_date="2024-01-09")
+    assert any(f.endswith(".json") for f in os.listdir(os.path.join(root, "date=2024-01-09")))
+    assert L.read_landing(spark, root, "x").count() == 0

@@ -8,6 +8,7 @@ files, which make Bronze its own load ledger) and are only ever appended.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -131,10 +132,19 @@ def load_counts(bronze: Mapping[str, DataFrame]) -> DataFrame:
     return out.unionByName(total)
 
 
-def write_landing(records: DataFrame, root: str, date_col: str = "date") -> None:
+def write_landing(records: DataFrame, root: str, date_col: str = "date",
+                  run_date: str | None = None) -> None:
     """Write records as JSON under ``root/<date_col>=<day>/``.
 
     Dynamic partition overwrite: re-running a day replaces that day only.
+    When there are no records and ``run_date`` is given, that day still gets
+    an artifact (an empty JSON file, read back as zero rows) and a warning is
+    issued, so an empty extract is visible rather than silently missing.
     """
+    if run_date is not None and records.isEmpty():
+        warnings.warn(f"no records for {run_date}; writing an empty landing file", stacklevel=2)
+        (records.drop(date_col).coalesce(1).write.mode("overwrite")
+         .json(f"{root.rstrip('/')}/{date_col}={run_date}"))
+        return
     (records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).json(root))
