@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.indicators import bollinger, moving_average, rsi, series_window
-from tidemark.functions.scalar import ColumnLike, as_col, safe_divide
+from tidemark.functions.scalar import safe_divide
 
 
 def _cols(x) -> list:

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import rate_regime, safe_divide, vol_regime
+from tidemark.functions.scalar import rate_regime, vol_regime
 from tidemark.operators.relational import corr_matrix, pivot_long, union_all
 from tidemark.operators.windows import (
     dedup_latest, lag_k, latest_per_key, share_of_total, with_returns, with_technicals)
