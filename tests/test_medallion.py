@@ -118,3 +118,10 @@ def test_full_build_job(spark, tmpdir_path):
     assert jobs.layer_path(wh, None, "x").endswith("/PUBLIC/x")
     csv_rows = spark.read.option("header", True).csv(os.path.join(tmpdir_path, "csv", "regime_analysis"))
     assert csv_rows.count() >= 1
+
+
+def test_views_for_sql_users(spark, medallion):
+    medallion.register_views(["daily_market_snapshot", "regime_analysis"], prefix="t_")
+    n = spark.sql("SELECT count(*) AS n FROM t_daily_market_snapshot WHERE sp500_close IS NOT NULL").first().n
+    assert n == 4
+    assert spark.sql("SELECT sum(num_days) AS d FROM t_regime_analysis").first().d == 4

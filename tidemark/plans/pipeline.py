@@ -87,6 +87,15 @@ class Medallion:
     def names(self) -> list[str]:
         return list(self._builders)
 
+    def register_views(self, names=None, prefix: str = "") -> list[str]:
+        """Expose datasets as temp views so they can be queried with SQL
+        (``spark.sql("SELECT * FROM daily_market_snapshot")``); lazy, nothing runs."""
+        done = []
+        for n in names or self.names():
+            self.ref(n).createOrReplaceTempView(prefix + n)
+            done.append(prefix + n)
+        return done
+
     def materialise(self, spark: SparkSession, name: str) -> DataFrame:
         """Write ``name`` under the shared folder and serve later refs from it."""
         path = scratch_path(spark, name)
