@@ -119,8 +119,11 @@ def q_stg_macro(spark, d):
 @register("stg_crypto", O.cte("stg_crypto") + "SELECT * EXCLUDE (ts_ms) FROM stg_crypto",
           dbl=("price_usd", "circulating_supply"), ints=("market_cap", "total_volume", "market_cap_rank"))
 def q_stg_crypto(spark, d):
-    """M4 over B7: intraday ticks downsampled to the last point per coin and
-    UTC day, landed as VARIANT, then typed and deduplicated."""
+    """M4: crypto Bronze typed from VARIANT and deduplicated per (coin, day).
+
+    The Bronze rows were landed from intraday ticks by the B7 daily downsample
+    when the stored Bronze layer was built (``pipeline.persisted_bronze``);
+    ``daily_downsample`` and ``align_series`` run B7 itself on every call."""
     return _m(spark, d).ref("stg_crypto").drop("loaded_at")
 
 
