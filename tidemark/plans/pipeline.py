@@ -138,8 +138,15 @@ def standin_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _input_tag(sf_dir: str) -> str:
-    """Identity of an input folder: its path plus the size/mtime of its files."""
+    """Identity of a stand-in Bronze build: the input folder's path, the
+    size/mtime of its files and the source of the code that shapes them, so
+    a changed adapter never reuses Bronze built by an older one."""
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    for mod in (S, M):
+        with open(mod.__file__, "rb") as f:
+            h.update(f.read())
+    with open(__file__, "rb") as f:
+        h.update(f.read())
     if os.path.isdir(sf_dir):
         for name in sorted(os.listdir(sf_dir)):
             st = os.stat(os.path.join(sf_dir, name))
