@@ -142,7 +142,9 @@ def _input_tag(sf_dir: str) -> str:
     size/mtime of its files and the source of the code that shapes them, so
     a changed adapter never reuses Bronze built by an older one."""
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    for mod in (S, M):
+    from tidemark.sources import landing as _landing
+    from tidemark.sources import vendor as _vendor
+    for mod in (S, _landing, _vendor):
         with open(mod.__file__, "rb") as f:
             h.update(f.read())
     with open(__file__, "rb") as f:
