@@ -125,3 +125,14 @@ def test_views_for_sql_users(spark, medallion):
     n = spark.sql("SELECT count(*) AS n FROM t_daily_market_snapshot WHERE sp500_close IS NOT NULL").first().n
     assert n == 4
     assert spark.sql("SELECT sum(num_days) AS d FROM t_regime_analysis").first().d == 4
+
+
+def test_backfill_window_limits_landing_files(spark, tmpdir_path):
+    from tidemark.plans import jobs
+    land = os.path.join(tmpdir_path, "landing")
+    for day, close in (("2024-01-02", 10.0), ("2024-01-03", 11.0), ("2024-01-04", 12.0)):
+        _land(land, "stock-prices", day, [{"ticker": "AAPL", "date": day, "close": close}])
+    wh = os.path.join(tmpdir_path, "wh")
+    jobs.run(spark, land, wh, start="2024-01-02", end="2024-01-03", gate=False)
+    stg = spark.read.parquet(jobs.layer_path(wh, "silver", "stg_daily_prices"))
+    assert sorted(str(r.price_date) for r in stg.collect()) == ["2024-01-02", "2024-01-03"]
