@@ -1031,7 +1031,7 @@ def q_dq_freshness(spark, d):
     return R.union_all(*parts).select("source", "age_hours", "status")
 
 
-# ------------------------------------------- rows-only (no stable SQL equivalent)
+# ------------------------------------- JSON rows (rows-only) and the sector matrix
 
 @register("json_rows", None)
 def q_json_rows(spark, d):
@@ -1040,12 +1040,16 @@ def q_json_rows(spark, d):
     return RP.json_rows(RP.regime_report(_m(spark, d).ref("regime_analysis")))
 
 
-@register("sector_matrix", None)
+@register("sector_matrix", O.cte("sector_perf") + """
+SELECT gics_sector, round(COLUMNS(* EXCLUDE (gics_sector)), 6) + CAST(0 AS DOUBLE) FROM (
+  PIVOT (SELECT gics_sector, strftime(price_date, '%Y-%m-%d') AS d, avg_daily_return * 100 AS v FROM sector_perf
+         WHERE price_date IN (SELECT DISTINCT price_date FROM sector_perf ORDER BY price_date DESC LIMIT 5))
+  ON d USING avg(v) GROUP BY gics_sector)""")
 def q_sector_matrix(spark, d):
     """Sector x date matrix (percent) over the five newest trading days.
 
-    The pivot list is taken from the data (a bounded list of five dates), so
-    the column names are data-dependent and there is no static SQL oracle.
+    The pivot list is taken from the data (a bounded list of five dates); the
+    oracle pivots the same days, so the column names agree.
     """
     sp = _m(spark, d).ref("sector_performance")
     days = [r[0].isoformat() for r in

@@ -101,10 +101,11 @@ def overview(snapshot: DataFrame) -> DataFrame:
 
 
 def sector_matrix(sector_perf: DataFrame, dates: Sequence[str]) -> DataFrame:
-    """Sector x date matrix of mean daily return in percent, for listed dates."""
-    return (sector_perf.withColumn("d", F.date_format("price_date", "yyyy-MM-dd"))
-            .groupBy("gics_sector").pivot("d", list(dates))
-            .agg(F.avg(F.col("avg_daily_return") * 100)))
+    """Sector x date matrix of mean daily return in percent, for listed dates
+    (sectors with rows on those dates only)."""
+    rows = sector_perf.withColumn("d", F.date_format("price_date", "yyyy-MM-dd")) \
+        .filter(F.col("d").isin(*dates))
+    return rows.groupBy("gics_sector").pivot("d", list(dates)).agg(F.avg(F.col("avg_daily_return") * 100))
 
 
 def sector_cumulative(sector_perf: DataFrame) -> DataFrame:
