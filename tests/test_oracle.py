@@ -11,7 +11,7 @@ sys_path = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 CORE = ["stg_daily_prices", "prices_with_technicals", "daily_market_snapshot", "regime_analysis",
         "corr_matrix", "sector_performance", "share_of_total", "dedup_latest", "asset_stats",
-        "best_worst", "compare_assets", "dq_report", "forward_fill", "lag_k", "daily_downsample"]
+        "best_worst", "compare_assets", "dq_report", "forward_fill", "lag_k", "daily_downsample", "sector_matrix"]
 
 
 def _names():
