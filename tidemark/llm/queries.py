@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontam import window_report
 from tidemark.llm.packing import pack_sequences
 from tidemark.llm.store import read_table
 
@@ -16,6 +17,11 @@ def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_sequences(read_table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_sequences": op1_pack_sequences,
+    "op2_decontaminate": op2_decontaminate,
 }
