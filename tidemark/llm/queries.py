@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontam import window_report
 from tidemark.llm.packing import pack_sequences
+from tidemark.llm.simhash import near_duplicate_groups
 from tidemark.llm.store import read_table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -21,7 +22,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_decontaminate": op2_decontaminate,
+    "op10_simhash": op10_simhash,
 }
