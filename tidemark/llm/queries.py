@@ -10,6 +10,7 @@ from tidemark.llm.decontam import window_report
 from tidemark.llm.packing import pack_sequences
 from tidemark.llm.simhash import near_duplicate_groups
 from tidemark.llm.store import read_table
+from tidemark.llm.substrings import repeated_words
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -22,6 +23,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_words(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
@@ -29,5 +34,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_decontaminate": op2_decontaminate,
+    "op3_substring_dedup": op3_substring_dedup,
     "op10_simhash": op10_simhash,
 }

@@ -3,8 +3,9 @@
 Every text position p whose remainder p mod 21 lies in a difference cover is an anchor.
 For two equal windows of 35 words, whatever their places, some shift below 21 moves both
 window starts onto anchors, and the 15 words from there lie in both windows. So a window
-can only repeat where anchors repeat: anchors are hashed and counted globally, the windows
-whose anchors all repeat are hashed in full, and these are counted globally in turn.
+can only repeat where it holds an anchor that repeats: anchors are hashed and counted
+globally, the windows around those that repeat are hashed in full (the match extended to
+its whole length), and these are counted globally in turn.
 
 Documents are dealt over buckets of a bounded number of bytes. A bucket sends each
 different hash once, as sorted hashes packed per range of hash values; a range holds a
@@ -66,12 +67,12 @@ def _anchors(words: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndar
 
 def _windows(words: np.ndarray, first: np.ndarray, window: int,
              anchors: np.ndarray, repeats: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows all of whose anchors repeat: starts, hashes and 32 check bits."""
-    lone = np.zeros(len(words) + 1, np.int64)
-    lone[anchors[~repeats] + 1] = 1
-    lone = np.cumsum(lone)
+    """Windows that hold an anchor that repeats: starts, hashes and 32 check bits."""
+    shared = np.zeros(len(words) + 1, np.int64)
+    shared[anchors[repeats] + 1] = 1
+    shared = np.cumsum(shared)
     at = _places(first, window, window)
-    at = at[lone[at + PERIOD] == lone[at]]
+    at = at[shared[at + PERIOD] > shared[at]]
     return (at, span_hashes(words, at, at + window, _WINDOW_BASE),
             (span_hashes(words, at, at + window, _CHECK_BASE) >> np.uint64(32)).astype(np.uint32))
 
