@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontam import window_report
+from tidemark.llm.lines import line_report
 from tidemark.llm.packing import pack_sequences
 from tidemark.llm.simhash import near_duplicate_groups
 from tidemark.llm.store import read_table
@@ -27,6 +28,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_words(read_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
@@ -35,5 +40,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op10_simhash": op10_simhash,
 }
