@@ -85,7 +85,7 @@ def without_repeated_lines(docs: DataFrame, classes: int = BOUNDARY_CLASSES,
     later = (chunks.join(firsts, "key").filter((F.col("rk") != F.col("f_rk")) | (F.col("first") != F.col("f_first")))
              .select("key", F.col("rk").alias("l_rk"), "first", "size"))
     listed = (later.join(found, F.col("key") == F.col("f_key")).groupBy("l_rk")
-              .agg(F.array_sort(F.collect_set(F.struct("first", "size", "bytes"))).alias("listed")))
+              .agg(F.sort_array(F.collect_set(F.struct("first", "size", "bytes"))).alias("listed")))
 
     rows = carried(docs, text=F.col("text"), rk=F.xxhash64("doc_id", "text"))
     rows = rows.join(listed, F.col("rk") == F.col("l_rk"), "left").withColumn("lines", _lines())

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.decontam import window_report
 from tidemark.llm.lines import line_report
 from tidemark.llm.packing import pack_sequences
+from tidemark.llm.quality import judge_documents
 from tidemark.llm.simhash import near_duplicate_groups
 from tidemark.llm.store import read_table
 from tidemark.llm.substrings import repeated_words
@@ -32,6 +33,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
@@ -41,5 +46,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op10_simhash": op10_simhash,
 }
