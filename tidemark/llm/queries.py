@@ -13,6 +13,7 @@ from tidemark.llm.quality import judge_documents
 from tidemark.llm.simhash import near_duplicate_groups
 from tidemark.llm.store import read_table
 from tidemark.llm.substrings import repeated_words
+from tidemark.llm.warc import archive_round_trip
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -37,6 +38,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
@@ -47,5 +52,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_warc": op6_warc,
     "op10_simhash": op10_simhash,
 }
