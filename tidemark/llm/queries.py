@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontam import window_report
+from tidemark.llm.licences import scan_licences
 from tidemark.llm.lines import line_report
 from tidemark.llm.packing import pack_sequences
 from tidemark.llm.quality import judge_documents
@@ -42,6 +43,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
@@ -53,5 +58,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_warc": op6_warc,
+    "op7_license_scan": op7_license_scan,
     "op10_simhash": op10_simhash,
 }
