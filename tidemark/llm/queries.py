@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontam import window_report
+from tidemark.llm.language import identify
 from tidemark.llm.licences import scan_licences
 from tidemark.llm.lines import line_report
 from tidemark.llm.packing import pack_sequences
@@ -47,6 +48,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(read_table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
@@ -59,5 +64,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_warc": op6_warc,
     "op7_license_scan": op7_license_scan,
+    "op8_language_id": op8_language_id,
     "op10_simhash": op10_simhash,
 }
