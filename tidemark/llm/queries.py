@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.attribution import token_counts
 from tidemark.llm.decontam import window_report
 from tidemark.llm.language import identify
 from tidemark.llm.licences import scan_licences
@@ -52,6 +53,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
@@ -65,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_license_scan": op7_license_scan,
     "op8_language_id": op8_language_id,
+    "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
 }
