@@ -1,19 +1,50 @@
-"""Corpus pipeline: the stages in order, each over all that the one before kept."""
+"""Corpus pipeline: the stages in order, each over all that the one before kept.
+
+Every stage takes (spark, docs, sf_dir) and returns documents in the columns of its input,
+but for the last, which returns the packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontam import decontaminate
+from tidemark.llm.language import keep_identified
+from tidemark.llm.lines import dedup_lines
 from tidemark.llm.packing import pack_sequences
+from tidemark.llm.simhash import drop_near_duplicates
 from tidemark.llm.store import read_table, staged
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing of what is left: one row per piece, with its sequence and offset."""
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the network recognises; null texts and those without letters go."""
+    return keep_identified(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without chunks of lines that repeat an earlier one; those that lose all lines go."""
+    return dedup_lines(docs)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that with the smallest doc_id."""
+    return drop_near_duplicates(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of benchmark items; those that are mostly passages go."""
+    return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document, with its sequence and its place there."""
     return pack_sequences(docs)
 
 
-STAGES = [("best_fit_packing", pack)]
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("simhash_near_dedup", simhash_near_dedup),
+          ("benchmark_decontamination", benchmark_decontamination), ("best_fit_packing", best_fit_packing)]
+
+#: Language identification and packing have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
