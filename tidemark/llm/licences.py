@@ -87,10 +87,9 @@ def _with_words(docs: DataFrame) -> DataFrame:
 
 def word_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """Documents that hold each word of a fixed vocabulary, counted over all documents."""
-    spark = docs.sparkSession
-    wanted = spark.createDataFrame([(w,) for w in vocabulary], "word string")
-    each = _with_words(docs.select("text")).select(F.explode(F.array_distinct("words")).alias("word"))
-    counts = each.join(F.broadcast(wanted), "word").groupBy("word").agg(F.count("*").alias("n"))
+    held = F.array_intersect("words", F.lit(vocabulary))
+    counts = (_with_words(docs.select("text")).select(F.explode(held).alias("word"))
+              .groupBy("word").agg(F.count("*").alias("n")))
     return {r["word"]: r["n"] for r in counts.collect()}  # at most a row per word of the templates
 
 
@@ -139,6 +138,9 @@ def licence_matches(docs: DataFrame, templates: list[Template] = TEMPLATES, look
         weight[t] += idf
         needs[t] += needed
         words_of[t].add(w)
+    # A template's key phrases hold its rarest key word, so a text without any of these has no match.
+    rarest = sorted({min((share[w], w) for w, of, _, needed, _ in kept if needed and of == t)[1]
+                     for t in range(len(templates))})
     table = spark.createDataFrame(
         [(*row, templates[row[1]].label, weight[row[1]] or 1.0, needs[row[1]],
           min(agreeing, len(words_of[row[1]]))) for row in kept],
@@ -146,7 +148,7 @@ def licence_matches(docs: DataFrame, templates: list[Template] = TEMPLATES, look
                                  "weight double, n_needed int, enough int"))
     words = spark.createDataFrame(sorted({(w, idf) for w, _, _, _, idf in kept}), "word string, idf double")
     # Both tables hold at most a row per word of the fixed templates.
-    rows = _with_words(docs.select("doc_id", "text")).select(
+    rows = _with_words(docs.select("doc_id", "text")).filter(F.arrays_overlap("words", F.lit(rarest))).select(
         F.xxhash64("doc_id", "text").alias("rk"), F.posexplode("words").alias("p", "word"))
     hits = staged(rows.join(F.broadcast(words), "word"), "licence-words")
     top = hits.groupBy("rk").agg(F.collect_set(F.struct("idf", "word")).alias("own")).select(

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -183,7 +183,7 @@ def choose_parts(fps: DataFrame, distance: int = MAX_DISTANCE) -> list[tuple[lis
             for b in bits:  # elementary symmetric sums of the odds
                 ratio = np.convolve(ratio, [1.0, odds[b]])[:distance + 1]
             rows = [math.comb(len(bits), t) for t in range(distance + 1)]
-            costs.append([0.0] + [ROW_COST * n * (1 + sum(rows[:t + 1])) + equal * ratio[:t + 1].sum()
+            costs.append([0.0] + [ROW_COST * max(n, 1) * sum(rows[:t + 1]) + equal * ratio[:t + 1].sum()
                                   for t in range(distance + 1)])
         cost, thresholds = allocate(costs, distance - len(split) + 1)
         if best is None or cost < best[0]:
@@ -200,6 +200,14 @@ def _flips(bits: list[int], threshold: int) -> list[int]:
     return out
 
 
+def _probes(part: int, bits: list[int], threshold: int) -> Column:
+    """(part, key, probe) of a fingerprint: its own bits in the part, and all within the threshold."""
+    own = F.col("fp").bitwiseAND(F.lit(_signed(_mask(bits))))
+    flips = F.lit([0, *map(_signed, _flips(bits, threshold))]).cast("array<bigint>")
+    return F.transform(flips, lambda flip: F.struct(
+        F.lit(part).alias("part"), own.bitwiseXOR(flip).alias("key"), (flip != 0).cast("int").alias("probe")))
+
+
 def bucket_links(key: np.ndarray, probe: np.ndarray, fp: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Links that connect, within each bucket (a run of equal keys), all fingerprints joined by
     chains of close pairs of an index row with any other row; at most a few times as many
@@ -237,11 +245,7 @@ def bucket_links(key: np.ndarray, probe: np.ndarray, fp: np.ndarray, distance: i
 def links(fps: DataFrame, parts: list[tuple[list[int], int]], distance: int = MAX_DISTANCE) -> DataFrame:
     """Verified links (a, b) between fingerprints of at most ``distance`` differing bits, enough
     to connect all that are linked; ``fps`` holds each fingerprint once."""
-    probes = [(i, _mask(bits), flip) for i, (bits, t) in enumerate(parts) if t >= 0
-              for flip in [0, *_flips(bits, t)]]
-    keys = F.array(*[F.struct(F.lit(i).alias("part"),
-                              F.col("fp").bitwiseAND(F.lit(_signed(m))).bitwiseXOR(F.lit(_signed(flip))).alias("key"),
-                              F.lit(int(flip != 0)).alias("probe")) for i, m, flip in probes])
+    keys = F.concat(*[_probes(i, bits, t) for i, (bits, t) in enumerate(parts) if t >= 0])
     rows = fps.select("fp", F.inline(keys))
     schema = "a long, b long"
 
