@@ -80,7 +80,7 @@ def test_host_verdicts(spark):
     good, bad = " ".join(f"w{i}" for i in range(20)), "too short"
     rows = [(i, good if i % 10 else bad, "clean") for i in range(100)]
     rows += [(1000 + i, bad if i % 10 else good, "spam") for i in range(100)]
-    rows += [(2000, bad, "tiny"), (3000, good, None), (3001, None, None)]
+    rows += [(2000, bad, "tiny"), (3001, None, None)] + [(3000 + 10 * i, good, None) for i in range(4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = {r["doc_id"]: r["kept"] for r in Q.judge_documents(df).collect()}
     assert sum(kept[i] for i in range(100)) == 90 and not any(kept[1000 + i] for i in range(100))
