@@ -18,24 +18,17 @@ BOUNDARY_CLASSES = 2
 MIN_LINES = 2
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``rk`` tells rows apart by id and text; rows equal in both share their fate."""
-    return docs.withColumn("rk", F.xxhash64("doc_id", "text"))
-
-
-def _lines() -> Column:
-    return F.split("text", "\n", -1)
-
-
 def line_chunks(docs: DataFrame, classes: int = BOUNDARY_CLASSES) -> DataFrame:
     """rk, doc_id and first, size, key of each chunk of each text (columns doc_id, text).
 
+    ``rk`` is a hash that tells rows apart by id and text; rows equal in both share their fate.
     The hash rolls over two lines; a line ends a chunk if its hash is in class 0 of
     ``classes`` and that of the line before is not, so that only the last chunk of a text
     can be a single line. Chunks without a word are left out.
     """
     # Each step is a column of its own, so that no array is made anew inside a lambda.
-    rows = _numbered(docs.filter("text is not null")).select("rk", "doc_id", _lines().alias("lines"))
+    rows = docs.filter("text is not null").select(
+        F.xxhash64("doc_id", "text").alias("rk"), "doc_id", F.split("text", "\n", -1).alias("lines"))
     rows = rows.withColumn("marks", F.transform("lines", lambda x, i: F.pmod(
         F.xxhash64(F.get("lines", i - 1), x), F.lit(classes)) == 0))
     rows = rows.withColumn("ends", F.filter(
@@ -56,6 +49,14 @@ def _chunk_text(lines: str, first: str | Column, size: str | Column) -> Column:
     return F.array_join(F.slice(lines, first + 1, size), "\n")
 
 
+def _version(docs: DataFrame) -> Column:
+    """Hash of a carried row; maps and variants have none."""
+    if all("map<" not in kind and "variant" not in kind for _, kind in docs.dtypes):
+        return F.xxhash64("row")
+    return F.xxhash64(*[F.col("row").getField(c) for c, kind in docs.dtypes
+                        if "map<" not in kind and "variant" not in kind])
+
+
 def without_repeated_lines(docs: DataFrame, classes: int = BOUNDARY_CLASSES,
                            min_lines: int = MIN_LINES) -> DataFrame:
     """Removes every chunk of ``min_lines`` lines or more that repeats an earlier one.
@@ -72,23 +73,26 @@ def without_repeated_lines(docs: DataFrame, classes: int = BOUNDARY_CLASSES,
         F.count("*").alias("n"), F.min(F.struct("doc_id", "rk", "first", "size")).alias("f"))
         .filter("n > 1").select("key", F.col("f.rk").alias("f_rk"), F.col("f.first").alias("f_first"),
                                 F.col("f.size").alias("f_size")), "firsts")
-    texts = _numbered(docs.select("doc_id", "text"))
+    # The texts are dealt by rk once and meet the wanted chunks and the listed ones there: both joins
+    # name the whole row and are merge joins at any size, so that Spark reuses the one exchange.
+    rows = carried(docs, rk=F.xxhash64("doc_id", "text"))
+    lines = F.split(F.col("row.text"), "\n", -1).alias("lines")
 
     wanted = firsts.groupBy("f_rk").agg(F.collect_list(F.struct("key", "f_first", "f_size")).alias("wanted"))
-    found = (texts.join(wanted, F.col("rk") == F.col("f_rk"))
-             .select("doc_id", _lines().alias("lines"), F.explode("wanted").alias("w"))
-             .select(F.col("w.key").alias("f_key"),
+    found = (rows.join(wanted.hint("merge"), F.col("rk") == F.col("f_rk"))
+             .select(_version(docs).alias("version"), lines, F.explode("wanted").alias("w"))
+             .select(F.col("w.key").alias("f_key"), "version",
                      _chunk_text("lines", F.col("w.f_first"), F.col("w.f_size")).alias("bytes"))
-             .dropDuplicates(["f_key"]))
-    found = staged(found, "first-chunks")
+             .groupBy("f_key").agg(F.min(F.struct("version", "bytes")).alias("f"))
+             .select("f_key", F.col("f.bytes").alias("bytes")))
 
     later = (chunks.join(firsts, "key").filter((F.col("rk") != F.col("f_rk")) | (F.col("first") != F.col("f_first")))
              .select("key", F.col("rk").alias("l_rk"), "first", "size"))
     listed = (later.join(found, F.col("key") == F.col("f_key")).groupBy("l_rk")
               .agg(F.sort_array(F.collect_set(F.struct("first", "size", "bytes"))).alias("listed")))
 
-    rows = carried(docs, text=F.col("text"), rk=F.xxhash64("doc_id", "text"))
-    rows = rows.join(listed, F.col("rk") == F.col("l_rk"), "left").withColumn("lines", _lines())
+    rows = (rows.join(listed.hint("merge"), F.col("rk") == F.col("l_rk"), "left")
+            .select("row", F.col("row.text").alias("text"), lines, "listed"))
     rows = rows.withColumn("gone", F.filter(
         F.coalesce("listed", F.array()), lambda c: _chunk_text("lines", c["first"], c["size"]) == c["bytes"]))
     rows = rows.withColumn("starts", F.transform("gone", lambda c: c["first"]))
