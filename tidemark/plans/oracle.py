@@ -1,9 +1,10 @@
 """DuckDB oracle SQL for the registered queries.
 
-Written independently of the Spark plans, in the reference's own SQL shape
-(separate CTEs per model, QUALIFY-style row_number filters, separate breadth
-join), over the same driver tables. ``cte(*names)`` assembles a WITH clause
-holding the named CTEs and everything they depend on.
+Computed by other means than the Spark plans, from the semantics rules (SURVEY R1-R13):
+the latest load is the maximum of a struct, a previous row is a join on row numbers,
+breadth is a sum of signs, a correlation comes from sums of products, and the date
+grain is one conditional aggregate. ``cte(*names)`` assembles a WITH clause holding the
+named CTEs and everything they depend on.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ def _def(name: str, deps: tuple[str, ...], body: str) -> None:
     CTES[name] = (deps, body.strip())
 
 
-def _dedup(src: str, keys: str, order: str) -> str:
-    return (f"SELECT * EXCLUDE (rn, load_seq) FROM (SELECT *, row_number() OVER "
-            f"(PARTITION BY {keys} ORDER BY {order}) AS rn FROM {src}) WHERE rn = 1")
+def _latest(src: str, keys: str, fields: list[str]) -> str:
+    """The greatest struct (load_seq, then the fields; NULL is greatest) of each key, unpacked."""
+    packed = ", ".join(f"{f} := {f}" for f in ("load_seq", *fields))
+    return (f"SELECT {keys}, {', '.join(f'newest.{f} AS {f}' for f in fields)} "
+            f"FROM (SELECT {keys}, max(struct_pack({packed})) AS newest FROM {src} GROUP BY {keys})")
 
 
 _def("price_src", (), f"""
@@ -34,33 +37,26 @@ SELECT ticker, price_date, load_seq, unit * (1 - l_discount) AS open_price,
        unit AS close_price, unit * (1 - l_tax) AS adj_close_price,
        CAST(l_quantity AS DECIMAL(38,0)) AS volume
 FROM price_src""")
-_def("stg_prices", ("price_typed",), _dedup(
+_def("stg_prices", ("price_typed",), _latest(
     "price_typed", "ticker, price_date",
-    "load_seq DESC, open_price DESC NULLS FIRST, high_price DESC NULLS FIRST, "
-    "low_price DESC NULLS FIRST, close_price DESC NULLS FIRST, adj_close_price DESC NULLS FIRST, "
-    "volume DESC NULLS FIRST"))
-_def("tech_base", ("stg_prices",), """
-SELECT *, lag(close_price) OVER (PARTITION BY ticker ORDER BY price_date) AS prev_close,
-       close_price - lag(close_price) OVER (PARTITION BY ticker ORDER BY price_date) AS daily_change
-FROM stg_prices""")
-
-
-def _frame(n: int) -> str:
-    return f"OVER (PARTITION BY ticker ORDER BY price_date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-
-
-_def("technicals", ("tech_base",), f"""
+    ["open_price", "high_price", "low_price", "close_price", "adj_close_price", "volume"]))
+_def("numbered", ("stg_prices",), """
+SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY price_date) AS place FROM stg_prices""")
+_def("tech_base", ("numbered",), """
+SELECT a.*, b.close_price AS prev_close, a.close_price - b.close_price AS daily_change
+FROM numbered a LEFT JOIN numbered b ON b.ticker = a.ticker AND b.place + 1 = a.place""")
+_def("technicals", ("tech_base",), """
 SELECT ticker, price_date, open_price, high_price, low_price, close_price, adj_close_price, volume,
-       daily_change, daily_change / NULLIF(prev_close, 0) AS daily_return,
-       avg(close_price) {_frame(20)} AS ma_20,
-       avg(close_price) {_frame(50)} AS ma_50,
-       avg(close_price) {_frame(200)} AS ma_200,
-       100 - 100 / (1 + avg(CASE WHEN daily_change > 0 THEN daily_change ELSE 0 END) {_frame(14)}
-                    / NULLIF(avg(CASE WHEN daily_change < 0 THEN abs(daily_change) ELSE 0 END) {_frame(14)}, 0)) AS rsi_14,
-       avg(close_price) {_frame(20)} AS bb_middle,
-       avg(close_price) {_frame(20)} + 2 * stddev_samp(close_price) {_frame(20)} AS bb_upper,
-       avg(close_price) {_frame(20)} - 2 * stddev_samp(close_price) {_frame(20)} AS bb_lower
-FROM tech_base""")
+       daily_change, daily_change / NULLIF(prev_close, 0) AS daily_return, ma_20, ma_50, ma_200,
+       CASE WHEN fall > 0 THEN 100 * rise / (rise + fall) END AS rsi_14,
+       ma_20 AS bb_middle, ma_20 + 2 * sd AS bb_upper, ma_20 - 2 * sd AS bb_lower
+FROM (SELECT *, avg(close_price) OVER (series ROWS 19 PRECEDING) AS ma_20,
+             avg(close_price) OVER (series ROWS 49 PRECEDING) AS ma_50,
+             avg(close_price) OVER (series ROWS 199 PRECEDING) AS ma_200,
+             stddev_samp(close_price) OVER (series ROWS 19 PRECEDING) AS sd,
+             sum(greatest(coalesce(daily_change, 0), 0)) OVER (series ROWS 13 PRECEDING) AS rise,
+             sum(greatest(coalesce(-daily_change, 0), 0)) OVER (series ROWS 13 PRECEDING) AS fall
+      FROM tech_base WINDOW series AS (PARTITION BY ticker ORDER BY place))""")
 
 _def("fund_typed", (), """
 SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS snapshot_date,
@@ -69,10 +65,8 @@ SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS
        'Industry ' || l_returnflag || l_linestatus AS industry,
        'Supplier ' || CAST(l_suppkey AS VARCHAR) AS company_name
 FROM lineitem""")
-_def("stg_fund", ("fund_typed",), _dedup(
-    "fund_typed", "ticker, snapshot_date",
-    "load_seq DESC, market_cap DESC NULLS FIRST, pe_ratio DESC NULLS FIRST, sector DESC NULLS FIRST, "
-    "industry DESC NULLS FIRST, company_name DESC NULLS FIRST"))
+_def("stg_fund", ("fund_typed",), _latest(
+    "fund_typed", "ticker, snapshot_date", ["market_cap", "pe_ratio", "sector", "industry", "company_name"]))
 
 _def("macro_typed", (), """
 SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'DFF' WHEN '2-HIGH' THEN 'DGS10'
@@ -81,26 +75,23 @@ SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'DFF' WHEN '2-HIGH' THEN 'DGS10
        o_orderpriority AS series_name, CAST(o_orderdate AS DATE) AS observation_date,
        o_totalprice / CAST(10000 AS DOUBLE) AS value, o_orderkey AS load_seq
 FROM orders""")
-_def("stg_macro", ("macro_typed",), _dedup(
-    "macro_typed", "series_id, observation_date",
-    "load_seq DESC, series_name DESC NULLS FIRST, value DESC NULLS FIRST"))
-_def("macro_wide", ("stg_macro",), """
-SELECT observation_date,
-       max(CASE WHEN series_id = 'DFF' THEN value END) AS fed_funds_rate,
-       max(CASE WHEN series_id = 'DGS10' THEN value END) AS treasury_10y,
-       max(CASE WHEN series_id = 'DGS2' THEN value END) AS treasury_2y,
-       max(CASE WHEN series_id = 'VIXCLS' THEN value END) AS vix,
-       max(CASE WHEN series_id = 'DCOILWTICO' THEN value END) AS wti_crude_oil,
-       max(CASE WHEN series_id = 'DEXUSEU' THEN value END) AS usd_eur_rate,
-       max(CASE WHEN series_id = 'CPIAUCSL' THEN value END) AS cpi,
-       max(CASE WHEN series_id = 'UNRATE' THEN value END) AS unemployment_rate,
-       max(CASE WHEN series_id = 'M2SL' THEN value END) AS m2_money_supply,
-       max(CASE WHEN series_id = 'GDPC1' THEN value END) AS real_gdp
+_def("stg_macro", ("macro_typed",), _latest(
+    "macro_typed", "series_id, observation_date", ["series_name", "value"]))
+#: Series (fixed ids) and their columns; the stand-in tables hold the first five.
+_SERIES = {"DFF": "fed_funds_rate", "DGS10": "treasury_10y", "DGS2": "treasury_2y", "VIXCLS": "vix",
+           "DCOILWTICO": "wti_crude_oil", "DEXUSEU": "usd_eur_rate", "CPIAUCSL": "cpi",
+           "UNRATE": "unemployment_rate", "M2SL": "m2_money_supply", "GDPC1": "real_gdp"}
+_def("macro_map", ("stg_macro",), """
+SELECT observation_date, map_from_entries(list((series_id, value)) FILTER (WHERE series_id IS NOT NULL)) AS of
 FROM stg_macro GROUP BY observation_date""")
-_def("yield_curve", ("macro_wide",), """
-SELECT observation_date, treasury_10y, treasury_2y, treasury_10y - treasury_2y AS spread_10y_2y,
-       (treasury_10y - treasury_2y) < 0 AS is_inverted
-FROM macro_wide WHERE treasury_10y IS NOT NULL AND treasury_2y IS NOT NULL""")
+_def("macro_wide", ("macro_map",), "SELECT observation_date, " + ", ".join(
+    f"CAST(of['{i}'] AS DOUBLE) AS {c}" for i, c in _SERIES.items()) + " FROM macro_map")
+_def("yield_curve", ("stg_macro",), """
+SELECT observation_date, a.value AS treasury_10y, b.value AS treasury_2y, a.value - b.value AS spread_10y_2y,
+       b.value > a.value AS is_inverted
+FROM (SELECT * FROM stg_macro WHERE series_id = 'DGS10') a
+JOIN (SELECT * FROM stg_macro WHERE series_id = 'DGS2') b USING (observation_date)
+WHERE a.value - b.value IS NOT NULL""")
 
 _def("crypto_ticks", (), """
 SELECT CASE o_orderstatus WHEN 'F' THEN 'bitcoin' WHEN 'O' THEN 'ethereum' WHEN 'P' THEN 'tether' END AS coin_id,
@@ -112,28 +103,32 @@ SELECT CASE o_orderstatus WHEN 'F' THEN 'bitcoin' WHEN 'O' THEN 'ethereum' WHEN
        o_totalprice * CAST(10 AS DOUBLE) AS tvol, o_orderkey AS seq
 FROM orders""")
 _def("stg_crypto", ("crypto_ticks",), """
-SELECT coin_id, symbol, coin_name, price_date, price_usd,
-       CAST(mcap AS DECIMAL(38,0)) AS market_cap, CAST(tvol AS DECIMAL(38,0)) AS total_volume,
-       CAST(NULL AS DOUBLE) AS circulating_supply, CAST(NULL AS DECIMAL(38,0)) AS market_cap_rank, ts_ms
-FROM (SELECT *, DATE '1970-01-01' + CAST(floor(ts_ms / 86400000) AS INTEGER) AS price_date,
-             row_number() OVER (PARTITION BY coin_id, DATE '1970-01-01' + CAST(floor(ts_ms / 86400000) AS INTEGER)
-                                ORDER BY ts_ms DESC, seq ASC) AS rn
-      FROM crypto_ticks) WHERE rn = 1""")
+SELECT coin_id, p.symbol, p.coin_name, price_date, p.price_usd, CAST(p.mcap AS DECIMAL(38,0)) AS market_cap,
+       CAST(p.tvol AS DECIMAL(38,0)) AS total_volume, CAST(NULL AS DOUBLE) AS circulating_supply,
+       CAST(NULL AS DECIMAL(38,0)) AS market_cap_rank, p.ts_ms
+FROM (SELECT coin_id, DATE '1970-01-01' + CAST(ts_ms // 86400000 AS INTEGER) AS price_date,
+             arg_max(t, (ts_ms, -seq)) AS p
+      FROM crypto_ticks t GROUP BY ALL)""")
 _def("crypto_dom", ("stg_crypto",), """
-SELECT coin_id, symbol, coin_name, price_date, price_usd, market_cap, total_volume, circulating_supply,
-       market_cap_rank,
-       CAST(100 * market_cap AS DOUBLE) / NULLIF(CAST(sum(market_cap) OVER (PARTITION BY price_date) AS DOUBLE), 0)
-         AS dominance_pct
-FROM stg_crypto""")
+SELECT c.* EXCLUDE (ts_ms), CAST(100 * market_cap AS DOUBLE) / NULLIF(CAST(total AS DOUBLE), 0) AS dominance_pct
+FROM stg_crypto c
+JOIN (SELECT price_date, sum(market_cap) AS total FROM stg_crypto GROUP BY price_date) USING (price_date)""")
+_def("crypto_returns", ("crypto_dom",), """
+SELECT now.* EXCLUDE (place), (now.price_usd - past.price_usd) / NULLIF(past.price_usd, 0) AS daily_return
+FROM (SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY price_date) AS place FROM crypto_dom) now
+LEFT JOIN (SELECT coin_id, price_usd, 1 + row_number() OVER (PARTITION BY coin_id ORDER BY price_date) AS place
+           FROM crypto_dom) past USING (coin_id, place)""")
 
 _def("fng_typed", (), """
 SELECT CAST(o_orderdate AS DATE) AS reading_date,
        CAST(floor(o_totalprice / CAST(5000 AS DOUBLE)) AS INTEGER) AS v, o_orderkey AS load_seq
 FROM orders""")
-_def("stg_fng", ("fng_typed",), _dedup("""(SELECT reading_date, load_seq, CAST(v AS DECIMAL(38,0)) AS fng_value,
-       CASE WHEN v < 25 THEN 'Extreme Fear' WHEN v < 45 THEN 'Fear' WHEN v < 55 THEN 'Neutral'
-            WHEN v < 75 THEN 'Greed' ELSE 'Extreme Greed' END AS classification FROM fng_typed)""",
-    "reading_date", "load_seq DESC, fng_value DESC NULLS FIRST, classification DESC NULLS FIRST"))
+_def("fng_labelled", ("fng_typed",), """
+SELECT reading_date, load_seq, CAST(v AS DECIMAL(38,0)) AS fng_value,
+       ['Extreme Fear', 'Fear', 'Neutral', 'Greed', 'Extreme Greed']
+         [1 + len(list_filter([25, 45, 55, 75], lambda edge: v >= edge))] AS classification
+FROM fng_typed""")
+_def("stg_fng", ("fng_labelled",), _latest("fng_labelled", "reading_date", ["fng_value", "classification"]))
 
 _def("tickers", (), """
 SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS ticker, s_name AS company_name, n_name AS sector
@@ -142,87 +137,82 @@ _def("sectors", (), """
 SELECT n_name AS yahoo_sector, r_name AS gics_sector, 'Nations of ' || r_name AS description
 FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""")
 
-_def("asset_returns", ("technicals", "crypto_dom"), """
+_def("asset_returns", ("technicals", "crypto_returns"), """
+SELECT 'crypto' AS asset_type, coin_id AS asset_id, symbol AS asset_name, price_date AS asset_date,
+       price_usd AS close, daily_return FROM crypto_returns
+UNION ALL BY NAME
 SELECT 'stock' AS asset_type, ticker AS asset_id, ticker AS asset_name, price_date AS asset_date,
-       close_price AS close, daily_return FROM technicals
-UNION ALL
-SELECT 'crypto', coin_id, symbol, price_date, price_usd,
-       (price_usd - lag(price_usd) OVER (PARTITION BY coin_id ORDER BY price_date))
-         / NULLIF(lag(price_usd) OVER (PARTITION BY coin_id ORDER BY price_date), 0)
-FROM crypto_dom""")
-_def("dim_tickers", ("tickers", "stg_fund", "sectors"), """
-SELECT t.ticker, t.company_name, t.sector AS yahoo_sector, sm.gics_sector, f.industry, f.market_cap, f.pe_ratio
+       daily_return, close_price AS close FROM technicals""")
+_def("dim_tickers", ("tickers", "stg_fund"), """
+SELECT t.ticker, t.company_name, t.sector AS yahoo_sector, r_name AS gics_sector, f.newest.industry AS industry,
+       f.newest.market_cap AS market_cap, f.newest.pe_ratio AS pe_ratio
 FROM tickers t
-LEFT JOIN (SELECT ticker, market_cap, pe_ratio, industry FROM stg_fund
-           QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY snapshot_date DESC NULLS FIRST) = 1) f
-  ON t.ticker = f.ticker
-LEFT JOIN (SELECT yahoo_sector, gics_sector FROM sectors) sm ON t.sector = sm.yahoo_sector""")
-_def("snapshot", ("technicals", "tickers", "crypto_dom", "stg_fng", "macro_wide", "yield_curve"), """
-SELECT d.snapshot_date, i.sp500_close, i.sp500_return, i.nasdaq_close, i.dow_close, b.advancers,
-       b.decliners, bt.btc_price, bt.btc_dominance, bt.btc_return, fg.fng_value, fg.classification AS fng_classification,
-       m.fed_funds_rate, m.treasury_10y, m.treasury_2y, yc.spread_10y_2y, yc.is_inverted, m.vix, m.wti_crude_oil
-FROM (SELECT DISTINCT price_date AS snapshot_date FROM technicals) d
-LEFT JOIN (SELECT price_date,
-                  max(CASE WHEN ticker = '^A' THEN close_price END) AS sp500_close,
-                  max(CASE WHEN ticker = '^A' THEN daily_return END) AS sp500_return,
-                  max(CASE WHEN ticker = '^N' THEN close_price END) AS nasdaq_close,
-                  max(CASE WHEN ticker = '^R' THEN close_price END) AS dow_close
-           FROM technicals GROUP BY price_date) i ON d.snapshot_date = i.price_date
-LEFT JOIN (SELECT t.price_date, count(*) FILTER (WHERE t.daily_return > 0) AS advancers,
-                  count(*) FILTER (WHERE t.daily_return < 0) AS decliners
-           FROM technicals t JOIN tickers s ON t.ticker = s.ticker GROUP BY t.price_date) b
-  ON d.snapshot_date = b.price_date
-LEFT JOIN (SELECT price_date, price_usd AS btc_price, dominance_pct AS btc_dominance,
-                  (price_usd - lag(price_usd) OVER (ORDER BY price_date))
-                    / NULLIF(lag(price_usd) OVER (ORDER BY price_date), 0) AS btc_return
-           FROM crypto_dom WHERE coin_id = 'bitcoin') bt ON d.snapshot_date = bt.price_date
-LEFT JOIN stg_fng fg ON d.snapshot_date = fg.reading_date
-LEFT JOIN macro_wide m ON d.snapshot_date = m.observation_date
-LEFT JOIN yield_curve yc ON d.snapshot_date = yc.observation_date""")
-_def("regime_daily", ("snapshot",), """
+LEFT JOIN nation ON n_name = t.sector
+LEFT JOIN region ON r_regionkey = n_regionkey
+LEFT JOIN (SELECT ticker, arg_max(s, snapshot_date) AS newest FROM stg_fund s GROUP BY ticker) f USING (ticker)""")
+_def("day_grain", ("technicals", "tickers"), """
+SELECT price_date, any_value(close_price) FILTER (WHERE ticker = '^A') AS sp500_close,
+       any_value(daily_return) FILTER (WHERE ticker = '^A') AS sp500_return,
+       any_value(close_price) FILTER (WHERE ticker = '^N') AS nasdaq_close,
+       any_value(close_price) FILTER (WHERE ticker = '^R') AS dow_close,
+       CAST(sum(members * greatest(coalesce(sign(daily_return), 0), 0)) AS BIGINT) AS advancers,
+       CAST(sum(members * greatest(coalesce(-sign(daily_return), 0), 0)) AS BIGINT) AS decliners
+FROM technicals LEFT JOIN (SELECT ticker, count(*) AS members FROM tickers GROUP BY ticker) USING (ticker)
+GROUP BY price_date""")
+_def("snapshot", ("day_grain", "crypto_returns", "stg_fng", "macro_wide"), """
+SELECT g.price_date AS snapshot_date, sp500_close, sp500_return, nasdaq_close, dow_close, advancers, decliners,
+       c.price_usd AS btc_price, c.dominance_pct AS btc_dominance, c.daily_return AS btc_return, fng_value,
+       classification AS fng_classification, fed_funds_rate, treasury_10y, treasury_2y,
+       treasury_10y - treasury_2y AS spread_10y_2y, treasury_2y > treasury_10y AS is_inverted, vix, wti_crude_oil
+FROM day_grain g
+LEFT JOIN crypto_returns c ON (c.coin_id, c.price_date) = ('bitcoin', g.price_date)
+LEFT JOIN stg_fng ON reading_date = g.price_date
+LEFT JOIN macro_wide ON observation_date = g.price_date""")
+_def("snapshot_places", ("snapshot",), """
 SELECT snapshot_date, sp500_return, btc_return, vix, fed_funds_rate,
-       lag(fed_funds_rate, 5) OVER (ORDER BY snapshot_date) AS fed_funds_prev,
-       CASE WHEN fed_funds_rate > lag(fed_funds_rate, 5) OVER (ORDER BY snapshot_date) THEN 'Hiking'
-            WHEN fed_funds_rate < lag(fed_funds_rate, 5) OVER (ORDER BY snapshot_date) THEN 'Cutting'
-            ELSE 'Holding' END AS rate_regime,
-       CASE WHEN vix >= 20 THEN 'High Vol' ELSE 'Low Vol' END AS vol_regime
-FROM snapshot""")
+       (SELECT count(*) FROM snapshot b WHERE b.snapshot_date < a.snapshot_date) AS place FROM snapshot a""")
+_def("regime_daily", ("snapshot_places",), """
+SELECT now.* EXCLUDE (place), past.fed_funds_rate AS fed_funds_prev,
+       coalesce(map {1: 'Hiking', -1: 'Cutting'}[sign(now.fed_funds_rate - past.fed_funds_rate)], 'Holding') AS rate_regime,
+       if(coalesce(now.vix, 0) < 20, 'Low Vol', 'High Vol') AS vol_regime
+FROM snapshot_places now LEFT JOIN snapshot_places past ON past.place = now.place - 5""")
 _def("regime", ("regime_daily",), """
-SELECT rate_regime, vol_regime, count(*) AS num_days, avg(sp500_return) AS avg_sp500_return,
-       avg(btc_return) AS avg_btc_return
-FROM regime_daily GROUP BY rate_regime, vol_regime""")
-
-
-def _corr(a: str, b: str) -> str:
-    a2 = f"CASE WHEN {b} IS NOT NULL THEN {a} END"
-    b2 = f"CASE WHEN {a} IS NOT NULL THEN {b} END"
-    return (f"CASE WHEN count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) >= 3 THEN covar_pop({a2}, {b2}) "
-            f"/ NULLIF(stddev_pop({a2}) * stddev_pop({b2}), 0) END")
-
-
-_CORR_ROWS = []
-for _an, _ac in (("SP500", "sp500_return"), ("BTC", "btc_return")):
-    for _mn, _mc in (("VIX", "vix"), ("TREASURY_10Y", "treasury_10y"), ("TREASURY_2Y", "treasury_2y"),
-                     ("FED_FUNDS_RATE", "fed_funds_rate"), ("WTI_CRUDE_OIL", "wti_crude_oil")):
-        _CORR_ROWS.append(
-            f"SELECT '{_an}' AS asset, '{_mn}' AS macro_indicator, {_corr(_ac, _mc)} AS correlation, "
-            f"count(*) FILTER (WHERE {_ac} IS NOT NULL AND {_mc} IS NOT NULL) AS n_obs FROM snapshot")
-_def("correlation", ("snapshot",), "\nUNION ALL\n".join(_CORR_ROWS))
-_def("sector_perf", ("technicals", "tickers", "dim_tickers"), """
-SELECT d.gics_sector, p.price_date, count(DISTINCT p.ticker) AS num_constituents,
-       avg(p.daily_return) AS avg_daily_return,
-       CAST(sum(CAST(p.close_price AS DECIMAL(38,10))) AS DOUBLE) AS total_close_price
-FROM (SELECT t.ticker, t.price_date, t.daily_return, t.close_price FROM technicals t
-      JOIN tickers s ON t.ticker = s.ticker) p
-JOIN (SELECT ticker, gics_sector FROM dim_tickers) d ON p.ticker = d.ticker
-WHERE d.gics_sector IS NOT NULL
-GROUP BY d.gics_sector, p.price_date""")
-_def("asset_prices", ("asset_returns", "technicals"), """
-SELECT r.asset_type, r.asset_id, r.asset_name, r.asset_date AS price_date, r.close, r.daily_return,
-       t.ma_20, t.ma_50, t.ma_200, t.rsi_14
-FROM asset_returns r
-LEFT JOIN (SELECT ticker, price_date, ma_20, ma_50, ma_200, rsi_14 FROM technicals) t
-  ON r.asset_type = 'stock' AND r.asset_id = t.ticker AND r.asset_date = t.price_date""")
+SELECT rate_regime, vol_regime, count(*) AS num_days, sum(sp500_return) / NULLIF(count(sp500_return), 0)
+         AS avg_sp500_return, sum(btc_return) / NULLIF(count(btc_return), 0) AS avg_btc_return
+FROM regime_daily GROUP BY ALL""")
+
+#: Correlated pairs (fixed names), unpivoted to one row per day, asset and indicator.
+_ASSETS = {"SP500": "sp500_return", "BTC": "btc_return"}
+_MACROS = {"VIX": "vix", "TREASURY_10Y": "treasury_10y", "TREASURY_2Y": "treasury_2y",
+           "FED_FUNDS_RATE": "fed_funds_rate", "WTI_CRUDE_OIL": "wti_crude_oil"}
+
+
+def _long(columns: dict[str, str], name: str) -> str:
+    rows = ", ".join(f"{{'{name}': '{k}', 'x': CAST({c} AS DOUBLE)}}" for k, c in columns.items())
+    return f"SELECT snapshot_date, unnest([{rows}], recursive := true) FROM snapshot"
+
+
+_def("correlation", ("snapshot",), f"""
+SELECT asset, macro_indicator, n AS n_obs, CASE WHEN n >= 3 THEN (n * xy - sx * sy)
+         / NULLIF(sqrt(greatest(n * xx - sx * sx, 0)) * sqrt(greatest(n * yy - sy * sy, 0)), 0) END AS correlation
+FROM (SELECT asset, macro_indicator, count(x * y) AS n, sum(x * y) AS xy, sum(x) FILTER (WHERE y IS NOT NULL) AS sx,
+             sum(y) FILTER (WHERE x IS NOT NULL) AS sy, sum(x * x) FILTER (WHERE y IS NOT NULL) AS xx,
+             sum(y * y) FILTER (WHERE x IS NOT NULL) AS yy
+      FROM (SELECT a.snapshot_date, asset, macro_indicator, a.x AS x, m.x AS y FROM ({_long(_ASSETS, 'asset')}) a
+            JOIN ({_long(_MACROS, 'macro_indicator')}) m USING (snapshot_date)) GROUP BY ALL)""")
+_def("sector_perf", ("technicals",), """
+SELECT r_name AS gics_sector, price_date, count(DISTINCT ticker) AS num_constituents,
+       sum(daily_return) / NULLIF(count(daily_return), 0) AS avg_daily_return,
+       CAST(sum(CAST(close_price AS DECIMAL(38,10))) AS DOUBLE) AS total_close_price
+FROM region JOIN nation ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey
+JOIN technicals ON ticker = concat('S', s_suppkey)
+GROUP BY ALL HAVING r_name IS NOT NULL""")
+_def("asset_prices", ("technicals", "crypto_returns"), """
+SELECT 'stock' AS asset_type, ticker AS asset_id, ticker AS asset_name, price_date, close_price AS close,
+       daily_return, ma_20, ma_50, ma_200, rsi_14 FROM technicals
+UNION ALL BY NAME
+SELECT 'crypto' AS asset_type, coin_id AS asset_id, symbol AS asset_name, price_date, price_usd AS close,
+       daily_return FROM crypto_returns""")
 
 
 def cte(*names: str) -> str:
