@@ -38,6 +38,22 @@ def test_merge_into_incremental_equals_full_and_ignores_late(spark, tmpdir_path)
     assert {str(r.d): r.v for r in looked.collect()}["2024-01-02"] == 99.0
 
 
+def test_unfinished_version_is_not_read(spark, tmpdir_path):
+    import os
+    root = tmpdir_path + "/t"
+    good = _days(spark, [("2024-01-01", 1.0), ("2024-01-02", 2.0), ("2024-02-01", 3.0)])
+    INC.merge_into(spark, root, lambda h: good, "d")
+    half = f"{root}/000001-merge/_bucket=2024-01"
+    _days(spark, [("2024-01-01", 9.0)]).write.parquet(half)  # its merge never committed
+    assert INC.read_current(spark, root).count() == 3
+    INC.merge_into(spark, root, lambda h: _days(spark, [("2024-02-02", 4.0)]), "d")
+    assert {str(r.d): r.v for r in INC.read_current(spark, root).collect()} == {
+        "2024-01-01": 1.0, "2024-01-02": 2.0, "2024-02-01": 3.0, "2024-02-02": 4.0}
+    assert sorted(os.listdir(f"{root}/000002-merge")) [-1:] == ["_bucket=2024-02"]  # only the month it touched
+    INC.merge_into(spark, root, lambda h: good.limit(0), "d", full_refresh=True)
+    assert INC.read_current(spark, root) is None
+
+
 def test_incremental_filter_empty_target_is_first_run(spark):
     src = _days(spark, [("2024-01-01", 1.0)])
     empty = src.limit(0)

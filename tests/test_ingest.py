@@ -88,3 +88,30 @@ def test_empty_day_writes_artifact_and_warns(spark, tmpdir_path):
         L.write_landing(empty, root, run_date="2024-01-09")
     assert any(f.endswith(".json") for f in os.listdir(os.path.join(root, "date=2024-01-09")))
     assert L.read_landing(spark, root, "x").count() == 0
+
+
+def test_second_run_reads_no_old_file(spark, tmpdir_path):
+    root, bronze = os.path.join(tmpdir_path, "prices"), os.path.join(tmpdir_path, "bronze")
+    _write(f"{root}/2024-01-01.json", [{"v": 1}])
+    L.ingest(spark, root, "x", bronze)
+    old = os.stat(f"{root}/2024-01-01.json")
+    _write(f"{root}/2024-01-01.json", "[{'v':")  # unreadable now, with the same time and size
+    with open(f"{root}/2024-01-01.json", "w") as f:
+        f.write("!" * old.st_size)
+    os.utime(f"{root}/2024-01-01.json", ns=(old.st_atime_ns, old.st_mtime_ns))
+    _write(f"{root}/pair.json", [{"v": 2}, {"v": 3}])
+    assert [r.rows_loaded for r in L.ingest(spark, root, "x", bronze).collect()] == [2]
+    assert L.ingest(spark, root + "-absent", "x", bronze + "2").count() == 0
+
+
+def test_permissive_scan_drops_and_counts_bad_records(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "mixed")
+    _write(f"{root}/part-0.json", '{"v": 1}\n{"v": \n{"v": 3}\n')
+    _write(f"{root}/b.json", '[{"v": 1}, ')
+    _write(f"{root}/c.json", '{"v": 4}\nbad\n')
+    got = L.scan_landing(spark, root, fail_fast=False)
+    assert got.count() == 3
+    bad = {os.path.basename(r.file_path): r.n_bad for r in L.bad_records(spark, root).collect()}
+    assert bad == {"part-0.json": 1, "b.json": 1, "c.json": 1}
+    with pytest.raises(Exception):
+        L.scan_landing(spark, root).collect()

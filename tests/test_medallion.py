@@ -110,7 +110,8 @@ def test_full_build_job(spark, tmpdir_path):
     wh = os.path.join(tmpdir_path, "wh")
     rep = jobs.run(spark, land, wh, gate=True, export_csv=os.path.join(tmpdir_path, "csv"))
     assert all(r.failures == 0 for r in rep.collect())
-    snap = spark.read.parquet(jobs.layer_path(wh, "gold", "daily_market_snapshot"))
+    from tidemark.operators.incremental import read_current
+    snap = read_current(spark, jobs.layer_path(wh, "gold", "daily_market_snapshot"))
     assert snap.select("snapshot_date").distinct().count() == 3
     # a second run with nothing new keeps the table and ingests no file twice
     jobs.run(spark, land, wh)
@@ -127,12 +128,67 @@ def test_views_for_sql_users(spark, medallion):
     assert spark.sql("SELECT sum(num_days) AS d FROM t_regime_analysis").first().d == 4
 
 
-def test_backfill_window_limits_landing_files(spark, tmpdir_path):
+def _closes(spark, wh, table, column="close_price"):
+    from tidemark.plans import jobs
+    layer = "silver" if table.startswith(("stg", "prices")) else "gold"
+    return {str(r.price_date): r[column] for r in spark.read.parquet(jobs.layer_path(wh, layer, table)).collect()}
+
+
+def test_backfill_window_bounds_ingest_only(spark, tmpdir_path):
+    """A windowed run takes the window's files, and builds over all that was ever loaded."""
     from tidemark.plans import jobs
     land = os.path.join(tmpdir_path, "landing")
     for day, close in (("2024-01-02", 10.0), ("2024-01-03", 11.0), ("2024-01-04", 12.0)):
         _land(land, "stock-prices", day, [{"ticker": "AAPL", "date": day, "close": close}])
     wh = os.path.join(tmpdir_path, "wh")
     jobs.run(spark, land, wh, start="2024-01-02", end="2024-01-03", gate=False)
-    stg = spark.read.parquet(jobs.layer_path(wh, "silver", "stg_daily_prices"))
-    assert sorted(str(r.price_date) for r in stg.collect()) == ["2024-01-02", "2024-01-03"]
+    assert sorted(_closes(spark, wh, "stg_daily_prices")) == ["2024-01-02", "2024-01-03"]
+    jobs.run(spark, land, wh, start="2024-01-04", end="2024-01-04", gate=False)
+    ma = _closes(spark, wh, "prices_with_technicals", "ma_20")
+    assert ma == {"2024-01-02": 10.0, "2024-01-03": 10.5, "2024-01-04": 11.0}
+    from tidemark.sources.landing import file_date
+    assert file_date("/x/date=2024-01-05/part-0.json") == "2024-01-05" == file_date("s/2024-01-05.json")
+    assert file_date("/2024-01-05/x/notes.json") is None
+
+
+def test_late_day_needs_full_refresh_or_lookback(spark, tmpdir_path):
+    from tidemark.plans import jobs
+    land, wh = os.path.join(tmpdir_path, "landing"), os.path.join(tmpdir_path, "wh")
+    _land(land, "stock-prices", "2024-01-02", [{"ticker": "AAPL", "date": "2024-01-02", "close": 10.0}])
+    jobs.run(spark, land, wh, gate=False)
+    _land(land, "stock-prices", "2024-01-01", [{"ticker": "AAPL", "date": "2024-01-01", "close": 9.0}])
+
+    def days():
+        from tidemark.operators.incremental import read_current
+        return sorted(str(r.snapshot_date) for r in
+                      read_current(spark, jobs.layer_path(wh, "gold", "daily_market_snapshot")).collect())
+    jobs.run(spark, land, wh, gate=False)
+    assert days() == ["2024-01-02"]
+    jobs.run(spark, land, wh, gate=False, lookback_days=5)
+    assert days() == ["2024-01-01", "2024-01-02"]
+    jobs.run(spark, land, wh, gate=False, full_refresh=True)
+    assert days() == ["2024-01-01", "2024-01-02"]
+
+
+def test_own_seeds_and_unreadable_bronze(spark, tmpdir_path):
+    from tidemark.plans import jobs
+    land, wh, seeds = (os.path.join(tmpdir_path, n) for n in ("landing", "wh", "seeds"))
+    os.makedirs(seeds)
+    for name, text in (("tickers", "ticker,company_name,sector\nZZZ,Zed,Tech\n"),
+                       ("sectors", 'yahoo_sector,gics_sector,description\nTech,IT,"soft, hard"\n'),
+                       ("series", "series_id,series_name,frequency,unit,category\nDFF,Fed,Daily,Percent,Rates\n")):
+        with open(f"{seeds}/{name}.csv", "w") as f:
+            f.write(text)
+    _land(land, "stock-prices", "2024-01-02", [{"ticker": "ZZZ", "date": "2024-01-02", "close": 10.0}])
+    report = jobs.run(spark, land, wh, seeds=seeds)
+    assert report.count() == len(jobs.TESTS) == 43 and report.filter("failures > 0").count() == 0
+    sp = spark.read.parquet(jobs.layer_path(wh, "gold", "sector_performance")).collect()
+    assert [(r.gics_sector, r.num_constituents) for r in sp] == [("IT", 1)]
+    fresh = spark.read.parquet(jobs.layer_path(wh, "gold", "freshness_report"))
+    assert fresh.count() == 5 and fresh.filter("status = 'pass'").count() == 1
+    bronze = jobs.layer_path(wh, "bronze", "raw_stock_prices")
+    part = next(f for f in os.listdir(bronze) if f.endswith(".parquet"))
+    with open(f"{bronze}/{part}", "wb") as f:
+        f.write(b"broken")
+    with pytest.raises(Exception):
+        jobs.run(spark, land, wh, seeds=seeds)

@@ -1,8 +1,9 @@
 """Incremental builds: high-water-mark filters and key-based upserts.
 
-Tables are plain parquet. An upsert never overwrites the folder it reads:
-each merge writes a new version folder under the table root and readers
-take the newest complete version (versions are kept, never deleted here).
+A merged table is a folder of versions. Each merge writes only the buckets (months, for a
+date key) that it touches into a new version folder; Spark's committer leaves ``_SUCCESS``
+there last, and readers take, for each bucket, the newest complete version that holds it.
+So a merge costs what it touches, and one that breaks off is as if it never ran.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.storage import complete, listing
+
 
 def high_water_mark(target: DataFrame, key: str) -> Column:
     """``max(key)`` of the target as a scalar-subquery Column (stays lazy)."""
@@ -39,22 +42,35 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     return kept.unionByName(updates)
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    try:
-        df = spark.read.parquet(root)
-    except Exception:  # noqa: BLE001 - no table yet
-        return []
-    if "_version" not in df.columns:
-        return []
-    return [r[0] for r in df.select("_version").distinct().collect()]
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool, str]]:
+    """(number, full, path) of the complete versions, oldest first."""
+    out = []
+    for name, path, folder, *_ in listing(spark, root) or []:
+        number, _, kind = name.partition("-")
+        if folder and number.isdigit() and complete(spark, path):
+            out.append((int(number), kind == "full", path))
+    return sorted(out)
+
+
+def _next_version(spark: SparkSession, root: str) -> int:
+    """Above every version, also those that were not completed."""
+    return 1 + max((int(n.partition("-")[0]) for n, *_ in listing(spark, root) or []
+                    if n.partition("-")[0].isdigit()), default=-1)
+
+
+def _bucket(df: DataFrame, key: str) -> Column:
+    kind = dict(df.dtypes)[key]
+    month = F.date_format(key, "yyyy-MM") if kind in ("date", "timestamp", "timestamp_ntz") else F.lit("all")
+    return F.coalesce(month, F.lit("null"))
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """Newest version of a versioned table (partition pruning on ``_version``)."""
-    versions = _versions(spark, root)
-    if not versions:
-        return None
-    return spark.read.parquet(root).filter(F.col("_version") == max(versions)).drop("_version")
+    """The merged table: of each bucket its newest complete version since the last full one."""
+    buckets: dict[str, str] = {}
+    for _, full, path in _versions(spark, root):
+        buckets = {} if full else buckets
+        buckets |= {name: own for name, own, folder, *_ in listing(spark, path) if folder and name.startswith("_bucket=")}
+    return spark.read.parquet(*buckets.values()) if buckets else None
 
 
 def merge_into(spark: SparkSession, root: str, build: Callable[[Column | None], DataFrame],
@@ -63,18 +79,22 @@ def merge_into(spark: SparkSession, root: str, build: Callable[[Column | None],
 
     First run (or ``full_refresh``, or an empty target): ``build(None)``.
     Later runs: ``build(high_water)`` yields only newer keys, which replace
-    equal keys of the current version; the merged table is written as the
-    next version. Returns the new current version.
+    equal keys; the buckets they fall into are written as the next version.
+    Returns the new current table.
     """
     current = None if full_refresh else read_current(spark, root)
-    versions = _versions(spark, root)
-    nxt = (max(versions) + 1) if versions else 0
+    path = f"{root.rstrip('/')}/{_next_version(spark, root):06d}"
     if current is None:
-        merged = build(None)
+        rows, path = build(None), f"{path}-full"
     else:
         hwm = high_water_mark(current, key)
         if lookback_days:
             hwm = F.date_sub(hwm, lookback_days)
-        merged = upsert(current, build(hwm), [key])
-    merged.withColumn("_version", F.lit(nxt)).write.mode("append").partitionBy("_version").parquet(root)
-    return read_current(spark, root)
+        updates, path = build(hwm), f"{path}-merge"
+        touched = updates.select(_bucket(updates, key).alias("_touched")).distinct()
+        own = current.join(touched, _bucket(current, key) == F.col("_touched"), "left_semi")
+        rows = upsert(own, updates, [key])
+    schema = rows.schema
+    rows.withColumn("_bucket", _bucket(rows, key)).write.partitionBy("_bucket").parquet(path)
+    table = read_current(spark, root)
+    return table if table is not None else spark.createDataFrame([], schema)

@@ -1,17 +1,21 @@
 """End-to-end build: landing -> Bronze -> Silver -> Gold -> quality gate.
 
     python -m tidemark.plans.jobs --landing <dir> --warehouse <dir> [--start D --end D]
+        [--seeds <dir>] [--full-refresh] [--lookback-days N]
 
-Each layer is written under ``<warehouse>/<LAYER>/<table>``. The two tables
-with many consumers (technicals, snapshot) are materialised, so their plans
-run once; the snapshot is maintained incrementally (merge on snapshot_date).
+Each layer is written under ``<warehouse>/<LAYER>/<table>``, each table once: later tables
+and the checks read the stored ones. ``--start/--end`` bound which landing files are
+ingested; the build always covers all of Bronze. The snapshot is maintained incrementally
+(merge on snapshot_date).
 """
 
 from __future__ import annotations
 
 import argparse
+import functools
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as DQ
@@ -20,6 +24,7 @@ from tidemark.plans import medallion as M
 from tidemark.plans.pipeline import Medallion
 from tidemark.sources import landing as L
 from tidemark.sources import seeds as SD
+from tidemark.storage import has_data
 
 LAYERS = {"bronze": ["raw_stock_prices", "raw_stock_fundamentals", "raw_fred_series", "raw_crypto_prices",
                      "raw_fear_greed"],
@@ -36,84 +41,144 @@ def layer_path(warehouse: str, layer: str | None, table: str, default: str = "PU
     return f"{warehouse.rstrip('/')}/{schema}/{table}"
 
 
-def landing_window(bronze: DataFrame, start: str | None, end: str | None) -> DataFrame:
-    """Bronze rows whose landing file is dated within [start, end] (inclusive)."""
-    if not (start or end):
-        return bronze
-    day = F.to_date(F.regexp_extract(F.col("_file_name"), r"(\d{4}-\d{2}-\d{2})[^/]*$", 1))
-    lo = F.to_date(F.lit(start)) if start else F.lit(None).cast("date")
-    hi = F.to_date(F.lit(end)) if end else F.lit(None).cast("date")
-    return bronze.filter((lo.isNull() | (day >= lo)) & (hi.isNull() | (day <= hi)))
-
-
-def quality_checks(m: Medallion) -> dict[str, DataFrame]:
-    """The build's data tests (schema tests + singular tests)."""
-    return {
-        "stg_prices_key": DQ.dq_unique_combo(m.ref("stg_daily_prices"), ["ticker", "price_date"]),
-        "stg_prices_ticker_not_null": DQ.dq_not_null(m.ref("stg_daily_prices"), "ticker"),
-        "stg_prices_close_range": DQ.dq_range(m.ref("stg_daily_prices"), "close_price", 0),
-        "stg_prices_future_dates": DQ.dq_future_dates(m.ref("stg_daily_prices"), "price_date"),
-        "stg_fundamentals_key": DQ.dq_unique_combo(m.ref("stg_fundamentals"), ["ticker", "snapshot_date"]),
-        "market_cap_bounds": DQ.dq_bounds(m.ref("stg_fundamentals"), "market_cap"),
-        "stg_macro_key": DQ.dq_unique_combo(m.ref("stg_macro"), ["series_id", "observation_date"]),
-        "stg_crypto_key": DQ.dq_unique_combo(m.ref("stg_crypto"), ["coin_id", "price_date"]),
-        "stg_crypto_price_range": DQ.dq_range(m.ref("stg_crypto"), "price_usd", 0),
-        "fng_unique_date": DQ.dq_unique(m.ref("stg_fear_greed"), "reading_date"),
-        "fng_range": DQ.dq_range(m.ref("stg_fear_greed"), "fng_value", 0, 100),
-        "rsi_range": DQ.dq_range(m.ref("prices_with_technicals"), "rsi_14", 0, 100),
-        "dominance_range": DQ.dq_range(m.ref("crypto_with_dominance"), "dominance_pct", 0, 100),
-        "returns_key": DQ.dq_unique_combo(m.ref("asset_daily_returns"), ["asset_type", "asset_id", "asset_date"]),
-        "dim_tickers_unique": DQ.dq_unique(m.ref("dim_tickers"), "ticker"),
-        "snapshot_unique_date": DQ.dq_unique(m.ref("daily_market_snapshot"), "snapshot_date"),
-        "correlation_range": DQ.dq_range(m.ref("macro_asset_correlation"), "correlation", -1, 1),
-    }
+#: Stored tables that are split into months of this column, so that reports on days read few files.
+PARTITIONED = {"stg_daily_prices": "price_date", "prices_with_technicals": "price_date",
+               "asset_daily_returns": "asset_date", "sector_performance": "price_date", "asset_prices": "price_date"}
+
+#: The data tests of the build: table, test and its arguments.
+TESTS = [
+    ("stg_daily_prices", "unique_combo", ("ticker", "price_date")), ("stg_daily_prices", "not_null", "ticker"),
+    ("stg_daily_prices", "not_null", "price_date"), ("stg_daily_prices", "range", ("close_price", 0, None)),
+    ("stg_daily_prices", "future_dates", "price_date"),
+    ("stg_fundamentals", "unique_combo", ("ticker", "snapshot_date")), ("stg_fundamentals", "not_null", "ticker"),
+    ("stg_fundamentals", "not_null", "snapshot_date"), ("stg_fundamentals", "bounds", "market_cap"),
+    ("stg_macro", "unique_combo", ("series_id", "observation_date")), ("stg_macro", "not_null", "series_id"),
+    ("stg_macro", "not_null", "observation_date"),
+    ("stg_crypto", "unique_combo", ("coin_id", "price_date")), ("stg_crypto", "not_null", "coin_id"),
+    ("stg_crypto", "not_null", "price_date"), ("stg_crypto", "range", ("price_usd", 0, None)),
+    ("stg_fear_greed", "unique", "reading_date"), ("stg_fear_greed", "not_null", "reading_date"),
+    ("stg_fear_greed", "range", ("fng_value", 0, 100)),
+    ("prices_with_technicals", "unique_combo", ("ticker", "price_date")),
+    ("prices_with_technicals", "not_null", "ticker"), ("prices_with_technicals", "range", ("rsi_14", 0, 100)),
+    ("crypto_with_dominance", "unique_combo", ("coin_id", "price_date")),
+    ("crypto_with_dominance", "range", ("dominance_pct", 0, 100)),
+    ("macro_pivot", "unique", "observation_date"), ("macro_pivot", "not_null", "observation_date"),
+    ("yield_curve", "unique", "observation_date"), ("yield_curve", "not_null", "observation_date"),
+    ("asset_daily_returns", "unique_combo", ("asset_type", "asset_id", "asset_date")),
+    ("dim_tickers", "unique", "ticker"), ("dim_tickers", "not_null", "ticker"),
+    ("dim_macro_indicators", "unique", "series_id"), ("dim_macro_indicators", "not_null", "series_id"),
+    ("dim_sectors", "unique", "yahoo_sector"), ("dim_sectors", "not_null", "gics_sector"),
+    ("daily_market_snapshot", "unique", "snapshot_date"), ("daily_market_snapshot", "not_null", "snapshot_date"),
+    ("sector_performance", "unique_combo", ("gics_sector", "price_date")),
+    ("regime_analysis", "not_null", "rate_regime"), ("regime_analysis", "not_null", "vol_regime"),
+    ("asset_prices", "unique_combo", ("asset_type", "asset_id", "price_date")),
+    ("macro_asset_correlation", "not_null", "asset"),
+    ("macro_asset_correlation", "range", ("correlation", -1, 1)),
+]
+
+#: Bronze tables and the sources whose freshness is watched.
+SOURCES = {"raw_stock_prices": "yahoo_finance", "raw_stock_fundamentals": "yahoo_fundamentals",
+           "raw_fred_series": "fred", "raw_crypto_prices": "coingecko", "raw_fear_greed": "alternative_me"}
+
+
+def quality_report(tables: Mapping[str, DataFrame] | Callable[[str], DataFrame],
+                   tests: Sequence[tuple] = TESTS, as_of: Column | None = None) -> DataFrame:
+    """check_name and failures of every test. The row tests of a table are counted by one
+    aggregate over it; key tests need one aggregate by key each."""
+    ref = tables if callable(tables) else tables.__getitem__
+    as_of = as_of if as_of is not None else F.current_date()
+    by_table: dict[str, list] = {}
+    for table, test, args in tests:
+        by_table.setdefault(table, []).append((test, args))
+    parts = []
+    for table, own in by_table.items():
+        df, rows = ref(table), {}
+        for test, args in own:
+            name = f"{table}.{test}.{args if isinstance(args, str) else '+'.join(str(a) for a in args)}"
+            if test == "unique":
+                keys = DQ.dq_unique(df, args)
+            elif test == "unique_combo":
+                keys = DQ.dq_unique_combo(df, list(args))
+            else:
+                rows[name] = {"not_null": lambda c: F.col(c).isNull(),
+                              "range": lambda a: ~DQ.in_range(*a),
+                              "future_dates": lambda c: F.col(c) > as_of,
+                              "bounds": lambda c: DQ.out_of_bounds(c)}[test](args)
+                continue
+            parts.append(keys.agg(F.count("*").alias("failures")).select(F.lit(name).alias("check_name"), "failures"))
+        if rows:
+            counts = df.agg(*[F.count_if(bad).alias(f"n{i}") for i, bad in enumerate(rows.values())])
+            parts.append(counts.select(F.explode(F.array(*[
+                F.struct(F.lit(name).alias("check_name"), F.col(f"n{i}").alias("failures"))
+                for i, name in enumerate(rows)])).alias("r")).select("r.check_name", "r.failures"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def freshness_report(bronze: Mapping[str, DataFrame], as_of: Column | None = None) -> DataFrame:
+    """Age and status of every source's newest load."""
+    return functools.reduce(DataFrame.unionByName, [
+        DQ.dq_freshness(bronze[table], as_of=as_of, source=source) for table, source in SOURCES.items()])
+
+
+def read_seeds(spark: SparkSession, folder: str | None) -> dict[str, DataFrame]:
+    """Seed tables: ``<folder>/<name>.csv`` each, or the built-in ones where no folder is given."""
+    if folder is None:
+        return {n: SD.default_seed(spark, n) for n in SD.SEED_SCHEMAS}
+    return {n: SD.read_seed(spark, f"{folder.rstrip('/')}/{n}.csv", n) for n in SD.SEED_SCHEMAS}
+
+
+def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+    """A Bronze table; one that no landing ever reached is empty, an unreadable one fails the run."""
+    if not has_data(spark, path):
+        return spark.createDataFrame([], "raw_data variant, source string, _loaded_at timestamp_ntz, _file_name string")
+    return spark.read.parquet(path)
+
+
+def store(df: DataFrame, path: str, day: str | None = None) -> DataFrame:
+    """Write a table whole and read it back, in months of ``day`` where one is given."""
+    schema = df.schema
+    if day:
+        month = F.date_format(day, "yyyy-MM")
+        df.withColumn("_month", month).repartition(F.col("_month")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static").partitionBy("_month").parquet(path)
+    else:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def run(spark: SparkSession, landing: str, warehouse: str, start: str | None = None,
-        end: str | None = None, gate: bool = True, export_csv: str | None = None) -> DataFrame:
-    """Ingest new landing files, rebuild Silver/Gold, merge the snapshot, gate on checks.
+        end: str | None = None, gate: bool = True, export_csv: str | None = None, seeds: str | None = None,
+        full_refresh: bool = False, lookback_days: int = 0, index_tickers: Mapping[str, str] = M.INDEX_TICKERS,
+        btc_id: str = M.BTC_ID) -> DataFrame:
+    """Ingest new landing files, rebuild Silver/Gold from all of Bronze, merge the snapshot, gate on checks.
 
-    Returns the quality report (one row per check).
+    ``start`` and ``end`` bound the ingested files only. Returns the quality report (one row
+    per check), which is stored beside the layers.
     """
     bronze = {}
     for sub, table in L.SUBDIR_TO_TABLE.items():
         path = layer_path(warehouse, "bronze", table)
-        try:
-            L.ingest(spark, f"{landing.rstrip('/')}/{sub}", sub, path)
-        except Exception as e:  # noqa: BLE001 - a source with no landing yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        try:
-            bronze[table] = landing_window(spark.read.parquet(path), start, end)
-        except Exception:  # noqa: BLE001
-            bronze[table] = spark.createDataFrame([], "raw_data variant, source string, "
-                                                      "_loaded_at timestamp_ntz, _file_name string")
-    seeds = {n: SD.default_seed(spark, n) for n in ("tickers", "sectors", "series")}
-    m = Medallion(bronze, seeds)
-    for name in ("prices_with_technicals", "crypto_with_dominance", "macro_pivot"):
-        path = layer_path(warehouse, "silver", name)
-        m.ref(name).write.mode("overwrite").parquet(path)
-        m._memo[name] = spark.read.parquet(path)
-    snap_root = layer_path(warehouse, "gold", "daily_market_snapshot")
+        L.ingest(spark, f"{landing.rstrip('/')}/{sub}", sub, path, start, end)
+        bronze[table] = read_bronze(spark, path)
+    m = Medallion(bronze, read_seeds(spark, seeds), index_tickers=index_tickers, btc_id=btc_id)
 
     def build(after):
         return M.daily_market_snapshot(m.ref("prices_with_technicals"), m.seeds["tickers"],
                                        m.ref("crypto_with_dominance"), m.ref("stg_fear_greed"),
-                                       m.ref("macro_pivot"), None, m.index_tickers,
-                                       m.btc_id, after=after)
+                                       m.ref("macro_pivot"), None, m.index_tickers, m.btc_id, after=after)
 
-    m._memo["daily_market_snapshot"] = merge_into(spark, snap_root, build, "snapshot_date")
     for layer in ("silver", "gold"):
-        for name in LAYERS[layer]:
-            if name in ("prices_with_technicals", "crypto_with_dominance", "macro_pivot",
-                        "daily_market_snapshot"):
-                continue
-            m.ref(name).write.mode("overwrite").parquet(layer_path(warehouse, layer, name))
-    report = DQ.dq_report(quality_checks(m))
+        for name in LAYERS[layer]:  # in the order of their parents
+            path = layer_path(warehouse, layer, name)
+            if name == "daily_market_snapshot":
+                m.keep(name, merge_into(spark, path, build, "snapshot_date", lookback_days, full_refresh))
+            else:
+                m.keep(name, store(m.ref(name), path, PARTITIONED.get(name)))
+    report = store(quality_report(m.ref), layer_path(warehouse, "gold", "quality_report"))
+    store(freshness_report(m.bronze), layer_path(warehouse, "gold", "freshness_report"))
     if export_csv:
         for name in LAYERS["gold"]:
-            (m.ref(name).coalesce(1).write.mode("overwrite").option("header", True)
-             .csv(f"{export_csv.rstrip('/')}/{name}"))
+            m.ref(name).write.mode("overwrite").option("header", True).csv(f"{export_csv.rstrip('/')}/{name}")
     if gate:
         DQ.dq_gate(report)
     return report
@@ -126,11 +191,15 @@ def main(argv=None) -> None:
     p.add_argument("--start")
     p.add_argument("--end")
     p.add_argument("--export-csv")
+    p.add_argument("--seeds", help="folder of tickers.csv, sectors.csv and series.csv")
+    p.add_argument("--full-refresh", action="store_true")
+    p.add_argument("--lookback-days", type=int, default=0)
     p.add_argument("--no-gate", action="store_true")
     a = p.parse_args(argv)
     from tidemark.session import build_session
     spark = build_session("tidemark-build")
-    run(spark, a.landing, a.warehouse, a.start, a.end, gate=not a.no_gate, export_csv=a.export_csv)
+    run(spark, a.landing, a.warehouse, a.start, a.end, gate=not a.no_gate, export_csv=a.export_csv,
+        seeds=a.seeds, full_refresh=a.full_refresh, lookback_days=a.lookback_days)
 
 
 if __name__ == "__main__":

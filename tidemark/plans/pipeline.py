@@ -9,7 +9,6 @@ folder and re-reads it, cutting the lineage for tables with many consumers.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +19,7 @@ from tidemark.plans import standins as S
 from tidemark.session import scratch_path, shared_dir
 from tidemark.sources.landing import to_bronze
 from tidemark.sources.vendor import daily_downsample
+from tidemark.storage import complete, listing
 
 BRONZE_TABLES = ["raw_stock_prices", "raw_stock_fundamentals", "raw_fred_series",
                  "raw_crypto_prices", "raw_fear_greed"]
@@ -84,6 +84,10 @@ class Medallion:
             self._memo[name] = self._builders[name]()
         return self._memo[name]
 
+    def keep(self, name: str, stored: DataFrame) -> None:
+        """Serve later refs of ``name`` from a stored table."""
+        self._memo[name] = stored
+
     def names(self) -> list[str]:
         return list(self._builders)
 
@@ -137,56 +141,44 @@ def standin_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def _input_tag(sf_dir: str) -> str:
+def _input_tag(spark: SparkSession, sf_dir: str) -> str:
     """Identity of a stand-in Bronze build: the input folder's path, the
     size/mtime of its files and the source of the code that shapes them, so
     a changed adapter never reuses Bronze built by an older one."""
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
     from tidemark.sources import landing as _landing
     from tidemark.sources import vendor as _vendor
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
     for mod in (S, _landing, _vendor):
         with open(mod.__file__, "rb") as f:
             h.update(f.read())
     with open(__file__, "rb") as f:
         h.update(f.read())
-    if os.path.isdir(sf_dir):
-        for name in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, name))
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+    for name, path, folder, size, modified in listing(spark, sf_dir) or []:
+        inner = listing(spark, path) if folder else [(name, path, folder, size, modified)]
+        h.update("".join(f"{n}:{m}:{k};" for n, _, _, m, k in inner).encode())
     return h.hexdigest()[:16]
 
 
-def _readable(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing or incomplete table
-        return False
-
-
 def persisted_bronze(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
     """Bronze tables of ``standin_bronze``, written once to the shared folder.
 
     Bronze is a stored, append-only layer: later jobs read it back (VARIANT
     columns are shredded on write, so field extraction becomes a column
-    read). A table whose write did not complete is rebuilt. Returns lazy
+    read). Rows are dealt by landing file, as loads of many files would be.
+    A table whose write did not complete is rebuilt. Returns lazy
     factories so a query only touches the tables it uses.
     """
-    root = f"{shared_dir(spark)}/tidemark-bronze/{_input_tag(sf_dir)}"
+    root = f"{shared_dir(spark)}/tidemark-bronze/{_input_tag(spark, sf_dir)}"
 
     def load(name: str) -> DataFrame:
         path = f"{root}/{name}"
-        if path not in _VERIFIED and not _readable(spark, path):
-            standin_bronze(spark, sf_dir)[name].write.mode("overwrite").parquet(path)
-        _VERIFIED.add(path)
+        if not complete(spark, path):
+            standin_bronze(spark, sf_dir)[name].repartition("_file_name").write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
     return {name: (lambda n=name: load(n)) for name in BRONZE_TABLES}
 
 
-_VERIFIED: set[str] = set()
-
-
 def standin_medallion(spark: SparkSession, sf_dir: str, persist: bool = True) -> Medallion:
     seeds = {"tickers": lambda: S.tickers_seed(spark, sf_dir),
              "sectors": lambda: S.sectors_seed(spark, sf_dir)}

@@ -24,17 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import safe_divide, score_band
-from tidemark.sources.files import spread
-
-
-FACT_TABLES = ("lineitem", "orders", "events")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; fact tables are spread over all cores when the file
-    is a single unsplittable row group."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in FACT_TABLES else df
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _iso(c: Column) -> Column:

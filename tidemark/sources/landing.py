@@ -8,13 +8,20 @@ files, which make Bronze its own load ledger) and are only ever appended.
 
 from __future__ import annotations
 
+import re
 import warnings
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.storage import has_data, listing
+
 BRONZE_COLUMNS = ["raw_data", "source", "_loaded_at", "_file_name"]
+#: Files that Spark's writers made hold one JSON object per line.
+LINES_PREFIX = "part-"
+#: Files that one day's records are written to at most.
+FILES_PER_DAY = 8
 LEDGER_KEYS = ["file_path", "file_modification_time", "file_size"]
 
 # Landing sub-folder -> Bronze table.
@@ -45,32 +52,58 @@ def to_bronze(records: DataFrame, source: str, loaded_at: Column | None = None,
         (file_name if file_name is not None else F.lit(None).cast("string")).alias("_file_name"))
 
 
-def scan_landing(spark: SparkSession, path: str, fail_fast: bool = True) -> DataFrame:
+def landing_files(spark: SparkSession, path: str) -> DataFrame:
+    """Path, modification time and size of every ``*.json`` file, contents unread."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.json").load(path))
+    return files.select(F.col("path").alias("file_path"), F.col("modificationTime").alias("file_modification_time"),
+                        F.col("length").alias("file_size"))
+
+
+def scan_landing(spark: SparkSession, path: str | Sequence[str], fail_fast: bool = True) -> DataFrame:
     """Scan landing files; one row per array element, with file metadata.
 
-    Each file is read whole (``wholetext``) and its top-level array exploded;
-    an empty array yields no rows. Files written by ``write_landing`` (one JSON
-    object per line) are accepted too. Sub-folders are listed recursively and only
-    ``*.json`` files are taken. A malformed file fails the scan (``fail_fast``)
-    or contributes no rows.
+    A file that Spark wrote is read line by line, so it is split like any text; any other
+    is read whole and its top-level array exploded (an empty array yields no rows; one
+    JSON object per line is accepted too). Sub-folders are listed recursively and only
+    ``*.json`` files are taken. A malformed record fails the scan (``fail_fast``) or
+    contributes no rows (``bad_records`` counts those).
     """
-    text = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.json").text(path))
+    rows = _parsed(spark, path, fail_fast)
+    return rows.filter(F.col("raw_data").isNotNull())
+
+
+def bad_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Malformed records per file (a malformed array file is one): file_path, n_bad."""
+    return (_parsed(spark, path, False).filter(F.col("raw_data").isNull())
+            .groupBy("file_path").agg(F.count("*").alias("n_bad")))
+
+
+def _parsed(spark: SparkSession, path: str | Sequence[str], fail_fast: bool) -> DataFrame:
+    """Records of all files; NULL ``raw_data`` stands for a malformed one (not ``fail_fast``)."""
+    paths = [path] if isinstance(path, str) else list(path)
     mode = "FAILFAST" if fail_fast else "PERMISSIVE"
     parse = F.parse_json if fail_fast else F.try_parse_json
+    meta = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"),
+            F.col("_metadata.file_modification_time").alias("file_modification_time"),
+            F.col("_metadata.file_size").alias("file_size")]
+
+    def text(whole: bool) -> DataFrame:
+        rows = (spark.read.option("wholetext", whole).option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*.json").text(paths))
+        return rows.filter(F.col("_metadata.file_name").startswith(LINES_PREFIX) != F.lit(whole))
+
+    filled = F.length(F.trim(F.col("value"))) > 0
+    by_line = text(False).filter(filled).select(parse(F.col("value")).alias("raw_data"), *meta)
     lines = F.filter(F.split(F.col("value"), "\n"), lambda s: F.length(F.trim(s)) > 0)
-    arr = F.when(F.ltrim(F.col("value")).startswith("["),
-                 F.from_json(F.col("value"), "array<variant>", {"mode": mode})) \
-           .otherwise(F.transform(lines, lambda s: parse(s)))
-    return text.select(
-        F.explode(arr).alias("raw_data"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_modification_time").alias("file_modification_time"),
-        F.col("_metadata.file_size").alias("file_size"))
-
-
-def read_landing(spark: SparkSession, path: str, source: str, fail_fast: bool = True) -> DataFrame:
+    arr = F.when(F.ltrim(F.col("value")).startswith("["), F.coalesce(
+        F.from_json(F.col("value"), "array<variant>", {"mode": mode}),
+        F.array(F.lit(None).cast("variant")))) \
+        .otherwise(F.transform(lines, lambda s: parse(s)))
+    return text(True).select(F.explode(arr).alias("raw_data"), *meta).unionByName(by_line)
+
+
+def read_landing(spark: SparkSession, path: str | Sequence[str], source: str, fail_fast: bool = True) -> DataFrame:
     """Landing files -> Bronze rows stamped with source, load time and file.
 
     ``_file_name`` holds the file's full path: file names alone repeat across
@@ -92,29 +125,34 @@ def new_files_only(scanned: DataFrame, ledger: DataFrame | None) -> DataFrame:
     return scanned.join(ledger.select(*LEDGER_KEYS).distinct(), LEDGER_KEYS, "left_anti")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - absent table
-        return False
+def file_date(path: str) -> str | None:
+    """The day a landing file is named for: ``.../2024-01-31.json`` or ``.../date=2024-01-31/part-...``."""
+    found = re.search(r"(?:date=|/)(\d{4}-\d{2}-\d{2})(?:/[^/]*|[^/]*)$", path)
+    return found[1] if found else None
 
 
-def ingest(spark: SparkSession, landing_path: str, source: str, bronze_path: str) -> DataFrame:
+def ingest(spark: SparkSession, landing_path: str, source: str, bronze_path: str,
+           start: str | None = None, end: str | None = None) -> DataFrame:
     """Append new landing files to a Bronze table; return this run's per-file counts.
 
-    Bronze rows carry the file identity (path, modification time, size), so
-    the load ledger is the Bronze table itself: files already present are
-    skipped and a re-run appends nothing. The append is the only write, so
-    an interrupted run leaves either all of a file's rows or none.
+    Files are listed without their contents and held against Bronze's own file columns
+    (path, modification time, size), the load ledger; only files that are new are read.
+    ``start`` and ``end`` bound the days of the files taken (inclusive; a file named for no
+    day is outside any bound). A re-run appends nothing. The append is the only write, so an
+    interrupted run leaves either all of a file's rows or none.
     """
-    ledger = spark.read.parquet(bronze_path).select(*LEDGER_KEYS) \
-        if _exists(spark, bronze_path) else None
-    rows = new_files_only(read_landing(spark, landing_path, source), ledger)
+    counts = "file_path string, file_modification_time timestamp, file_size long, rows_loaded long"
+    if listing(spark, landing_path) is None:
+        return spark.createDataFrame([], counts)
+    ledger = spark.read.parquet(bronze_path).select(*LEDGER_KEYS) if has_data(spark, bronze_path) else None
+    fresh = [r["file_path"] for r in new_files_only(landing_files(spark, landing_path), ledger).collect()]
+    if start or end:
+        fresh = [p for p in fresh if (d := file_date(p)) and (not start or d >= start) and (not end or d <= end)]
+    if not fresh:
+        return spark.createDataFrame([], counts)
+    rows = read_landing(spark, fresh, source)
     rows.select(*BRONZE_COLUMNS, *LEDGER_KEYS).write.mode("append").parquet(bronze_path)
-    loaded = spark.read.parquet(bronze_path)
-    if ledger is not None:
-        loaded = loaded.join(ledger.distinct(), LEDGER_KEYS, "left_anti")
+    loaded = new_files_only(spark.read.parquet(bronze_path).select(*LEDGER_KEYS), ledger)
     return loaded.groupBy(*LEDGER_KEYS).agg(F.count(F.lit(1)).alias("rows_loaded"))
 
 
@@ -146,5 +184,6 @@ def write_landing(records: DataFrame, root: str, date_col: str = "date",
         (records.drop(date_col).coalesce(1).write.mode("overwrite")
          .json(f"{root.rstrip('/')}/{date_col}={run_date}"))
         return
-    (records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(date_col).json(root))
+    # A day's records meet in a few tasks, so that a day is a few files and not one per task.
+    (records.repartition(F.col(date_col), F.pmod(F.xxhash64(*records.columns), F.lit(FILES_PER_DAY)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).json(root))
