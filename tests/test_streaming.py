@@ -59,3 +59,30 @@ def test_stream_bars_equal_batch_except_open_day(spark, tmpdir_path):
     last_day = ev.agg(F.max(F.to_date("ts"))).first()[0]
     want = batch.filter(F.col("date") < F.lit(last_day))
     assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_new_checkpoint_never_overwrites_older_batches(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    order, target = [F.col("ts").desc_nulls_first()], f"{tmpdir_path}/latest"
+    for run, rows in enumerate(([("a", 1), ("b", 1)], [("c", 1), ("a", 2)])):
+        src = f"{tmpdir_path}/src{run}"
+        spark.createDataFrame(rows, "k string, ts int").write.parquet(src)
+        stream = spark.readStream.schema("k string, ts int").parquet(src)
+        ST.upsert_latest_stream(stream, ["k"], order, target, f"{tmpdir_path}/ck{run}").awaitTermination()
+    assert {r.k: r.ts for r in ST.read_latest(spark, target, ["k"], order).collect()} == {"a": 2, "b": 1, "c": 1}
+
+
+def test_open_day_and_equal_timestamps(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    schema = "k string, ts timestamp, price double, seq int"
+    rows = [("a", "2024-01-01 10:00:00", 1.0, 2), ("a", "2024-01-01 10:00:00", 2.0, 1), ("a", "2024-01-01 11:00:00", 3.0, 4),
+            ("a", "2024-01-01 11:00:00", 4.0, 3)]
+    df = spark.createDataFrame(rows, "k string, t string, price double, seq int") \
+        .select("k", F.col("t").cast("timestamp").alias("ts"), "price", "seq")
+    df.write.parquet(f"{tmpdir_path}/src")
+    bars = ST.daily_bars_stream(spark.readStream.schema(schema).parquet(f"{tmpdir_path}/src"), "k", "ts", "price", seq="seq")
+    ST.upsert_bars(bars, f"{tmpdir_path}/bars", f"{tmpdir_path}/ck").awaitTermination()
+    got = ST.read_bars(spark, f"{tmpdir_path}/bars", "k").collect()
+    from tidemark.sources.vendor import ohlcv_bars
+    batch = ohlcv_bars(df, "k", "ts", "price", seq="seq").first()
+    assert [(r.open, r.close, r.volume) for r in got] == [(2.0, 3.0, 4)] == [(batch.open, batch.close, batch.volume)]

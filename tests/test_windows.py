@@ -145,3 +145,19 @@ def test_share_of_total_uses_aggregate_not_window(spark):
     with contextlib.redirect_stdout(buf):
         W.share_of_total(df, "v", "d").explain()
     assert "Window" not in buf.getvalue() and "HashAggregate" in buf.getvalue()
+
+
+def test_rows_without_order_come_last(spark):
+    rows = [(None, 99.0)] + [(f"2023-12-{d:02d}", float(d)) for d in (30, 31)] + [("2024-01-01", None)]
+    df = spark.createDataFrame(rows, "d string, v double").withColumn("d", F.to_date("d"))
+    got = {str(r.d): r.v_lag1 for r in W.lag_k(df, "v", 1, "d").collect()}
+    assert got == {"2023-12-30": None, "2023-12-31": 30.0, "2024-01-01": 31.0, "None": None}
+    filled = {str(r.d): r.v for r in W.forward_fill_global(df, "d", ["v"]).collect()}
+    assert filled == {"2023-12-30": 30.0, "2023-12-31": 31.0, "2024-01-01": 31.0, "None": 99.0}
+
+
+def test_frames_wider_than_a_bucket(spark):
+    df = spark.range(50).select(F.date_add(F.to_date(F.lit("2024-01-01")), F.col("id").cast("int")).alias("d"),
+                                F.col("id").cast("double").alias("v"))
+    got = W.global_frames(df, "d", 10, lambda frame: [F.sum("v").over(frame(10)).alias("s")], bucket_rows=4)
+    assert [r.s for r in got.orderBy("d").collect()] == [float(sum(range(max(0, i - 9), i + 1))) for i in range(50)]

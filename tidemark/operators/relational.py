@@ -207,3 +207,17 @@ def trailing_days(date_col: ColumnLike, days: int, as_of: Column | None = None)
     """``date >= as_of - days`` (as_of defaults to today)."""
     as_of = as_of if as_of is not None else F.current_date()
     return as_col(date_col) >= F.date_sub(as_of, days)
+
+
+def tagged_left_join(left: DataFrame, right: DataFrame, when: Column, on: Mapping[str, str]) -> DataFrame:
+    """Left join on keys (left column -> right column) of the left rows for which ``when`` holds.
+
+    The test is part of the join condition: rows that fail it stay, with NULLs.
+    It also nulls their key, so that they need not meet in the join at all.
+    """
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
+    cond = F.lit(True)
+    for a, b in on.items():
+        cond = cond & (F.when(when, F.col(a)) == F.col(f"_r_{b}"))
+    return left.join(renamed, cond, "left").select(
+        *left.columns, *[F.col(f"_r_{c}").alias(c) for c in right.columns if c not in left.columns])

@@ -108,13 +108,10 @@ def global_row_index(df: DataFrame, order: str, bucket: Column | None = None,
     buckets of the order key (default: its year), bucket sizes are counted,
     and a prefix sum over the (small) bucket table gives each bucket's offset.
     Deterministic, so a recomputed partition gets the same numbers.
-    ``order`` must be unique, as on a day grain. The input is read twice
-    (numbering and bucket sizes), so it is checkpointed first to the shared
-    checkpoint folder: its lineage runs once and is cut.
+    ``order`` must be unique, as on a day grain; rows without one come last.
+    The input is read twice (numbering and bucket sizes): give a stored table
+    where its own plan is expensive.
     """
-    from tidemark.session import shared_dir
-    shared_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
     bucket = bucket if bucket is not None else F.year(F.col(order))
     b = df.withColumn("_bucket", bucket)
     local = b.withColumn("_local", F.row_number().over(
@@ -122,9 +119,10 @@ def global_row_index(df: DataFrame, order: str, bucket: Column | None = None,
     sizes = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_bucket",
-        (F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_offset"))
-    return (local.join(offsets, "_bucket", "left")
+        (F.sum("_n").over(Window.orderBy(F.col("_bucket").asc_nulls_last())
+                          .rowsBetween(Window.unboundedPreceding, -1))).alias("_offset"))
+    offsets = offsets.withColumnRenamed("_bucket", "_of")
+    return (local.join(offsets, F.col("_bucket").eqNullSafe(F.col("_of")), "left").drop("_of")
                  .withColumn(index, F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local"))
                  .drop("_bucket", "_local", "_offset"))
 
@@ -176,9 +174,8 @@ def global_frames(df: DataFrame, order: str, width: int, columns, bucket_rows: i
     ``frame(n)`` is the trailing ``n``-row WindowSpec (``n <= width``). Halo
     rows are dropped afterwards.
     """
-    if width - 1 > bucket_rows:
-        raise ValueError("bucket_rows must be at least width - 1")
-    idx = global_row_index(df, order).checkpoint(eager=True)
+    bucket_rows = max(bucket_rows, width)
+    idx = global_row_index(df, order)
     b = F.floor(F.col("_row_idx") / F.lit(bucket_rows))
     main = idx.withColumn("_bkt", b).withColumn("_halo", F.lit(False))
     halo = (idx.filter(F.col("_row_idx") % F.lit(bucket_rows) >= F.lit(bucket_rows - (width - 1)))
@@ -199,22 +196,20 @@ def forward_fill_global(df: DataFrame, order: str, cols: Sequence[str], bucket:
     Filled inside coarse buckets (default: the year of ``order``); each
     bucket's last non-NULL value is carried into later buckets through a
     small per-bucket table, so no step sees the whole series in one task.
-    The input is checkpointed first (it is read twice).
+    Rows without an order value come last. The input is read twice: give a
+    stored table where its own plan is expensive.
     """
-    from tidemark.session import shared_dir
-    shared_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
     bucket = bucket if bucket is not None else F.year(F.col(order))
     b = df.withColumn("_bkt", bucket)
-    run = Window.partitionBy("_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = Window.partitionBy("_bkt").orderBy(F.col(order).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = b.select(*[F.col(c) for c in df.columns], "_bkt",
                      *[F.last(F.col(c), ignorenulls=True).over(run).alias(f"_in_{c}") for c in cols])
     tails = b.groupBy("_bkt").agg(*[
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_tail_{c}") for c in cols])
-    before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select("_bkt", *[F.last(F.col(f"_tail_{c}"), ignorenulls=True).over(before).alias(f"_carry_{c}")
+    before = Window.orderBy(F.col("_bkt").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = tails.select(F.col("_bkt").alias("_of"), *[F.last(F.col(f"_tail_{c}"), ignorenulls=True).over(before).alias(f"_carry_{c}")
                                    for c in cols])
-    out = inner.join(carry, "_bkt", "left")
+    out = inner.join(carry, F.col("_bkt").eqNullSafe(F.col("_of")), "left")
     return out.select(*[F.coalesce(F.col(f"_in_{c}"), F.col(f"_carry_{c}")).alias(c) if c in cols else F.col(c)
                         for c in df.columns])
 

@@ -134,21 +134,22 @@ def crypto_with_dominance(stg_crypto_df: DataFrame) -> DataFrame:
 RETURN_COLUMNS = ["asset_type", "asset_id", "asset_name", "asset_date", "close", "daily_return"]
 
 
-def asset_daily_returns(technicals: DataFrame, crypto_dom: DataFrame) -> DataFrame:
-    """Stocks and coins in one long (type, id, date) table with daily returns.
+def coin_returns(crypto_dom: DataFrame) -> DataFrame:
+    """Daily returns of coins, lagged over the coin's own calendar (every day it has)."""
+    coins = with_returns(crypto_dom.select("coin_id", "symbol", "price_date", "price_usd"),
+                         "price_usd", "coin_id", "price_date", prev="prev_price")
+    return coins.select(F.lit("crypto").alias("asset_type"), F.col("coin_id").alias("asset_id"),
+                        F.col("symbol").alias("asset_name"), F.col("price_date").alias("asset_date"),
+                        F.col("price_usd").alias("close"), "daily_return")
 
-    Coin returns are lagged over the coin's own calendar (every day it has).
-    """
+
+def asset_daily_returns(technicals: DataFrame, crypto_dom: DataFrame) -> DataFrame:
+    """Stocks and coins in one long (type, id, date) table with daily returns."""
     stocks = technicals.select(F.lit("stock").alias("asset_type"), F.col("ticker").alias("asset_id"),
                                F.col("ticker").alias("asset_name"),
                                F.col("price_date").alias("asset_date"),
                                F.col("close_price").alias("close"), "daily_return")
-    coins = with_returns(crypto_dom.select("coin_id", "symbol", "price_date", "price_usd"),
-                         "price_usd", "coin_id", "price_date", prev="prev_price")
-    coins = coins.select(F.lit("crypto").alias("asset_type"), F.col("coin_id").alias("asset_id"),
-                         F.col("symbol").alias("asset_name"), F.col("price_date").alias("asset_date"),
-                         F.col("price_usd").alias("close"), "daily_return")
-    return union_all(stocks, coins)
+    return union_all(stocks, coin_returns(crypto_dom))
 
 
 # ------------------------------------------------------------------------ gold
@@ -288,19 +289,18 @@ ASSET_PRICE_COLUMNS = ["asset_type", "asset_id", "asset_name", "price_date", "cl
                        "daily_return", "ma_20", "ma_50", "ma_200", "rsi_14"]
 
 
-def asset_prices(asset_returns: DataFrame, technicals: DataFrame) -> DataFrame:
-    """Per-asset daily fact; technicals attach to stock rows only.
+def asset_prices(technicals: DataFrame, crypto_dom: DataFrame) -> DataFrame:
+    """Per-asset daily fact: stocks with their technicals, coins with NULL ones.
 
-    The asset-type test sits in the join condition, so coin rows survive with
-    NULL technicals (a WHERE would drop them).
+    Stock rows carry their technicals already, so both kinds are a union and no join.
     """
-    r = asset_returns.alias("r")
-    t = technicals.select("ticker", "price_date", "ma_20", "ma_50", "ma_200", "rsi_14").alias("t")
-    cond = ((F.col("r.asset_type") == F.lit("stock")) & (F.col("r.asset_id") == F.col("t.ticker"))
-            & (F.col("r.asset_date") == F.col("t.price_date")))
-    return r.join(t, cond, "left").select(
-        "r.asset_type", "r.asset_id", "r.asset_name", F.col("r.asset_date").alias("price_date"),
-        "r.close", "r.daily_return", "t.ma_20", "t.ma_50", "t.ma_200", "t.rsi_14")
+    own = ["ma_20", "ma_50", "ma_200", "rsi_14"]
+    stocks = technicals.select(
+        F.lit("stock").alias("asset_type"), F.col("ticker").alias("asset_id"), F.col("ticker").alias("asset_name"),
+        "price_date", F.col("close_price").alias("close"), "daily_return", *own)
+    coins = coin_returns(crypto_dom).withColumnRenamed("asset_date", "price_date")
+    return union_all(stocks, coins.select("*", *[F.lit(None).cast("double").alias(c) for c in own])) \
+        .select(*ASSET_PRICE_COLUMNS)
 
 
 # Assets and macro indicators correlated in the Gold table.

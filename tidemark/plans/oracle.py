@@ -137,6 +137,7 @@ _def("sectors", (), """
 SELECT n_name AS yahoo_sector, r_name AS gics_sector, 'Nations of ' || r_name AS description
 FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""")
 
+_def("series", (), "SELECT unnest([" + ", ".join(f"'{i}'" for i in _SERIES) + "]) AS series_id")
 _def("asset_returns", ("technicals", "crypto_returns"), """
 SELECT 'crypto' AS asset_type, coin_id AS asset_id, symbol AS asset_name, price_date AS asset_date,
        price_usd AS close, daily_return FROM crypto_returns

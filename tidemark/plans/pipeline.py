@@ -18,6 +18,7 @@ from tidemark.plans import medallion as M
 from tidemark.plans import standins as S
 from tidemark.session import scratch_path, shared_dir
 from tidemark.sources.landing import to_bronze
+from tidemark.sources.seeds import default_seed
 from tidemark.sources.vendor import daily_downsample
 from tidemark.storage import complete, listing
 
@@ -49,6 +50,7 @@ class Medallion:
         self.btc_id = btc_id
         self.macro_series = dict(macro_series)
         self._memo: dict[str, DataFrame] = {}
+        self._kept: set[str] = set()
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "stg_daily_prices": lambda: M.stg_daily_prices(self.bronze["raw_stock_prices"]),
             "stg_fundamentals": lambda: M.stg_fundamentals(self.bronze["raw_stock_fundamentals"]),
@@ -58,7 +60,7 @@ class Medallion:
             "prices_with_technicals": lambda: M.prices_with_technicals(self.ref("stg_daily_prices")),
             "macro_pivot": lambda: M.macro_pivot(self.ref("stg_macro"), self.macro_series),
             "yield_curve": lambda: M.yield_curve(self.ref("macro_pivot")),
-            "crypto_with_dominance": lambda: M.crypto_with_dominance(self.ref("stg_crypto")),
+            "crypto_with_dominance": lambda: M.crypto_with_dominance(self.stored("stg_crypto")),
             "asset_daily_returns": lambda: M.asset_daily_returns(
                 self.ref("prices_with_technicals"), self.ref("crypto_with_dominance")),
             "dim_tickers": lambda: M.dim_tickers(self.seeds["tickers"], self.ref("stg_fundamentals"),
@@ -68,11 +70,11 @@ class Medallion:
                 self.ref("prices_with_technicals"), self.seeds["tickers"],
                 self.ref("crypto_with_dominance"), self.ref("stg_fear_greed"),
                 self.ref("macro_pivot"), None, self.index_tickers, self.btc_id),
-            "regime_analysis": lambda: M.regime_analysis(self.ref("daily_market_snapshot")),
+            "regime_analysis": lambda: M.regime_analysis(self.stored("daily_market_snapshot")),
             "sector_performance": lambda: M.sector_performance(
                 self.ref("prices_with_technicals"), self.seeds["tickers"], self.ref("dim_tickers")),
-            "asset_prices": lambda: M.asset_prices(self.ref("asset_daily_returns"),
-                                                   self.ref("prices_with_technicals")),
+            "asset_prices": lambda: M.asset_prices(self.ref("prices_with_technicals"),
+                                                   self.ref("crypto_with_dominance")),
             "macro_asset_correlation": lambda: M.macro_asset_correlation(
                 self.ref("daily_market_snapshot")),
         }
@@ -87,6 +89,12 @@ class Medallion:
     def keep(self, name: str, stored: DataFrame) -> None:
         """Serve later refs of ``name`` from a stored table."""
         self._memo[name] = stored
+        self._kept.add(name)
+
+    def stored(self, name: str) -> DataFrame:
+        """``name`` as a stored table, for a consumer whose plan reads it more than once."""
+        df = self.ref(name)
+        return df if name in self._kept else self.materialise(df.sparkSession, name)
 
     def names(self) -> list[str]:
         return list(self._builders)
@@ -104,7 +112,7 @@ class Medallion:
         """Write ``name`` under the shared folder and serve later refs from it."""
         path = scratch_path(spark, name)
         self.ref(name).write.parquet(path)
-        self._memo[name] = spark.read.parquet(path)
+        self.keep(name, spark.read.parquet(path))
         return self._memo[name]
 
 
@@ -181,6 +189,7 @@ def persisted_bronze(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[],
 
 def standin_medallion(spark: SparkSession, sf_dir: str, persist: bool = True) -> Medallion:
     seeds = {"tickers": lambda: S.tickers_seed(spark, sf_dir),
-             "sectors": lambda: S.sectors_seed(spark, sf_dir)}
+             "sectors": lambda: S.sectors_seed(spark, sf_dir),
+             "series": lambda: default_seed(spark, "series")}
     bronze = persisted_bronze(spark, sf_dir) if persist else standin_bronze(spark, sf_dir)
     return Medallion(bronze, seeds, index_tickers=S.INDEX_STANDIN)

@@ -218,13 +218,25 @@ def q_sector_performance(spark, d):
     return _m(spark, d).ref("sector_performance")
 
 
-@register("conditional_left_join", O.cte("asset_prices") + "SELECT * FROM asset_prices",
+@register("asset_prices", O.cte("asset_prices") + "SELECT * FROM asset_prices",
           dbl=("daily_return", "rsi_14"), coarse=("close", "ma_20", "ma_50", "ma_200"))
 def q_asset_prices(spark, d):
-    """Asset prices with stock-only technicals (type test in the ON clause)."""
+    """Asset prices, stocks with their technicals and coins without."""
     return _m(spark, d).ref("asset_prices")
 
 
+@register("conditional_left_join", """
+SELECT event_id, user_id, event_type, c_name, c_mktsegment
+FROM events LEFT JOIN customer ON event_type = 'purchase' AND user_id = c_custkey""")
+def q_conditional_left_join(spark, d):
+    """Left join with a left-side constant in its condition: only purchases
+    meet a customer, all other events stay with NULLs."""
+    ev = _t(spark, d, "events").select("event_id", "user_id", "event_type")
+    customers = _t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return R.tagged_left_join(ev, customers, F.col("event_type") == "purchase", {"user_id": "c_custkey"}) \
+        .drop("c_custkey")
+
+
 @register("corr_matrix", O.cte("correlation") + "SELECT * FROM correlation", dbl=("correlation",))
 def q_corr_matrix(spark, d):
     """Pearson correlation of asset returns with macro indicators."""
@@ -243,12 +255,12 @@ from tidemark.sources import vendor as V  # noqa: E402
 
 
 @register("daily_bars", """
-SELECT user_id, CAST(ts AS DATE) AS date, arg_min(value, ts) AS open, max(value) AS high,
-       min(value) AS low, arg_max(value, ts) AS close, count(*) AS volume
+SELECT user_id, CAST(ts AS DATE) AS date, arg_min(value, (ts, event_id)) AS open, max(value) AS high,
+       min(value) AS low, arg_max(value, (ts, event_id)) AS close, count(*) AS volume
 FROM events GROUP BY user_id, CAST(ts AS DATE)""", dbl=("open", "high", "low", "close"))
 def q_daily_bars(spark, d):
     """Intraday events -> daily OHLCV bars per user (first/last by time)."""
-    return V.ohlcv_bars(_t(spark, d, "events"), "user_id", "ts", "value")
+    return V.ohlcv_bars(_t(spark, d, "events"), "user_id", "ts", "value", seq="event_id")
 
 
 @register("daily_downsample", """
@@ -515,7 +527,7 @@ def q_latest_per_key(spark, d):
 def q_lag_k(spark, d):
     """Per-day regime labels; Fed funds compared with its value 5 trading
     days earlier over the whole (unpartitioned) history."""
-    return M.regime_timeline(_m(spark, d).ref("daily_market_snapshot"))
+    return M.regime_timeline(_m(spark, d).stored("daily_market_snapshot"))
 
 
 @register("breadth", O.cte("technicals", "tickers") + """
@@ -582,18 +594,19 @@ def q_best_worst(spark, d):
 
 
 @register("nested_series", O.cte("sector_perf") + """
-SELECT gics_sector, count(*) AS n_days, min(price_date) AS first_date, max(price_date) AS last_date,
-       arg_min_null(avg_daily_return, price_date) AS first_return
-FROM sector_perf GROUP BY gics_sector""", dbl=("first_return",))
+SELECT gics_sector, strftime(price_date, '%Y-%m') AS month, price_date, avg_daily_return,
+       count(*) OVER (PARTITION BY gics_sector, strftime(price_date, '%Y-%m')) AS n_days,
+       row_number() OVER (PARTITION BY gics_sector, strftime(price_date, '%Y-%m') ORDER BY price_date) - 1 AS place
+FROM sector_perf""", dbl=("avg_daily_return",))
 def q_nested_series(spark, d):
-    """Each sector's rows as one date-ordered array (checked by size and ends)."""
-    ns = R.nested_series(_m(spark, d).ref("sector_performance"), "gics_sector", "price_date",
-                         ["avg_daily_return"])
-    s = F.col("daily_series")
-    return ns.select("gics_sector", F.size(s).cast("bigint").alias("n_days"),
-                     F.element_at(s, 1)["price_date"].alias("first_date"),
-                     F.element_at(s, -1)["price_date"].alias("last_date"),
-                     F.element_at(s, 1)["avg_daily_return"].alias("first_return"))
+    """Each sector's rows as date-ordered arrays, one per month (a bounded
+    period), every element of which is returned with its place."""
+    sp = _m(spark, d).ref("sector_performance").withColumn("month", F.date_format("price_date", "yyyy-MM"))
+    ns = R.nested_series(sp, ["gics_sector", "month"], "price_date", ["avg_daily_return"])
+    return ns.select("gics_sector", "month", F.size("daily_series").cast("bigint").alias("n_days"),
+                     F.posexplode("daily_series").alias("place", "e")).select(
+        "gics_sector", "month", "n_days", F.col("place").cast("bigint").alias("place"), "e.price_date",
+        "e.avg_daily_return")
 
 
 @register("sector_cumulative", O.cte("sector_perf") + """
@@ -649,6 +662,13 @@ def q_overview(spark, d):
     return RP.overview(_m(spark, d).ref("daily_market_snapshot"))
 
 
+@register("overview_series", O.cte("snapshot") + """
+SELECT snapshot_date, sp500_close FROM snapshot ORDER BY snapshot_date NULLS LAST""", coarse=("sp500_close",))
+def q_overview_series(spark, d):
+    """The overview's index line, every trading day."""
+    return RP.overview_series(_m(spark, d).ref("daily_market_snapshot"))
+
+
 @register("latest_row", O.cte("snapshot") + "SELECT * FROM snapshot ORDER BY snapshot_date DESC NULLS FIRST LIMIT 1",
           dbl=SNAP_DBL, coarse=SNAP_COARSE, ints=("fng_value",))
 def q_latest_row(spark, d):
@@ -675,7 +695,10 @@ SELECT (SELECT gics_sector FROM win ORDER BY price_date, gics_sector LIMIT 1) AS
        (SELECT count(*) FROM win) AS series_len""", dbl=("avg_daily_return", "best_return", "worst_return"))
 def q_sector_report(spark, d):
     """Trailing-period sector report ('asia', 1M, as of the newest day)."""
-    r = RP.sector_report(_m(spark, d).ref("sector_performance"), "asia", "1M", as_of="latest")
+    m = _m(spark, d)
+    newest = m.ref("stg_daily_prices").join(m.seeds["tickers"].select("ticker"), "ticker", "left_semi") \
+        .agg(F.max("price_date")).scalar()
+    r = RP.sector_report(m.ref("sector_performance"), "asia", "1M", as_of=newest)
     return r.select("sector", "period", "num_days", "avg_daily_return",
                     F.col("best_day.date").alias("best_date"), F.col("best_day.return").alias("best_return"),
                     F.col("worst_day.date").alias("worst_date"), F.col("worst_day.return").alias("worst_return"),
@@ -703,8 +726,10 @@ SELECT '1Y' AS period, 'returns' AS metric, * FROM (""" + _ASSET_STATS_SQL.forma
           dbl=("cumulative_return", "avg_daily_return", "volatility"), coarse=("latest_close",))
 def q_compare_assets(spark, d):
     """Side-by-side asset statistics over the trailing year."""
-    return RP.compare_assets(_m(spark, d).ref("asset_prices"), ["^a", "bitcoin", "S7", "eth"],
-                             period="1Y", as_of="latest")
+    m = _m(spark, d)
+    newest = m.ref("stg_daily_prices").select("price_date").union(
+        m.stored("stg_crypto").select("price_date")).agg(F.max("price_date")).scalar()
+    return RP.compare_assets(m.ref("asset_prices"), ["^a", "bitcoin", "S7", "eth"], period="1Y", as_of=newest)
 
 
 @register("regime_report", O.cte("regime") + """
@@ -763,24 +788,43 @@ def q_dq_bounds(spark, d):
     return DQ.dq_bounds(f, "market_cap")
 
 
-@register("dq_report", O.cte("technicals", "stg_fund", "crypto_dom", "stg_prices") + """
-SELECT 'rsi_14_range' AS check_name, count(*) AS failures FROM technicals WHERE NOT (rsi_14 >= 0 AND rsi_14 <= 100)
-UNION ALL SELECT 'stg_prices_close_min', count(*) FROM stg_prices WHERE NOT (close_price >= 0)
-UNION ALL SELECT 'dominance_range', count(*) FROM crypto_dom WHERE NOT (dominance_pct >= 0 AND dominance_pct <= 100)
-UNION ALL SELECT 'market_cap_bounds', count(*) FROM stg_fund
-          WHERE market_cap IS NOT NULL AND (market_cap <= 0 OR market_cap > 100000000000000)
-UNION ALL SELECT 'prices_unique_key', count(*) FROM (SELECT ticker, price_date FROM stg_prices
-          GROUP BY ticker, price_date HAVING count(*) > 1)""")
+from tidemark.plans import jobs as J  # noqa: E402
+
+_TABLE_CTE = {"stg_daily_prices": "stg_prices", "stg_fundamentals": "stg_fund", "stg_fear_greed": "stg_fng",
+              "prices_with_technicals": "technicals", "crypto_with_dominance": "crypto_dom",
+              "macro_pivot": "macro_wide", "asset_daily_returns": "asset_returns", "dim_macro_indicators": "series",
+              "dim_sectors": "sectors", "daily_market_snapshot": "snapshot", "sector_performance": "sector_perf",
+              "regime_analysis": "regime", "macro_asset_correlation": "correlation"}
+
+
+def _test_sql(table: str, test: str, args) -> str:
+    """One data test as its own query over the oracle's tables."""
+    src = _TABLE_CTE.get(table, table)
+    name = f"{table}.{test}.{args if isinstance(args, str) else '+'.join(str(a) for a in args)}"
+    if test in ("unique", "unique_combo"):
+        keys = args if isinstance(args, str) else ", ".join(args)
+        some = f"WHERE {args} IS NOT NULL" if test == "unique" else ""
+        body = f"(SELECT 1 FROM {src} {some} GROUP BY {keys} HAVING count(*) > 1)"
+    elif test == "not_null":
+        body = f"{src} WHERE {args} IS NULL"
+    elif test == "future_dates":
+        body = f"{src} WHERE {args} > DATE '2001-12-31'"
+    elif test == "bounds":
+        body = f"{src} WHERE NOT ({args} > 0 AND {args} <= 100000000000000)"
+    else:
+        c, low, high = args
+        body = f"{src} WHERE {c} < {low}" + (f" OR {c} > {high}" if high is not None else "")
+    return f"SELECT '{name}' AS check_name, count(*) AS failures FROM {body}"
+
+
+@register("dq_report", O.cte(*dict.fromkeys(_TABLE_CTE.get(t, t) for t, *_ in J.TESTS))
+          + "\nUNION ALL ".join(_test_sql(*t) for t in J.TESTS))
 def q_dq_report(spark, d):
-    """K8: failure counts of several checks in one result (the build gate input)."""
+    """K1-K6, K8: failures of every data test of the build (the gate's input)."""
     m = _m(spark, d)
-    return DQ.dq_report({
-        "rsi_14_range": DQ.dq_range(m.ref("prices_with_technicals"), "rsi_14", 0, 100),
-        "stg_prices_close_min": DQ.dq_range(m.ref("stg_daily_prices"), "close_price", 0),
-        "dominance_range": DQ.dq_range(m.ref("crypto_with_dominance"), "dominance_pct", 0, 100),
-        "market_cap_bounds": DQ.dq_bounds(m.ref("stg_fundamentals"), "market_cap"),
-        "prices_unique_key": DQ.dq_unique_combo(m.ref("stg_daily_prices"), ["ticker", "price_date"]),
-    })
+    for name in ("stg_daily_prices", "prices_with_technicals", "daily_market_snapshot"):
+        m.stored(name)  # each has several tests and consumers
+    return J.quality_report(m.ref, as_of=F.to_date(F.lit("2001-12-31")))
 
 
 # ------------------------------------------------------------- incremental
@@ -891,23 +935,20 @@ def q_stream_dedup_latest(spark, d):
 
 
 @register("stream_daily_bars", """
-SELECT event_type, CAST(ts AS DATE) AS date, arg_min(value, ts) AS open, max(value) AS high, min(value) AS low,
-       arg_max(value, ts) AS close, count(*) AS volume
-FROM events
-WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
-GROUP BY event_type, CAST(ts AS DATE)""", dbl=("open", "high", "low", "close"))
+SELECT event_type, CAST(ts AS DATE) AS date, arg_min(value, (ts, event_id)) AS open, max(value) AS high,
+       min(value) AS low, arg_max(value, (ts, event_id)) AS close, count(*) AS volume
+FROM events GROUP BY event_type, CAST(ts AS DATE)""", dbl=("open", "high", "low", "close"))
 def q_stream_daily_bars(spark, d):
-    """Watermarked streaming daily bars (append mode); a day is emitted once
-    the watermark (newest event - 1 hour) passes its end."""
+    """Watermarked streaming daily bars in update mode, upserted by (type, day):
+    the day still open at the watermark is there too."""
     src = scratch_path(spark, "ticks-src")
     ev = _t(spark, d, "events")
     ev.write.parquet(src)
     ticks = spark.readStream.schema(ev.schema).parquet(src).withColumn("ts", F.col("ts").cast("timestamp"))
     out, ck = src + "-bars", src + "-ckpt"
-    (ST.daily_bars_stream(ticks, "event_type", "ts", "value").writeStream.format("parquet")
-     .option("path", out).option("checkpointLocation", ck).outputMode("append")
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(out)
+    bars = ST.daily_bars_stream(ticks, "event_type", "ts", "value", seq="event_id")
+    ST.upsert_bars(bars, out, ck).awaitTermination()
+    return ST.read_bars(spark, out, "event_type")
 
 
 @register("merge_upsert", O.cte("snapshot") + "SELECT * FROM snapshot", dbl=SNAP_DBL, coarse=SNAP_COARSE,
@@ -950,7 +991,7 @@ def _roll_sql(n: int) -> str:
           dbl=("sp500_return", "vix", "corr_30", "corr_60", "corr_90"))
 def q_rolling_correlation(spark, d):
     """Trailing 30/60/90-day S&P return vs VIX correlation (bucketed frames with halo)."""
-    return X.rolling_correlation(_m(spark, d).ref("daily_market_snapshot"))
+    return X.rolling_correlation(_m(spark, d).stored("daily_market_snapshot"))
 
 
 @register("zscore_outliers", O.cte("dim_tickers") + """
@@ -997,7 +1038,7 @@ _FF = ("fed_funds_rate", "treasury_10y", "treasury_2y", "vix", "wti_crude_oil")
     for c in _FF) + " FROM macro_wide", dbl=_FF)
 def q_forward_fill(spark, d):
     """Sparse macro series carried forward over the whole history (bucketed)."""
-    return X.macro_ffill(_m(spark, d).ref("macro_pivot"))
+    return X.macro_ffill(_m(spark, d).stored("macro_pivot"))
 
 
 @register("macro_overlay", O.cte("sector_perf", "macro_wide") + """
@@ -1010,51 +1051,45 @@ def q_macro_overlay(spark, d):
     return X.macro_overlay(m.ref("sector_performance"), m.ref("macro_pivot"))
 
 
-@register("dq_freshness", """
-WITH t AS (
-  SELECT 'yahoo_finance' AS source, max(l_orderkey) AS seq FROM lineitem
-  UNION ALL SELECT 'fred', max(o_orderkey) FROM orders
-  UNION ALL SELECT 'alternative_me', max(o_orderkey) FROM orders)
-SELECT source, CAST(floor((epoch_us(TIMESTAMP '2001-12-31 00:00:00') - seq * 1000000) / 3600000000) AS BIGINT) AS age_hours,
-       CASE WHEN floor((epoch_us(TIMESTAMP '2001-12-31 00:00:00') - seq * 1000000) / 3600000000) > 48 THEN 'error'
-            WHEN floor((epoch_us(TIMESTAMP '2001-12-31 00:00:00') - seq * 1000000) / 3600000000) > 24 THEN 'warn'
-            ELSE 'pass' END AS status
-FROM t""")
+@register("dq_freshness", O.cte("crypto_ticks") + """
+, t AS (
+  SELECT 'yahoo_finance' AS source, max(l_orderkey) * 1000 AS ms FROM lineitem
+  UNION ALL SELECT 'yahoo_fundamentals', max(l_orderkey) * 1000 FROM lineitem
+  UNION ALL SELECT 'fred', max(o_orderkey) * 1000 FROM orders
+  UNION ALL SELECT 'coingecko', max(ts_ms) FROM crypto_ticks
+  UNION ALL SELECT 'alternative_me', max(o_orderkey) * 1000 FROM orders),
+h AS (SELECT source, CAST((epoch_ms(TIMESTAMP '2001-12-31 00:00:00') - ms) // 3600000 AS BIGINT) AS age_hours FROM t)
+SELECT source, age_hours, ['pass', 'warn', 'error'][1 + CAST(age_hours > 24 AS INT) + CAST(age_hours > 48 AS INT)] AS status
+FROM h""")
 def q_dq_freshness(spark, d):
-    """K7: age in hours of each Bronze source's newest load at 2001-12-31 00:00
-    (warn > 24 h, error > 48 h)."""
-    m = _m(spark, d)
-    as_of = F.lit("2001-12-31 00:00:00").cast("timestamp_ntz")
-    parts = [DQ.dq_freshness(m.bronze[t], as_of=as_of, source=src)
-             for t, src in (("raw_stock_prices", "yahoo_finance"), ("raw_fred_series", "fred"),
-                            ("raw_fear_greed", "alternative_me"))]
-    return R.union_all(*parts).select("source", "age_hours", "status")
+    """K7: age in hours of all five Bronze sources' newest load at 2001-12-31
+    00:00 (warn > 24 h, error > 48 h)."""
+    return J.freshness_report(_m(spark, d).bronze, as_of=F.lit("2001-12-31 00:00:00").cast("timestamp_ntz")) \
+        .select("source", "age_hours", "status")
 
 
-# ------------------------------------- JSON rows (rows-only) and the sector matrix
+# ------------------------------------------------- JSON rows and the sector matrix
 
-@register("json_rows", None)
+@register("json_rows", O.cte("regime") + """
+SELECT 'fed_funds_rate' AS indicator, rate_regime, vol_regime, num_days, avg_sp500_return, avg_btc_return,
+       'indicator,rate_regime,vol_regime,num_days,avg_sp500_return,avg_btc_return' AS keys
+FROM regime""", dbl=("avg_sp500_return", "avg_btc_return"))
 def q_json_rows(spark, d):
-    """Regime report rows serialised as JSON text (decimals -> double,
-    dates -> ISO). No oracle: engines format numbers differently in JSON."""
-    return RP.json_rows(RP.regime_report(_m(spark, d).ref("regime_analysis")))
+    """Regime report rows serialised as JSON text (decimals -> double, dates
+    -> ISO), read back by key: engines print numbers differently, so the parsed
+    values and the key order are compared."""
+    rows = RP.json_rows(RP.regime_report(_m(spark, d).ref("regime_analysis")))
+    typed = F.from_json("json", "indicator string, rate_regime string, vol_regime string, num_days bigint, "
+                                "avg_sp500_return double, avg_btc_return double")
+    return rows.select(typed.alias("r"), F.array_join(F.json_object_keys("json"), ",").alias("keys")).select("r.*", "keys")
 
 
 @register("sector_matrix", O.cte("sector_perf") + """
-SELECT gics_sector, round(COLUMNS(* EXCLUDE (gics_sector)), 6) + CAST(0 AS DOUBLE) FROM (
-  PIVOT (SELECT gics_sector, strftime(price_date, '%Y-%m-%d') AS d, avg_daily_return * 100 AS v FROM sector_perf
-         WHERE price_date IN (SELECT DISTINCT price_date FROM sector_perf ORDER BY price_date DESC LIMIT 5))
-  ON d USING avg(v) GROUP BY gics_sector)""")
+SELECT gics_sector, price_date, 100 * avg_daily_return AS return_pct FROM sector_perf""", dbl=("return_pct",))
 def q_sector_matrix(spark, d):
-    """Sector x date matrix (percent) over the five newest trading days.
-
-    The pivot list is taken from the data (a bounded list of five dates); the
-    oracle pivots the same days, so the column names agree.
-    """
-    sp = _m(spark, d).ref("sector_performance")
-    days = [r[0].isoformat() for r in
-            sp.select("price_date").distinct().orderBy(F.col("price_date").desc()).limit(5).collect()]
-    return RP.sector_matrix(sp, sorted(days))
+    """The whole sector x date matrix (percent) as rows; ``reports.sector_matrix``
+    lays a caller's days out as columns."""
+    return RP.sector_days(_m(spark, d).ref("sector_performance"))
 
 
 @register("align_series", O.cte("crypto_ticks") + """

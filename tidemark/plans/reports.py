@@ -19,8 +19,11 @@ from tidemark.functions.scalar import (
 from tidemark.operators.relational import asset_stats, best_worst, ci_in, ilike_contains, trailing_days
 
 
-def resolve_as_of(df: DataFrame, date_col: str, as_of: str | None) -> Column:
-    """``as_of`` as a date Column; 'latest' is a scalar subquery on ``df``."""
+def resolve_as_of(df: DataFrame, date_col: str, as_of: str | Column | None) -> Column:
+    """``as_of`` as a date Column; 'latest' is a scalar subquery on ``df``. A caller that
+    knows a cheaper table with the same days gives its maximum as a Column."""
+    if isinstance(as_of, Column):
+        return as_of
     if as_of is None:
         return F.current_date()
     if as_of == "latest":
@@ -36,7 +39,7 @@ def market_snapshot(snapshot: DataFrame, date: str = "latest") -> DataFrame:
 
 
 def sector_report(sector_perf: DataFrame, sector: str, period: str = "1M",
-                  as_of: str | None = None, zero_is_missing: bool = False) -> DataFrame:
+                  as_of: str | Column | None = None, zero_is_missing: bool = False) -> DataFrame:
     """One row: matched sector, day count, mean return, best/worst day and the
     ordered daily series over the trailing period.
 
@@ -70,7 +73,7 @@ def macro_impact(correlation: DataFrame, indicator: str, asset: str = "SP500") -
 
 
 def compare_assets(asset_prices_df: DataFrame, assets: Sequence[str], metric: str = "returns",
-                   period: str = "3M", as_of: str | None = None) -> DataFrame:
+                   period: str = "3M", as_of: str | Column | None = None) -> DataFrame:
     """Per-asset period statistics, best cumulative return first.
 
     Assets match on id or name, case-insensitively. Rows are grouped by
@@ -100,6 +103,16 @@ def overview(snapshot: DataFrame) -> DataFrame:
                          inversion_label("spread_10y_2y").alias("curve_status"))
 
 
+def overview_series(snapshot: DataFrame) -> DataFrame:
+    """The index line of the overview: every trading day's close."""
+    return snapshot.select("snapshot_date", "sp500_close").orderBy(F.col("snapshot_date").asc_nulls_last())
+
+
+def sector_days(sector_perf: DataFrame) -> DataFrame:
+    """The whole sector x date matrix as rows: mean daily return in percent of every sector and day."""
+    return sector_perf.groupBy("gics_sector", "price_date").agg(F.avg(F.col("avg_daily_return") * 100).alias("return_pct"))
+
+
 def sector_matrix(sector_perf: DataFrame, dates: Sequence[str]) -> DataFrame:
     """Sector x date matrix of mean daily return in percent, for listed dates
     (sectors with rows on those dates only)."""

@@ -77,16 +77,18 @@ def align_series(points: DataFrame, key: str, ts_ms: str, price: str, lookups: S
 
 
 def ohlcv_bars(ticks: DataFrame, key: str, ts: str, price: str, size: str | None = None,
-               date: str = "date") -> DataFrame:
+               date: str = "date", seq: str | None = None) -> DataFrame:
     """Intraday ticks -> daily open/high/low/close/volume per key.
 
-    open/close are the first/last price by timestamp; volume sums ``size``
-    (or counts ticks). One aggregate, combined map-side.
+    open/close are the first/last price by timestamp, equal timestamps by ``seq``
+    (or by price, so that the result never depends on task order); volume sums
+    ``size`` (or counts ticks). One aggregate, combined map-side.
     """
     vol = F.sum(F.col(size)) if size else F.count(F.lit(1))
+    at = F.struct(F.col(ts), F.col(seq or price))
     return ticks.groupBy(F.col(key), F.to_date(F.col(ts)).alias(date)).agg(
-        F.min_by(F.col(price), F.col(ts)).alias("open"), F.max(F.col(price)).alias("high"),
-        F.min(F.col(price)).alias("low"), F.max_by(F.col(price), F.col(ts)).alias("close"),
+        F.min_by(F.col(price), at).alias("open"), F.max(F.col(price)).alias("high"),
+        F.min(F.col(price)).alias("low"), F.max_by(F.col(price), at).alias("close"),
         vol.alias("volume"))
 
 

@@ -45,20 +45,27 @@ def ingest_stream(spark: SparkSession, landing_path: str, source: str, bronze_pa
             .outputMode("append").trigger(availableNow=True).start())
 
 
+def batch_name(batch: DataFrame, epoch_id: int) -> str:
+    """Name of a micro-batch that no other query or epoch has."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{int(epoch_id):09d}"
+
+
 def upsert_latest_stream(stream: DataFrame, keys: Sequence[str], order: Sequence[Column],
                          target_root: str, checkpoint: str) -> StreamingQuery:
     """Keep the latest row per key across micro-batches (append-only target).
 
-    Each micro-batch is deduplicated and written as its own ``_batch=<epoch>``
-    partition (dynamic overwrite, so a replayed epoch replaces only itself:
-    exactly once). Writes cost O(batch), never O(table). ``read_latest``
+    Each micro-batch is deduplicated and written as its own
+    ``_batch=<query id>-<epoch>`` partition (dynamic overwrite, so a replayed
+    epoch replaces only itself: exactly once; a query with a new checkpoint has
+    a new id and never overwrites another's batches). Writes cost O(batch), never O(table). ``read_latest``
     resolves the newest row per key across batches under the same order, so
     an older late row never wins; ``compact_latest`` folds the batches.
     """
     keys = list(keys)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        (dedup_latest(batch, keys, order).withColumn("_batch", F.lit(int(epoch_id)))
+        (dedup_latest(batch, keys, order).withColumn("_batch", F.lit(batch_name(batch, epoch_id)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_batch").parquet(target_root))
 
@@ -76,24 +83,45 @@ def read_latest(spark: SparkSession, target_root: str, keys: Sequence[str],
 def compact_latest(spark: SparkSession, target_root: str, compacted_root: str, keys: Sequence[str],
                    order: Sequence[Column]) -> DataFrame:
     """Write the resolved latest rows to a new table (readers switch to it)."""
-    read_latest(spark, target_root, keys, order).withColumn("_batch", F.lit(0)) \
-        .write.mode("overwrite").partitionBy("_batch").parquet(compacted_root)
+    read_latest(spark, target_root, keys, order).withColumn("_batch", F.lit("compacted")) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_batch").parquet(compacted_root)
     return spark.read.parquet(compacted_root).drop("_batch")
 
 
 def daily_bars_stream(ticks: DataFrame, key: str, ts: str, price: str,
-                      delay: str = "1 hour", size: str | None = None) -> DataFrame:
-    """Streaming daily OHLCV bars per key (append mode).
+                      delay: str = "1 hour", size: str | None = None, seq: str | None = None) -> DataFrame:
+    """Streaming daily OHLCV bars per key.
 
-    A day's bar is emitted once the event-time watermark (newest event time
-    minus ``delay``) passes the end of that day; later events for an emitted
-    day are dropped as late.
+    In append mode a day's bar is emitted once the event-time watermark (newest
+    event time minus ``delay``) passes the end of that day; in update mode with
+    each batch that changes it (see ``upsert_bars``). Later events for a day
+    behind the watermark are dropped as late. Equal timestamps go by ``seq``.
     """
     vol = F.sum(F.col(size)) if size else F.count(F.lit(1))
+    at = F.struct(F.col(ts), F.col(seq or price))
     bars = (ticks.withWatermark(ts, delay)
             .groupBy(F.col(key), F.window(F.col(ts), "1 day").alias("w"))
-            .agg(F.min_by(F.col(price), F.col(ts)).alias("open"), F.max(F.col(price)).alias("high"),
-                 F.min(F.col(price)).alias("low"), F.max_by(F.col(price), F.col(ts)).alias("close"),
+            .agg(F.min_by(F.col(price), at).alias("open"), F.max(F.col(price)).alias("high"),
+                 F.min(F.col(price)).alias("low"), F.max_by(F.col(price), at).alias("close"),
                  vol.alias("volume")))
     return bars.select(key, F.to_date(F.col("w.start")).alias("date"), "open", "high", "low", "close",
                        "volume")
+
+
+def upsert_bars(bars: DataFrame, target_root: str, checkpoint: str) -> StreamingQuery:
+    """Write each changed bar with its batch (update mode); days still open are there too.
+
+    A bar only grows, so the newest state of a (key, date) has the most ticks:
+    ``read_bars`` takes that one.
+    """
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        (batch.withColumn("_batch", F.lit(batch_name(batch, epoch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(target_root))
+
+    return (bars.writeStream.outputMode("update").foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def read_bars(spark: SparkSession, target_root: str, key: str) -> DataFrame:
+    """Newest state of every bar that ``upsert_bars`` wrote, the open days included."""
+    return read_latest(spark, target_root, [key, "date"], [F.col("volume").desc_nulls_last(), F.col("_batch").desc()])
