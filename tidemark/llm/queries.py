@@ -11,6 +11,7 @@ from tidemark.llm.decontam import window_report
 from tidemark.llm.language import identify
 from tidemark.llm.licences import scan_licences
 from tidemark.llm.lines import line_report
+from tidemark.llm.oracle import ORACLE_SQL
 from tidemark.llm.packing import pack_sequences
 from tidemark.llm.quality import judge_documents
 from tidemark.llm.simhash import near_duplicate_groups
@@ -18,7 +19,7 @@ from tidemark.llm.store import read_table
 from tidemark.llm.substrings import repeated_words
 from tidemark.llm.warc import archive_round_trip
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +39,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_documents(read_table(spark, sf_dir, "documents"))
+    return judge_documents(read_table(spark, sf_dir, "documents")).drop("host_rate")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
