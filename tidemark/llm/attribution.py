@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.store import map_arrow
 from tidemark.llm.tokens import Encoder, encoder, vocabulary_path
 
 FIELDS, SEPARATOR = ("source", "text"), " "
@@ -110,4 +111,4 @@ def token_counts(docs: DataFrame, fields: Sequence[str] = FIELDS, separator: str
                      *[pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (tokens, crossing)]],
                     names=schema.names)
 
-    return docs.select("doc_id", *[F.col(f).cast("string") for f in names]).mapInArrow(count, schema)
+    return map_arrow(docs.select("doc_id", *[F.col(f).cast("string") for f in names]), count, schema)

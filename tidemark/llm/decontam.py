@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.store import carried, staged, unpacked
+from tidemark.llm.store import carried, map_arrow, staged, unpacked
 from tidemark.llm.words import (LOWER, NOT_ALNUM, slices, span_hashes, text_bytes, word_spans)
 
 WINDOW = 10
@@ -244,7 +244,7 @@ def _scan(rows: DataFrame, index_of) -> DataFrame:
                    pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=schema.names)
 
-    return rows.mapInArrow(scan, schema)
+    return map_arrow(rows, scan, schema)
 
 
 def benchmark_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -321,7 +321,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     for t, s in zip(batch.column(1).to_pylist(), spans, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string())], names=["row", "text"])
 
-    rows = rows.select("row", "text", "byte_spans").mapInArrow(cut, schema)
+    rows = map_arrow(rows.select("row", "text", "byte_spans"), cut, schema)
     replaced = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

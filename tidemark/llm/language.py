@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.store import carried, unpacked
+from tidemark.llm.store import carried, map_arrow, unpacked
 from tidemark.llm.words import slices, text_bytes
 
 UNKNOWN = "und"
@@ -27,7 +27,7 @@ MAX_LANGUAGES = 200
 HIDDEN = 12
 #: Bytes of a window; the state starts anew in each, so that windows run side by side.
 WINDOW, TRAIN_WINDOW = 128, 64
-WINDOWS_AT_ONCE = 4096
+WINDOWS_AT_ONCE = 2048
 STEPS, BATCH, RATE = 250, 128, 0.02
 MIN_SCORE = 0.35
 
@@ -218,7 +218,7 @@ def predict(rows: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], pa.array(lang, pa.string()),
                                               pa.array(score)], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

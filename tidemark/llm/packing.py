@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.store import staged
+from tidemark.llm.store import map_arrow, staged
 from tidemark.llm.tokens import END_ID, encoder, vocabulary_path
 
 CAPACITY = 1024
@@ -71,7 +71,7 @@ def encode_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None =
                     out.append(pa.array(ids, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(encode, schema)
+    return map_arrow(docs.select("doc_id", "text"), encode, schema)
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.components import components
-from tidemark.llm.store import carried, staged, unpacked
+from tidemark.llm.store import carried, map_arrow, staged, unpacked
 from tidemark.llm.words import LOWER, SPACES, slices, text_bytes, word_spans
 
 BITS = 64
@@ -89,7 +89,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
             fp = np.fromiter(text_fingerprints(batch.column(1), size), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:

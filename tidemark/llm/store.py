@@ -5,15 +5,19 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import tidemark
 
 from tidemark.session import apply_core_conf, scratch_path
 
 
+#: Bytes of rows that go to a Python worker at once (a longer row goes alone).
+BATCH_BYTES = "8m"
 _SHIPPED: set[str] = set()
 
 
@@ -47,6 +51,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, function: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` in batches of bounded bytes, so that long texts do not add up in a worker.
+
+    The bound is a setting of the session; it changes how rows are sent, not what comes out.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(function, schema)
+
+
 def carried(df: DataFrame, **named: Column) -> DataFrame:
     """All columns of ``df`` packed into one struct ``row`` beside the columns ``named``,
     so that no column of the caller can clash with a name an operator uses."""

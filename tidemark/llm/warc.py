@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.store import scratch_path, staged
+from tidemark.llm.store import map_arrow, scratch_path, staged
 
 #: Payloads shorter than this are always written in full.
 MIN_REVISIT_BYTES = 1000
@@ -158,7 +158,7 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = False) ->
                         for x in _RECORD.split(", ")])
     # Whole archives one at a time: a batch of several could be too much for a worker.
     files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(parse, _RECORD)
+    return map_arrow(files, parse, _RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:

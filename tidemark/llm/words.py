@@ -18,7 +18,7 @@ NOT_ALNUM[0x80:] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
