@@ -68,11 +68,13 @@ def test_bound_never_exceeds_the_optimum(sizes):
 
     sizes = sorted(sizes, reverse=True)
     best = optimum(sizes, [])
-    bins, offsets = P.best_fit_decreasing(np.array(sizes), 12)
-    assert P.bin_lower_bound(np.array(sizes), 12) <= best <= bins.max() + 1
-    for b in range(bins.max() + 1):
-        own = sorted((o, n) for o, n, k in zip(offsets, sizes, bins, strict=True) if k == b)
-        assert [o for o, _ in own] == [0, *itertools.accumulate(n for _, n in own)][:-1]
+    for fit in (P.best_fit_decreasing, P.best_fit_by_bin):
+        bins, offsets = fit(np.array(sizes), 12)
+        assert P.bin_lower_bound(np.array(sizes), 12) <= best <= bins.max() + 1
+        for b in range(bins.max() + 1):
+            own = sorted((o, n) for o, n, k in zip(offsets, sizes, bins, strict=True) if k == b)
+            ends = [0, *itertools.accumulate(n for _, n in own)]
+            assert [o for o, _ in own] == ends[:-1] and ends[-1] <= 12
 
 
 def test_best_fit_takes_the_tightest_bin():

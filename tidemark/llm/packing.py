@@ -3,7 +3,8 @@
 Documents become token sequences, longer ones are cut, and the pieces are packed into
 sequences of a fixed capacity. Pieces are dealt over partitions of a bounded number of
 pieces; each partition is packed best-fit decreasing, and a lower bound from
-dual-feasible functions certifies its bin count. Partitions above their bound give up
+dual-feasible functions certifies its bin count (where it does not, best fit bin by bin
+is tried too and the better packing kept). Partitions above their bound give up
 the pieces of their bins that are not full; these are dealt anew over partitions, so
 that partitions exchange documents, and packed again, as long as that saves bins.
 """
@@ -101,6 +102,48 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets
 
 
+def best_fit_by_bin(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of each piece, pieces given by falling length, one bin after another.
+
+    A bin starts with the longest piece left; then it takes the piece, or else the two
+    pieces, that fill it exactly, or else the longest that fits. Bit n of ``have`` says that
+    a piece of length n is left, bit capacity - n of ``back`` the same, so that one shift
+    lines up all pairs of a given sum.
+    """
+    count = np.bincount(lengths, minlength=capacity + 1)
+    # Pieces of one length stand together; the next one of each length to be used:
+    follow = (len(lengths) - np.cumsum(count)).tolist()
+    count = count.tolist()
+    have = sum(1 << n for n in range(1, capacity + 1) if count[n])
+    back = sum(1 << (capacity - n) for n in range(1, capacity + 1) if count[n])
+    bins, offsets, made = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64), 0
+    while have:
+        left, chosen = capacity, [have.bit_length() - 1]
+        while chosen:
+            for n in chosen:
+                bins[follow[n]], offsets[follow[n]] = made, capacity - left
+                follow[n] += 1
+                count[n] -= 1
+                left -= n
+                if not count[n]:
+                    have &= ~(1 << n)
+                    back &= ~(1 << (capacity - n))
+            fits = have & ((2 << left) - 1)
+            if not left or not fits:
+                break
+            if fits >> left & 1:
+                chosen = [left]
+                continue
+            pairs = fits & (back >> (capacity - left))
+            half = left // 2
+            if left == 2 * half and count[half] < 2:
+                pairs &= ~(1 << half)
+            a = (pairs or fits).bit_length() - 1
+            chosen = [a, left - a] if pairs else [a]
+        made += 1
+    return bins, offsets
+
+
 def bin_lower_bound(lengths: np.ndarray, capacity: int) -> int:
     """Fewest bins that any packing needs, by two families of dual-feasible functions.
 
@@ -134,11 +177,16 @@ def _pack_partitions(pieces: DataFrame, partitions: int, salt: int, capacity: in
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
         lengths = table.column("length").to_numpy()
+        bound = bin_lower_bound(lengths, capacity)
         bins, offsets = best_fit_decreasing(lengths, capacity)
+        if bins.max() + 1 > bound:  # not certified: the other order of best fit may save bins
+            other = best_fit_by_bin(lengths, capacity)
+            if other[0].max() < bins.max():
+                bins, offsets = other
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
         n, closed = len(fill), fill[bins] == capacity
         more = [bins, offsets, *(np.full(len(bins), v) for v in
-                (n, bin_lower_bound(lengths, capacity), int((fill < capacity).sum()))), closed]
+                (n, bound, int((fill < capacity).sum()))), closed]
         out = [table.column(c) for c in [*keys, "part"]] + [pa.array(v) for v in more]
         return pa.table(dict(zip(schema.names, out, strict=True)))
 
