@@ -9,16 +9,9 @@ from conftest import SF_SMALL
 
 sys_path = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
-CORE = ["stg_daily_prices", "prices_with_technicals", "daily_market_snapshot", "regime_analysis",
-        "corr_matrix", "sector_performance", "share_of_total", "dedup_latest", "asset_stats",
-        "best_worst", "compare_assets", "dq_report", "forward_fill", "lag_k", "daily_downsample", "sector_matrix"]
-
-
 def _names():
-    import __spark_entry__ as E
-    if os.environ.get("TIDEMARK_FULL_ORACLE"):
-        return sorted(E.oracle_sql())
-    return CORE
+    from tidemark.plans.registry import REGISTRY
+    return sorted(name for name, q in REGISTRY.items() if q.sql)
 
 
 @pytest.fixture(scope="module")

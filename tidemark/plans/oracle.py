@@ -61,7 +61,7 @@ FROM (SELECT *, avg(close_price) OVER (series ROWS 19 PRECEDING) AS ma_20,
 _def("fund_typed", (), """
 SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS snapshot_date,
        l_orderkey AS load_seq, CAST(l_extendedprice * CAST(1e9 AS DOUBLE) AS DECIMAL(38,0)) AS market_cap,
-       l_extendedprice / NULLIF(l_quantity * 100, 0) AS pe_ratio, CAST(NULL AS VARCHAR) AS sector,
+       l_extendedprice / NULLIF(l_quantity * 100, 0) AS pe_ratio, 'Sector ' || l_linestatus AS sector,
        'Industry ' || l_returnflag || l_linestatus AS industry,
        'Supplier ' || CAST(l_suppkey AS VARCHAR) AS company_name
 FROM lineitem""")
@@ -69,15 +69,14 @@ _def("stg_fund", ("fund_typed",), _latest(
     "fund_typed", "ticker, snapshot_date", ["market_cap", "pe_ratio", "sector", "industry", "company_name"]))
 
 _def("macro_typed", (), """
-SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'DFF' WHEN '2-HIGH' THEN 'DGS10'
-            WHEN '3-MEDIUM' THEN 'DGS2' WHEN '4-NOT SPECIFIED' THEN 'VIXCLS'
-            WHEN '5-LOW' THEN 'DCOILWTICO' END AS series_id,
+SELECT [['DFF', 'DGS10', 'DGS2', 'VIXCLS', 'DCOILWTICO'], ['DEXUSEU', 'CPIAUCSL', 'UNRATE', 'M2SL', 'GDPC1']]
+         [1 + o_orderkey % 2][CAST(o_orderpriority[1] AS INTEGER)] AS series_id,
        o_orderpriority AS series_name, CAST(o_orderdate AS DATE) AS observation_date,
        o_totalprice / CAST(10000 AS DOUBLE) AS value, o_orderkey AS load_seq
 FROM orders""")
 _def("stg_macro", ("macro_typed",), _latest(
     "macro_typed", "series_id, observation_date", ["series_name", "value"]))
-#: Series (fixed ids) and their columns; the stand-in tables hold the first five.
+#: Series (fixed ids) and their columns.
 _SERIES = {"DFF": "fed_funds_rate", "DGS10": "treasury_10y", "DGS2": "treasury_2y", "VIXCLS": "vix",
            "DCOILWTICO": "wti_crude_oil", "DEXUSEU": "usd_eur_rate", "CPIAUCSL": "cpi",
            "UNRATE": "unemployment_rate", "M2SL": "m2_money_supply", "GDPC1": "real_gdp"}
@@ -100,12 +99,13 @@ SELECT CASE o_orderstatus WHEN 'F' THEN 'bitcoin' WHEN 'O' THEN 'ethereum' WHEN
        CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) * 86400000
          + o_orderkey % 86400000 AS ts_ms,
        o_totalprice / CAST(100 AS DOUBLE) AS price_usd, o_totalprice * CAST(1000 AS DOUBLE) AS mcap,
-       o_totalprice * CAST(10 AS DOUBLE) AS tvol, o_orderkey AS seq
+       o_totalprice * CAST(10 AS DOUBLE) AS tvol, o_totalprice * CAST(3 AS DOUBLE) AS supply,
+       o_custkey % 20 + 1 AS cap_rank, o_orderkey AS seq
 FROM orders""")
 _def("stg_crypto", ("crypto_ticks",), """
 SELECT coin_id, p.symbol, p.coin_name, price_date, p.price_usd, CAST(p.mcap AS DECIMAL(38,0)) AS market_cap,
-       CAST(p.tvol AS DECIMAL(38,0)) AS total_volume, CAST(NULL AS DOUBLE) AS circulating_supply,
-       CAST(NULL AS DECIMAL(38,0)) AS market_cap_rank, p.ts_ms
+       CAST(p.tvol AS DECIMAL(38,0)) AS total_volume, p.supply AS circulating_supply,
+       CAST(p.cap_rank AS DECIMAL(38,0)) AS market_cap_rank, p.ts_ms
 FROM (SELECT coin_id, DATE '1970-01-01' + CAST(ts_ms // 86400000 AS INTEGER) AS price_date,
              arg_max(t, (ts_ms, -seq)) AS p
       FROM crypto_ticks t GROUP BY ALL)""")

@@ -119,12 +119,12 @@ class Medallion:
 def crypto_landing(ticks: DataFrame) -> DataFrame:
     """Intraday coin ticks -> daily landing records (history backfill shape)."""
     daily = daily_downsample(ticks, "coin_id", "ts_ms",
-                             ["symbol", "name", "price", "market_cap", "total_volume"], seq="seq")
+                             ["symbol", "name", "price", "market_cap", "total_volume", "circulating_supply",
+                              "market_cap_rank"], seq="seq")
     return daily.select(
         "coin_id", "symbol", "name", F.date_format("date", "yyyy-MM-dd").alias("date"),
         F.col("price").alias("price_usd"), "market_cap", "total_volume",
-        F.lit(None).cast("double").alias("circulating_supply"),
-        F.lit(None).cast("bigint").alias("market_cap_rank"), F.lit("coingecko").alias("source"),
+        "circulating_supply", "market_cap_rank", F.lit("coingecko").alias("source"),
         F.col("ts_ms"))
 
 

@@ -1102,12 +1102,46 @@ FROM (SELECT coin_id, DATE '1970-01-01' + CAST(floor(ts_ms / 86400000) AS INTEGE
 LEFT JOIN lk ON p.coin_id = lk.coin_id AND p.ts_ms = lk.ts_ms
 WHERE p.rn = 1""", dbl=("price_usd", "market_cap", "total_volume"))
 def q_align_series(spark, d):
-    """Daily price points with market cap and volume looked up at the
-    chosen timestamp from their own series (last entry wins on a duplicated
-    timestamp; a missing timestamp gives NULL)."""
-    ticks = S.crypto_ticks(spark, d)
-    prices = ticks.select("coin_id", "ts_ms", F.col("price").alias("price_usd"), F.col("seq").alias("pos"))
-    caps = ticks.select("coin_id", "ts_ms", "market_cap", F.col("seq").alias("pos"))
-    vols = ticks.select("coin_id", "ts_ms", "total_volume", F.col("seq").alias("pos"))
+    """The [timestamp, value] pair arrays of chart payloads exploded; daily
+    price points with market cap and volume looked up at the chosen timestamp
+    from their own series (last entry wins on a duplicated timestamp; a missing
+    timestamp gives NULL)."""
+    charts = S.market_charts(spark, d)
+    prices, caps, vols = (V.explode_pairs(charts, "coin_id", n, v, "seq") for n, v in (
+        ("prices", "price_usd"), ("market_caps", "market_cap"), ("total_volumes", "total_volume")))
     out = V.align_series(prices, "coin_id", "ts_ms", "price_usd", [caps, vols], ["market_cap", "total_volume"])
     return out.select("coin_id", "date", "ts_ms", "price_usd", "market_cap", "total_volume")
+
+
+@register("flatten_observations", O.cte("macro_typed") + """
+SELECT series_id, strftime(observation_date, '%Y-%m-%d') AS date, CASE WHEN o_orderstatus <> 'P' THEN value END AS value,
+       load_seq AS seq, '2001-12-31' AS run_date
+FROM macro_typed JOIN orders ON o_orderkey = load_seq""", dbl=("value",))
+def q_flatten_observations(spark, d):
+    """Nested vendor observations flattened to one row per series and
+    date, the missing sentinel as NULL, stamped with the run date."""
+    payloads = S.macro_payloads(spark, d).withColumn("series_id", F.concat_ws("|", "series_id", "o_orderkey"))
+    rows = V.stamp(V.flatten_observations(payloads), "2001-12-31", "run_date")
+    return rows.select(F.substring_index("series_id", "|", 1).alias("series_id"), "date", "value",
+                       F.substring_index("series_id", "|", -1).cast("bigint").alias("seq"), "run_date")
+
+
+@register("inflation_regime", O.cte("stg_macro") + """
+, cpi AS (SELECT observation_date, value AS cpi, row_number() OVER (ORDER BY observation_date) AS place
+          FROM stg_macro WHERE series_id = 'CPIAUCSL' AND value IS NOT NULL)
+SELECT a.observation_date, a.cpi, b.cpi AS cpi_prev,
+       CASE sign(a.cpi - b.cpi) WHEN 1 THEN 'Rising' WHEN -1 THEN 'Falling' ELSE 'Stable' END AS inflation_regime
+FROM cpi a LEFT JOIN cpi b ON b.place = a.place - 1""", dbl=("cpi", "cpi_prev"))
+def q_inflation_regime(spark, d):
+    """CPI against its previous observation."""
+    return X.inflation_regime(_m(spark, d).stored("macro_pivot"))
+
+
+@register("seed_scan", O.cte("tickers") + "SELECT ticker, company_name, sector FROM tickers")
+def q_seed_scan(spark, d):
+    """The constituent seed written as CSV with a header and quotes, read back
+    with its fixed schema."""
+    path = scratch_path(spark, "seed-tickers")
+    S.tickers_seed(spark, d).write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    from tidemark.sources.seeds import read_seed
+    return read_seed(spark, path, "tickers")

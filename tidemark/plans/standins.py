@@ -11,7 +11,7 @@ output exactly as it would on real landings.
                       supplier ticker 'S<suppkey>', plus index tickers
                       '^<returnflag>' from the same lines
     fundamentals      lineitem: one fundamentals record per line item
-    macro series      orders: five priorities stand for five series ids
+    macro series      orders: five priorities, by odd and even keys, stand for ten series ids
     crypto ticks      orders: intraday ticks, one coin per order status
     fear & greed      orders: a 0-100 reading per order
     constituent seed  supplier + nation names
@@ -37,21 +37,26 @@ def _iso(c: Column) -> Column:
 
 # Stand-in naming: index tickers and which lineitem flag each one tracks.
 INDEX_STANDIN = {"sp500": "^A", "nasdaq": "^N", "dow": "^R"}
-# Stand-in naming: order priority -> macro series id.
-MACRO_STANDIN = {"1-URGENT": "DFF", "2-HIGH": "DGS10", "3-MEDIUM": "DGS2",
-                 "4-NOT SPECIFIED": "VIXCLS", "5-LOW": "DCOILWTICO"}
+# Stand-in naming: order priority and the key's remainder modulo 2 -> macro series id.
+MACRO_STANDIN = {"1-URGENT/0": "DFF", "2-HIGH/0": "DGS10", "3-MEDIUM/0": "DGS2", "4-NOT SPECIFIED/0": "VIXCLS",
+                 "5-LOW/0": "DCOILWTICO", "1-URGENT/1": "DEXUSEU", "2-HIGH/1": "CPIAUCSL", "3-MEDIUM/1": "UNRATE",
+                 "4-NOT SPECIFIED/1": "M2SL", "5-LOW/1": "GDPC1"}
 # Stand-in naming: order status -> (coin id, symbol, name).
 COIN_STANDIN = {"F": ("bitcoin", "btc", "Bitcoin"), "O": ("ethereum", "eth", "Ethereum"),
                 "P": ("tether", "usdt", "Tether")}
 
 
-def _case(col: str, mapping: dict[str, str]) -> Column:
-    expr = None
+def _case(col: str | Column, mapping: dict[str, str]) -> Column:
+    expr, key = None, F.col(col) if isinstance(col, str) else col
     for k, v in mapping.items():
-        expr = (F.when(F.col(col) == k, v) if expr is None else expr.when(F.col(col) == k, v))
+        expr = (F.when(key == k, v) if expr is None else expr.when(key == k, v))
     return expr
 
 
+def _series_id() -> Column:
+    return _case(F.concat_ws("/", "o_orderpriority", (F.col("o_orderkey") % 2).cast("string")), MACRO_STANDIN)
+
+
 def price_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing-shaped stock price records (+ ``load_seq`` and file name)."""
     li = table(spark, sf_dir, "lineitem")
@@ -81,7 +86,7 @@ def fundamental_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         _iso(F.col("l_shipdate")).alias("date"),
         (F.col("l_extendedprice") * F.lit(1e9)).alias("market_cap"),
         safe_divide(F.col("l_extendedprice"), F.col("l_quantity") * F.lit(100)).alias("pe_ratio"),
-        F.lit(None).cast("string").alias("sector"),
+        F.concat(F.lit("Sector "), F.col("l_linestatus")).alias("sector"),
         F.concat(F.lit("Industry "), F.col("l_returnflag"), F.col("l_linestatus")).alias("industry"),
         F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("short_name"),
         F.lit("yahoo_finance").alias("source"),
@@ -93,7 +98,7 @@ def fundamental_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def macro_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(
-        _case("o_orderpriority", MACRO_STANDIN).alias("series_id"),
+        _series_id().alias("series_id"),
         F.col("o_orderpriority").alias("series_name"),
         _iso(F.col("o_orderdate")).alias("date"),
         (F.col("o_totalprice") / F.lit(10000.0)).alias("value"),
@@ -116,6 +121,8 @@ def crypto_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_totalprice") / F.lit(100.0)).alias("price"),
         (F.col("o_totalprice") * F.lit(1000.0)).alias("market_cap"),
         (F.col("o_totalprice") * F.lit(10.0)).alias("total_volume"),
+        (F.col("o_totalprice") * F.lit(3.0)).alias("circulating_supply"),
+        (F.col("o_custkey") % F.lit(20) + F.lit(1)).alias("market_cap_rank"),
         F.col("o_orderkey").alias("seq"))
 
 
@@ -143,3 +150,22 @@ def sectors_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_name").alias("yahoo_sector"), F.col("r_name").alias("gics_sector"),
         F.concat(F.lit("Nations of "), F.col("r_name")).alias("description"))
+
+
+def macro_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw vendor payloads: one per order, its observation as text ('.' where the status is P)."""
+    o = table(spark, sf_dir, "orders")
+    value = F.when(F.col("o_orderstatus") == "P", ".").otherwise((F.col("o_totalprice") / F.lit(10000.0)).cast("string"))
+    observation = F.struct(_iso(F.col("o_orderdate")).alias("date"), value.alias("value"),
+                           F.lit(None).cast("string").alias("realtime_start"),
+                           F.lit(None).cast("string").alias("realtime_end"))
+    return o.select(_series_id().alias("series_id"), F.struct(F.array(observation).alias("observations")).alias("payload"),
+                    "o_orderkey")
+
+
+def market_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw chart payloads: one per order, parallel arrays of [timestamp, value] pairs."""
+    t = crypto_ticks(spark, sf_dir)
+    ts = F.col("ts_ms").cast("double")
+    return t.select("coin_id", "seq", *[F.array(F.array(ts, F.col(c).cast("double"))).alias(n) for n, c in (
+        ("prices", "price"), ("market_caps", "market_cap"), ("total_volumes", "total_volume"))])

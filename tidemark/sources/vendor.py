@@ -54,12 +54,24 @@ def daily_downsample(ticks: DataFrame, key: str, ts_ms: str, values: Sequence[st
     the shuffle.
     """
     day = epoch_ms_to_date(F.col(ts_ms))
-    order = F.struct(F.col(ts_ms), (-F.col(seq)) if seq else F.lit(0))
+    earlier = F.lit(0) if not seq else F.col(seq)
+    if seq and dict(ticks.dtypes)[seq].startswith("struct"):
+        earlier = F.struct(*[-F.col(f"{seq}.{f.name}") for f in ticks.schema[seq].dataType])
+    elif seq:
+        earlier = -earlier
+    order = F.struct(F.col(ts_ms), earlier)
     payload = F.struct(F.col(ts_ms).alias(ts_ms), *[F.col(v).alias(v) for v in values])
     agg = ticks.groupBy(F.col(key), day.alias(date)).agg(F.max_by(payload, order).alias("_p"))
     return agg.select(key, date, *[F.col(f"_p.{c}").alias(c) for c in [ts_ms, *values]])
 
 
+def explode_pairs(charts: DataFrame, key: str, pairs: str, value: str, seq: str) -> DataFrame:
+    """``[[timestamp ms, value], ...]`` arrays -> (key, ts_ms, value, pos), pos in order of arrival."""
+    rows = charts.select(F.col(key), F.col(seq), F.posexplode(F.col(pairs)).alias("at", "pair"))
+    return rows.select(key, F.get("pair", F.lit(0)).cast("bigint").alias("ts_ms"), F.get("pair", F.lit(1)).alias(value),
+                       F.struct(F.col(seq), F.col("at")).alias("pos"))
+
+
 def align_series(points: DataFrame, key: str, ts_ms: str, price: str, lookups: Sequence[DataFrame],
                  lookup_values: Sequence[str], pos: str = "pos", date: str = "date") -> DataFrame:
     """Daily price points with parallel series looked up at the chosen timestamp.
