@@ -180,17 +180,25 @@ def _held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> list[tuple[str, str]]:
     """Excerpts of at most ``per_language`` texts of each language, none of them held out.
 
-    Texts are chosen by a hash of their id; each task keeps only its best candidates.
+    Texts are chosen by a hash of their id. Languages are counted first (the most frequent
+    ``MAX_LANGUAGES`` are learned), and only texts whose hash is low enough for about three
+    times the number wanted are ranked, so that no task ranks a whole language.
     """
-    rows = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~_held_out(F.col("doc_id"))
-                       & F.col("text").rlike(r"\p{L}"))
+    rows = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~_held_out(F.col("doc_id")))
+    rows = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("doc_id"), 33))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    if not counts:
+        return []
+    below = F
+    for r in counts:
+        below = below.when(F.col("lang") == r["lang"], F.lit(min(1 << 31, -(-3 * per_language * (1 << 31) // r["n"]))))
     room = F.greatest(F.length("text") - EXCERPT_CHARS, F.lit(0)) + 1
     excerpts = F.array(*[F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(k)), room) + 1).cast("int"),
                                      F.lit(EXCERPT_CHARS)) for k in range(EXCERPTS)])
-    rows = rows.select("lang", F.xxhash64("doc_id").alias("h"), excerpts.alias("excerpts"))
+    rows = rows.filter((F.col("h") < below) & F.col("text").rlike(r"\p{L}")).select(
+        "lang", "h", excerpts.alias("excerpts"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "excerpts"))
-    rows = rows.withColumn("rank", rank).filter(F.col("rank") <= per_language).drop("rank")
-    found = rows.orderBy("h", "lang", "excerpts").limit(per_language * MAX_LANGUAGES).collect()
+    found = rows.withColumn("rank", rank).filter(F.col("rank") <= per_language).orderBy("h", "lang", "excerpts").collect()
     return [(r["lang"], x) for r in found for x in r["excerpts"] if x]
 
 
