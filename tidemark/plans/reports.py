@@ -144,7 +144,7 @@ def regime_bars(regime: DataFrame) -> DataFrame:
 
 
 def json_rows(df: DataFrame) -> DataFrame:
-    """Report rows as JSON text: decimals become doubles, dates ISO text."""
+    """Report rows as JSON text: decimals become doubles, dates ISO text, NULL stays a key."""
     cols = []
     for name, dtype in df.dtypes:
         c = F.col(name)
@@ -155,4 +155,4 @@ def json_rows(df: DataFrame) -> DataFrame:
         elif dtype.startswith("timestamp"):
             c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
         cols.append(c.alias(name))
-    return df.select(F.to_json(F.struct(*cols)).alias("json"))
+    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))
