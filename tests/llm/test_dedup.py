@@ -60,6 +60,17 @@ def test_lines_edge(spark, edge, empty):
     assert ordered(L.line_report(df).collect()) == ordered(brute.repeated_lines(more))
 
 
+def test_lines_of_rows_that_differ_elsewhere(spark):
+    """Rows equal in id and text but not in other columns share their fate."""
+    block = "\n".join(f"line {i}" for i in range(30))
+    rows = [(1, block, "a"), (1, block, "b"), (2, "x\n" + block, "a"), (2, "x\n" + block, "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = L.dedup_lines(df).collect()
+    assert sorted(r["source"] for r in kept if r["doc_id"] == 1) == ["a", "b"]
+    want = {r[0]: r for r in brute.repeated_lines([r[:2] for r in rows])}
+    assert all(brute.sha256(r["text"]) == want[r["doc_id"]][3] for r in kept)
+
+
 def test_lines_shift_resistant():
     block = [f"line {i}" for i in range(200)]
     own = {tuple(block[a:b]) for a, b in brute.line_chunks("\n".join(block))[1]}

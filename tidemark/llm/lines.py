@@ -82,19 +82,20 @@ def without_repeated_lines(docs: DataFrame, classes: int = BOUNDARY_CLASSES,
     found = (rows.join(wanted.hint("merge"), F.col("rk") == F.col("f_rk"))
              .select(_version(docs).alias("version"), lines, F.explode("wanted").alias("w"))
              .select(F.col("w.key").alias("f_key"), "version",
-                     _chunk_text("lines", F.col("w.f_first"), F.col("w.f_size")).alias("bytes"))
-             .groupBy("f_key").agg(F.min(F.struct("version", "bytes")).alias("f"))
-             .select("f_key", F.col("f.bytes").alias("bytes")))
+                     _chunk_text("lines", F.col("w.f_first"), F.col("w.f_size")).alias("bytes")))
 
     later = (chunks.join(firsts, "key").filter((F.col("rk") != F.col("f_rk")) | (F.col("first") != F.col("f_first")))
              .select("key", F.col("rk").alias("l_rk"), "first", "size"))
+    # Both sides come straight from an exchange, so that a chunk of very many documents is split.
     listed = (later.join(found, F.col("key") == F.col("f_key")).groupBy("l_rk")
-              .agg(F.sort_array(F.collect_set(F.struct("first", "size", "bytes"))).alias("listed")))
+              .agg(F.sort_array(F.collect_set(F.struct("first", "size", "bytes", "version"))).alias("listed")))
 
     rows = (rows.join(listed.hint("merge"), F.col("rk") == F.col("l_rk"), "left")
             .select("row", F.col("row.text").alias("text"), lines, "listed"))
-    rows = rows.withColumn("gone", F.filter(
+    rows = rows.withColumn("same", F.filter(
         F.coalesce("listed", F.array()), lambda c: _chunk_text("lines", c["first"], c["size"]) == c["bytes"]))
+    rows = rows.withColumn("gone", F.array_distinct(F.transform("same", lambda c: F.struct(
+        c["first"].alias("first"), c["size"].alias("size")))))
     rows = rows.withColumn("starts", F.transform("gone", lambda c: c["first"]))
     rows = rows.withColumn("stops", F.transform("gone", lambda c: c["first"] + c["size"]))
     between = F.transform(F.sequence(F.lit(0), F.size("starts")), lambda k: F.slice(
