@@ -148,8 +148,10 @@ def licence_matches(docs: DataFrame, templates: list[Template] = TEMPLATES, look
                                  "weight double, n_needed int, enough int"))
     words = spark.createDataFrame(sorted({(w, idf) for w, _, _, _, idf in kept}), "word string, idf double")
     # Both tables hold at most a row per word of the fixed templates.
-    rows = _with_words(docs.select("doc_id", "text")).filter(F.arrays_overlap("words", F.lit(rarest))).select(
-        F.xxhash64("doc_id", "text").alias("rk"), F.posexplode("words").alias("p", "word"))
+    # No filter: it would be pushed below the words and make them anew for each use.
+    rows = _with_words(docs.select("doc_id", "text")).select(
+        F.xxhash64("doc_id", "text").alias("rk"),
+        F.posexplode(F.when(F.arrays_overlap("words", F.lit(rarest)), F.col("words"))).alias("p", "word"))
     hits = staged(rows.join(F.broadcast(words), "word"), "licence-words")
     top = hits.groupBy("rk").agg(F.collect_set(F.struct("idf", "word")).alias("own")).select(
         F.col("rk").alias("top_rk"), F.transform(F.slice(F.sort_array("own", False), 1, looked_up),
