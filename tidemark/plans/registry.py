@@ -212,7 +212,7 @@ def q_regime(spark, d):
 
 
 @register("sector_performance", O.cte("sector_perf") + "SELECT * FROM sector_perf",
-          dbl=("avg_daily_return",), cents=("total_close_price",))
+          dbl=("avg_daily_return", "total_close_price"))
 def q_sector_performance(spark, d):
     """Per (sector, day) constituents, mean return, summed close."""
     return _m(spark, d).ref("sector_performance")
@@ -1044,7 +1044,7 @@ def q_forward_fill(spark, d):
 @register("macro_overlay", O.cte("sector_perf", "macro_wide") + """
 SELECT s.*, m.fed_funds_rate, m.vix, m.treasury_10y
 FROM sector_perf s LEFT JOIN macro_wide m ON s.price_date = m.observation_date""",
-          dbl=("avg_daily_return", "fed_funds_rate", "vix", "treasury_10y"), cents=("total_close_price",))
+          dbl=("avg_daily_return", "fed_funds_rate", "vix", "treasury_10y", "total_close_price"))
 def q_macro_overlay(spark, d):
     """Sector rows with the same day's macro context."""
     m = _m(spark, d)
