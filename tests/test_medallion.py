@@ -141,9 +141,9 @@ def test_backfill_window_bounds_ingest_only(spark, tmpdir_path):
     for day, close in (("2024-01-02", 10.0), ("2024-01-03", 11.0), ("2024-01-04", 12.0)):
         _land(land, "stock-prices", day, [{"ticker": "AAPL", "date": day, "close": close}])
     wh = os.path.join(tmpdir_path, "wh")
-    jobs.run(spark, land, wh, start="2024-01-02", end="2024-01-03", gate=False)
+    jobs.run(spark, land, wh, start="2024-01-02", end="2024-01-03", checks=False)
     assert sorted(_closes(spark, wh, "stg_daily_prices")) == ["2024-01-02", "2024-01-03"]
-    jobs.run(spark, land, wh, start="2024-01-04", end="2024-01-04", gate=False)
+    jobs.run(spark, land, wh, start="2024-01-04", end="2024-01-04", checks=False)
     ma = _closes(spark, wh, "prices_with_technicals", "ma_20")
     assert ma == {"2024-01-02": 10.0, "2024-01-03": 10.5, "2024-01-04": 11.0}
     from tidemark.sources.landing import file_date
@@ -155,18 +155,18 @@ def test_late_day_needs_full_refresh_or_lookback(spark, tmpdir_path):
     from tidemark.plans import jobs
     land, wh = os.path.join(tmpdir_path, "landing"), os.path.join(tmpdir_path, "wh")
     _land(land, "stock-prices", "2024-01-02", [{"ticker": "AAPL", "date": "2024-01-02", "close": 10.0}])
-    jobs.run(spark, land, wh, gate=False)
+    jobs.run(spark, land, wh, checks=False)
     _land(land, "stock-prices", "2024-01-01", [{"ticker": "AAPL", "date": "2024-01-01", "close": 9.0}])
 
     def days():
         from tidemark.operators.incremental import read_current
         return sorted(str(r.snapshot_date) for r in
                       read_current(spark, jobs.layer_path(wh, "gold", "daily_market_snapshot")).collect())
-    jobs.run(spark, land, wh, gate=False)
+    jobs.run(spark, land, wh, checks=False)
     assert days() == ["2024-01-02"]
-    jobs.run(spark, land, wh, gate=False, lookback_days=5)
+    jobs.run(spark, land, wh, checks=False, lookback_days=5)
     assert days() == ["2024-01-01", "2024-01-02"]
-    jobs.run(spark, land, wh, gate=False, full_refresh=True)
+    jobs.run(spark, land, wh, checks=False, full_refresh=True)
     assert days() == ["2024-01-01", "2024-01-02"]
 
 

@@ -149,11 +149,11 @@ def store(df: DataFrame, path: str, day: str | None = None) -> DataFrame:
 def run(spark: SparkSession, landing: str, warehouse: str, start: str | None = None,
         end: str | None = None, gate: bool = True, export_csv: str | None = None, seeds: str | None = None,
         full_refresh: bool = False, lookback_days: int = 0, index_tickers: Mapping[str, str] = M.INDEX_TICKERS,
-        btc_id: str = M.BTC_ID) -> DataFrame:
+        btc_id: str = M.BTC_ID, checks: bool = True) -> DataFrame | None:
     """Ingest new landing files, rebuild Silver/Gold from all of Bronze, merge the snapshot, gate on checks.
 
     ``start`` and ``end`` bound the ingested files only. Returns the quality report (one row
-    per check), which is stored beside the layers.
+    per check), which is stored beside the layers; without ``checks`` (and so without a gate) there is none.
     """
     bronze = {}
     for sub, table in L.SUBDIR_TO_TABLE.items():
@@ -174,11 +174,13 @@ def run(spark: SparkSession, landing: str, warehouse: str, start: str | None = N
                 m.keep(name, merge_into(spark, path, build, "snapshot_date", lookback_days, full_refresh))
             else:
                 m.keep(name, store(m.ref(name), path, PARTITIONED.get(name)))
-    report = store(quality_report(m.ref), layer_path(warehouse, "gold", "quality_report"))
-    store(freshness_report(m.bronze), layer_path(warehouse, "gold", "freshness_report"))
     if export_csv:
         for name in LAYERS["gold"]:
             m.ref(name).write.mode("overwrite").option("header", True).csv(f"{export_csv.rstrip('/')}/{name}")
+    if not checks:
+        return None
+    report = store(quality_report(m.ref), layer_path(warehouse, "gold", "quality_report"))
+    store(freshness_report(m.bronze), layer_path(warehouse, "gold", "freshness_report"))
     if gate:
         DQ.dq_gate(report)
     return report
