@@ -2,7 +2,7 @@ import collections
 
 import brute
 import corpus_pipeline
-from conftest import SF
+from brute import SF
 
 import __spark_entry__
 from tidemark.llm.store import staged
