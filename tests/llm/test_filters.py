@@ -154,6 +154,22 @@ def test_licence_templates(spark):
     assert rows[50]["labels"] == "" and rows[50]["score"] == 0 and rows[100]["labels"] == ""
 
 
+def test_licences_side_by_side(spark):
+    """Each template is found beside any other, and in a text that holds the whole vocabulary."""
+    filler = " ".join(f"word{i}" for i in range(300))
+    pairs = [(a, b) for a in I.TEMPLATES for b in I.TEMPLATES if a.label < b.label]
+    docs = [(i, f"{filler} {a.text}. {filler} {b.text}.") for i, (a, b) in enumerate(pairs)]
+    vocabulary = " ".join(f"{w} word{i}" for i, w in enumerate(sorted({w for w, *_ in I.postings()})))
+    docs += [(100 + i, f"{vocabulary} {filler} {t.text}. {vocabulary}") for i, t in enumerate(I.TEMPLATES)]
+    docs += [(200 + i, filler) for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in I.scan_licences(df).collect()}
+    for i, found in enumerate(pairs):
+        assert {t.label for t in found} <= set(rows[i]["labels"].split(",")) and rows[i]["score"] > 0.99
+    for i, t in enumerate(I.TEMPLATES):
+        assert t.label in rows[100 + i]["labels"].split(",") and rows[100 + i]["score"] > 0.99
+
+
 def test_language_gradients():
     rng = np.random.default_rng(0)
     w = {k: v.astype(np.float64) for k, v in G._start(3, 1).items()}

@@ -1,9 +1,8 @@
-"""Licence scans over a positional index of rare licence words, in DataFrame operations only.
+"""Licence scans over a positional index of licence words, in DataFrame operations only.
 
-Licence templates are indexed by word and position. Of each text, its rarest licence words
-(highest inverse document frequency over all documents) are looked up; each posting votes
-for the place where its template would begin. Where enough of them agree on one place, the
-template's mandatory key phrases must stand there too.
+Licence templates are indexed by word and position. All licence words of a text are looked
+up; each posting votes for the place where its template would begin. Where enough of them
+agree on one place, the template's mandatory key phrases must stand there too.
 """
 
 from __future__ import annotations
@@ -20,9 +19,7 @@ from tidemark.llm.store import staged
 #: Everything but digits, a-z and non-ASCII characters separates words, after A-Z were lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Of each text so many of its rarest licence words are looked up.
-LOOKED_UP = 12
-#: Places where so many of these agree are candidates (fewer, if the template has fewer).
+#: Places where so many licence words agree are candidates (fewer, if the template has fewer).
 AGREEING = 2
 
 #: Phrases whose places are counted, and their labels.
@@ -115,8 +112,7 @@ def _base(rows: DataFrame, phrases: list[tuple[str, str]]) -> DataFrame:
             .withColumn("base_labels", F.sort_array(F.array_distinct(labels))).drop(*found))
 
 
-def licence_matches(docs: DataFrame, templates: list[Template] = TEMPLATES, looked_up: int = LOOKED_UP,
-                    agreeing: int = AGREEING) -> DataFrame:
+def licence_matches(docs: DataFrame, templates: list[Template] = TEMPLATES, agreeing: int = AGREEING) -> DataFrame:
     """rk (hash of doc_id and text), label, place and score of each template found in a text.
 
     Licence words are those of the templates that at most half of the documents hold, and
@@ -153,18 +149,12 @@ def licence_matches(docs: DataFrame, templates: list[Template] = TEMPLATES, look
         F.xxhash64("doc_id", "text").alias("rk"),
         F.posexplode(F.when(F.arrays_overlap("words", F.lit(rarest)), F.col("words"))).alias("p", "word"))
     hits = staged(rows.join(F.broadcast(words), "word"), "licence-words")
-    top = hits.groupBy("rk").agg(F.collect_set(F.struct("idf", "word")).alias("own")).select(
-        F.col("rk").alias("top_rk"), F.transform(F.slice(F.sort_array("own", False), 1, looked_up),
-                                                 lambda x: x["word"]).alias("top"))
-    votes = (hits.drop("idf").join(top, F.col("rk") == F.col("top_rk"))
-             .withColumn("looked_up", F.array_contains("top", F.col("word")))
-             .join(F.broadcast(table), "word").withColumn("place", F.col("p") - F.col("q")))
+    votes = hits.drop("idf").join(F.broadcast(table), "word").withColumn("place", F.col("p") - F.col("q"))
     # One vote for each posting at a place, also where rows repeat.
-    votes = votes.groupBy("rk", "template", "label", "place", "q", "word", "looked_up", "needed", "idf", "weight",
-                          "n_needed", "enough").agg(F.count("*").alias("_"))
+    votes = votes.groupBy("rk", "template", "label", "place", "q", "word", "needed", "idf", "weight", "n_needed",
+                          "enough").agg(F.count("*").alias("_"))
     places = votes.groupBy("rk", "template", "label", "place", "weight", "n_needed", "enough").agg(
-        F.count_distinct(F.when(F.col("looked_up"), F.col("word"))).alias("agree"),
-        F.count_if("needed").alias("stand"), F.sum("idf").alias("held"))
+        F.count_distinct("word").alias("agree"), F.count_if("needed").alias("stand"), F.sum("idf").alias("held"))
     return places.filter((F.col("agree") >= F.col("enough")) & (F.col("stand") == F.col("n_needed"))).select(
         "rk", "label", "place", F.least(F.col("held") / F.col("weight"), F.lit(1.0)).alias("score"))
 
