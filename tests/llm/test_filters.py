@@ -170,6 +170,56 @@ def test_licences_side_by_side(spark):
         assert t.label in rows[100 + i]["labels"].split(",") and rows[100 + i]["score"] > 0.99
 
 
+#: Opening words of real licences and notices, and the templates that stand in them.
+REAL_LICENCES = [
+    ("""MIT License
+
+Copyright (c) 2020 A. Writer
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""", {"mit", "mit-notice", "mit-text"}),
+    ("""ISC License
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""", {"isc-text"}),
+    ("""Permission to use, copy, modify, and distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""", {"isc-text"}),
+    ("""Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0""", {"apache", "apache-2.0-notice", "apache-2.0-text"}),
+    ("""This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""", {"gpl", "gpl-text"}),
+    ("""GNU GENERAL PUBLIC LICENSE
+Version 3, 29 June 2007""", {"gpl", "gpl-3.0-notice"}),
+    ("""Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:""", {"bsd-text"}),
+    ("""This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""", {"mpl-2.0-text"}),
+    ("This work is licensed under CC BY-NC 4.0.", {"cc-by-nc-4.0-notice"}),
+    ("""Permission to use, copy, modify, and distribute this software and its
+documentation for any purpose and without fee is hereby granted, provided that
+the above copyright notice appear in all copies""", set()),
+]
+
+
+def test_real_licences(spark):
+    docs = [(i, text) for i, (text, _) in enumerate(REAL_LICENCES)] + [(100 + i, f"word{i}") for i in range(60)]
+    rows = {r["doc_id"]: r for r in I.scan_licences(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, (_, labels) in enumerate(REAL_LICENCES):
+        assert set(filter(None, rows[i]["labels"].split(","))) == labels
+
+
 def test_language_gradients():
     rng = np.random.default_rng(0)
     w = {k: v.astype(np.float64) for k, v in G._start(3, 1).items()}

@@ -37,8 +37,8 @@ class Template:
 TEMPLATES = [
     Template("mit-notice", "Released under the MIT License", ("mit license",)),
     Template("mit-text", "Permission is hereby granted free of charge to any person obtaining a copy of this "
-             "software and associated documentation files to deal in the Software without restriction",
-             ("hereby granted", "without restriction")),
+             "software and associated documentation files the Software to deal in the Software without restriction",
+             ("hereby granted free of charge", "without restriction")),
     Template("apache-2.0-notice", "Licensed under the Apache License Version 2.0", ("apache license version 2 0",)),
     Template("apache-2.0-text", "you may not use this file except in compliance with the License You may obtain a "
              "copy of the License at", ("except in compliance",)),
@@ -53,7 +53,7 @@ TEMPLATES = [
     Template("mpl-2.0-text", "This Source Code Form is subject to the terms of the Mozilla Public License v 2.0",
              ("source code form", "mozilla public license")),
     Template("isc-text", "Permission to use copy modify and or distribute this software for any purpose with or "
-             "without fee is hereby granted", ("hereby granted",)),
+             "without fee is hereby granted", ("with or without fee is hereby granted",)),
 ]
 
 
