@@ -5,6 +5,7 @@ from brute import ordered
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import __spark_entry__
 from tidemark.llm import components as C
 from tidemark.llm import lines as L
 from tidemark.llm import simhash as S
@@ -60,6 +61,44 @@ def test_lines_edge(spark, edge, empty):
     assert ordered(L.line_report(df).collect()) == ordered(brute.repeated_lines(more))
 
 
+def _without_repeated_pairs(docs):
+    """Plain Python over all pairs of neighbouring lines; rows equal in id and text count as one."""
+    rows = sorted({(d, t) for d, t in docs if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
+    seen, out = set(), {(d, None): (d, 0, 0, brute.sha256("")) for d, _ in docs}
+    for d, t in rows:
+        lines, gone = t.split("\n"), set()
+        for i, own in enumerate(zip(lines, lines[1:], strict=False)):
+            if own in seen:
+                gone |= {i, i + 1}
+            elif any(x.strip(" ") for x in own):
+                seen.add(own)
+        kept = [x for i, x in enumerate(lines) if i not in gone]
+        out[d, t] = (d, len(lines), len(gone), brute.sha256("\n".join(kept)))
+    return [out[d, t] for d, t in docs]
+
+
+def test_line_passages_whole_table(spark, documents):
+    """Every line of every repeated run of two lines or more is found by the query."""
+    df, docs = documents
+    want = _without_repeated_pairs(docs)
+    query = __spark_entry__.queries()["op4_line_dedup"]
+    assert ordered(query(spark, brute.SF).collect()) == ordered(want) and any(r[2] for r in want)
+
+
+def test_line_passages_edge(spark):
+    """Short passages inside other texts go from their first to their last line, copies whole;
+    of one line over and over the first stays."""
+    passage = "one passage\nof three\nlines"
+    docs = [(1, f"a\n{passage}\nb"), (2, f"c\nd\n{passage}"), (3, f"{passage}\ne"), (4, passage), (None, "x\ny"),
+            (5, "x\ny\nx\ny\nx"), (6, "same\n" * 50 + "end"), (7, None), (8, ""), (9, "\n\n"), (10, "\n\n"),
+            (11, "alone"), (12, "alone"), (12, "alone")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = L.line_report(df, every_pair=True).collect()
+    assert ordered(rows) == ordered(_without_repeated_pairs(docs))
+    assert {r[0]: r[2] for r in rows} == {**dict.fromkeys([1, None, 7, 8, 9, 10, 11, 12], 0),
+                                          2: 3, 3: 3, 4: 3, 5: 5, 6: 49}
+
+
 def test_lines_of_rows_that_differ_elsewhere(spark):
     """Rows equal in id and text but not in other columns share their fate."""
     block = "\n".join(f"line {i}" for i in range(30))

@@ -1,9 +1,10 @@
-"""Line dedup over content-defined chunks of lines, in DataFrame operations only.
+"""Line dedup over content-defined chunks or pairs of lines, in DataFrame operations only.
 
 A rolling hash over the hashes of neighbouring lines chooses chunk boundaries, so that the
 same run of lines is cut alike wherever it stands. Chunks of two lines or more that occur
 again anywhere are removed, but for their first occurrence, after their bytes were compared
-with those of that first occurrence.
+with those of that first occurrence. With all pairs of neighbouring lines in the place of
+chunks, every repeated run of two lines or more goes to its last line.
 """
 
 from __future__ import annotations
@@ -45,6 +46,20 @@ def line_chunks(docs: DataFrame, classes: int = BOUNDARY_CLASSES) -> DataFrame:
         "rk", "doc_id", "first", "size", F.xxhash64("own").alias("key"))
 
 
+def line_pairs(docs: DataFrame) -> DataFrame:
+    """rk, doc_id and first, size, key of each two neighbouring lines with a word, as ``line_chunks``.
+
+    A run of lines is repeated where all its pairs are, so pairs miss no run and need no boundaries.
+    """
+    rows = docs.filter("text is not null").select(
+        F.xxhash64("doc_id", "text").alias("rk"), "doc_id", F.split("text", "\n", -1).alias("lines"))
+    # No column of its own: a filter on its size would be pushed below ``lines`` and split anew per line.
+    pairs = F.transform("lines", lambda x, i: F.struct(
+        (i - 1).alias("first"), F.lit(2).alias("size"), F.xxhash64(F.get("lines", i - 1), x).alias("key"),
+        ((F.trim(F.get("lines", i - 1)) != "") | (F.trim(x) != "")).alias("worded")))
+    return rows.select("rk", "doc_id", F.inline(pairs)).filter("first >= 0 and worded").drop("worded")
+
+
 def _chunk_text(lines: str, first: str | Column, size: str | Column) -> Column:
     return F.array_join(F.slice(lines, first + 1, size), "\n")
 
@@ -58,15 +73,18 @@ def _version(docs: DataFrame) -> Column:
 
 
 def without_repeated_lines(docs: DataFrame, classes: int = BOUNDARY_CLASSES,
-                           min_lines: int = MIN_LINES) -> DataFrame:
-    """Removes every chunk of ``min_lines`` lines or more that repeats an earlier one.
+                           min_lines: int = MIN_LINES, every_pair: bool = False) -> DataFrame:
+    """Removes every chunk of ``min_lines`` lines or more (or every pair of lines) that repeats an earlier one.
 
     Returns the columns of ``docs`` with the kept ``text``, n_lines and n_removed packed as
     ``row``, ``kept``, ``n_lines`` and ``n_removed``. Of equal chunks, that with the least
     (doc_id, row hash, first line) stays; null ids come first. A null text has no lines and
-    stays null, an empty one has one. Rows equal in id and text count as one document.
+    stays null, an empty one has one. Rows equal in id and text count as one document. Pairs
+    may overlap; as each removed line has an equal one at an earlier place, one of these stays.
     """
-    chunks = staged(line_chunks(docs.select("doc_id", "text"), classes).filter(F.col("size") >= min_lines), "chunks")
+    own = docs.select("doc_id", "text")
+    chunks = staged(line_pairs(own) if every_pair else
+                    line_chunks(own, classes).filter(F.col("size") >= min_lines), "chunks")
     # The first of each repeated key: aggregated before the shuffle, stored, then joined back,
     # so that a chunk of very many documents is split like any skewed join side.
     firsts = staged(chunks.groupBy("key").agg(
@@ -94,22 +112,18 @@ def without_repeated_lines(docs: DataFrame, classes: int = BOUNDARY_CLASSES,
             .select("row", F.col("row.text").alias("text"), lines, "listed"))
     rows = rows.withColumn("same", F.filter(
         F.coalesce("listed", F.array()), lambda c: _chunk_text("lines", c["first"], c["size"]) == c["bytes"]))
-    rows = rows.withColumn("gone", F.array_distinct(F.transform("same", lambda c: F.struct(
-        c["first"].alias("first"), c["size"].alias("size")))))
-    rows = rows.withColumn("starts", F.transform("gone", lambda c: c["first"]))
-    rows = rows.withColumn("stops", F.transform("gone", lambda c: c["first"] + c["size"]))
-    between = F.transform(F.sequence(F.lit(0), F.size("starts")), lambda k: F.slice(
-        "lines", F.coalesce(F.get("stops", k - 1), F.lit(0)) + 1,
-        F.coalesce(F.get("starts", k), F.size("lines")) - F.coalesce(F.get("stops", k - 1), F.lit(0))))
-    removed = F.aggregate("gone", F.lit(0).cast("long"), lambda n, c: n + c["size"])
+    rows = rows.withColumn("gone", F.array_distinct(F.flatten(F.transform("same", lambda c: F.sequence(
+        c["first"], c["first"] + c["size"] - 1)))))
+    rows = rows.withColumn("stay", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"))
     return rows.select("row", F.when(F.size("gone") == 0, F.col("text")).otherwise(
-        F.array_join(F.flatten(between), "\n")).alias("kept"),
-        F.coalesce(F.size("lines").cast("long"), F.lit(0)).alias("n_lines"), removed.alias("n_removed"))
+        F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n")).alias("kept"),
+        F.coalesce(F.size("lines").cast("long"), F.lit(0)).alias("n_lines"),
+        F.size("gone").cast("long").alias("n_removed"))
 
 
-def line_report(docs: DataFrame, classes: int = BOUNDARY_CLASSES) -> DataFrame:
+def line_report(docs: DataFrame, classes: int = BOUNDARY_CLASSES, every_pair: bool = False) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed and the SHA-256 of the kept text (null: of none)."""
-    rows = without_repeated_lines(docs.select("doc_id", "text"), classes)
+    rows = without_repeated_lines(docs.select("doc_id", "text"), classes, every_pair=every_pair)
     return rows.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed",
                        F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 

@@ -35,7 +35,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(read_table(spark, sf_dir, "documents"))
+    return line_report(read_table(spark, sf_dir, "documents"), every_pair=True)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
