@@ -134,6 +134,16 @@ def test_simhash_edge(edge, empty):
     assert {r["doc_id"] for r in kept.collect()} == {None, *(k for k, v in groups.items() if k == v)}
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Also where ids repeat or are missing: rows are told apart, not ids."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(200)) for k in "abc")
+    docs = [(1, a, "y"), (1, a, "y"), (1, a, "z"), (5, a, "y"), (5, b, "y"), (None, a, "y"), (None, c, "y"),
+            (None, c, "y"), (7, b, "y")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    kept = [(r["doc_id"], r["text"]) for r in S.drop_near_duplicates(df).collect()]
+    assert ordered(kept) == ordered([(1, a), (5, b), (None, c)])
+
+
 def _closure(prints, pairs):
     parent = {x: x for x in prints}
 

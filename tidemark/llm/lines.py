@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.store import carried, staged, unpacked
+from tidemark.llm.store import carried, row_hash, staged, unpacked
 
 #: A line may end a chunk where the rolling hash falls into one of so many classes.
 BOUNDARY_CLASSES = 2
@@ -64,14 +64,6 @@ def _chunk_text(lines: str, first: str | Column, size: str | Column) -> Column:
     return F.array_join(F.slice(lines, first + 1, size), "\n")
 
 
-def _version(docs: DataFrame) -> Column:
-    """Hash of a carried row; maps and variants have none."""
-    if all("map<" not in kind and "variant" not in kind for _, kind in docs.dtypes):
-        return F.xxhash64("row")
-    return F.xxhash64(*[F.col("row").getField(c) for c, kind in docs.dtypes
-                        if "map<" not in kind and "variant" not in kind])
-
-
 def without_repeated_lines(docs: DataFrame, classes: int = BOUNDARY_CLASSES,
                            min_lines: int = MIN_LINES, every_pair: bool = False) -> DataFrame:
     """Removes every chunk of ``min_lines`` lines or more (or every pair of lines) that repeats an earlier one.
@@ -98,7 +90,7 @@ def without_repeated_lines(docs: DataFrame, classes: int = BOUNDARY_CLASSES,
 
     wanted = firsts.groupBy("f_rk").agg(F.collect_list(F.struct("key", "f_first", "f_size")).alias("wanted"))
     found = (rows.join(wanted.hint("merge"), F.col("rk") == F.col("f_rk"))
-             .select(_version(docs).alias("version"), lines, F.explode("wanted").alias("w"))
+             .select(row_hash(docs).alias("version"), lines, F.explode("wanted").alias("w"))
              .select(F.col("w.key").alias("f_key"), "version",
                      _chunk_text("lines", F.col("w.f_first"), F.col("w.f_size")).alias("bytes")))
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.components import components
-from tidemark.llm.store import carried, map_arrow, staged, unpacked
+from tidemark.llm.store import carried, map_arrow, row_hash, staged, unpacked
 from tidemark.llm.words import LOWER, SPACES, slices, text_bytes, word_spans
 
 BITS = 64
@@ -301,9 +301,13 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE_WORDS,
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
-    """The documents whose doc_id is their group's component_id, all columns kept; rows without
-    a doc_id stay, as nothing names the one to keep."""
-    groups = near_duplicate_groups(docs.filter("doc_id is not null"), size, distance)
-    gone = groups.filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
-    rows = carried(docs, doc=F.col("doc_id"))
-    return unpacked(rows.join(gone, F.col("doc") == F.col("gone"), "left_anti"), docs.columns)
+    """One document of each group, all columns kept: that with the smallest doc_id (null ids last),
+    of rows equal in it that with the smallest row hash."""
+    # Stored with their numbers, so that a retry sees the same ones.
+    rows = staged(carried(docs, number=F.monotonically_increasing_id()), "rows")
+    doc_id = F.col("row.doc_id")
+    keyed = rows.select(F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), row_hash(docs).alias("hash"),
+                                 "number").alias("doc_id"), F.col("row.text").alias("text"))
+    keep = near_duplicate_groups(keyed, size, distance).filter(
+        F.col("doc_id.number") == F.col("component_id.number")).select(F.col("doc_id.number").alias("keep"))
+    return unpacked(rows.join(keep, F.col("number") == F.col("keep"), "left_semi"), docs.columns)

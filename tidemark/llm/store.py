@@ -67,6 +67,14 @@ def carried(df: DataFrame, **named: Column) -> DataFrame:
                      *[c.alias(n) for n, c in named.items()])
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a carried row of ``df``; maps and variants have none."""
+    if all("map<" not in kind and "variant" not in kind for _, kind in df.dtypes):
+        return F.xxhash64("row")
+    return F.xxhash64(*[F.col("row").getField(c) for c, kind in df.dtypes
+                        if "map<" not in kind and "variant" not in kind])
+
+
 def unpacked(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
     """The columns of a struct made by ``carried``, some of them replaced."""
     return df.select(*[replaced.get(c, F.col("row").getField(c)).alias(c) for c in columns])
