@@ -38,6 +38,15 @@ def test_stages_over_the_smallest_table(spark, documents):
         r["doc_id"] for r in kept["benchmark_decontamination"].collect())
 
 
+def test_language_stage_keeps_clean_documents(spark, documents):
+    """Documents labelled clean pass the stage, those without text or letters do not."""
+    df, _ = documents
+    clean = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").collect()}
+    more = spark.createDataFrame([(-1, None, "en", "s", 0), (-2, "", "en", "s", 0), (-3, "12 34", "en", "s", 5)], df.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, df.unionByName(more), SF).collect()}
+    assert clean and clean <= kept and not {-1, -2, -3} & kept
+
+
 def test_queries_are_registered():
     names = __spark_entry__.queries()
     assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{n}" for n in range(1, 11)}
