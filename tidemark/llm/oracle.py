@@ -79,3 +79,34 @@ SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_diges
 FROM (SELECT page_id, payload, CASE WHEN strlen(payload) < 1000 THEN page_id
              ELSE coalesce(max(page_id) OVER (PARTITION BY payload), page_id) END AS target
       FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages))"""
+
+_GAP = "(({p} - {q}) * ({p} - {q})) // {q}"
+_AUDIT_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')")
+
+ORACLE_SQL["op13_source_divergence"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     {_AUDIT_WORDS} AS w FROM documents),
+uses AS (SELECT r, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM uses GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+size AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(n) AS HUGEINT) AS n_all FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+own AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM uses SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+total AS (SELECT lang, source, coalesce(sum(n), 0) AS n_group FROM grp LEFT JOIN own USING (lang, source) GROUP BY ALL),
+grid AS (
+  SELECT t.lang, t.source, k.term, coalesce(o.n, 0) AS n,
+         1 + (CAST(1000000000 AS HUGEINT) * (coalesce(o.n, 0) + 1)) // CAST(t.n_group + s.v AS HUGEINT) AS p,
+         1 + (CAST(1000000000 AS HUGEINT) * (k.n + 1)) // CAST(s.n_all + s.v AS HUGEINT) AS q
+  FROM total t JOIN size s USING (lang) JOIN kept k USING (lang) LEFT JOIN own o USING (lang, source, term)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum({_GAP.format(p='a.p', q='b.p')}) AS value
+  FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, {_GAP.format(p='p', q='q')} FROM grid WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+WHERE part = 'pair' OR rank <= 200"""

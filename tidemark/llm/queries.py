@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.attribution import token_counts
 from tidemark.llm.decontam import window_report
+from tidemark.llm.divergence import source_divergence
 from tidemark.llm.language import identify
 from tidemark.llm.licences import scan_licences
 from tidemark.llm.lines import line_report
@@ -62,6 +63,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_decontaminate": op2_decontaminate,
@@ -73,4 +78,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
+    "op13_source_divergence": op13_source_divergence,
 }
