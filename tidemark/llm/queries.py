@@ -18,6 +18,7 @@ from tidemark.llm.quality import judge_documents
 from tidemark.llm.simhash import near_duplicate_groups
 from tidemark.llm.store import read_table
 from tidemark.llm.substrings import repeated_words
+from tidemark.llm.variants import spelling_variants
 from tidemark.llm.warc import archive_round_trip
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -63,6 +64,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(read_table(spark, sf_dir, "documents"))
 
@@ -78,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_source_divergence": op13_source_divergence,
 }
