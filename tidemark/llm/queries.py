@@ -14,6 +14,7 @@ from tidemark.llm.licences import scan_licences
 from tidemark.llm.lines import line_report
 from tidemark.llm.oracle import ORACLE_SQL
 from tidemark.llm.packing import pack_sequences
+from tidemark.llm.pages import extract_text
 from tidemark.llm.quality import judge_documents
 from tidemark.llm.simhash import near_duplicate_groups
 from tidemark.llm.store import read_table
@@ -64,6 +65,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op11_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read_table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
+    "op11_extract_text": op11_extract_text,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_source_divergence": op13_source_divergence,
 }
