@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import pair_corr, pair_count
+from tidemark.operators.asof import carry_forward
+from tidemark.operators.relational import pivot_long
 from tidemark.operators.windows import forward_fill_global, global_frames, lag_k, top_k_per_group, zscore
 
 
@@ -61,3 +63,25 @@ def macro_overlay(sector_perf: DataFrame, macro_wide: DataFrame) -> DataFrame:
     m = macro_wide.select(F.col("observation_date").alias("price_date"), "fed_funds_rate", "vix",
                           "treasury_10y")
     return sector_perf.join(m, "price_date", "left")
+
+
+def macro_calendar(stg_macro: DataFrame, days: DataFrame | None = None, max_age_days: int | None = None) -> DataFrame:
+    """Every macro series on every calendar day from its first observation to the newest one of all
+    series, or on the trading days of ``days`` (column ``date_day``): its last known value, the day it
+    was observed, and its age, up to ``max_age_days``."""
+    return carry_forward(stg_macro.select("series_id", "observation_date", "value"), "series_id", "observation_date",
+                         "value", days=days, max_age_days=max_age_days)
+
+
+def macro_context(stg_macro: DataFrame, trading_days: DataFrame, series, max_age_days: int | None = None) -> DataFrame:
+    """One row per trading day (``trading_days.price_date``), one carried column per series."""
+    days = trading_days.select(F.col("price_date").alias("date_day")).distinct()
+    carried = macro_calendar(stg_macro, days, max_age_days)
+    wide = pivot_long(carried, F.col("date_day").alias("price_date"), "series_id", "value", series)
+    return days.select(F.col("date_day").alias("price_date")).join(wide, "price_date", "left")
+
+
+def macro_overlay_carried(sector_perf: DataFrame, context: DataFrame,
+                          cols=("fed_funds_rate", "vix", "treasury_10y")) -> DataFrame:
+    """Sector rows with the macro values known on their day, not only those observed on it."""
+    return sector_perf.join(context.select("price_date", *cols), "price_date", "left")

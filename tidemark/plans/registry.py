@@ -1051,6 +1051,50 @@ def q_macro_overlay(spark, d):
     return X.macro_overlay(m.ref("sector_performance"), m.ref("macro_pivot"))
 
 
+_CARRIED = """
+, known AS (SELECT series_id, observation_date, value FROM stg_macro WHERE value IS NOT NULL),
+bounds AS (SELECT series_id, min(observation_date) AS since, (SELECT max(observation_date) FROM known) AS upto
+           FROM known GROUP BY series_id)"""
+
+
+@register("macro_calendar", O.cte("stg_macro") + _CARRIED + """
+, spine AS (SELECT series_id, CAST(unnest(generate_series(since, upto, INTERVAL 1 DAY)) AS DATE) AS date_day FROM bounds)
+SELECT s.series_id, s.date_day, if(s.date_day - k.observation_date <= 5, k.value, NULL) AS value,
+       if(s.date_day - k.observation_date <= 5, k.observation_date, NULL) AS as_of,
+       CAST(if(s.date_day - k.observation_date <= 5, s.date_day - k.observation_date, NULL) AS INTEGER) AS age_days
+FROM spine s ASOF LEFT JOIN known k ON s.series_id = k.series_id AND s.date_day >= k.observation_date""", dbl=("value",))
+def q_macro_calendar(spark, d):
+    """Every macro series on every calendar day, its last observation carried for at most five days."""
+    return X.macro_calendar(_m(spark, d).stored("stg_macro"), max_age_days=5)
+
+
+def _context_sql(series: dict[str, str]) -> str:
+    parts = [f"""ASOF LEFT JOIN (SELECT observation_date AS day_{c}, value AS {c} FROM stg_macro
+WHERE series_id = '{i}' AND value IS NOT NULL) AS of_{c} ON d.price_date >= day_{c}""" for i, c in series.items()]
+    return (", context AS (SELECT d.price_date, " + ", ".join(
+        f"if(d.price_date <= (SELECT max(observation_date) FROM stg_macro WHERE value IS NOT NULL), {c}, NULL) AS {c}"
+        for c in series.values()) + " FROM (SELECT DISTINCT price_date FROM stg_prices) d\n" + "\n".join(parts) + ")")
+
+
+@register("macro_context", O.cte("stg_macro", "stg_prices") + _context_sql(M.MACRO_SERIES)
+          + "SELECT * FROM context", dbl=tuple(M.MACRO_SERIES.values()))
+def q_macro_context(spark, d):
+    """The wide macro table on trading days, each series carried from its last observation."""
+    m = _m(spark, d)
+    return X.macro_context(m.stored("stg_macro"), m.ref("stg_daily_prices"), m.macro_series)
+
+
+@register("macro_overlay_carried", O.cte("sector_perf", "stg_macro", "stg_prices")
+          + _context_sql({k: M.MACRO_SERIES[k] for k in ("DFF", "VIXCLS", "DGS10")}) + """
+SELECT s.*, fed_funds_rate, vix, treasury_10y FROM sector_perf s LEFT JOIN context USING (price_date)""",
+          dbl=("avg_daily_return", "fed_funds_rate", "vix", "treasury_10y", "total_close_price"))
+def q_macro_overlay_carried(spark, d):
+    """Sector rows with the macro values known on their day."""
+    m = _m(spark, d)
+    context = X.macro_context(m.stored("stg_macro"), m.ref("stg_daily_prices"), m.macro_series)
+    return X.macro_overlay_carried(m.ref("sector_performance"), context)
+
+
 @register("dq_freshness", O.cte("crypto_ticks") + """
 , t AS (
   SELECT 'yahoo_finance' AS source, max(l_orderkey) * 1000 AS ms FROM lineitem
