@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.aggregates import pair_corr, pair_count
 from tidemark.operators.asof import carry_forward
 from tidemark.operators.relational import pivot_long
+from tidemark.operators.rolling import corr_pairs, rolling_corr_pairs, unpivot_series
 from tidemark.operators.windows import forward_fill_global, global_frames, lag_k, top_k_per_group, zscore
 
 
@@ -85,3 +86,37 @@ def macro_overlay_carried(sector_perf: DataFrame, context: DataFrame,
                           cols=("fed_funds_rate", "vix", "treasury_10y")) -> DataFrame:
     """Sector rows with the macro values known on their day, not only those observed on it."""
     return sector_perf.join(context.select("price_date", *cols), "price_date", "left")
+
+
+def rolling_corr_snapshot(snapshot: DataFrame, assets, macros, windows=(30, 60, 90), min_obs: int = 3) -> DataFrame:
+    """Trailing correlation of every asset return with every indicator over the snapshot's days."""
+    long = unpivot_series(snapshot, "snapshot_date", {**{f"a/{k}": c for k, c in assets.items()},
+                                                      **{f"m/{k}": c for k, c in macros.items()}})
+    out = rolling_corr_pairs(long, "snapshot_date", "series", "value", windows, F.col("series").startswith("a/"),
+                             F.col("series").startswith("m/"), min_obs, "asset", "macro_indicator")
+    return out.withColumns({c: F.substring(c, 3, 100) for c in ("asset", "macro_indicator")})
+
+
+def _assets_and_series(returns: DataFrame, stg_macro: DataFrame, assets) -> DataFrame:
+    own = returns.filter(F.col("asset_id").isin(*assets)).select(
+        F.col("asset_date").alias("day"), F.lit("asset").alias("kind"), F.col("asset_id").alias("series"), F.col("daily_return").alias("value"))
+    return own.unionByName(stg_macro.select(F.col("observation_date").alias("day"), F.lit("macro").alias("kind"),
+                                            F.col("series_id").alias("series"), "value"))
+
+
+def rolling_corr_assets(returns: DataFrame, stg_macro: DataFrame, assets, windows=(30, 60, 90), min_obs: int = 3) -> DataFrame:
+    """Trailing correlation of every asset with every macro series, straight from the long tables."""
+    return rolling_corr_pairs(_assets_and_series(returns, stg_macro, assets), "day", "series", "value", windows,
+                              F.col("kind") == "asset", F.col("kind") == "macro", min_obs, "asset", "macro_indicator")
+
+
+def corr_assets(returns: DataFrame, stg_macro: DataFrame, assets, min_obs: int = 3) -> DataFrame:
+    """Whole-history correlation of every asset with every macro series (E8 as rows of one aggregate)."""
+    return corr_pairs(_assets_and_series(returns, stg_macro, assets), "day", "series", "value",
+                      F.col("kind") == "asset", F.col("kind") == "macro", min_obs, "asset", "macro_indicator")
+
+
+def corr_all_assets(returns: DataFrame, min_obs: int = 30) -> DataFrame:
+    """Correlation of the daily returns of every two assets with ``min_obs`` common days."""
+    out = corr_pairs(returns, "asset_date", "asset_id", "daily_return", min_obs=min_obs, left_name="asset", right_name="other")
+    return out.filter(F.col("n_obs") >= min_obs)

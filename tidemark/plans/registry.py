@@ -1095,6 +1095,88 @@ def q_macro_overlay_carried(spark, d):
     return X.macro_overlay_carried(m.ref("sector_performance"), context)
 
 
+_WINDOWS = (30, 60, 90)
+_ROLLED = tuple(f"corr_{n}" for n in _WINDOWS)
+
+
+def _pair_corr_sql(over: str, tag: str, least: int = 3) -> str:
+    """Correlation of x and y over complete rows (both or neither is NULL), from sums about the pair's means."""
+    n, sums = f"count(x) {over}", {k: f"sum({k}) {over}" for k in ("x", "y", "x * y", "x * x", "y * y")}
+    top = f"({n} * {sums['x * y']} - {sums['x']} * {sums['y']})"
+    below = f"(({n} * {sums['x * x']} - {sums['x']} * {sums['x']}) * ({n} * {sums['y * y']} - {sums['y']} * {sums['y']}))"
+    varies = f"min(x) {over} < max(x) {over} AND min(y) {over} < max(y) {over}"
+    return f"CASE WHEN {n} >= {least} AND {varies} THEN {top} / sqrt({below}) END AS corr{tag}, {n} AS n_obs{tag}"
+
+
+def _rolling_sql() -> str:
+    return ("SELECT asset, macro_indicator, day, " + ", ".join(_pair_corr_sql(
+        f"OVER (PARTITION BY asset, macro_indicator ORDER BY place RANGE BETWEEN {n - 1} PRECEDING AND CURRENT ROW)", f"_{n}")
+        for n in _WINDOWS) + " FROM complete")
+
+
+_COMPLETE = """, complete AS (SELECT asset, macro_indicator, day, place, if(y IS NULL, NULL, x) AS x, if(x IS NULL, NULL, y) AS y FROM paired)
+"""
+_PAIRED = """
+, own AS (SELECT asset_id AS asset, asset_date AS day, daily_return AS x FROM asset_returns
+          WHERE asset_id IN ('^A', '^N', '^R', 'bitcoin', 'ethereum', 'tether')),
+places AS (SELECT day, row_number() OVER (ORDER BY day) AS place
+           FROM (SELECT day FROM own UNION SELECT observation_date FROM stg_macro)),
+paired AS (SELECT asset, series_id AS macro_indicator, day, place, x, value AS y
+           FROM own JOIN stg_macro ON observation_date = day JOIN places USING (day))""" + _COMPLETE
+_ASSETS = ("^A", "^N", "^R", "bitcoin", "ethereum", "tether")
+
+
+@register("rolling_corr_snapshot", O.cte("snapshot") + """
+, places AS (SELECT *, row_number() OVER (ORDER BY snapshot_date) AS place FROM snapshot),
+paired AS (SELECT a.k AS asset, m.k AS macro_indicator, snapshot_date AS day, place, a.v AS x, m.v AS y FROM (
+  SELECT snapshot_date, place, unnest([{'k': 'SP500', 'v': sp500_return}, {'k': 'BTC', 'v': btc_return}]) AS a,
+         [{'k': 'VIX', 'v': vix}, {'k': 'TREASURY_10Y', 'v': treasury_10y}, {'k': 'TREASURY_2Y', 'v': treasury_2y},
+          {'k': 'FED_FUNDS_RATE', 'v': fed_funds_rate}, {'k': 'WTI_CRUDE_OIL', 'v': wti_crude_oil}] AS ms
+  FROM places), unnest(ms) AS t(m))""" + _COMPLETE + "SELECT * RENAME (day AS snapshot_date) FROM (" + _rolling_sql() + ")",
+          dbl=_ROLLED)
+def q_rolling_corr_snapshot(spark, d):
+    """30/60/90-day correlation matrices of the snapshot, every asset with every indicator, as rows."""
+    return X.rolling_corr_snapshot(_m(spark, d).stored("daily_market_snapshot"), M.CORR_ASSETS, M.CORR_MACROS)
+
+
+@register("rolling_corr_assets", O.cte("asset_returns", "stg_macro") + _PAIRED + _rolling_sql(), dbl=_ROLLED)
+def q_rolling_corr_assets(spark, d):
+    """30/60/90-day correlations of six assets with all ten macro series from the long tables."""
+    m = _m(spark, d)
+    return X.rolling_corr_assets(m.stored("asset_daily_returns"), m.stored("stg_macro"), _ASSETS)
+
+
+@register("corr_assets", O.cte("asset_returns", "stg_macro") + _PAIRED + "SELECT asset, macro_indicator, "
+          + _pair_corr_sql("", "") + " FROM complete GROUP BY ALL", dbl=("corr",))
+def q_corr_assets(spark, d):
+    """The whole-history matrix of six assets and ten macro series, rows of one aggregate."""
+    m = _m(spark, d)
+    return X.corr_assets(m.ref("asset_daily_returns"), m.ref("stg_macro"), _ASSETS).withColumnRenamed("correlation", "corr")
+
+
+@register("corr_all_assets", O.cte("asset_returns") + """
+, kept AS (SELECT asset_id, asset_date, daily_return FROM asset_returns)
+SELECT a.asset_id AS asset, b.asset_id AS other, corr(a.daily_return, b.daily_return) AS corr,
+       count(a.daily_return * b.daily_return) AS n_obs
+FROM kept a JOIN kept b ON a.asset_date = b.asset_date AND a.asset_id < b.asset_id
+GROUP BY ALL HAVING count(a.daily_return * b.daily_return) >= 30""", dbl=("corr",))
+def q_corr_all_assets(spark, d):
+    """Return correlations of every two assets with at least 30 common days, any number of series."""
+    return X.corr_all_assets(_m(spark, d).stored("asset_daily_returns")).withColumnRenamed("correlation", "corr")
+
+
+@register("technicals_sliding", O.cte("technicals") + "SELECT * REPLACE (" + ", ".join(
+    f"{c} + CAST(0.0000137 AS DOUBLE) AS {c}" for c in TECH_COARSE if c.startswith(("ma_", "bb_"))) + ") FROM technicals",
+          dbl=("daily_return", "rsi_14"), coarse=TECH_COARSE, ints=("volume",))
+def q_technicals_sliding(spark, d):
+    """All indicators from exact running sums in halo buckets of each series. Means and bands are
+    shifted by less than the last digit shown: means of prices in cents often lie on a half of it, where
+    sums of doubles and exact sums would round to either side."""
+    from tidemark.operators.sliding import sliding_technicals
+    out = sliding_technicals(_m(spark, d).stored("stg_daily_prices")).select(*M.TECHNICAL_COLUMNS)
+    return out.withColumns({c: F.col(c) + F.lit(0.0000137) for c in TECH_COARSE if c.startswith(("ma_", "bb_"))})
+
+
 @register("dq_freshness", O.cte("crypto_ticks") + """
 , t AS (
   SELECT 'yahoo_finance' AS source, max(l_orderkey) * 1000 AS ms FROM lineitem
