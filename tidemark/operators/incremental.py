@@ -8,12 +8,14 @@ So a merge costs what it touches, and one that breaks off is as if it never ran.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.storage import complete, listing
+from tidemark.session import scratch_path
+from tidemark.storage import complete, listing, remove
 
 
 def high_water_mark(target: DataFrame, key: str) -> Column:
@@ -80,8 +82,10 @@ def merge_into(spark: SparkSession, root: str, build: Callable[[Column | None],
     First run (or ``full_refresh``, or an empty target): ``build(None)``.
     Later runs: ``build(high_water)`` yields only newer keys, which replace
     equal keys; the buckets they fall into are written as the next version.
-    Returns the new current table.
+    The updates are stored before they are merged, so their plan runs once and the buckets
+    touched are those of the rows written. Returns the new current table.
     """
+    held = None
     current = None if full_refresh else read_current(spark, root)
     path = f"{root.rstrip('/')}/{_next_version(spark, root):06d}"
     if current is None:
@@ -90,11 +94,34 @@ def merge_into(spark: SparkSession, root: str, build: Callable[[Column | None],
         hwm = high_water_mark(current, key)
         if lookback_days:
             hwm = F.date_sub(hwm, lookback_days)
-        updates, path = build(hwm), f"{path}-merge"
+        updates, path, held = build(hwm), f"{path}-merge", scratch_path(spark, "merge-updates")
+        updates.write.parquet(held)
+        updates = spark.read.schema(updates.schema).parquet(held)
         touched = updates.select(_bucket(updates, key).alias("_touched")).distinct()
         own = current.join(touched, _bucket(current, key) == F.col("_touched"), "left_semi")
         rows = upsert(own, updates, [key])
     schema = rows.schema
     rows.withColumn("_bucket", _bucket(rows, key)).write.partitionBy("_bucket").parquet(path)
+    if held:
+        remove(spark, held)
     table = read_current(spark, root)
     return table if table is not None else spark.createDataFrame([], schema)
+
+
+def vacuum(spark: SparkSession, root: str, min_age_hours: float = 24) -> list[str]:
+    """Remove the versions that no bucket of the current table comes from, and those never completed.
+
+    Only versions that were last written ``min_age_hours`` ago or earlier go, so that readers of an
+    older state and merges under way are left alone. Returns the names removed.
+    """
+    used: dict[str, str] = {}
+    for _, full, path in _versions(spark, root):
+        used = {} if full else used
+        used |= {name: path for name, _, folder, *_ in listing(spark, path) if folder and name.startswith("_bucket=")}
+    latest, before, gone = _next_version(spark, root) - 1, (time.time() - 3600 * min_age_hours) * 1000, []
+    for name, path, folder, _, modified in listing(spark, root) or []:
+        number = name.partition("-")[0]
+        if folder and number.isdigit() and int(number) != latest and path not in used.values() and modified <= before:
+            remove(spark, path)
+            gone.append(name)
+    return gone

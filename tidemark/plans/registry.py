@@ -474,6 +474,7 @@ def q_ci_in_filter(spark, d):
 from tidemark.functions import indicators as IND  # noqa: E402
 from tidemark.operators import incremental as INC  # noqa: E402
 from tidemark.operators import quality as DQ  # noqa: E402
+from tidemark.operators import tail_state as TS  # noqa: E402
 from tidemark.plans import medallion as M  # noqa: E402
 
 
@@ -1177,6 +1178,38 @@ def q_technicals_sliding(spark, d):
     return out.withColumns({c: F.col(c) + F.lit(0.0000137) for c in TECH_COARSE if c.startswith(("ma_", "bb_"))})
 
 
+def _runs_of_prices(stg: DataFrame) -> list[DataFrame]:
+    """The staged prices as three runs would find them: each sees what was there by its day."""
+    return [stg.filter(F.col("price_date") <= F.to_date(F.lit(day))) for day in ("1994-12-31", "1997-06-30", "2100-01-01")]
+
+
+@register("incremental_technicals", REGISTRY["technicals_sliding"].sql, dbl=("daily_return", "rsi_14"),
+          coarse=TECH_COARSE, ints=("volume",))
+def q_incremental_technicals(spark, d):
+    """The technicals built by three runs, each from its new rows and the last 200 rows of every
+    series, equal to a full rebuild (means and bands shifted as in ``technicals_sliding``)."""
+    stg, root = _m(spark, d).stored("stg_daily_prices"), scratch_path(spark, "technicals-runs")
+    for prices in _runs_of_prices(stg):
+        out = TS.append_technicals(prices, root)
+    out = out.select(*M.TECHNICAL_COLUMNS)
+    return out.withColumns({c: F.col(c) + F.lit(0.0000137) for c in TECH_COARSE if c.startswith(("ma_", "bb_"))})
+
+
+@register("incremental_snapshot", O.cte("snapshot") + "SELECT * FROM snapshot", dbl=SNAP_DBL, coarse=SNAP_COARSE,
+          ints=("fng_value",))
+def q_incremental_snapshot(spark, d):
+    """The snapshot merged by three runs over technicals that are kept incrementally: each reads the
+    technicals after its high-water mark only, no window sees the history."""
+    m, root = _m(spark, d), scratch_path(spark, "snapshot-runs")
+    stg, crypto = m.stored("stg_daily_prices"), m.stored("crypto_with_dominance")
+    for prices in _runs_of_prices(stg):
+        technicals = TS.append_technicals(prices.select("ticker", "price_date", "close_price"), f"{root}-technicals")
+        out = INC.merge_into(spark, root, lambda after, t=technicals: M.daily_market_snapshot(
+            t, m.seeds["tickers"], crypto, m.ref("stg_fear_greed"), m.ref("macro_pivot"), None, m.index_tickers,
+            m.btc_id, after=after), "snapshot_date")
+    return out
+
+
 @register("dq_freshness", O.cte("crypto_ticks") + """
 , t AS (
   SELECT 'yahoo_finance' AS source, max(l_orderkey) * 1000 AS ms FROM lineitem
