@@ -28,6 +28,10 @@ CORE_CONF = {
 }
 
 
+#: Scratch folders of local sessions that name no shared one, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def build_session(app: str = "tidemark", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Return (or create) a session with the core settings applied.
@@ -70,8 +74,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        # The setting itself cannot be changed in a running session, so the folder is kept here.
+        configured = _LOCAL_DIRS.get(sc.applicationId) or tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        _LOCAL_DIRS[sc.applicationId] = configured
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
