@@ -73,38 +73,45 @@ def _signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
-def line_chunks(text, classes=2):
-    lines, marks = text.split("\n"), []
+def line_chunks(text):
+    """Lines of a text, and (first line, line behind the last) of its chunks."""
+    lines, out, since = text.split("\n"), [], 0
     for i, line in enumerate(lines):
-        h = xxhash.xxh64_intdigest(lines[i - 1].encode(), 42) if i else 42
-        marks.append(_signed(xxhash.xxh64_intdigest(line.encode(), h)) % classes == 0)
-    out, at = [], 0
-    for i in range(len(lines)):
-        if i == len(lines) - 1 or (marks[i] and not (marks[i - 1] if i else True)):
-            out.append((at, i + 1))
-            at = i + 1
+        if i == len(lines) - 1 or hashlib.md5(line.encode()).hexdigest() < "e":
+            out.append((max(0, min(since, i - 1)), i + 1))
+            since = i + 1
     return lines, out
 
 
+def _alike(a, b, lone):
+    n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return 0 if a == b and not lone else n
+
+
 def repeated_lines(docs):
-    """Rows equal in id and text count as one document; ids must differ otherwise."""
-    seen = []
-    for n, (doc_id, text) in enumerate(docs):
-        if text is not None:
-            lines, chunks = line_chunks(text)
-            seen += [((doc_id is not None, doc_id or 0), a, tuple(lines[a:b]), n, b) for a, b in chunks
-                     if b - a > 1 and any(x.strip(" ") for x in lines[a:b])]
+    """Chunks and the lines around them, against the first occurrence; rows equal in id and text count as one."""
+    def place(doc_id, text):
+        named = "" if doc_id is None else f"{len(str(doc_id))}:{doc_id}"
+        return (doc_id is not None, doc_id or 0, hashlib.md5(f"{named}|{text}".encode()).digest())
     first, gone = {}, collections.defaultdict(set)
-    for key, a, own, _, _ in sorted(seen):
-        first.setdefault(own, (key, a))
-    for key, a, own, n, b in seen:
-        if first[own] != (key, a):
-            gone[n].update(range(a, b))
+    for who, text in sorted({(place(d, t), t) for d, t in docs if t is not None}):
+        lines, chunks = line_chunks(text)
+        for k, (a, b) in enumerate(chunks):
+            if b - a < 2 or not any(x.strip(" ") for x in lines[a:b]):
+                continue
+            before = lines[chunks[k - 1][0]:a][::-1] if k else []
+            after = lines[b:chunks[k + 1][1]] if k + 1 < len(chunks) else []
+            lone = k == 1 and chunks[0] == (0, 1)
+            if (own := tuple(lines[a:b])) in first:
+                f_before, f_after, f_lone = first[own]
+                left, right = _alike(before, f_before, lone or f_lone), _alike(after, f_after, False)
+                gone[who, text].update(range(a - left, b + right))
+            else:
+                first[own] = (before, after, lone)
     out = []
-    for n, (doc_id, text) in enumerate(docs):
-        lines = [] if text is None else text.split("\n")
-        out.append((doc_id, len(lines), len(gone[n]),
-                    sha256("\n".join(x for i, x in enumerate(lines) if i not in gone[n]))))
+    for doc_id, text in docs:
+        lines, lost = ([], ()) if text is None else (text.split("\n"), gone[place(doc_id, text), text])
+        out.append((doc_id, len(lines), len(lost), sha256("\n".join(x for i, x in enumerate(lines) if i not in lost))))
     return out
 
 

@@ -1,129 +1,145 @@
-"""Line dedup over content-defined chunks or pairs of lines, in DataFrame operations only.
+"""Line dedup over content-defined chunks of lines, in DataFrame operations only.
 
-A rolling hash over the hashes of neighbouring lines chooses chunk boundaries, so that the
-same run of lines is cut alike wherever it stands. Chunks of two lines or more that occur
-again anywhere are removed, but for their first occurrence, after their bytes were compared
-with those of that first occurrence. With all pairs of neighbouring lines in the place of
-chunks, every repeated run of two lines or more goes to its last line.
+A hash of each line tells whether the line ends a chunk, so the same run of lines is cut alike
+wherever it stands; a chunk has two lines at least and shares one with the chunk before where it
+would be shorter. Chunks that occur again anywhere are anchors: each is extended line by line both
+ways as far as it equals its first occurrence, and removed after its lines were compared.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.store import carried, row_hash, staged, unpacked
+from tidemark.llm.store import carried, staged, unpacked
 
-#: A line may end a chunk where the rolling hash falls into one of so many classes.
-BOUNDARY_CLASSES = 2
-MIN_LINES = 2
+#: A line ends a chunk if the hexadecimal digits of its MD5 are below these: seven lines of eight.
+ENDS_BELOW = "e"
 
 
-def line_chunks(docs: DataFrame, classes: int = BOUNDARY_CLASSES) -> DataFrame:
-    """rk, doc_id and first, size, key of each chunk of each text (columns doc_id, text).
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where lambdas in it use it many times."""
+    return F.transform(F.array(value), body)[0]
 
-    ``rk`` is a hash that tells rows apart by id and text; rows equal in both share their fate.
-    The hash rolls over two lines; a line ends a chunk if its hash is in class 0 of
-    ``classes`` and that of the line before is not, so that only the last chunk of a text
-    can be a single line. Chunks without a word are left out.
-    """
-    # Each step is a column of its own, so that no array is made anew inside a lambda.
-    rows = docs.filter("text is not null").select(
-        F.xxhash64("doc_id", "text").alias("rk"), "doc_id", F.split("text", "\n", -1).alias("lines"))
-    rows = rows.withColumn("marks", F.transform("lines", lambda x, i: F.pmod(
-        F.xxhash64(F.get("lines", i - 1), x), F.lit(classes)) == 0))
-    rows = rows.withColumn("ends", F.filter(
-        F.transform("marks", lambda m, i: F.when(
-            (i == F.size("marks") - 1) | (m & ~F.coalesce(F.get("marks", i - 1), F.lit(True))), i)),
-        lambda e: e.isNotNull()))
-    rows = rows.withColumn("bounds", F.transform("ends", lambda e, k: F.struct(
-        F.when(k == 0, 0).otherwise(F.get("ends", k - 1) + 1).alias("first"), e.alias("last"))))
-    chunks = F.transform("bounds", lambda c: F.struct(
-        c["first"].alias("first"), (c["last"] - c["first"] + 1).alias("size"),
-        F.slice("lines", c["first"] + 1, c["last"] - c["first"] + 1).alias("own")))
-    rows = rows.select("rk", "doc_id", F.inline(chunks))
-    return rows.filter(F.exists("own", lambda x: F.trim(x) != "")).select(
-        "rk", "doc_id", "first", "size", F.xxhash64("own").alias("key"))
-
-
-def line_pairs(docs: DataFrame) -> DataFrame:
-    """rk, doc_id and first, size, key of each two neighbouring lines with a word, as ``line_chunks``.
-
-    A run of lines is repeated where all its pairs are, so pairs miss no run and need no boundaries.
+
+def _part(array: Column, first: Column, size: Column) -> Column:
+    return F.slice(array, first + 1, size)
+
+
+def line_chunks(docs: DataFrame, ends_below: str = ENDS_BELOW) -> DataFrame:
+    """rk, doc_id and first, size, key, before, after, lone of each chunk of each text (columns rk, doc_id, text).
+
+    A chunk ends where a line does by its own hash, or at the last line of the text; it starts behind
+    the end before, or at the line before its own end if that is earlier. ``before`` and ``after`` are
+    hashes of the lines from the start of the chunk before up to it, and behind it to the next end.
+    Chunks of one line (a text's first one) or without a word are left out; ``lone`` tells that the
+    chunk before is such a line.
     """
-    rows = docs.filter("text is not null").select(
-        F.xxhash64("doc_id", "text").alias("rk"), "doc_id", F.split("text", "\n", -1).alias("lines"))
-    # No column of its own: a filter on its size would be pushed below ``lines`` and split anew per line.
-    pairs = F.transform("lines", lambda x, i: F.struct(
-        (i - 1).alias("first"), F.lit(2).alias("size"), F.xxhash64(F.get("lines", i - 1), x).alias("key"),
-        ((F.trim(F.get("lines", i - 1)) != "") | (F.trim(x) != "")).alias("worded")))
-    return rows.select("rk", "doc_id", F.inline(pairs)).filter("first >= 0 and worded").drop("worded")
+    def chunks(lines: Column, hashes: Column, ends: Column) -> Column:
+        def first(k: Column) -> Column:
+            return F.greatest(F.lit(0), F.least(F.coalesce(F.get(ends, k - 1) + 1, F.lit(0)), F.get(ends, k) - 1))
+        return F.transform(ends, lambda e, k: _let(first(k), lambda at: F.struct(
+            at.alias("first"), (e - at + 1).alias("size"), F.xxhash64(_part(lines, at, e - at + 1)).alias("key"),
+            F.exists(_part(lines, at, e - at + 1), lambda x: F.trim(x) != "").alias("worded"),
+            F.when(k == 0, F.array().cast("array<bigint>")).otherwise(
+                _let(first(k - 1), lambda since: _part(hashes, since, at - since))).alias("before"),
+            _part(hashes, e + 1, F.coalesce(F.get(ends, k + 1), e) - e).alias("after"),
+            ((k == 1) & (ends[0] == 0)).alias("lone"))))
+
+    def cut(lines: Column) -> Column:
+        last = F.size(lines) - 1
+        ends = F.filter(F.transform(lines, lambda x, i: F.when((i == last) | (F.md5(x.cast("binary")) < ends_below), i)),
+                        lambda i: i.isNotNull())
+        return _let(F.transform(lines, lambda x: F.xxhash64(x)), lambda hashes: _let(ends, lambda e: chunks(lines, hashes, e)))
 
+    rows = docs.filter("text is not null").select("rk", "doc_id", F.inline(_let(F.split("text", "\n", -1), cut)))
+    return rows.filter("size > 1 and worded").drop("worded")
 
-def _chunk_text(lines: str, first: str | Column, size: str | Column) -> Column:
-    return F.array_join(F.slice(lines, first + 1, size), "\n")
 
+def _shared(a: Column, b: Column) -> Column:
+    """How many elements two arrays share from their start on."""
+    n = F.least(F.size(a), F.size(b))
+    differ = F.transform(F.slice(a, 1, n), lambda x, i: x != F.get(b, i))
+    return F.coalesce(F.nullif(F.array_position(differ, True), F.lit(0)) - 1, n).cast("int")
 
-def without_repeated_lines(docs: DataFrame, classes: int = BOUNDARY_CLASSES,
-                           min_lines: int = MIN_LINES, every_pair: bool = False) -> DataFrame:
-    """Removes every chunk of ``min_lines`` lines or more (or every pair of lines) that repeats an earlier one.
+
+def _more(a: Column, b: Column, lone: Column | bool = False) -> Column:
+    """``_shared``, or 0 where the arrays are equal: what lies there is then in a chunk of its own, unless ``lone``."""
+    return F.when((a == b) & ~F.lit(lone), F.lit(0)).otherwise(_shared(a, b))
+
+
+def without_repeated_lines(docs: DataFrame, ends_below: str = ENDS_BELOW) -> DataFrame:
+    """Removes every chunk that repeats an earlier one, and the lines around it that do so too.
 
     Returns the columns of ``docs`` with the kept ``text``, n_lines and n_removed packed as
     ``row``, ``kept``, ``n_lines`` and ``n_removed``. Of equal chunks, that with the least
-    (doc_id, row hash, first line) stays; null ids come first. A null text has no lines and
-    stays null, an empty one has one. Rows equal in id and text count as one document. Pairs
-    may overlap; as each removed line has an equal one at an earlier place, one of these stays.
+    (doc_id, row key, first line) stays; null ids come first. A null text has no lines and
+    stays null, an empty one has one. Rows equal in id and text count as one document and
+    share their fate.
     """
-    own = docs.select("doc_id", "text")
-    chunks = staged(line_pairs(own) if every_pair else
-                    line_chunks(own, classes).filter(F.col("size") >= min_lines), "chunks")
-    # The first of each repeated key: aggregated before the shuffle, stored, then joined back,
-    # so that a chunk of very many documents is split like any skewed join side.
-    firsts = staged(chunks.groupBy("key").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "rk", "first", "size")).alias("f"))
-        .filter("n > 1").select("key", F.col("f.rk").alias("f_rk"), F.col("f.first").alias("f_first"),
-                                F.col("f.size").alias("f_size")), "firsts")
+    named = F.concat(F.length(F.col("doc_id").cast("string")), F.lit(":"), F.col("doc_id").cast("string"))
+    key = F.unhex(F.md5(F.concat(F.coalesce(named, F.lit("")), F.lit("|"), F.col("text")).cast("binary")))
+    own = docs.select(key.alias("rk"), "doc_id", "text")
+    chunks = staged(line_chunks(own, ends_below), "chunks")
+    # The first of each repeated key: aggregated before the shuffle, then joined back, so that a chunk
+    # of very many documents is split like any skewed join side.
+    place = F.struct("doc_id", "rk", "first", "size", "before", "after", "lone")
+    firsts = staged(chunks.groupBy("key").agg(F.min(place).alias("f"), F.max(F.struct("doc_id", "rk", "first")).alias("z"))
+                    .filter("not (f.rk <=> z.rk and f.first = z.first)").select("key", "f"), "firsts")
+    later = staged(chunks.join(firsts, "key").filter("rk != f.rk or first != f.first").select(
+        "key", "rk", "first", "size", _more(F.reverse("before"), F.reverse("f.before"), F.col("lone") | F.col("f.lone")).alias("left"),
+        _more(F.col("after"), F.col("f.after")).alias("right"), F.col("f.rk").alias("f_rk"), F.col("f.first").alias("f_first")), "later")
+
+    # Of each first chunk its lines, with as many around it as any later one shares with it.
+    wanted = later.groupBy("key", "f_rk", "f_first", "size").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    wanted = wanted.groupBy("f_rk").agg(F.collect_list(F.struct(
+        "key", (F.col("f_first") - F.col("left")).alias("since"), (F.col("left") + F.col("size") + F.col("right")).alias("n"),
+        "left")).alias("wanted"))
     # The texts are dealt by rk once and meet the wanted chunks and the listed ones there: both joins
     # name the whole row and are merge joins at any size, so that Spark reuses the one exchange.
-    rows = carried(docs, rk=F.xxhash64("doc_id", "text"))
-    lines = F.split(F.col("row.text"), "\n", -1).alias("lines")
-
-    wanted = firsts.groupBy("f_rk").agg(F.collect_list(F.struct("key", "f_first", "f_size")).alias("wanted"))
-    found = (rows.join(wanted.hint("merge"), F.col("rk") == F.col("f_rk"))
-             .select(row_hash(docs).alias("version"), lines, F.explode("wanted").alias("w"))
-             .select(F.col("w.key").alias("f_key"), "version",
-                     _chunk_text("lines", F.col("w.f_first"), F.col("w.f_size")).alias("bytes")))
-
-    later = (chunks.join(firsts, "key").filter((F.col("rk") != F.col("f_rk")) | (F.col("first") != F.col("f_first")))
-             .select("key", F.col("rk").alias("l_rk"), "first", "size"))
+    rows = carried(docs, rk=key)
+    # One row of each key, so that repeated rows are not joined with each other.
+    found = (rows.join(wanted.hint("merge"), F.col("rk") == F.col("f_rk")).groupBy("rk")
+             .agg(F.first("row.text").alias("text"), F.first("wanted").alias("wanted"))
+             .select(F.inline(_let(F.split("text", "\n", -1), lambda lines: F.transform("wanted", lambda w: F.struct(
+                 w["key"].alias("f_key"), w["left"].alias("f_left"), _part(lines, w["since"], w["n"]).alias("f_lines")))))))
     # Both sides come straight from an exchange, so that a chunk of very many documents is split.
-    listed = (later.join(found, F.col("key") == F.col("f_key")).groupBy("l_rk")
-              .agg(F.sort_array(F.collect_set(F.struct("first", "size", "bytes", "version"))).alias("listed")))
-
-    rows = (rows.join(listed.hint("merge"), F.col("rk") == F.col("l_rk"), "left")
-            .select("row", F.col("row.text").alias("text"), lines, "listed"))
-    rows = rows.withColumn("same", F.filter(
-        F.coalesce("listed", F.array()), lambda c: _chunk_text("lines", c["first"], c["size"]) == c["bytes"]))
-    rows = rows.withColumn("gone", F.array_distinct(F.flatten(F.transform("same", lambda c: F.sequence(
-        c["first"], c["first"] + c["size"] - 1)))))
-    rows = rows.withColumn("stay", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"))
-    return rows.select("row", F.when(F.size("gone") == 0, F.col("text")).otherwise(
-        F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n")).alias("kept"),
-        F.coalesce(F.size("lines").cast("long"), F.lit(0)).alias("n_lines"),
-        F.size("gone").cast("long").alias("n_removed"))
-
-
-def line_report(docs: DataFrame, classes: int = BOUNDARY_CLASSES, every_pair: bool = False) -> DataFrame:
+    listed = (later.join(found, F.col("key") == F.col("f_key"))
+              .select(F.col("rk").alias("l_rk"), (F.col("first") - F.col("left")).alias("since"), _part(
+                  F.col("f_lines"), F.col("f_left") - F.col("left"), F.col("left") + F.col("size") + F.col("right")).alias("own"))
+              .groupBy("l_rk").agg(F.collect_set(F.struct("since", "own")).alias("listed")))
+
+    def gone(lines: Column) -> Column:
+        same = F.filter(F.coalesce("listed", F.array()), lambda c: _part(lines, c["since"], F.size(c["own"])) == c["own"])
+        places = F.flatten(F.transform(same, lambda c: F.sequence(c["since"], c["since"] + F.size(c["own"]) - 1)))
+        return F.struct(lines.alias("lines"), F.array_distinct(places).alias("gone"))
+
+    rows = rows.join(listed.hint("merge"), F.col("rk") == F.col("l_rk"), "left")
+    cut = _let(F.split("row.text", "\n", -1), lambda lines: _let(gone(lines), lambda c: F.struct(
+        F.when(F.size(c["gone"]) > 0, F.array_join(F.transform(
+            F.array_except(F.sequence(F.lit(0), F.size(c["lines"]) - 1), c["gone"]), lambda i: F.get(c["lines"], i)), "\n")).alias("kept"),
+        F.size(c["lines"]).alias("n_lines"), F.size(c["gone"]).alias("n_removed"))))
+    rows = rows.select("row", F.when(F.col("row.text").isNotNull(), cut).alias("cut"))
+    return rows.select("row", F.coalesce("cut.kept", "row.text").alias("kept"), *[
+        F.coalesce(F.col(f"cut.{c}"), F.lit(0)).cast("long").alias(c) for c in ("n_lines", "n_removed")])
+
+
+def line_report(docs: DataFrame, ends_below: str = ENDS_BELOW) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed and the SHA-256 of the kept text (null: of none)."""
-    rows = without_repeated_lines(docs.select("doc_id", "text"), classes, every_pair=every_pair)
+    rows = without_repeated_lines(docs.select("doc_id", "text"), ends_below)
     return rows.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed",
                        F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
-def dedup_lines(docs: DataFrame, classes: int = BOUNDARY_CLASSES) -> DataFrame:
-    """Documents without their repeated chunks, all columns kept (``n_chars`` follows, where there
-    is one); a document all of whose lines were removed goes."""
-    rows = without_repeated_lines(docs, classes).filter("n_removed = 0 or n_removed < n_lines")
+def dedup_lines(docs: DataFrame, ends_below: str = ENDS_BELOW) -> DataFrame:
+    """Documents without their repeated lines, all columns kept (``n_chars`` follows, where there is one).
+
+    A document that lost lines and has no word left goes; so a copy of a text of two lines or more
+    does. Null and empty texts and texts of one line are left as they are, repeated or not.
+    """
+    rows = without_repeated_lines(docs, ends_below).filter(F.expr(r"n_removed = 0 or kept rlike '\\S'"))
     replaced = {"text": F.col("kept")}
     if "n_chars" in docs.columns:
         replaced["n_chars"] = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(
