@@ -17,12 +17,12 @@ from tidemark.llm.store import read_table, staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the network recognises; null texts and those without letters go."""
+    """Documents whose language the network tells from the second likeliest; null texts and those without letters go."""
     return keep_identified(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without chunks of lines that repeat an earlier one; those that lose all lines go."""
+    """Documents without the lines that repeat an earlier passage; those left without a word go."""
     return dedup_lines(docs)
 
 

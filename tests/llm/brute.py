@@ -193,3 +193,30 @@ def section_counts(doc_id, names, values, tokenizer, separator=" ", rule="larges
         tokens[best] += 1
         crossing[best] += len(own) > 1
     return [(doc_id, f, k, n, x) for (f, k), n, x in zip(sections, tokens, crossing, strict=True)]
+
+
+def language_probabilities(weights, text, window=128):
+    """Mean position probabilities of a text's bytes, one byte and one unit at a time."""
+    import math
+    raw, out = text.encode(), [0.0] * len(weights["c"])
+
+    def states(d, part):
+        n, h, found = len(weights["uf"]), [0.0] * len(weights["uf"]), []
+        for byte in part:
+            a = [float(v) for v in weights[f"x{d}"][byte]]
+            b = [sum(h[i] * float(weights[f"u{d}"][i][j]) for i in range(n)) for j in range(3 * n)]
+            z = [1 / (1 + math.exp(-2 * (a[j] + b[j]))) for j in range(n)]
+            r = [1 / (1 + math.exp(-2 * (a[n + j] + b[n + j]))) for j in range(n)]
+            c = [math.tanh(a[2 * n + j] + r[j] * b[2 * n + j]) for j in range(n)]
+            h = [(1 - z[j]) * h[j] + z[j] * c[j] for j in range(n)]
+            found.append(h)
+        return found
+
+    for at in range(0, len(raw), window):
+        part = raw[at:at + window]
+        for f, b in zip(states("f", part), states("b", part[::-1])[::-1], strict=True):
+            logits = [float(weights["c"][k]) + sum(x * float(v[k]) for x, v in zip(f, weights["vf"], strict=True))
+                      + sum(x * float(v[k]) for x, v in zip(b, weights["vb"], strict=True)) for k in range(len(out))]
+            e = [math.exp(x - max(logits)) for x in logits]
+            out = [o + x / sum(e) / len(raw) for o, x in zip(out, e, strict=True)]
+    return out

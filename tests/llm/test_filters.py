@@ -277,3 +277,43 @@ def test_language_edge(spark, edge, empty):
     assert got[50]["lang_pred"] == got[51]["lang_pred"] == "und" and not got[None]["held_out"]
     assert got[None]["lang_pred"] == "de" and got[5]["lang_pred"] == "de" and got[6]["lang_pred"] == "fr"
     assert {r["doc_id"] for r in G.keep_identified(mixed).collect()} == {*range(40), None}
+
+
+def test_language_predictions_against_a_scalar_network(spark):
+    """Every prediction of a trained model against plain Python, one byte and unit at a time."""
+    texts = [("de" if i % 2 else "fr", ("der die das und " if i % 2 else "le la les et ") * 20) for i in range(20)]
+    model = G.train([*texts, ("es", "el la los y que " * 10)])
+    given = ["der die das", "le la les et " * 30, "x", "ñandú el los é", "a" * 300]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "doc_id long, text string")
+    for r in G.predict(df, model).collect():
+        p = brute.language_probabilities(model.weights, r["text"])
+        best, second = sorted(p)[::-1][:2]
+        assert model.languages[p.index(best)] == r["lang_pred"]
+        assert abs(best - r["score"]) < 1e-4 and abs(best / second - r["odds"]) < 1e-2 * r["odds"]
+
+
+def test_language_shared_ids_and_repeated_rows(spark):
+    """Rows that share an id do not pass or fall together: both languages are learned."""
+    rows = [(7, f"der die das und {i} ist nicht", "de") for i in range(3000)] + [(i, f"le la les et {i} pas que", "fr") for i in range(400)]
+    rows += [(9, "el la los y que es", "es")] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = G.training_sample(df)
+    assert {lang for lang, _ in sample} == {"de", "fr", "es"}
+    assert sum(lang == "es" for lang, _ in sample) == 3 and sum(lang == "de" for lang, _ in sample) == 1500
+    kept = G.keep_identified(df).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in kept} == {"de": 3000, "fr": 400, "es": 3000}
+
+
+def test_many_languages(spark, monkeypatch):
+    """250 languages, each with letters of its own: all are learned, and most documents are named right
+    (after a tenth of the steps)."""
+    monkeypatch.setattr(G, "STEPS", 25)
+    rows = [(5 * (k * 12 + i) + 1, "".join(chr(0x4E00 + 40 * k + (7 * i + j * j) % 40) for j in range(60)), f"l{k:03d}")
+            for k in range(250) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = G.train(G.training_sample(df))
+    assert len(model.languages) == 250
+    right = sum(r["lang"] == r["lang_pred"] for r in G.predict(df, model).collect())
+    assert right > 0.7 * len(rows)
+    few = G.training_sample(df, texts=250)
+    assert len({lang for lang, _ in few}) == 250 and len(few) <= 250 * G.EXCERPTS

@@ -7,8 +7,10 @@ ends, labels every position, and the mean of a document's position probabilities
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
@@ -20,16 +22,18 @@ from tidemark.llm.store import carried, map_arrow, unpacked
 from tidemark.llm.words import slices, text_bytes
 
 UNKNOWN = "und"
-#: Bound of the training sample: texts for each language, excerpts of each text, and languages.
-TEXTS_PER_LANGUAGE = 500
+#: Bound of the training sample: texts for each language, texts in all (each of more languages than
+#: their quotient gets fewer, one at least), excerpts of each text.
+TEXTS_PER_LANGUAGE, TEXTS = 500, 25_000
 EXCERPTS, EXCERPT_CHARS = 3, 200
-MAX_LANGUAGES = 200
+#: Units a direction for up to eight languages; more languages get more.
 HIDDEN = 12
 #: Bytes of a window; the state starts anew in each, so that windows run side by side.
 WINDOW, TRAIN_WINDOW = 128, 64
 WINDOWS_AT_ONCE = 2048
 STEPS, BATCH, RATE = 250, 128, 0.02
-MIN_SCORE = 0.35
+#: How many times as likely as the second language the first one of a kept document is.
+MIN_ODDS = 1.2
 
 Weights = dict[str, np.ndarray]
 
@@ -40,13 +44,17 @@ class Model:
     weights: Weights
 
 
+def _units(languages: int) -> int:
+    return max(HIDDEN, 4 * ceil(log2(max(languages, 1))))
+
+
 def _start(languages: int, seed: int) -> Weights:
-    rng = np.random.default_rng(seed)
+    rng, n = np.random.default_rng(seed), _units(languages)
     out: Weights = {}
     for d in "fb":  # forward and backward
-        out[f"x{d}"] = rng.normal(0, 0.3, (256, 3 * HIDDEN)).astype(np.float32)
-        out[f"u{d}"] = rng.normal(0, HIDDEN ** -0.5, (HIDDEN, 3 * HIDDEN)).astype(np.float32)
-        out[f"v{d}"] = rng.normal(0, HIDDEN ** -0.5, (HIDDEN, languages)).astype(np.float32)
+        out[f"x{d}"] = rng.normal(0, 0.3, (256, 3 * n)).astype(np.float32)
+        out[f"u{d}"] = rng.normal(0, n ** -0.5, (n, 3 * n)).astype(np.float32)
+        out[f"v{d}"] = rng.normal(0, n ** -0.5, (n, languages)).astype(np.float32)
     out["c"] = np.zeros(languages, np.float32)
     return out
 
@@ -54,15 +62,15 @@ def _start(languages: int, seed: int) -> Weights:
 def _cell(w: Weights, d: str, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     """One step of the gated unit on bytes ``x``: new state, gates, candidate and its recurrent part.
 
-    The first 2 * HIDDEN columns are the update and reset gates, written as tanh of half the sum.
+    The first two thirds of the columns are the update and reset gates, written as tanh of half the sum.
     """
-    a, b = w[f"x{d}"][x], h @ w[f"u{d}"]
-    gates = np.tanh(a[:, :2 * HIDDEN] + b[:, :2 * HIDDEN])
+    a, b, n = w[f"x{d}"][x], h @ w[f"u{d}"], h.shape[1]
+    gates = np.tanh(a[:, :2 * n] + b[:, :2 * n])
     gates *= 0.5
     gates += 0.5
-    inner = b[:, 2 * HIDDEN:]
-    candidate = np.tanh(a[:, 2 * HIDDEN:] + gates[:, HIDDEN:] * inner)
-    return h + gates[:, :HIDDEN] * (candidate - h), gates, candidate, inner
+    inner = b[:, 2 * n:]
+    candidate = np.tanh(a[:, 2 * n:] + gates[:, n:] * inner)
+    return h + gates[:, :n] * (candidate - h), gates, candidate, inner
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -74,11 +82,11 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 def gradients(w: Weights, x: np.ndarray, label: np.ndarray) -> tuple[float, Weights]:
     """Mean loss over all positions of windows ``x`` (time, window) and its gradients."""
-    steps, n = x.shape
+    (steps, n), units = x.shape, len(w["uf"])
     trail: dict[str, list] = {}
     states: dict[str, np.ndarray] = {}
     for d, order in (("f", range(steps)), ("b", range(steps - 1, -1, -1))):
-        h, trail[d], states[d] = np.zeros((n, HIDDEN), np.float32), [], np.empty((steps, n, HIDDEN), np.float32)
+        h, trail[d], states[d] = np.zeros((n, units), np.float32), [], np.empty((steps, n, units), np.float32)
         for t in order:
             before = h
             h, gates, candidate, inner = _cell(w, d, x[t], before)
@@ -93,33 +101,36 @@ def gradients(w: Weights, x: np.ndarray, label: np.ndarray) -> tuple[float, Weig
     grad["c"] = p.sum((0, 1))
     for d in "fb":
         grad[f"v{d}"] = np.tensordot(states[d], p, ([0, 1], [0, 1]))
-        u, dh = w[f"u{d}"], np.zeros((n, HIDDEN), np.float32)
+        u, dh = w[f"u{d}"], np.zeros((n, units), np.float32)
         for t, before, gates, candidate, inner in reversed(trail[d]):
             dh = dh + p[t] @ w[f"v{d}"].T
-            z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
+            z, r = gates[:, :units], gates[:, units:]
             d_candidate = dh * z * (1 - candidate ** 2)
             # a gate is 0.5 + 0.5 * tanh(s), so its slope in s is 2 * gate * (1 - gate)
             d_sum = np.concatenate([dh * (candidate - before) * 2 * z * (1 - z),
                                     d_candidate * inner * 2 * r * (1 - r), d_candidate], axis=1)
             np.add.at(grad[f"x{d}"], x[t], d_sum)
-            d_sum[:, 2 * HIDDEN:] *= r
+            d_sum[:, 2 * units:] *= r
             grad[f"u{d}"] += before.T @ d_sum
             dh = dh * (1 - z) + d_sum @ u.T
     return loss, grad
 
 
-def train(texts: list[tuple[str, str]], steps: int = STEPS, seed: int = 7) -> Model:
-    """Fit the network to (language, excerpt) pairs; languages are drawn equally often."""
+def train(texts: list[tuple[str, str]], steps: int | None = None, seed: int = 7) -> Model:
+    """Fit the network to (language, excerpt) pairs; languages are drawn equally often. Beyond eight
+    languages the steps grow with the logarithm of their number."""
     languages = sorted({lang for lang, _ in texts})
     if not languages:
         return Model([], {})
+    steps = steps or ceil(STEPS * max(1.0, log2(len(languages)) / 3))
+    number = {lang: k for k, lang in enumerate(languages)}
     rng = np.random.default_rng(seed)
     windows: list[list[bytes]] = [[] for _ in languages]
     for lang, text in texts:
         raw = text.encode()
         raw = raw * (-(-TRAIN_WINDOW // max(len(raw), 1))) if raw else b" " * TRAIN_WINDOW
-        windows[languages.index(lang)] += [raw[i:i + TRAIN_WINDOW] for i in
-                                           range(0, len(raw) - TRAIN_WINDOW + 1, TRAIN_WINDOW)]
+        windows[number[lang]] += [raw[i:i + TRAIN_WINDOW] for i in
+                                  range(0, len(raw) - TRAIN_WINDOW + 1, TRAIN_WINDOW)]
     tables = [np.frombuffer(b"".join(x), np.uint8).reshape(-1, TRAIN_WINDOW) for x in windows]
     w = _start(len(languages), seed)
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
@@ -138,11 +149,11 @@ def train(texts: list[tuple[str, str]], steps: int = STEPS, seed: int = 7) -> Mo
 
 def _window_probabilities(w: Weights, x: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Sum of the position probabilities of each window; ``x`` is (time, window), ``size`` its bytes."""
-    steps, n = x.shape
-    forward, h = np.empty((steps, n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+    (steps, n), units = x.shape, len(w["uf"])
+    forward, h = np.empty((steps, n, units), np.float32), np.zeros((n, units), np.float32)
     for t in range(steps):
         forward[t] = h = _cell(w, "f", x[t], h)[0]
-    total, h = np.zeros((n, len(w["c"])), np.float32), np.zeros((n, HIDDEN), np.float32)
+    total, h = np.zeros((n, len(w["c"])), np.float32), np.zeros((n, units), np.float32)
     full = int(size.min(initial=steps))
     for t in range(steps - 1, -1, -1):
         h = _cell(w, "b", x[t], h)[0]
@@ -177,44 +188,48 @@ def _held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_sample(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> list[tuple[str, str]]:
-    """Excerpts of at most ``per_language`` texts of each language, none of them held out.
+def training_sample(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, texts: int = TEXTS) -> list[tuple[str, str]]:
+    """Excerpts of at most ``per_language`` texts of each language (``texts`` in all, but one of each
+    language at least), none of them held out.
 
-    Texts are chosen by a hash of their id. Languages are counted first (the most frequent
-    ``MAX_LANGUAGES`` are learned), and only texts whose hash is low enough for about three
-    times the number wanted are ranked, so that no task ranks a whole language.
+    Texts with a letter are chosen by a hash of id and text, so rows that share an id are chosen one by
+    one, and rows equal in both count once. Different texts are counted first for every language, and
+    only those whose hash is low enough for about three times the number wanted are ranked, so that no
+    task ranks a whole language. Rows without an id, a language or a text are not learned from.
     """
-    rows = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~_held_out(F.col("doc_id")))
-    rows = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("doc_id"), 33))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    rows = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~_held_out(F.col("doc_id"))
+                       & F.col("text").rlike(r"\p{L}"))
+    rows = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 33))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
     if not counts:
         return []
-    below = F
-    for r in counts:
-        below = below.when(F.col("lang") == r["lang"], F.lit(min(1 << 31, -(-3 * per_language * (1 << 31) // r["n"]))))
+    per_language = max(1, min(per_language, texts // len(counts)))
+    # A literal map, made of the languages' counts. Few enough rows for the rank are always all taken.
+    low = json.dumps({r["lang"]: min(1 << 31, -(-(3 * per_language + 60) * (1 << 31) // max(r["n"], 1))) for r in counts})
+    below = F.try_element_at(F.from_json(F.lit(low), "map<string,bigint>"), "lang")
     room = F.greatest(F.length("text") - EXCERPT_CHARS, F.lit(0)) + 1
     excerpts = F.array(*[F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(k)), room) + 1).cast("int"),
                                      F.lit(EXCERPT_CHARS)) for k in range(EXCERPTS)])
-    rows = rows.filter((F.col("h") < below) & F.col("text").rlike(r"\p{L}")).select(
-        "lang", "h", excerpts.alias("excerpts"))
+    rows = rows.filter(F.col("h") < below).select("lang", "h", excerpts.alias("excerpts")).dropDuplicates(["lang", "h"])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "excerpts"))
     found = rows.withColumn("rank", rank).filter(F.col("rank") <= per_language).orderBy("h", "lang", "excerpts").collect()
     return [(r["lang"], x) for r in found for x in r["excerpts"] if x]
 
 
 def predict(rows: DataFrame, model: Model) -> DataFrame:
-    """Adds lang_pred and score to rows that have a column ``text``, of which every byte is read."""
+    """Adds lang_pred, score and odds (of the first to the second language) to rows that have a column
+    ``text``, of which every byte is read. A null text or one without a letter gets ``und``, 0 and 0."""
     handle = rows.sparkSession.sparkContext.broadcast(model)
     rows = rows.withColumn("has_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     where, letter = rows.columns.index("text"), rows.columns.index("has_letter")
     kept = [i for i in range(len(rows.columns)) if i != letter]
     schema = T.StructType([*rows.drop("has_letter").schema, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+                           T.StructField("score", T.DoubleType()), T.StructField("odds", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = handle.value
         for batch in batches:
-            lang, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
+            lang, score, odds = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows)
             use = np.flatnonzero(batch.column(letter).to_numpy(zero_copy_only=False).astype(bool))
             if len(use) and model.languages:
                 body, offsets = text_bytes(batch.column(where).take(pa.array(use)))
@@ -223,8 +238,10 @@ def predict(rows: DataFrame, model: Model) -> DataFrame:
                     for k, best in zip(use[i:j].tolist(), p.argmax(axis=1).tolist(), strict=True):
                         lang[k] = model.languages[best]
                     score[use[i:j]] = np.clip(p.max(axis=1), 0.0, 1.0)
+                    second = np.sort(p, axis=1)[:, -2] if p.shape[1] > 1 else np.zeros(j - i)
+                    odds[use[i:j]] = p.max(axis=1) / np.maximum(second, 1e-9)
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], pa.array(lang, pa.string()),
-                                              pa.array(score)], names=schema.names)
+                                              pa.array(score), pa.array(odds)], names=schema.names)
 
     return map_arrow(rows, run, schema)
 
@@ -237,11 +254,16 @@ def identify(docs: DataFrame) -> DataFrame:
     null doc_id is neither held out nor learned from.
     """
     model = train(training_sample(docs))
-    return predict(docs.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "text"), model).drop("text")
+    return predict(docs.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "text"), model).drop("text", "odds")
 
 
-def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """Documents in a language the model knows with a score of ``min_score`` or more, all columns kept."""
+def keep_identified(docs: DataFrame, min_odds: float = MIN_ODDS) -> DataFrame:
+    """Documents whose language is ``min_odds`` times as likely as the second one or more, all columns kept.
+
+    Null texts and those without a letter go, and all where no row has a language to learn from.
+    The threshold is relative, so it means the same for any number of languages. Rows that share an
+    id, or have none, are judged each by its own text.
+    """
     model = train(training_sample(docs))
     rows = predict(carried(docs, text=F.col("text")), model)
-    return unpacked(rows.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)), docs.columns)
+    return unpacked(rows.filter((F.col("lang_pred") != UNKNOWN) & (F.col("odds") >= min_odds)), docs.columns)
