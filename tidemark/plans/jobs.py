@@ -15,7 +15,7 @@ import argparse
 import functools
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as DQ
@@ -81,36 +81,43 @@ SOURCES = {"raw_stock_prices": "yahoo_finance", "raw_stock_fundamentals": "yahoo
            "raw_fred_series": "fred", "raw_crypto_prices": "coingecko", "raw_fear_greed": "alternative_me"}
 
 
-def quality_report(tables: Mapping[str, DataFrame] | Callable[[str], DataFrame],
-                   tests: Sequence[tuple] = TESTS, as_of: Column | None = None) -> DataFrame:
+def _test_name(table: str, test: str, args) -> str:
+    return f"{table}.{test}.{args if isinstance(args, str) else '+'.join(str(a) for a in args)}"
+
+
+def row_tests(table: str, tests: Sequence[tuple] = TESTS, as_of: Column | None = None) -> dict[str, Column]:
+    """Name and condition of failure of each test of a table that a row can fail by itself."""
+    as_of = as_of if as_of is not None else F.current_date()
+    bad = {"not_null": lambda c: F.col(c).isNull(), "range": lambda a: ~DQ.in_range(*a),
+           "future_dates": lambda c: F.col(c) > as_of, "bounds": lambda c: DQ.out_of_bounds(c)}
+    return {_test_name(t, test, args): bad[test](args) for t, test, args in tests if t == table and test in bad}
+
+
+def quality_report(tables: Mapping[str, DataFrame] | Callable[[str], DataFrame], tests: Sequence[tuple] = TESTS,
+                   as_of: Column | None = None, measured: Mapping[str, int] | None = None) -> DataFrame:
     """check_name and failures of every test. The row tests of a table are counted by one
-    aggregate over it; key tests need one aggregate by key each."""
+    aggregate over it, or were ``measured`` while it was stored and read nothing here; key tests
+    need one aggregate by key each, over the key's columns alone."""
     ref = tables if callable(tables) else tables.__getitem__
-    as_of = as_of if as_of is not None else F.current_date()
-    by_table: dict[str, list] = {}
-    for table, test, args in tests:
-        by_table.setdefault(table, []).append((test, args))
-    parts = []
-    for table, own in by_table.items():
-        df, rows = ref(table), {}
-        for test, args in own:
-            name = f"{table}.{test}.{args if isinstance(args, str) else '+'.join(str(a) for a in args)}"
-            if test == "unique":
-                keys = DQ.dq_unique(df, args)
-            elif test == "unique_combo":
-                keys = DQ.dq_unique_combo(df, list(args))
-            else:
-                rows[name] = {"not_null": lambda c: F.col(c).isNull(),
-                              "range": lambda a: ~DQ.in_range(*a),
-                              "future_dates": lambda c: F.col(c) > as_of,
-                              "bounds": lambda c: DQ.out_of_bounds(c)}[test](args)
-                continue
-            parts.append(keys.agg(F.count("*").alias("failures")).select(F.lit(name).alias("check_name"), "failures"))
+    measured = dict(measured or {})
+    parts, done = [], []
+    for table in dict.fromkeys(t for t, *_ in tests):
+        rows = row_tests(table, tests, as_of)
+        done += [(name, int(measured[name])) for name in rows if name in measured]
+        rows = {name: bad for name, bad in rows.items() if name not in measured}
+        for t, test, args in tests:
+            if t == table and test in ("unique", "unique_combo"):
+                keys = DQ.dq_unique(ref(table), args) if test == "unique" else DQ.dq_unique_combo(ref(table), list(args))
+                parts.append(keys.agg(F.count("*").alias("failures")).select(
+                    F.lit(_test_name(t, test, args)).alias("check_name"), "failures"))
         if rows:
-            counts = df.agg(*[F.count_if(bad).alias(f"n{i}") for i, bad in enumerate(rows.values())])
+            counts = ref(table).agg(*[F.count_if(bad).alias(f"n{i}") for i, bad in enumerate(rows.values())])
             parts.append(counts.select(F.explode(F.array(*[
                 F.struct(F.lit(name).alias("check_name"), F.col(f"n{i}").alias("failures"))
                 for i, name in enumerate(rows)])).alias("r")).select("r.check_name", "r.failures"))
+    if done:
+        spark = parts[0].sparkSession if parts else SparkSession.getActiveSession()
+        parts.append(spark.createDataFrame(done, "check_name string, failures long"))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
@@ -134,16 +141,25 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def store(df: DataFrame, path: str, day: str | None = None) -> DataFrame:
-    """Write a table whole and read it back, in months of ``day`` where one is given."""
-    schema = df.schema
+def store(df: DataFrame, path: str, day: str | None = None, tests: Mapping[str, Column] | None = None,
+          measured: dict[str, int] | None = None) -> DataFrame:
+    """Write a table whole and read it back, in months of ``day`` where one is given.
+
+    The failures of ``tests`` (name -> condition) are counted by the tasks that write, after the
+    last exchange, where a task that runs again counts once, and put into ``measured``.
+    """
+    schema, seen = df.schema, None
     if day:
-        month = F.date_format(day, "yyyy-MM")
-        df.withColumn("_month", month).repartition(F.col("_month")).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").partitionBy("_month").parquet(path)
-    else:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+        df = df.withColumn("_month", F.date_format(day, "yyyy-MM")).repartition(F.col("_month"))
+    if tests:
+        seen = Observation()
+        df = df.observe(seen, *[F.count_if(bad).alias(f"n{i}") for i, bad in enumerate(tests.values())])
+    out = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (out.partitionBy("_month") if day else out).parquet(path)
+    if seen is not None and measured is not None:
+        found = seen.get
+        measured |= {name: found[f"n{i}"] for i, name in enumerate(tests)}
+    return df.sparkSession.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def run(spark: SparkSession, landing: str, warehouse: str, start: str | None = None,
@@ -167,19 +183,20 @@ def run(spark: SparkSession, landing: str, warehouse: str, start: str | None = N
                                        m.ref("crypto_with_dominance"), m.ref("stg_fear_greed"),
                                        m.ref("macro_pivot"), None, m.index_tickers, m.btc_id, after=after)
 
+    measured: dict[str, int] = {}
     for layer in ("silver", "gold"):
         for name in LAYERS[layer]:  # in the order of their parents
             path = layer_path(warehouse, layer, name)
             if name == "daily_market_snapshot":
                 m.keep(name, merge_into(spark, path, build, "snapshot_date", lookback_days, full_refresh))
             else:
-                m.keep(name, store(m.ref(name), path, PARTITIONED.get(name)))
+                m.keep(name, store(m.ref(name), path, PARTITIONED.get(name), row_tests(name) if checks else None, measured))
     if export_csv:
         for name in LAYERS["gold"]:
             m.ref(name).write.mode("overwrite").option("header", True).csv(f"{export_csv.rstrip('/')}/{name}")
     if not checks:
         return None
-    report = store(quality_report(m.ref), layer_path(warehouse, "gold", "quality_report"))
+    report = store(quality_report(m.ref, measured=measured), layer_path(warehouse, "gold", "quality_report"))
     store(freshness_report(m.bronze), layer_path(warehouse, "gold", "freshness_report"))
     if gate:
         DQ.dq_gate(report)

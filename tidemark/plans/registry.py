@@ -12,6 +12,7 @@ alike on both sides.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import oracle as O
 from tidemark.plans.pipeline import standin_medallion
 from tidemark.session import apply_core_conf
+from tidemark.sources.seeds import seed_rows
 
 
 @dataclass
@@ -191,6 +193,21 @@ def q_dim_sectors(spark, d):
     return _m(spark, d).ref("dim_sectors")
 
 
+_DIM_SERIES = """SELECT * FROM (VALUES {}) AS t(series_id, series_name, frequency, unit, category)"""
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in r) + ")" for r in rows)
+
+
+@register("dim_macro_indicators", _DIM_SERIES.format(_values(seed_rows("series")))
+          + " WHERE series_id IN (SELECT series_id FROM (" + O.cte("stg_macro") + "SELECT series_id FROM stg_macro))")
+def q_dim_macro_indicators(spark, d):
+    """The macro indicator dimension, of the series that were observed."""
+    m = _m(spark, d)
+    return m.ref("dim_macro_indicators").join(m.ref("stg_macro").select("series_id").distinct(), "series_id", "left_semi")
+
+
 SNAP_DBL = ("sp500_return", "btc_price", "btc_dominance", "btc_return", "fed_funds_rate",
             "treasury_10y", "treasury_2y", "spread_10y_2y", "vix", "wti_crude_oil")
 SNAP_COARSE = ("sp500_close", "nasdaq_close", "dow_close")
@@ -828,6 +845,19 @@ def q_dq_report(spark, d):
     return J.quality_report(m.ref, as_of=F.to_date(F.lit("2001-12-31")))
 
 
+@register("dq_measured", O.cte(*dict.fromkeys(_TABLE_CTE.get(t, t) for t, *_ in J.TESTS if t in (
+          "stg_daily_prices", "stg_macro", "crypto_with_dominance", "macro_pivot"))) + "\nUNION ALL ".join(
+          _test_sql(*t) for t in J.TESTS if t[0] in ("stg_daily_prices", "stg_macro", "crypto_with_dominance", "macro_pivot")))
+def q_dq_measured(spark, d):
+    """K1-K8: row tests counted while their tables are stored; only key columns are read again."""
+    m, measured = _m(spark, d), {}
+    as_of, root = F.to_date(F.lit("2001-12-31")), scratch_path(spark, "measured")
+    names = ("stg_daily_prices", "stg_macro", "crypto_with_dominance", "macro_pivot")
+    for name in names:
+        m.keep(name, J.store(m.ref(name), f"{root}/{name}", J.PARTITIONED.get(name), J.row_tests(name, as_of=as_of), measured))
+    return J.quality_report(m.ref, [t for t in J.TESTS if t[0] in names], as_of, measured)
+
+
 # ------------------------------------------------------------- incremental
 
 @register("incremental_filter", O.cte("stg_prices", "stg_fng") + """
@@ -882,6 +912,46 @@ def q_json_landing_scan(spark, d):
     return _typed_events(spark.read.parquet(bronze))
 
 
+@register("bad_records", """
+SELECT CAST(ts AS DATE) AS day, count(*) AS n_bad FROM events WHERE event_id % 13 = 0 GROUP BY ALL""")
+def q_bad_records(spark, d):
+    """A5: malformed records per landing file: every thirteenth event is cut off in its file of lines; a scan
+    that is to abort on them is held to that in the tests."""
+    root = scratch_path(spark, "landing-broken")
+    record = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    lines = _t(spark, d, "events").select(
+        F.when(F.col("event_id") % 13 == 0, F.substring(record, 1, 12)).otherwise(record).alias("value"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"))
+    lines.repartition("date").write.partitionBy("date").option("compression", "none").format("text").save(root + "-text")
+    # text files end in .txt; the landing zone's are .json
+    day = F.to_date(F.regexp_extract("file_path", r"date=(\d{4}-\d{2}-\d{2})", 1))
+    return L.bad_records(spark, root + "-text", glob="*.txt").groupBy(day.alias("day")).agg(F.sum("n_bad").alias("n_bad"))
+
+
+@register("backfill_range", _EVENT_FIELDS_SQL + """ WHERE CAST(ts AS DATE) BETWEEN
+  (SELECT min(CAST(ts AS DATE)) + 1 FROM events) AND (SELECT max(CAST(ts AS DATE)) - 1 FROM events)""", dbl=("value",))
+def q_backfill_range(spark, d):
+    """A backfill of all days but the first and the last, in two runs whose ranges overlap: the
+    second one takes only the files that the first did not."""
+    root = scratch_path(spark, "landing-backfill")
+    L.write_landing(_event_records(spark, d), root, "date")
+    first, last = _t(spark, d, "events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    days = [(first + dt.timedelta(days=1)).isoformat(), ((first + (last - first) / 2)).isoformat(),
+            (last - dt.timedelta(days=1)).isoformat()]
+    L.ingest(spark, root, "events", root + "-bronze", days[0], days[1])
+    L.ingest(spark, root, "events", root + "-bronze", days[0], days[2])
+    return _typed_events(spark.read.parquet(root + "-bronze"))
+
+
+@register("csv_export", O.cte("sector_perf") + "SELECT * FROM sector_perf", dbl=("avg_daily_return", "total_close_price"))
+def q_csv_export(spark, d):
+    """A Gold table stored in its layer's folder, exported as CSV with a header and read back."""
+    root = scratch_path(spark, "export")
+    table = J.store(_m(spark, d).ref("sector_performance"), J.layer_path(root, "gold", "sector_performance"), "price_date")
+    table.write.option("header", True).csv(root + "-csv")
+    return spark.read.schema(table.schema).option("header", True).csv(root + "-csv")
+
+
 @register("load_counts", """
 WITH t AS (
   SELECT 'raw_stock_prices' AS table_name, count(DISTINCT CAST(l_shipdate AS DATE)) AS files, 2 * count(*) AS rows_loaded FROM lineitem

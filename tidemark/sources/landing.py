@@ -15,11 +15,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.arrays import scan_objects
 from tidemark.storage import has_data, listing
 
 BRONZE_COLUMNS = ["raw_data", "source", "_loaded_at", "_file_name"]
 #: Files that Spark's writers made hold one JSON object per line.
 LINES_PREFIX = "part-"
+#: Larger files of objects, in an array or one after another, are read by many tasks.
+SPLIT_BYTES = 64 << 20
 #: Files that one day's records are written to at most.
 FILES_PER_DAY = 8
 LEDGER_KEYS = ["file_path", "file_modification_time", "file_size"]
@@ -63,9 +66,10 @@ def landing_files(spark: SparkSession, path: str) -> DataFrame:
 def scan_landing(spark: SparkSession, path: str | Sequence[str], fail_fast: bool = True) -> DataFrame:
     """Scan landing files; one row per array element, with file metadata.
 
-    A file that Spark wrote is read line by line, so it is split like any text; any other
-    is read whole and its top-level array exploded (an empty array yields no rows; one
-    JSON object per line is accepted too). Sub-folders are listed recursively and only
+    A file that Spark wrote is read line by line, so it is split like any text; any other of up
+    to ``SPLIT_BYTES`` is read whole and its top-level array exploded (an empty array yields no
+    rows; one JSON object per line is accepted too), and a larger one in byte ranges by
+    ``arrays.scan_objects``. Sub-folders are listed recursively and only
     ``*.json`` files are taken. A malformed record fails the scan (``fail_fast``) or
     contributes no rows (``bad_records`` counts those).
     """
@@ -73,13 +77,13 @@ def scan_landing(spark: SparkSession, path: str | Sequence[str], fail_fast: bool
     return rows.filter(F.col("raw_data").isNotNull())
 
 
-def bad_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def bad_records(spark: SparkSession, path: str | Sequence[str], glob: str = "*.json") -> DataFrame:
     """Malformed records per file (a malformed array file is one): file_path, n_bad."""
-    return (_parsed(spark, path, False).filter(F.col("raw_data").isNull())
+    return (_parsed(spark, path, False, glob).filter(F.col("raw_data").isNull())
             .groupBy("file_path").agg(F.count("*").alias("n_bad")))
 
 
-def _parsed(spark: SparkSession, path: str | Sequence[str], fail_fast: bool) -> DataFrame:
+def _parsed(spark: SparkSession, path: str | Sequence[str], fail_fast: bool, glob: str = "*.json") -> DataFrame:
     """Records of all files; NULL ``raw_data`` stands for a malformed one (not ``fail_fast``)."""
     paths = [path] if isinstance(path, str) else list(path)
     mode = "FAILFAST" if fail_fast else "PERMISSIVE"
@@ -89,18 +93,23 @@ def _parsed(spark: SparkSession, path: str | Sequence[str], fail_fast: bool) ->
             F.col("_metadata.file_size").alias("file_size")]
 
     def text(whole: bool) -> DataFrame:
-        rows = (spark.read.option("wholetext", whole).option("recursiveFileLookup", True)
-                .option("pathGlobFilter", "*.json").text(paths))
-        return rows.filter(F.col("_metadata.file_name").startswith(LINES_PREFIX) != F.lit(whole))
+        rows = (spark.read.option("recursiveFileLookup", True)
+                .option("pathGlobFilter", glob).text(paths, wholetext=whole))
+        lines = F.col("_metadata.file_name").startswith(LINES_PREFIX)
+        return rows.filter(~lines & (F.col("_metadata.file_size") <= SPLIT_BYTES) if whole else lines)
 
     filled = F.length(F.trim(F.col("value"))) > 0
-    by_line = text(False).filter(filled).select(parse(F.col("value")).alias("raw_data"), *meta)
+    # Only lines of Spark's own files are parsed: a filter on the result is tested before the one on the name.
+    line = F.when(F.col("_metadata.file_name").startswith(LINES_PREFIX), F.col("value"))
+    by_line = text(False).filter(filled).select(parse(line).alias("raw_data"), *meta)
     lines = F.filter(F.split(F.col("value"), "\n"), lambda s: F.length(F.trim(s)) > 0)
     arr = F.when(F.ltrim(F.col("value")).startswith("["), F.coalesce(
         F.from_json(F.col("value"), "array<variant>", {"mode": mode}),
         F.array(F.lit(None).cast("variant")))) \
         .otherwise(F.transform(lines, lambda s: parse(s)))
-    return text(True).select(F.explode(arr).alias("raw_data"), *meta).unionByName(by_line)
+    large = scan_objects(spark, paths, fail_fast, glob, ~F.col("_metadata.file_name").startswith(LINES_PREFIX)
+                         & (F.col("_metadata.file_size") > SPLIT_BYTES))
+    return text(True).select(F.explode(arr).alias("raw_data"), *meta).unionByName(by_line).unionByName(large)
 
 
 def read_landing(spark: SparkSession, path: str | Sequence[str], source: str, fail_fast: bool = True) -> DataFrame:

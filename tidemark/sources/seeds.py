@@ -71,10 +71,14 @@ def read_seed(spark: SparkSession, path: str, name: str) -> DataFrame:
         .option("escape", '"').csv(path)
 
 
+def seed_rows(name: str) -> list[list[str]]:
+    """Rows of a built-in seed table."""
+    return list(csv.reader(io.StringIO(_DEFAULTS[name])))[1:]
+
+
 def default_seed(spark: SparkSession, name: str) -> DataFrame:
     """One of the built-in seed tables (a dozen rows; broadcast when joined)."""
-    rows = list(csv.reader(io.StringIO(_DEFAULTS[name])))[1:]
-    return F.broadcast(spark.createDataFrame(rows, SEED_SCHEMAS[name]))
+    return F.broadcast(spark.createDataFrame(seed_rows(name), SEED_SCHEMAS[name]))
 
 
 def universe(spark: SparkSession, include_indices: bool = True) -> DataFrame:
