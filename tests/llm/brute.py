@@ -83,9 +83,8 @@ def line_chunks(text):
     return lines, out
 
 
-def _alike(a, b, lone):
-    n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-    return 0 if a == b and not lone else n
+def _alike(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
 
 def repeated_lines(docs):
@@ -99,15 +98,11 @@ def repeated_lines(docs):
         for k, (a, b) in enumerate(chunks):
             if b - a < 2 or not any(x.strip(" ") for x in lines[a:b]):
                 continue
-            before = lines[chunks[k - 1][0]:a][::-1] if k else []
-            after = lines[b:chunks[k + 1][1]] if k + 1 < len(chunks) else []
-            lone = k == 1 and chunks[0] == (0, 1)
             if (own := tuple(lines[a:b])) in first:
-                f_before, f_after, f_lone = first[own]
-                left, right = _alike(before, f_before, lone or f_lone), _alike(after, f_after, False)
-                gone[who, text].update(range(a - left, b + right))
+                before, after = first[own]
+                gone[who, text].update(range(a - _alike(lines[:a][::-1], before), b + _alike(lines[b:], after)))
             else:
-                first[own] = (before, after, lone)
+                first[own] = (lines[chunks[k - 1][0]:a][::-1] if k else [], lines[b:chunks[k + 1][1]] if k + 1 < len(chunks) else [])
     out = []
     for doc_id, text in docs:
         lines, lost = ([], ()) if text is None else (text.split("\n"), gone[place(doc_id, text), text])

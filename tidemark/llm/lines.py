@@ -29,30 +29,26 @@ def _part(array: Column, first: Column, size: Column) -> Column:
 
 
 def line_chunks(docs: DataFrame, ends_below: str = ENDS_BELOW) -> DataFrame:
-    """rk, doc_id and first, size, key, before, after, lone of each chunk of each text (columns rk, doc_id, text).
+    """rk, doc_id and first, size, key, back, on of each chunk of each text (columns rk, doc_id, text).
 
     A chunk ends where a line does by its own hash, or at the last line of the text; it starts behind
-    the end before, or at the line before its own end if that is earlier. ``before`` and ``after`` are
-    hashes of the lines from the start of the chunk before up to it, and behind it to the next end.
-    Chunks of one line (a text's first one) or without a word are left out; ``lone`` tells that the
-    chunk before is such a line.
+    the end before, or at the line before its own end if that is earlier. ``back`` counts the lines
+    from the start of the chunk before up to it, ``on`` those behind it to the next end. Chunks of one
+    line (a text's first one) or without a word are left out.
     """
-    def chunks(lines: Column, hashes: Column, ends: Column) -> Column:
+    def chunks(lines: Column, ends: Column) -> Column:
         def first(k: Column) -> Column:
             return F.greatest(F.lit(0), F.least(F.coalesce(F.get(ends, k - 1) + 1, F.lit(0)), F.get(ends, k) - 1))
-        return F.transform(ends, lambda e, k: _let(first(k), lambda at: F.struct(
-            at.alias("first"), (e - at + 1).alias("size"), F.xxhash64(_part(lines, at, e - at + 1)).alias("key"),
-            F.exists(_part(lines, at, e - at + 1), lambda x: F.trim(x) != "").alias("worded"),
-            F.when(k == 0, F.array().cast("array<bigint>")).otherwise(
-                _let(first(k - 1), lambda since: _part(hashes, since, at - since))).alias("before"),
-            _part(hashes, e + 1, F.coalesce(F.get(ends, k + 1), e) - e).alias("after"),
-            ((k == 1) & (ends[0] == 0)).alias("lone"))))
+        return F.transform(ends, lambda e, k: _let(first(k), lambda at: _let(_part(lines, at, e - at + 1), lambda own: F.struct(
+            at.alias("first"), F.size(own).alias("size"), F.xxhash64(own).alias("key"),
+            F.exists(own, lambda x: F.trim(x) != "").alias("worded"),
+            F.when(k == 0, F.lit(0)).otherwise(at - first(k - 1)).alias("back"),
+            (F.coalesce(F.get(ends, k + 1), e) - e).alias("on")))))
 
     def cut(lines: Column) -> Column:
         last = F.size(lines) - 1
-        ends = F.filter(F.transform(lines, lambda x, i: F.when((i == last) | (F.md5(x.cast("binary")) < ends_below), i)),
-                        lambda i: i.isNotNull())
-        return _let(F.transform(lines, lambda x: F.xxhash64(x)), lambda hashes: _let(ends, lambda e: chunks(lines, hashes, e)))
+        return _let(F.filter(F.transform(lines, lambda x, i: F.when(
+            (i == last) | (F.md5(x.cast("binary")) < ends_below), i)), lambda i: i.isNotNull()), lambda ends: chunks(lines, ends))
 
     rows = docs.filter("text is not null").select("rk", "doc_id", F.inline(_let(F.split("text", "\n", -1), cut)))
     return rows.filter("size > 1 and worded").drop("worded")
@@ -65,62 +61,60 @@ def _shared(a: Column, b: Column) -> Column:
     return F.coalesce(F.nullif(F.array_position(differ, True), F.lit(0)) - 1, n).cast("int")
 
 
-def _more(a: Column, b: Column, lone: Column | bool = False) -> Column:
-    """``_shared``, or 0 where the arrays are equal: what lies there is then in a chunk of its own, unless ``lone``."""
-    return F.when((a == b) & ~F.lit(lone), F.lit(0)).otherwise(_shared(a, b))
-
-
 def without_repeated_lines(docs: DataFrame, ends_below: str = ENDS_BELOW) -> DataFrame:
     """Removes every chunk that repeats an earlier one, and the lines around it that do so too.
 
     Returns the columns of ``docs`` with the kept ``text``, n_lines and n_removed packed as
     ``row``, ``kept``, ``n_lines`` and ``n_removed``. Of equal chunks, that with the least
-    (doc_id, row key, first line) stays; null ids come first. A null text has no lines and
-    stays null, an empty one has one. Rows equal in id and text count as one document and
-    share their fate.
+    (doc_id, row key, first line) stays; null ids come first. A repeated one goes with the lines
+    before and behind it, as far as these equal the first one's up to its neighbouring chunks. A null
+    text has no lines and stays null, an empty one has one. Rows equal in id and text count as one
+    document and share their fate.
     """
     named = F.concat(F.length(F.col("doc_id").cast("string")), F.lit(":"), F.col("doc_id").cast("string"))
     key = F.unhex(F.md5(F.concat(F.coalesce(named, F.lit("")), F.lit("|"), F.col("text")).cast("binary")))
     own = docs.select(key.alias("rk"), "doc_id", "text")
     chunks = staged(line_chunks(own, ends_below), "chunks")
-    # The first of each repeated key: aggregated before the shuffle, then joined back, so that a chunk
-    # of very many documents is split like any skewed join side.
-    place = F.struct("doc_id", "rk", "first", "size", "before", "after", "lone")
-    firsts = staged(chunks.groupBy("key").agg(F.min(place).alias("f"), F.max(F.struct("doc_id", "rk", "first")).alias("z"))
+    # The first of each repeated key: aggregated before the shuffle, stored, then joined back,
+    # so that a chunk of very many documents is split like any skewed join side.
+    firsts = staged(chunks.groupBy("key").agg(F.min(F.struct("doc_id", "rk", "first", "size", "back", "on")).alias("f"),
+                                              F.max(F.struct("doc_id", "rk", "first")).alias("z"))
                     .filter("not (f.rk <=> z.rk and f.first = z.first)").select("key", "f"), "firsts")
-    later = staged(chunks.join(firsts, "key").filter("rk != f.rk or first != f.first").select(
-        "key", "rk", "first", "size", _more(F.reverse("before"), F.reverse("f.before"), F.col("lone") | F.col("f.lone")).alias("left"),
-        _more(F.col("after"), F.col("f.after")).alias("right"), F.col("f.rk").alias("f_rk"), F.col("f.first").alias("f_first")), "later")
-
-    # Of each first chunk its lines, with as many around it as any later one shares with it.
-    wanted = later.groupBy("key", "f_rk", "f_first", "size").agg(F.max("left").alias("left"), F.max("right").alias("right"))
-    wanted = wanted.groupBy("f_rk").agg(F.collect_list(F.struct(
-        "key", (F.col("f_first") - F.col("left")).alias("since"), (F.col("left") + F.col("size") + F.col("right")).alias("n"),
-        "left")).alias("wanted"))
     # The texts are dealt by rk once and meet the wanted chunks and the listed ones there: both joins
     # name the whole row and are merge joins at any size, so that Spark reuses the one exchange.
     rows = carried(docs, rk=key)
-    # One row of each key, so that repeated rows are not joined with each other.
+
+    # Of each first chunk its lines with those around it. One row of each key, so that repeated rows
+    # are not joined with each other.
+    wanted = firsts.groupBy(F.col("f.rk").alias("f_rk")).agg(F.collect_list(F.struct("key", "f")).alias("wanted"))
     found = (rows.join(wanted.hint("merge"), F.col("rk") == F.col("f_rk")).groupBy("rk")
              .agg(F.first("row.text").alias("text"), F.first("wanted").alias("wanted"))
              .select(F.inline(_let(F.split("text", "\n", -1), lambda lines: F.transform("wanted", lambda w: F.struct(
-                 w["key"].alias("f_key"), w["left"].alias("f_left"), _part(lines, w["since"], w["n"]).alias("f_lines")))))))
+                 w["key"].alias("f_key"), w["f"]["back"].alias("back"), _part(
+                     lines, w["f"]["first"] - w["f"]["back"], w["f"]["back"] + w["f"]["size"] + w["f"]["on"]).alias("around")))))))
+    later = chunks.join(firsts, "key").filter("rk != f.rk or first != f.first").select("key", F.col("rk").alias("l_rk"), "first", "size")
     # Both sides come straight from an exchange, so that a chunk of very many documents is split.
-    listed = (later.join(found, F.col("key") == F.col("f_key"))
-              .select(F.col("rk").alias("l_rk"), (F.col("first") - F.col("left")).alias("since"), _part(
-                  F.col("f_lines"), F.col("f_left") - F.col("left"), F.col("left") + F.col("size") + F.col("right")).alias("own"))
-              .groupBy("l_rk").agg(F.collect_set(F.struct("since", "own")).alias("listed")))
+    listed = (later.join(found, F.col("key") == F.col("f_key")).groupBy("l_rk")
+              .agg(F.collect_set(F.struct("first", "size", "back", "around")).alias("listed")))
+
+    def places(lines: Column) -> Column:
+        """Lines of all chunks that are equal to the first ones, and of what is equal around them."""
+        same = F.filter(F.coalesce("listed", F.array()), lambda c: _part(lines, c["first"], c["size"]) == _part(c["around"], c["back"], c["size"]))
+
+        def reach(c: Column) -> Column:
+            back, behind = F.least(c["back"], c["first"]), c["first"] + c["size"]
+            left = _shared(F.reverse(_part(lines, c["first"] - back, back)), F.reverse(F.slice(c["around"], 1, c["back"])))
+            rest = F.size(c["around"]) - c["back"] - c["size"]
+            right = _shared(_part(lines, behind, rest), _part(c["around"], c["back"] + c["size"], rest))
+            return F.sequence(c["first"] - left, behind + right - 1)
 
-    def gone(lines: Column) -> Column:
-        same = F.filter(F.coalesce("listed", F.array()), lambda c: _part(lines, c["since"], F.size(c["own"])) == c["own"])
-        places = F.flatten(F.transform(same, lambda c: F.sequence(c["since"], c["since"] + F.size(c["own"]) - 1)))
-        return F.struct(lines.alias("lines"), F.array_distinct(places).alias("gone"))
+        return F.array_distinct(F.flatten(F.transform(same, reach)))
 
     rows = rows.join(listed.hint("merge"), F.col("rk") == F.col("l_rk"), "left")
-    cut = _let(F.split("row.text", "\n", -1), lambda lines: _let(gone(lines), lambda c: F.struct(
-        F.when(F.size(c["gone"]) > 0, F.array_join(F.transform(
-            F.array_except(F.sequence(F.lit(0), F.size(c["lines"]) - 1), c["gone"]), lambda i: F.get(c["lines"], i)), "\n")).alias("kept"),
-        F.size(c["lines"]).alias("n_lines"), F.size(c["gone"]).alias("n_removed"))))
+    cut = _let(F.split("row.text", "\n", -1), lambda lines: _let(places(lines), lambda gone: F.struct(
+        F.when(F.size(gone) > 0, F.array_join(F.transform(
+            F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i)), "\n")).alias("kept"),
+        F.size(lines).alias("n_lines"), F.size(gone).alias("n_removed"))))
     rows = rows.select("row", F.when(F.col("row.text").isNotNull(), cut).alias("cut"))
     return rows.select("row", F.coalesce("cut.kept", "row.text").alias("kept"), *[
         F.coalesce(F.col(f"cut.{c}"), F.lit(0)).cast("long").alias(c) for c in ("n_lines", "n_removed")])

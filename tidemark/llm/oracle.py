@@ -115,23 +115,20 @@ ORACLE_SQL["op4_line_dedup"] = r"""
 WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
 cut AS (SELECT doc_id, l, list_filter(range(len(l)), lambda i: i = len(l) - 1 OR md5(l[i + 1]) < 'e') AS ends FROM docs),
 ended AS (SELECT doc_id, l, ends, unnest(ends) AS e, unnest(range(1, len(ends) + 1)) AS k FROM cut),
-placed AS (SELECT doc_id, l, k, e, greatest(0, least(coalesce(ends[k - 1], -1) + 1, e - 1)) AS s, ends[k + 1] AS next_end,
-                  k = 2 AND ends[1] = 0 AS lone FROM ended),
-chunked AS (SELECT doc_id, l, e, s, lone, next_end, lag(s) OVER (PARTITION BY doc_id ORDER BY k) AS since FROM placed),
+placed AS (SELECT doc_id, l, k, e, greatest(0, least(coalesce(ends[k - 1], -1) + 1, e - 1)) AS s, ends[k + 1] AS next_end FROM ended),
+chunked AS (SELECT doc_id, l, e, s, next_end, lag(s) OVER (PARTITION BY doc_id ORDER BY k) AS since FROM placed),
 chunks AS (
-  SELECT doc_id, s, e, lone, l[s + 1:e + 1] AS own, list_reverse(coalesce(l[since + 1:s], [])) AS bef,
+  SELECT doc_id, l, s, e, l[s + 1:e + 1] AS own, list_reverse(coalesce(l[since + 1:s], [])) AS bef,
          coalesce(l[e + 2:next_end + 1], []) AS aft
   FROM chunked WHERE e > s AND len(list_filter(l[s + 1:e + 1], lambda x: trim(x, ' ') <> '')) > 0),
 paired AS (
-  SELECT c.*, f.bef AS f_bef, f.aft AS f_aft, c.lone OR f.lone AS alone
+  SELECT c.doc_id, s, e, list_reverse(c.l[1:s]) AS bef, c.l[e + 2:] AS aft, f.bef AS f_bef, f.aft AS f_aft
   FROM (SELECT *, row_number() OVER (PARTITION BY own ORDER BY doc_id, s) AS rn FROM chunks) c
-  JOIN (SELECT own, bef, aft, lone FROM chunks QUALIFY row_number() OVER (PARTITION BY own ORDER BY doc_id, s) = 1) f USING (own)
+  JOIN (SELECT own, bef, aft FROM chunks QUALIFY row_number() OVER (PARTITION BY own ORDER BY doc_id, s) = 1) f USING (own)
   WHERE rn > 1),
 spans AS (
-  SELECT doc_id, s - CASE WHEN bef = f_bef AND NOT alone THEN 0 ELSE coalesce(
-           list_min(list_filter(range(len(bef)), lambda i: bef[i + 1] IS DISTINCT FROM f_bef[i + 1])), len(bef)) END AS a,
-         e + CASE WHEN aft = f_aft THEN 0 ELSE coalesce(
-           list_min(list_filter(range(len(aft)), lambda i: aft[i + 1] IS DISTINCT FROM f_aft[i + 1])), len(aft)) END AS b
+  SELECT doc_id, s - coalesce(list_min(list_filter(range(len(f_bef)), lambda i: bef[i + 1] IS DISTINCT FROM f_bef[i + 1])), len(f_bef)) AS a,
+         e + coalesce(list_min(list_filter(range(len(f_aft)), lambda i: aft[i + 1] IS DISTINCT FROM f_aft[i + 1])), len(f_aft)) AS b
   FROM paired),
 gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM spans),
 lost AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id)

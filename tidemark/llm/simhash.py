@@ -36,16 +36,23 @@ SMALL_BUCKET = 32
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
+#: Shingles hashed at a time, so that a long text needs little more than its own bytes.
+SHINGLES_AT_ONCE = 1 << 16
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit hashes have each bit set."""
+    octets = hashes.view(np.uint8).reshape(-1, 8)
+    return np.concatenate([np.bincount(octets[:, k], minlength=256) @ _BYTE_BITS for k in range(8)])
+
+
 def majority(hashes: np.ndarray) -> int:
     """Bits that are set in over half of the 64-bit hashes."""
-    if not len(hashes):
-        return 0
-    octets = hashes.view(np.uint8).reshape(-1, 8)
-    out = 0
-    for k in range(8):
-        ones = np.bincount(octets[:, k], minlength=256) @ _BYTE_BITS
-        out |= int(np.packbits(ones * 2 > len(hashes), bitorder="little")[0]) << (8 * k)
-    return out
+    return _majority(bit_counts(hashes), len(hashes)) if len(hashes) else 0
+
+
+def _majority(ones: np.ndarray, n: int) -> int:
+    return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
 def text_fingerprints(column: pa.Array, size: int = SHINGLE_WORDS) -> Iterator[int]:
@@ -56,24 +63,24 @@ def text_fingerprints(column: pa.Array, size: int = SHINGLE_WORDS) -> Iterator[i
         data, at = LOWER[body[offsets[i]:offsets[j]]], offsets[i:j + 1] - offsets[i]
         starts, ends, first = word_spans(data, at, SPACES)
         # Words in a row with one space between them: a shingle is one slice of bytes.
-        length = ends - starts
-        place = np.concatenate([[0], np.cumsum(length + 1)])
-        total = int(place[-1])
-        inside = np.zeros(len(data) + 1, np.int32)
-        np.add.at(inside, starts, 1)
-        np.subtract.at(inside, ends, 1)
-        joined = np.full(total, 0x20, np.uint8)
-        source = np.flatnonzero(np.cumsum(inside[:-1]))
-        joined[source - np.repeat(starts - place[:-1], length)] = data[source]
-        raw, begin, stop = joined.tobytes(), place.tolist(), (place[1:] - 1).tolist()
+        place = np.concatenate([[0], np.cumsum(ends - starts + 1)])
+        joined, filled = np.full(int(place[-1]), 0x20, np.uint8), np.ones(int(place[-1]), bool)
+        filled[place[1:] - 1] = False
+        joined[filled] = data[~SPACES[data]]
+        raw = joined.tobytes()
+        del data, joined, filled
         for k in range(j - i):
             lo, hi = int(first[k]), int(first[k + 1])
             if hi - lo < size:
-                hashes = [digest(raw[begin[lo]:stop[hi - 1]], SEED)] if hi > lo else []
-            else:
-                hashes = [digest(raw[s:e], SEED) for s, e in
-                          zip(begin[lo:hi - size + 1], stop[lo + size - 1:hi], strict=True)]
-            yield majority(np.array(hashes, np.uint64))
+                yield majority(np.array([digest(raw[int(place[lo]):int(place[hi]) - 1], SEED)] if hi > lo else [], np.uint64))
+                continue
+            ones, n = np.zeros(64, np.int64), hi - lo - size + 1
+            for since in range(lo, lo + n, SHINGLES_AT_ONCE):
+                upto = min(since + SHINGLES_AT_ONCE, lo + n)
+                begin, stop = place[since:upto].tolist(), (place[since + size:upto + size] - 1).tolist()
+                hashes = [digest(raw[s:e], SEED) for s, e in zip(begin, stop, strict=True)]
+                ones += bit_counts(np.array(hashes, np.uint64))
+            yield _majority(ones, n)
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
