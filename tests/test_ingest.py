@@ -115,3 +115,29 @@ def test_permissive_scan_drops_and_counts_bad_records(spark, tmpdir_path):
     assert bad == {"part-0.json": 1, "b.json": 1, "c.json": 1}
     with pytest.raises(Exception):
         L.scan_landing(spark, root).collect()
+
+
+def test_late_files_and_days_without_lists(spark, tmpdir_path, monkeypatch):
+    """New files by their time, late ones (older than the newest loaded) by name in passes, bounds on both."""
+    monkeypatch.setattr(L, "LATE_FILES", 2)
+    root, bronze = os.path.join(tmpdir_path, "prices"), os.path.join(tmpdir_path, "bronze")
+
+    def put(day, value, age):
+        _write(f"{root}/2024-01-{day:02d}.json", [{"v": value}])
+        at = 1_700_000_000 - age
+        os.utime(f"{root}/2024-01-{day:02d}.json", (at, at))
+
+    def seen():
+        return sorted(r[0] for r in spark.read.parquet(bronze).select(F.variant_get("raw_data", "$.v", "int")).collect())
+
+    for day in (1, 2, 9):
+        put(day, day, 1000 - day)
+    assert L.ingest(spark, root, "x", bronze, start="2024-01-02", end="2024-01-08").count() == 1 and seen() == [2]
+    for day in (3, 4, 5, 6, 7):
+        put(day, day, 5000 + day)  # late, but for day 2's file all older
+    put(8, 8, 10)
+    assert L.ingest(spark, root, "x", bronze, end="2024-01-08").count() == 7 and seen() == [1, 2, 3, 4, 5, 6, 7, 8]
+    assert L.ingest(spark, root, "x", bronze, end="2024-01-08").count() == 0
+    put(2, 22, 990)  # delivered anew with an older time
+    _write(f"{root}/none.json", [{"v": 99}])
+    assert L.ingest(spark, root, "x", bronze).count() == 3 and seen() == [1, 2, 3, 4, 5, 6, 7, 8, 9, 22, 99]

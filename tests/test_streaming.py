@@ -86,3 +86,21 @@ def test_open_day_and_equal_timestamps(spark, tmpdir_path):
     from tidemark.sources.vendor import ohlcv_bars
     batch = ohlcv_bars(df, "k", "ts", "price", seq="seq").first()
     assert [(r.open, r.close, r.volume) for r in got] == [(2.0, 3.0, 4)] == [(batch.open, batch.close, batch.volume)]
+
+
+def test_stream_takes_whole_arrays_and_splits_lines(spark, tmpdir_path):
+    """Arrays over several lines, files of lines, and Spark's own files of lines, each taken once."""
+    land = os.path.join(tmpdir_path, "land")
+    os.makedirs(land + "/date=2024-01-03")
+    files = {"2024-01-01.json": json.dumps([{"a": i, "t": "x"} for i in range(5)], indent=2), "pat.json": '\n [{"a": 5}]',
+             "p.json": '{"a": 6}\n\n{"a": 7}\n', "date=2024-01-03/part-0.json": '{"a": 8}\n\n{"a": 9}\n', "notes.txt": "no"}
+    for name, text in files.items():
+        with open(f"{land}/{name}", "w") as f:
+            f.write(text)
+    bronze, ck = os.path.join(tmpdir_path, "b"), os.path.join(tmpdir_path, "ck")
+    for _ in range(2):
+        ST.ingest_stream(spark, land, "s", bronze, ck).awaitTermination()
+        got = sorted(r[0] for r in spark.read.parquet(bronze).select(F.variant_get("raw_data", "$.a", "int")).collect())
+        assert got == list(range(10))
+    from tidemark.sources import landing as L
+    assert L.scan_landing(spark, land).count() == 10

@@ -1005,6 +1005,23 @@ def q_stream_dedup_latest(spark, d):
         "event_id", "user_id", "event_date", "event_type", "value")
 
 
+@register("stream_latest_state", """
+SELECT user_id, event_date, x.event_id AS event_id, x.event_type AS event_type, x.value AS value FROM (
+  SELECT user_id, CAST(ts AS DATE) AS event_date, arg_max(events, (ts, event_id)) AS x FROM events GROUP BY ALL)""", dbl=("value",))
+def q_stream_latest_state(spark, d):
+    """Latest event per (user, day) as keyed state of the stream, in two runs from one checkpoint."""
+    from tidemark.streaming.latest import upsert_latest_state
+    src = scratch_path(spark, "events-state")
+    ev, order = _t(spark, d, "events"), ["ts", "event_id"]
+    for half in (0, 1):
+        ev.filter(F.col("event_id") % 2 == half).coalesce(4).write.parquet(f"{src}/{half}")
+        stream = spark.readStream.schema(ev.schema).option("recursiveFileLookup", True).parquet(src) \
+            .withColumn("event_date", F.to_date("ts"))
+        upsert_latest_state(stream, ["user_id", "event_date"], order, src + "-latest", src + "-ckpt").awaitTermination()
+    return ST.read_latest(spark, src + "-latest", ["user_id", "event_date"], [F.col(c).desc_nulls_first() for c in order]).select(
+        "event_id", "user_id", "event_date", "event_type", "value")
+
+
 @register("stream_daily_bars", """
 SELECT event_type, CAST(ts AS DATE) AS date, arg_min(value, (ts, event_id)) AS open, max(value) AS high,
        min(value) AS low, arg_max(value, (ts, event_id)) AS close, count(*) AS volume

@@ -63,7 +63,8 @@ def landing_files(spark: SparkSession, path: str) -> DataFrame:
                         F.col("length").alias("file_size"))
 
 
-def scan_landing(spark: SparkSession, path: str | Sequence[str], fail_fast: bool = True) -> DataFrame:
+def scan_landing(spark: SparkSession, path: str | Sequence[str], fail_fast: bool = True,
+                 where: Column | None = None) -> DataFrame:
     """Scan landing files; one row per array element, with file metadata.
 
     A file that Spark wrote is read line by line, so it is split like any text; any other of up
@@ -71,9 +72,10 @@ def scan_landing(spark: SparkSession, path: str | Sequence[str], fail_fast: bool
     rows; one JSON object per line is accepted too), and a larger one in byte ranges by
     ``arrays.scan_objects``. Sub-folders are listed recursively and only
     ``*.json`` files are taken. A malformed record fails the scan (``fail_fast``) or
-    contributes no rows (``bad_records`` counts those).
+    contributes no rows (``bad_records`` counts those). ``where`` is a condition on ``_metadata``
+    alone: Spark tests it on the listing, and files that fail it are not opened.
     """
-    rows = _parsed(spark, path, fail_fast)
+    rows = _parsed(spark, path, fail_fast, where=where)
     return rows.filter(F.col("raw_data").isNotNull())
 
 
@@ -83,7 +85,8 @@ def bad_records(spark: SparkSession, path: str | Sequence[str], glob: str = "*.j
             .groupBy("file_path").agg(F.count("*").alias("n_bad")))
 
 
-def _parsed(spark: SparkSession, path: str | Sequence[str], fail_fast: bool, glob: str = "*.json") -> DataFrame:
+def _parsed(spark: SparkSession, path: str | Sequence[str], fail_fast: bool, glob: str = "*.json",
+            where: Column | None = None) -> DataFrame:
     """Records of all files; NULL ``raw_data`` stands for a malformed one (not ``fail_fast``)."""
     paths = [path] if isinstance(path, str) else list(path)
     mode = "FAILFAST" if fail_fast else "PERMISSIVE"
@@ -96,29 +99,31 @@ def _parsed(spark: SparkSession, path: str | Sequence[str], fail_fast: bool, glo
         rows = (spark.read.option("recursiveFileLookup", True)
                 .option("pathGlobFilter", glob).text(paths, wholetext=whole))
         lines = F.col("_metadata.file_name").startswith(LINES_PREFIX)
-        return rows.filter(~lines & (F.col("_metadata.file_size") <= SPLIT_BYTES) if whole else lines)
+        return rows.filter(taken & (~lines & (F.col("_metadata.file_size") <= SPLIT_BYTES) if whole else lines))
 
+    taken = where if where is not None else F.lit(True)
     filled = F.length(F.trim(F.col("value"))) > 0
     # Only lines of Spark's own files are parsed: a filter on the result is tested before the one on the name.
     line = F.when(F.col("_metadata.file_name").startswith(LINES_PREFIX), F.col("value"))
     by_line = text(False).filter(filled).select(parse(line).alias("raw_data"), *meta)
     lines = F.filter(F.split(F.col("value"), "\n"), lambda s: F.length(F.trim(s)) > 0)
-    arr = F.when(F.ltrim(F.col("value")).startswith("["), F.coalesce(
+    arr = F.when(F.regexp_replace("value", r"^\s+", "").startswith("["), F.coalesce(
         F.from_json(F.col("value"), "array<variant>", {"mode": mode}),
         F.array(F.lit(None).cast("variant")))) \
         .otherwise(F.transform(lines, lambda s: parse(s)))
-    large = scan_objects(spark, paths, fail_fast, glob, ~F.col("_metadata.file_name").startswith(LINES_PREFIX)
+    large = scan_objects(spark, paths, fail_fast, glob, taken & ~F.col("_metadata.file_name").startswith(LINES_PREFIX)
                          & (F.col("_metadata.file_size") > SPLIT_BYTES))
     return text(True).select(F.explode(arr).alias("raw_data"), *meta).unionByName(by_line).unionByName(large)
 
 
-def read_landing(spark: SparkSession, path: str | Sequence[str], source: str, fail_fast: bool = True) -> DataFrame:
+def read_landing(spark: SparkSession, path: str | Sequence[str], source: str, fail_fast: bool = True,
+                 where: Column | None = None) -> DataFrame:
     """Landing files -> Bronze rows stamped with source, load time and file.
 
     ``_file_name`` holds the file's full path: file names alone repeat across
     the per-day folders of a landing zone.
     """
-    scan = scan_landing(spark, path, fail_fast)
+    scan = scan_landing(spark, path, fail_fast, where)
     return scan.select("raw_data", F.lit(source).alias("source"), load_time().alias("_loaded_at"),
                        F.col("file_path").alias("_file_name"), *LEDGER_KEYS)
 
@@ -134,33 +139,67 @@ def new_files_only(scanned: DataFrame, ledger: DataFrame | None) -> DataFrame:
     return scanned.join(ledger.select(*LEDGER_KEYS).distinct(), LEDGER_KEYS, "left_anti")
 
 
+#: A landing file is named for a day: ``.../2024-01-31.json`` or ``.../date=2024-01-31/part-...``.
+FILE_DAY = r"(?:date=|/)(\d{4}-\d{2}-\d{2})(?:/[^/]*|[^/]*)$"
+
+
 def file_date(path: str) -> str | None:
-    """The day a landing file is named for: ``.../2024-01-31.json`` or ``.../date=2024-01-31/part-...``."""
-    found = re.search(r"(?:date=|/)(\d{4}-\d{2}-\d{2})(?:/[^/]*|[^/]*)$", path)
+    """The day a landing file is named for; None for no day."""
+    found = re.search(FILE_DAY, path)
     return found[1] if found else None
 
 
+#: Files older than the newest one loaded that are named to Spark at a time.
+LATE_FILES = 1000
+
+
+def _in_days(path: Column, start: str | None, end: str | None) -> Column:
+    """Whether a file's day is in the bounds (inclusive); one named for no day is in none."""
+    day, found = F.regexp_extract(path, FILE_DAY, 1), F.lit(True)
+    if start or end:
+        found = day != ""
+        found = found & (day >= start) if start else found
+        found = found & (day <= end) if end else found
+    return found
+
+
 def ingest(spark: SparkSession, landing_path: str, source: str, bronze_path: str,
            start: str | None = None, end: str | None = None) -> DataFrame:
     """Append new landing files to a Bronze table; return this run's per-file counts.
 
-    Files are listed without their contents and held against Bronze's own file columns
-    (path, modification time, size), the load ledger; only files that are new are read.
-    ``start`` and ``end`` bound the days of the files taken (inclusive; a file named for no
-    day is outside any bound). A re-run appends nothing. The append is the only write, so an
-    interrupted run leaves either all of a file's rows or none.
+    Bronze's own file columns (path, modification time, size) are the load ledger. Files newer than
+    the newest one loaded are taken by one condition on their listing, so no list of them passes
+    through here; the others are held against the ledger, and the few that came late (older, but not
+    loaded) are read by name, at most ``LATE_FILES`` at a time. ``start`` and ``end`` bound the days of
+    the files taken (inclusive; a file named for no day is outside any bound). A re-run appends
+    nothing. Each file's rows come with one append, so an interrupted run leaves either all of
+    a file's rows or none.
     """
     counts = "file_path string, file_modification_time timestamp, file_size long, rows_loaded long"
     if listing(spark, landing_path) is None:
         return spark.createDataFrame([], counts)
+
+    def append(path: str | Sequence[str], where: Column | None) -> None:
+        rows = read_landing(spark, path, source, where=where)
+        rows.select(*BRONZE_COLUMNS, *LEDGER_KEYS).write.mode("append").parquet(bronze_path)
+
     ledger = spark.read.parquet(bronze_path).select(*LEDGER_KEYS) if has_data(spark, bronze_path) else None
-    fresh = [r["file_path"] for r in new_files_only(landing_files(spark, landing_path), ledger).collect()]
-    if start or end:
-        fresh = [p for p in fresh if (d := file_date(p)) and (not start or d >= start) and (not end or d <= end)]
-    if not fresh:
+    mark = None if ledger is None else ledger.agg(F.max("file_modification_time")).first()[0]
+    files = landing_files(spark, landing_path).filter(_in_days(F.col("file_path"), start, end))
+    newer = F.lit(True) if mark is None else F.col("_metadata.file_modification_time") > F.lit(mark)
+    late = [] if mark is None else new_files_only(files.filter(F.col("file_modification_time") <= F.lit(mark)), ledger)
+    if mark is None or not files.filter(F.col("file_modification_time") > F.lit(mark)).isEmpty():
+        append(landing_path, newer & _in_days(F.col("_metadata.file_path"), start, end))
+    while late:  # a pass leaves its files in the ledger
+        named = [r["file_path"] for r in late.orderBy("file_path").limit(LATE_FILES).collect()]
+        if not named:
+            break
+        append(named, None)
+        if len(named) < LATE_FILES:
+            break
+        late = new_files_only(files.filter((F.col("file_modification_time") <= F.lit(mark)) & (F.col("file_path") > named[-1])), ledger)
+    if not has_data(spark, bronze_path):
         return spark.createDataFrame([], counts)
-    rows = read_landing(spark, fresh, source)
-    rows.select(*BRONZE_COLUMNS, *LEDGER_KEYS).write.mode("append").parquet(bronze_path)
     loaded = new_files_only(spark.read.parquet(bronze_path).select(*LEDGER_KEYS), ledger)
     return loaded.groupBy(*LEDGER_KEYS).agg(F.count(F.lit(1)).alias("rows_loaded"))
 

@@ -7,34 +7,44 @@ catch-up runs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.windows import dedup_latest
-from tidemark.sources.landing import BRONZE_COLUMNS, load_time
+from tidemark.sources.landing import BRONZE_COLUMNS, LINES_PREFIX, load_time
+
+
+#: Names of landing files that Spark did not write (all but ``part-*.json``), as a glob.
+OTHER_FILES = "{[!p],p[!a],pa[!r],par[!t],part[!-]}*.json"
 
 
 def landing_stream(spark: SparkSession, path: str, source: str, fail_fast: bool = True) -> DataFrame:
     """Streaming scan of landing JSON files -> Bronze rows.
 
-    The file source records every processed path in its checkpoint, so each
-    file is ingested exactly once. A file later overwritten under the same
-    name is not seen again (use the batch ledger ingest for that case).
+    Files that Spark wrote are read line by line and split like any text, all others whole, as an
+    array or as lines, like the batch scan does. The file sources record every processed path in
+    their checkpoint, so each file is ingested exactly once. A file later overwritten under the
+    same name is not seen again (use the batch ledger ingest for that case).
     """
-    text = (spark.readStream.option("wholetext", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.json").text(path))
+    def text(glob: str, whole: bool) -> DataFrame:
+        return (spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+                .text(path, wholetext=whole))
+
     parse = F.parse_json if fail_fast else F.try_parse_json
-    lines = F.filter(F.split(F.col("value"), "\n"), lambda s: F.length(F.trim(s)) > 0)
-    arr = F.when(F.ltrim(F.col("value")).startswith("["),
+    filled = lambda s: F.length(F.trim(s)) > 0
+    lines = F.filter(F.split(F.col("value"), "\n"), filled)
+    arr = F.when(F.regexp_replace("value", r"^\s+", "").startswith("["),
                  F.from_json(F.col("value"), "array<variant>",
                              {"mode": "FAILFAST" if fail_fast else "PERMISSIVE"})) \
         .otherwise(F.transform(lines, lambda s: parse(s)))
-    return text.select(F.explode(arr).alias("raw_data"), F.lit(source).alias("source"),
-                       load_time().alias("_loaded_at"),
-                       F.col("_metadata.file_path").alias("_file_name")).select(*BRONZE_COLUMNS)
+    meta = [F.lit(source).alias("source"), load_time().alias("_loaded_at"), F.col("_metadata.file_path").alias("_file_name")]
+    whole = text(OTHER_FILES, True).select(F.explode(arr).alias("raw_data"), *meta)
+    by_line = text(f"{LINES_PREFIX}*.json", False).filter(filled(F.col("value"))).select(
+        parse(F.col("value")).alias("raw_data"), *meta)
+    return whole.unionByName(by_line).select(*BRONZE_COLUMNS)
 
 
 def ingest_stream(spark: SparkSession, landing_path: str, source: str, bronze_path: str,
@@ -51,6 +61,15 @@ def batch_name(batch: DataFrame, epoch_id: int) -> str:
     return f"{query}-{int(epoch_id):09d}"
 
 
+def write_changes(target_root: str) -> Callable[[DataFrame, int], None]:
+    """A batch writer: each batch is a partition of its own, which a replay writes anew."""
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        (batch.withColumn("_batch", F.lit(batch_name(batch, epoch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(target_root))
+
+    return write_batch
+
+
 def upsert_latest_stream(stream: DataFrame, keys: Sequence[str], order: Sequence[Column],
                          target_root: str, checkpoint: str) -> StreamingQuery:
     """Keep the latest row per key across micro-batches (append-only target).
@@ -114,11 +133,7 @@ def upsert_bars(bars: DataFrame, target_root: str, checkpoint: str) -> Streaming
     A bar only grows, so the newest state of a (key, date) has the most ticks:
     ``read_bars`` takes that one.
     """
-    def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        (batch.withColumn("_batch", F.lit(batch_name(batch, epoch_id))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(target_root))
-
-    return (bars.writeStream.outputMode("update").foreachBatch(write_batch)
+    return (bars.writeStream.outputMode("update").foreachBatch(write_changes(target_root))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
