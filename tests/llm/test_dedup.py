@@ -42,6 +42,14 @@ def test_substrings_edge(edge, empty):
     assert U.repeated_words(empty).count() == 0
 
 
+def test_substrings_of_rows_that_share_an_id(spark):
+    """Rows of one id (or none) and one length are dealt over buckets; results stay the same."""
+    passage = " ".join(f"p{i:03d}" for i in range(40))
+    docs = [(None, f"{passage} own {i:04d}") for i in range(400)] + [(7, f"x{i:04d} " * 30) for i in range(400)] + [(i, "a b") for i in range(9)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert ordered(U.repeated_words(df, bucket_bytes=4096).collect()) == ordered(brute.repeats(docs))
+
+
 def test_lines_whole_table(documents):
     df, docs = documents
     want = brute.repeated_lines(docs)

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from brute import ordered
 from hypothesis import given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from tidemark.llm import attribution as A
@@ -44,6 +45,25 @@ def test_many_partitions_exchange(documents):
     assert bound <= bins <= check_places(once, 100)
 
 
+def test_rows_that_share_an_id_spread(spark, tokenizer, monkeypatch):
+    """A third of all rows has no id: its pieces are dealt over all partitions."""
+    docs = [(None if i % 3 == 0 else i, f"some words {i % 50} " * (1 + i % 7)) for i in range(1500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    seen, pack = [], P._pack_partitions
+
+    def watched(pieces, *more):
+        out = pack(pieces, *more)
+        seen.append(out.groupBy("part").count().agg(F.min("count"), F.max("count"), F.count("*")).first())
+        return out
+
+    monkeypatch.setattr(P, "_pack_partitions", watched)
+    rows = P.pack_sequences(df, capacity=200, pieces_per_partition=100).collect()
+    assert ordered((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == \
+        ordered(brute.pieces(docs, tokenizer, 200))
+    check_places(rows, 200)
+    assert seen[0][2] >= 15 and seen[0][1] < 3 * 100
+
+
 def test_edge_documents(edge, empty, tokenizer):
     df, docs = edge
     rows = P.pack_sequences(df, with_ids=True).collect()

@@ -190,7 +190,7 @@ def _pack_partitions(pieces: DataFrame, partitions: int, salt: int, capacity: in
         out = [table.column(c) for c in [*keys, "part"]] + [pa.array(v) for v in more]
         return pa.table(dict(zip(schema.names, out, strict=True)))
 
-    part = F.pmod(F.xxhash64(F.lit(salt), "doc_id", "piece"), F.lit(partitions))
+    part = F.pmod(F.xxhash64(F.lit(salt), "_number"), F.lit(partitions))
     return pieces.withColumn("part", part).groupBy("part").applyInArrow(pack, schema)
 
 
@@ -201,10 +201,14 @@ def pack_sequences(docs: DataFrame, capacity: int = CAPACITY, path: str | None =
 
     Returns one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset (ids, if asked for), and ``certified``: its partition uses as few bins as any
-    packing of its pieces could. Null text: empty; null doc_id and repeated rows: packed
+    packing of its pieces could. Partitions exchange pieces until a round saves no bin,
+    ``max_rounds`` at most. Null text: empty; null doc_id and repeated rows: packed
     like any others; empty table: no rows; other columns are ignored.
     """
-    pieces = staged(encode_pieces(docs, capacity, path, with_ids), "pieces")
+    # Dealt by a number stored with them, so that rows with one id (or none) spread, too.
+    pieces = encode_pieces(docs, capacity, path, with_ids)
+    shown = pieces.columns
+    pieces = staged(pieces.withColumn("_number", F.monotonically_increasing_id()), "pieces")
     names, done = pieces.columns, []
 
     def deal(rows: DataFrame, n: int, turn: int) -> DataFrame:
@@ -230,5 +234,5 @@ def pack_sequences(docs: DataFrame, capacity: int = CAPACITY, path: str | None =
         current = again
     for rows in done:
         current = current.unionByName(rows)
-    return current.select(*names, "sequence_id", "offset",
+    return current.select(*shown, "sequence_id", "offset",
                           (F.col("part_bins") == F.col("part_bound")).alias("certified"))

@@ -23,12 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.store import staged
 from tidemark.llm.words import SPACES, slices, span_hashes, text_bytes, word_spans
 
 WINDOW = 35
 #: A perfect difference set: every difference modulo 21 is one of two of its members.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 BUCKET_BYTES = 8 << 20
+#: Rows of one id and length that fill more buckets than these are dealt by a number of their own.
+HOT_BUCKETS = 2
 
 _ANCHOR_BASE, _WINDOW_BASE, _CHECK_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 _PACKED = "range int, bucket int, n_twice int, hashes binary, checks binary"
@@ -163,8 +166,14 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = BU
         raise ValueError(f"a window holds at least {PERIOD} words")
     n = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(1, -(-n // bucket_bytes))
-    rows = docs.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(buckets)).cast("int")
-                       .alias("bucket"), "doc_id", "text")
+    dealt = [F.col("doc_id"), F.octet_length("text")]
+    together = docs.groupBy(*dealt).agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0] or 0
+    rows = docs.select("doc_id", "text")
+    if together > HOT_BUCKETS * bucket_bytes:
+        # Many rows of one id (or none) and one length: stored with a number, by which they are dealt, too.
+        rows = staged(rows.withColumn("number", F.monotonically_increasing_id()), "rows")
+        dealt.append(F.col("number"))
+    rows = rows.select(F.pmod(F.xxhash64(*dealt), F.lit(buckets)).cast("int").alias("bucket"), "doc_id", "text")
 
     def anchors(table: pa.Table) -> pa.Table:
         words, first = _words(table)
