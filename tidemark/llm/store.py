@@ -17,7 +17,7 @@ from tidemark.session import apply_core_conf, scratch_path
 
 
 #: Bytes of rows that go to a Python worker at once (a longer row goes alone).
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 _SHIPPED: set[str] = set()
 
 
