@@ -1253,16 +1253,23 @@ def q_corr_all_assets(spark, d):
     return X.corr_all_assets(_m(spark, d).stored("asset_daily_returns")).withColumnRenamed("correlation", "corr")
 
 
+_FRAMED = tuple(c for c in TECH_COARSE if c.startswith(("ma_", "bb_")))
+_EXACT_SUMS = dict(dbl=("daily_return",), coarse=tuple(c for c in TECH_COARSE if c not in _FRAMED), cents=("rsi_14", *_FRAMED),
+                   ints=("volume",))
+
+
+def _shifted(df: DataFrame) -> DataFrame:
+    return df.select(*M.TECHNICAL_COLUMNS).withColumns({c: F.col(c) + F.lit(0.00137) for c in _FRAMED})
+
+
 @register("technicals_sliding", O.cte("technicals") + "SELECT * REPLACE (" + ", ".join(
-    f"{c} + CAST(0.0000137 AS DOUBLE) AS {c}" for c in TECH_COARSE if c.startswith(("ma_", "bb_"))) + ") FROM technicals",
-          dbl=("daily_return", "rsi_14"), coarse=TECH_COARSE, ints=("volume",))
+    f"{c} + CAST(0.00137 AS DOUBLE) AS {c}" for c in _FRAMED) + ") FROM technicals", **_EXACT_SUMS)
 def q_technicals_sliding(spark, d):
-    """All indicators from exact running sums in halo buckets of each series. Means and bands are
-    shifted by less than the last digit shown: means of prices in cents often lie on a half of it, where
-    sums of doubles and exact sums would round to either side."""
+    """All indicators from exact running sums in halo buckets of each series. Sums of doubles differ
+    from these by some 1e-9, so frames are compared to two decimals; means and bands are shifted by less
+    than that, as means of prices in cents often lie on a half of the last digit."""
     from tidemark.operators.sliding import sliding_technicals
-    out = sliding_technicals(_m(spark, d).stored("stg_daily_prices")).select(*M.TECHNICAL_COLUMNS)
-    return out.withColumns({c: F.col(c) + F.lit(0.0000137) for c in TECH_COARSE if c.startswith(("ma_", "bb_"))})
+    return _shifted(sliding_technicals(_m(spark, d).stored("stg_daily_prices")))
 
 
 def _runs_of_prices(stg: DataFrame) -> list[DataFrame]:
@@ -1270,16 +1277,14 @@ def _runs_of_prices(stg: DataFrame) -> list[DataFrame]:
     return [stg.filter(F.col("price_date") <= F.to_date(F.lit(day))) for day in ("1994-12-31", "1997-06-30", "2100-01-01")]
 
 
-@register("incremental_technicals", REGISTRY["technicals_sliding"].sql, dbl=("daily_return", "rsi_14"),
-          coarse=TECH_COARSE, ints=("volume",))
+@register("incremental_technicals", REGISTRY["technicals_sliding"].sql, **_EXACT_SUMS)
 def q_incremental_technicals(spark, d):
     """The technicals built by three runs, each from its new rows and the last 200 rows of every
     series, equal to a full rebuild (means and bands shifted as in ``technicals_sliding``)."""
     stg, root = _m(spark, d).stored("stg_daily_prices"), scratch_path(spark, "technicals-runs")
     for prices in _runs_of_prices(stg):
         out = TS.append_technicals(prices, root)
-    out = out.select(*M.TECHNICAL_COLUMNS)
-    return out.withColumns({c: F.col(c) + F.lit(0.0000137) for c in TECH_COARSE if c.startswith(("ma_", "bb_"))})
+    return _shifted(out)
 
 
 @register("incremental_snapshot", O.cte("snapshot") + "SELECT * FROM snapshot", dbl=SNAP_DBL, coarse=SNAP_COARSE,
