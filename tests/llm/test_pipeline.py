@@ -3,6 +3,7 @@ import collections
 import brute
 import corpus_pipeline
 from brute import SF
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from tidemark.llm.store import staged
@@ -49,8 +50,24 @@ def test_language_stage_keeps_clean_documents(spark, documents):
     assert clean and clean <= kept and not {-1, -2, -3} & kept
 
 
+def test_pipeline_on_edge_and_empty_tables(spark, edge, tmp_path):
+    """Nulls, empty and long texts, repeated rows, clashing columns, an empty benchmark, and no documents at all."""
+    df, docs = edge
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").limit(0)
+    for name, rows in (("edge", df.withColumn("lang", F.lit("en"))), ("none", df.limit(0))):
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        bench.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    packed = corpus_pipeline.run(spark, f"{tmp_path}/edge").collect()
+    given = {d for d, t in docs if t and any(c.isalpha() for c in t)}
+    assert {r["doc_id"] for r in packed} <= given and len(packed) > 5
+    # of the equal long texts one is left, in pieces of 1024 ids that make up the whole
+    long = [r for r in packed if r["doc_id"] in (6, 7)]
+    assert {r["doc_id"] for r in long} == {6} and all(r["length"] <= 1024 for r in packed)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_queries_are_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "best_fit_packing"]
