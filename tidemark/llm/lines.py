@@ -88,8 +88,8 @@ def without_repeated_lines(docs: DataFrame, ends_below: str = ENDS_BELOW) -> Dat
     # are not joined with each other.
     wanted = firsts.groupBy(F.col("f.rk").alias("f_rk")).agg(F.collect_list(F.struct("key", "f")).alias("wanted"))
     found = (rows.join(wanted.hint("merge"), F.col("rk") == F.col("f_rk")).groupBy("rk")
-             .agg(F.first("row.text").alias("text"), F.first("wanted").alias("wanted"))
-             .select(F.inline(_let(F.split("text", "\n", -1), lambda lines: F.transform("wanted", lambda w: F.struct(
+             .agg(F.first("row").alias("whole"), F.first("wanted").alias("wanted"))
+             .select(F.inline(_let(F.split("whole.text", "\n", -1), lambda lines: F.transform("wanted", lambda w: F.struct(
                  w["key"].alias("f_key"), w["f"]["back"].alias("back"), _part(
                      lines, w["f"]["first"] - w["f"]["back"], w["f"]["back"] + w["f"]["size"] + w["f"]["on"]).alias("around")))))))
     later = chunks.join(firsts, "key").filter("rk != f.rk or first != f.first").select("key", F.col("rk").alias("l_rk"), "first", "size")
