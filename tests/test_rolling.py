@@ -70,3 +70,31 @@ def test_sides_and_empty(spark):
     many = spark.range(n * 30).select((F.col("id") % n).cast("string").alias("s"), F.date_add(F.lit(day(0)), (F.col("id") / n).cast("int")).alias("d"),
                                       F.rand(3).alias("v"))
     assert corr_pairs(many, "d", "s", "v").count() == n * (n - 1) // 2
+
+
+def test_all_pairs_in_blocks_equal_pairs_by_day(spark, monkeypatch):
+    """Blocks of few series: NULLs, repeated rows, still and nearly still series, NaN, large values; no
+    row per pair and day is shuffled."""
+    from tidemark.operators import rolling
+    monkeypatch.setattr(rolling, "BLOCK_SERIES", 4)
+    r, rows = random.Random(8), []
+    for k in range(14):
+        for n in range(90):
+            if r.random() < 0.7:
+                v = {0: 2.5, 1: 1e5 + r.gauss(0, 1), 2: 1.0 if n < 80 else 3.0, 3: float("nan") if n == 40 else r.gauss(0, 1)}.get(k, r.gauss(0, 1))
+                rows += [(f"s{k}", day(n), None if r.random() < 0.1 else v)] * (2 if k == 5 and n % 9 == 0 else 1)
+    rows += [("late", day(1000 + n), r.gauss(0, 1)) for n in range(20)] + [("s4", None, 1.0), (None, day(3), 1.0)]
+    long = spark.createDataFrame(rows, "name string, day date, v double")
+    key = lambda f: {(q["left"], q["right"]): (q["n_obs"], q["correlation"]) for q in f.collect()}
+    want = key(corr_pairs(long, "day", "name", "v", min_obs=30).filter("n_obs >= 30"))
+    found = rolling.corr_all_pairs(long, "day", "name", "v", 30)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    got = key(found)
+    assert got.keys() == want.keys() and len(got) > 60
+    for k, (n, c) in want.items():
+        assert got[k][0] == n
+        if c is None or c != c:
+            assert repr(got[k][1]) == repr(c), k
+        else:
+            assert abs(got[k][1] - c) < 1e-9, k
+    assert rolling.corr_all_pairs(long.limit(0), "day", "name", "v").count() == 0

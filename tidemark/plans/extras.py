@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.aggregates import pair_corr, pair_count
 from tidemark.operators.asof import carry_forward
 from tidemark.operators.relational import pivot_long
-from tidemark.operators.rolling import corr_pairs, rolling_corr_pairs, unpivot_series
+from tidemark.operators.rolling import corr_all_pairs, corr_pairs, rolling_corr_pairs, unpivot_series
 from tidemark.operators.windows import forward_fill_global, global_frames, lag_k, top_k_per_group, zscore
 
 
@@ -118,5 +118,6 @@ def corr_assets(returns: DataFrame, stg_macro: DataFrame, assets, min_obs: int =
 
 def corr_all_assets(returns: DataFrame, min_obs: int = 30) -> DataFrame:
     """Correlation of the daily returns of every two assets with ``min_obs`` common days."""
-    out = corr_pairs(returns, "asset_date", "asset_id", "daily_return", min_obs=min_obs, left_name="asset", right_name="other")
-    return out.filter(F.col("n_obs") >= min_obs)
+    if min_obs < 1:  # pairs without a common observation have rows too
+        return corr_pairs(returns, "asset_date", "asset_id", "daily_return", min_obs=min_obs, left_name="asset", right_name="other")
+    return corr_all_pairs(returns, "asset_date", "asset_id", "daily_return", min_obs, "asset", "other")
