@@ -249,3 +249,15 @@ def test_components_of_chains_and_stars(spark):
     assert all(got[i] == 100 for i in range(100, 161)) and all(got[x] == 5 for x in range(200, 260))
     assert got[9] == got[8] == 8 and 7 not in got
     assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_line_dedup_shuffles_texts_once(spark):
+    """Both joins of the texts read one exchange; a null text and repeated rows stay as they are."""
+    from tidemark.llm.lines import line_report
+    passage = "\n".join(f"line {i} of a shared passage" for i in range(12))
+    rows = [(1, f"own start\n{passage}\nown end"), (2, f"other start\n{passage}\nother end"), (3, None), (4, ""), (None, None), (5, passage)]
+    found = line_report(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = sorted(((r.doc_id, r.n_lines, r.n_removed) for r in found.collect()), key=str)
+    assert [g for g in got if g[0] in (1, 3, 4, None)] == [(1, 14, 0), (3, 0, 0), (4, 1, 0), (None, 0, 0)]
+    assert all(g[2] > 0 for g in got if g[0] in (2, 5))
+    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()

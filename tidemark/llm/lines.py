@@ -81,8 +81,9 @@ def without_repeated_lines(docs: DataFrame, ends_below: str = ENDS_BELOW) -> Dat
                                               F.max(F.struct("doc_id", "rk", "first")).alias("z"))
                     .filter("not (f.rk <=> z.rk and f.first = z.first)").select("key", "f"), "firsts")
     # The texts are dealt by rk once and meet the wanted chunks and the listed ones there: both joins
-    # name the whole row and are merge joins at any size, so that Spark reuses the one exchange.
-    rows = carried(docs, rk=key)
+    # name the whole row and are merge joins at any size, so that Spark reuses the one exchange. A null
+    # text has an empty key, equal to none: a key that may be null is filtered before the inner join only.
+    rows = carried(docs, rk=F.coalesce(key, F.lit(b"")))
 
     # Of each first chunk its lines with those around it. One row of each key, so that repeated rows
     # are not joined with each other.
