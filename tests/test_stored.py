@@ -59,3 +59,62 @@ def test_row_tests_are_measured_while_storing(spark, tmpdir_path, day):
 
 def test_snapshot_columns_in_order():
     assert [c.upper() for c in M.SNAPSHOT_COLUMNS] == GOLD["daily_market_snapshot"].split(",")
+
+
+def test_bronze_is_written_without_a_shuffle_and_scans_are_bounded(spark, tmpdir_path):
+    """Records go to Bronze from the tasks that shaped them; scans are cut into at most the bound, smaller ones stay."""
+    from tidemark.plans import pipeline as P
+    key, own = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for given, want in (("128m", str(P.SCAN_BYTES)), ("1gb", str(P.SCAN_BYTES)), ("134217728b", str(P.SCAN_BYTES)), ("1m", "1m"), ("4096", "4096")):
+        spark.conf.set(key, given)
+        P._bound_scans(spark)
+        assert spark.conf.get(key) == want
+    spark.conf.set(key, own)
+    written = []
+    spark.range(5).selectExpr("id", "'f' as _file_name").write.parquet(f"{tmpdir_path}/t")
+    table = spark.read.parquet(f"{tmpdir_path}/t")
+    original, tag, shared = P.standin_bronze, P._input_tag, P.shared_dir
+    try:
+        P.standin_bronze = lambda s, d: {n: table for n in P.BRONZE_TABLES}
+        P._input_tag, P.shared_dir = (lambda s, d: "x"), (lambda s: tmpdir_path)
+        table.repartition, table_repartition = lambda *a: written.append(a), table.repartition
+        got = P.persisted_bronze(spark, "d")["raw_stock_prices"]()
+        assert got.count() == 5 and not written
+    finally:
+        P.standin_bronze, P._input_tag, P.shared_dir = original, tag, shared
+        table.repartition = table_repartition
+        spark.conf.set(key, own)
+
+
+def test_sector_constituents_without_distinct_keys(spark):
+    """Repeated rows, seeds and days without a date count once; the plan holds no (sector, day, ticker) keys."""
+    from pyspark.sql import functions as F
+
+    from tidemark.plans import medallion as M
+    t = spark.sql("""select * from values ('A', date'2024-01-02', 0.1d, 10.0d), ('A', date'2024-01-02', 0.3d, 12.0d), ('B', date'2024-01-02', null, 5.0d),
+        ('A', null, 0.2d, 1.0d), ('C', date'2024-01-02', 0.5d, 9.0d), (null, date'2024-01-02', 0.5d, 9.0d)
+        as t(ticker, price_date, daily_return, close_price)""")
+    seeds = spark.sql("select * from values ('A'), ('A'), ('B'), ('C'), (null) as s(ticker)")
+    dim = spark.sql("select * from values ('A', 'X'), ('A', 'X'), ('A', 'Y'), ('B', 'X'), ('C', null) as d(ticker, gics_sector)")
+    got = M.sector_performance(t, seeds, dim)
+    want = (t.join(seeds, "ticker").join(dim, "ticker").filter("gics_sector is not null").groupBy("gics_sector", "price_date")
+            .agg(F.count_distinct("ticker").alias("num_constituents"), F.avg("daily_return").alias("avg_daily_return"),
+                 F.sum("close_price").alias("total_close_price")))
+    key = lambda f: sorted(((r[0], str(r[1]), r[2], round(r[3], 9), r[4]) for r in f.collect()), key=str)
+    assert key(got) == key(want) and got.schema["num_constituents"] == want.schema["num_constituents"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "distinct" not in plan.lower() and not [line for line in plan.split("\n") if "Aggregate" in line and "ticker" in line]
+
+
+def test_macro_context_reads_its_days_once(spark):
+    """The trading days' plan runs once, not for the spine and the result each."""
+    import datetime as dt
+
+    from tidemark.plans import extras as X
+    macro = spark.sql("select 'DFF' as series_id, date'2024-01-02' as observation_date, 1.5d as value")
+    days = spark.sql("select * from values (date'2024-01-02'), (date'2024-01-02'), (date'2024-01-03'), (null) as t(price_date)") \
+        .selectExpr("price_date", "uuid() as own")
+    got = X.macro_context(macro, days, {"DFF": "rate"})
+    assert sorted(((r[0], r[1]) for r in got.collect()), key=str) == sorted(
+        [(dt.date(2024, 1, 2), 1.5), (dt.date(2024, 1, 3), None), (None, None)], key=str)
+    assert sum("trading-days" in f for f in got.inputFiles()) >= 1

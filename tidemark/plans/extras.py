@@ -10,6 +10,7 @@ from tidemark.operators.asof import carry_forward
 from tidemark.operators.relational import pivot_long
 from tidemark.operators.rolling import corr_all_pairs, corr_pairs, rolling_corr_pairs, unpivot_series
 from tidemark.operators.windows import forward_fill_global, global_frames, lag_k, top_k_per_group, zscore
+from tidemark.session import scratch_path
 
 
 def rolling_correlation(snapshot: DataFrame, asset: str = "sp500_return", macro: str = "vix",
@@ -75,8 +76,14 @@ def macro_calendar(stg_macro: DataFrame, days: DataFrame | None = None, max_age_
 
 
 def macro_context(stg_macro: DataFrame, trading_days: DataFrame, series, max_age_days: int | None = None) -> DataFrame:
-    """One row per trading day (``trading_days.price_date``), one carried column per series."""
-    days = trading_days.select(F.col("price_date").alias("date_day")).distinct()
+    """One row per trading day (``trading_days.price_date``), one carried column per series.
+
+    The days are stored first: the plan reads them twice, and their own may be that of all prices.
+    """
+    spark = trading_days.sparkSession
+    path = scratch_path(spark, "trading-days")
+    trading_days.select(F.col("price_date").alias("date_day")).distinct().write.parquet(path)
+    days = spark.read.parquet(path)
     carried = macro_calendar(stg_macro, days, max_age_days)
     wide = pivot_long(carried, F.col("date_day").alias("price_date"), "series_id", "value", series)
     return days.select(F.col("date_day").alias("price_date")).join(wide, "price_date", "left")
