@@ -64,3 +64,19 @@ def test_hot_series_is_many_window_groups(prices):
     assert specs and all("_bkt" in s or "_bucket" in s for s in specs)
     dealt = sliding_technicals(prices, bucket_rows=200)
     assert dealt.filter("ticker = 'HOT'").count() == 1500
+
+
+def test_positions_share_the_exchange_of_their_join(spark):
+    """Rows are dealt once for numbering and offsets; NULL series and days have positions too."""
+    from tidemark.operators.sliding import series_positions
+    rows = [(t, None if n == 0 else f"{2000 + n // 3}-01-0{n % 3 + 1}", n) for t in ("a", "b", None) for n in range(9)]
+    df = spark.createDataFrame(rows, "t string, d string, n int").selectExpr("t", "to_date(d) as d", "n")
+    own = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = series_positions(df, "t", "d")
+        assert all(r["n"] == r["_pos"] for r in found.collect()) and found.columns == ["t", "d", "n", "_pos"]
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+        assert sum(" Exchange hashpartitioning" in line for line in plan.split("\n")) == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)

@@ -21,13 +21,6 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _same(left: Sequence[str], right: Sequence[str]) -> Column:
-    match = F.lit(True)
-    for a, b in zip(left, right, strict=True):
-        match = match & F.col(a).eqNullSafe(F.col(b))
-    return match
-
-
 def series_positions(df: DataFrame, by, order: str, bucket: Column | None = None, index: str = "_pos") -> DataFrame:
     """Dense 0-based position of each row in its series by ``order`` (unique in a series; NULL first).
 
@@ -36,14 +29,16 @@ def series_positions(df: DataFrame, by, order: str, bucket: Column | None = None
     (numbering and sizes): give a stored table where its own plan is expensive.
     """
     by = _cols(by)
-    b = df.withColumn("_bucket", bucket if bucket is not None else F.year(F.col(order)))
-    own = b.withColumn("_local", F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(F.col(order).asc_nulls_first())) - 1)
-    names = [f"_o{i}" for i in range(len(by) + 1)]
-    before = Window.partitionBy(*by).orderBy(F.col("_bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = b.groupBy(*by, "_bucket").agg(F.count("*").alias("_n")).select(
-        *[F.col(c).alias(n) for c, n in zip([*by, "_bucket"], names, strict=True)], F.sum("_n").over(before).alias("_offset"))
-    out = own.join(offsets, _same([*by, "_bucket"], names), "left")
-    return out.select(*df.columns, (F.coalesce("_offset", F.lit(0)) + F.col("_local")).alias(index))
+    # Series and bucket are one struct, equal also where they are NULL: numbering and join share its exchange.
+    key = F.struct(*by, (bucket if bucket is not None else F.year(F.col(order))).alias("_bucket"))
+    b = df.select(key.alias("_bucket_key"), *[c for c in df.columns if c not in by])
+    own = b.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket_key").orderBy(F.col(order).asc_nulls_first())) - 1)
+    before = Window.partitionBy(*[F.col("_of")[c] for c in by]).orderBy(F.col("_of")["_bucket"].asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = b.groupBy(F.col("_bucket_key").alias("_of")).agg(F.count("*").alias("_n")).select("_of", F.sum("_n").over(before).alias("_offset"))
+    out = own.join(offsets, F.col("_bucket_key") == F.col("_of"), "left")
+    return out.select(*[F.col("_bucket_key")[c].alias(c) if c in by else F.col(c) for c in df.columns],
+                      (F.coalesce("_offset", F.lit(0)) + F.col("_local")).alias(index))
 
 
 def with_halo(df: DataFrame, position: str, width: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
