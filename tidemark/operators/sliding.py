@@ -33,9 +33,9 @@ def series_positions(df: DataFrame, by, order: str, bucket: Column | None = None
     key = F.struct(*by, (bucket if bucket is not None else F.year(F.col(order))).alias("_bucket"))
     b = df.select(key.alias("_bucket_key"), *[c for c in df.columns if c not in by])
     own = b.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket_key").orderBy(F.col(order).asc_nulls_first())) - 1)
-    before = Window.partitionBy(*[F.col("_of")[c] for c in by]).orderBy(F.col("_of")["_bucket"].asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = b.groupBy(F.col("_bucket_key").alias("_of")).agg(F.count("*").alias("_n")).select("_of", F.sum("_n").over(before).alias("_offset"))
+    before = Window.partitionBy(*by).orderBy(F.col("_bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = b.groupBy(F.col("_bucket_key").alias("_of")).agg(F.count("*").alias("_n")).select("_of", "_n", "_of.*").select(
+        "_of", F.sum("_n").over(before).alias("_offset"))
     out = own.join(offsets, F.col("_bucket_key") == F.col("_of"), "left")
     return out.select(*[F.col("_bucket_key")[c].alias(c) if c in by else F.col(c) for c in df.columns],
                       (F.coalesce("_offset", F.lit(0)) + F.col("_local")).alias(index))
