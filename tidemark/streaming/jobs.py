@@ -18,7 +18,7 @@ from tidemark.sources.landing import BRONZE_COLUMNS, LINES_PREFIX, load_time
 
 
 #: Names of landing files that Spark did not write (all but ``part-*.json``), as a glob.
-OTHER_FILES = "{[!p],p[!a],pa[!r],par[!t],part[!-]}*.json"
+OTHER_FILES = "{[!p]*,p,p[!a]*,pa,pa[!r]*,par,par[!t]*,part,part[!-]*}.json"
 
 
 def landing_stream(spark: SparkSession, path: str, source: str, fail_fast: bool = True) -> DataFrame:
