@@ -118,3 +118,29 @@ def test_macro_context_reads_its_days_once(spark):
     assert sorted(((r[0], r[1]) for r in got.collect()), key=str) == sorted(
         [(dt.date(2024, 1, 2), 1.5), (dt.date(2024, 1, 3), None), (None, None)], key=str)
     assert sum("trading-days" in f for f in got.inputFiles()) >= 1
+
+
+def test_bronze_files_hold_a_bounded_number_of_records(spark, tmpdir_path):
+    """A row group is one task's; a large one of the input must not become a large one of Bronze."""
+    from tidemark.plans import pipeline as P
+    table = spark.range(0, 1000, 1, 1).selectExpr("id", "'f' as _file_name")
+    original, tag, shared, most = P.standin_bronze, P._input_tag, P.shared_dir, getattr(P, "FILE_RECORDS", 0)
+    key, own = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        P.standin_bronze = lambda s, d: {n: table for n in P.BRONZE_TABLES}
+        P._input_tag, P.shared_dir, P.FILE_RECORDS = (lambda s, d: "y"), (lambda s: tmpdir_path), 300
+        got = P.persisted_bronze(spark, "d")["raw_stock_fundamentals"]()
+        assert got.count() == 1000 and max(n for n, in got.groupBy("_metadata.file_path").count().select("count").collect()) == 300
+    finally:
+        P.standin_bronze, P._input_tag, P.shared_dir, P.FILE_RECORDS = original, tag, shared, most
+        spark.conf.set(key, own)
+
+
+def test_stored_columns_are_the_named_ones(spark):
+    """A consumer of some columns stores these alone; other consumers still see the whole table."""
+    from tidemark.plans.pipeline import Medallion
+    m = Medallion({}, {})
+    m._memo["stg_daily_prices"] = spark.sql("select 'A' as ticker, date'2024-01-02' as price_date, 1.5d as close_price, 7 as volume")
+    got = m.stored_columns("stg_daily_prices", "ticker", "close_price")
+    assert got.columns == ["ticker", "close_price"] and [tuple(r) for r in got.collect()] == [("A", 1.5)]
+    assert len(got.inputFiles()) >= 1 and "volume" in m.ref("stg_daily_prices").columns

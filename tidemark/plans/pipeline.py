@@ -26,6 +26,10 @@ from tidemark.storage import complete, listing
 #: times that in memory, where the staging sorts them before the shuffle.
 SCAN_BYTES = 16 << 20
 
+#: Records of a stored Bronze file at most. A row group is read by one task, however large the input's were,
+#: and the staging sorts what a task reads.
+FILE_RECORDS = 1 << 19
+
 BRONZE_TABLES = ["raw_stock_prices", "raw_stock_fundamentals", "raw_fred_series",
                  "raw_crypto_prices", "raw_fear_greed"]
 
@@ -100,6 +104,15 @@ class Medallion:
         df = self.ref(name)
         return df if name in self._kept else self.materialise(df.sparkSession, name)
 
+    def stored_columns(self, name: str, *columns: str) -> DataFrame:
+        """Some columns of ``name`` as a stored table; later refs of ``name`` are not served from it."""
+        df = self.ref(name).select(*columns)
+        if name in self._kept:
+            return df
+        path = scratch_path(df.sparkSession, name)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
     def names(self) -> list[str]:
         return list(self._builders)
 
@@ -184,7 +197,8 @@ def persisted_bronze(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[],
 
     Bronze is a stored, append-only layer: later jobs read it back (VARIANT
     columns are shredded on write, so field extraction becomes a column
-    read). Each task writes what it shaped, without a shuffle of all records.
+    read). Each task writes what it shaped, without a shuffle of all records,
+    in files of ``FILE_RECORDS`` at most.
     A table whose write did not complete is rebuilt. Returns lazy
     factories so a query only touches the tables it uses. Scans of this
     session are cut into ``SCAN_BYTES`` or less, which changes no result.
@@ -195,7 +209,8 @@ def persisted_bronze(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[],
     def load(name: str) -> DataFrame:
         path = f"{root}/{name}"
         if not complete(spark, path):
-            standin_bronze(spark, sf_dir)[name].write.mode("overwrite").parquet(path)
+            standin_bronze(spark, sf_dir)[name].write.mode("overwrite").option("compression", "zstd") \
+                .option("maxRecordsPerFile", FILE_RECORDS).parquet(path)
         return spark.read.parquet(path)
 
     return {name: (lambda n=name: load(n)) for name in BRONZE_TABLES}
