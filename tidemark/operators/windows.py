@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.indicators import bollinger, moving_average, rsi, series_window
 from tidemark.functions.scalar import safe_divide
+from tidemark.operators.frames import frame_technicals
 
 
 def _cols(x) -> list:
@@ -85,8 +86,13 @@ def with_technicals(df: DataFrame, value: str = "close_price", by="ticker",
     All columns use the same (by, order) spec: one shuffle, one sort.
     ``ma_method="frame"`` computes each moving average as ``avg`` over its
     row frame (bit-identical to a SQL engine's frame average);
-    ``"prefix"`` uses exact running sums, O(1) per row, for very long windows.
+    ``"prefix"`` uses exact running sums, O(1) per row, for very long windows;
+    ``"arrow"`` computes all columns from Arrow batches of the sorted series, with
+    the same bits as ``"frame"`` in far less time, for consumers of all columns
+    (filters and unused columns do not pass it; ``value`` is a double).
     """
+    if ma_method == "arrow":
+        return frame_technicals(df, value, _cols(by), _cols(order), ma_windows, rsi_periods, bb_window, bb_std)
     out = with_returns(df, value, by, order, prev="_prev", change="daily_change",
                        ret="daily_return").drop("_prev")
     if ma_method == "prefix":

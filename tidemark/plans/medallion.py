@@ -91,9 +91,9 @@ TECHNICAL_COLUMNS = ["ticker", "price_date", "open_price", "high_price", "low_pr
                      "ma_20", "ma_50", "ma_200", "rsi_14", "bb_middle", "bb_upper", "bb_lower"]
 
 
-def prices_with_technicals(stg_prices: DataFrame) -> DataFrame:
+def prices_with_technicals(stg_prices: DataFrame, ma_method: str = "frame") -> DataFrame:
     """Per (ticker, day): change, return, MA 20/50/200, RSI 14, Bollinger 20/2."""
-    return with_technicals(stg_prices, "close_price", "ticker", "price_date").select(
+    return with_technicals(stg_prices, "close_price", "ticker", "price_date", ma_method=ma_method).select(
         *TECHNICAL_COLUMNS)
 
 

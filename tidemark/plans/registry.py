@@ -144,8 +144,9 @@ TECH_COARSE = PRICE_COLS + ("daily_change", "ma_20", "ma_50", "ma_200", "bb_midd
 @register("prices_with_technicals", O.cte("technicals") + "SELECT * FROM technicals",
           dbl=("daily_return", "rsi_14"), coarse=TECH_COARSE, ints=("volume",))
 def q_technicals(spark, d):
-    """M6: per-ticker lag/return, MA 20/50/200, RSI 14, Bollinger 20/2 in one window pass."""
-    return _m(spark, d).ref("prices_with_technicals")
+    """M6: per-ticker lag/return, MA 20/50/200, RSI 14, Bollinger 20/2 in one pass over sorted series."""
+    stg = _m(spark, d).ref("stg_daily_prices")
+    return M.prices_with_technicals(stg.drop("loaded_at"), "arrow")
 
 
 @register("pivot_long_wide", O.cte("macro_wide") + "SELECT * FROM macro_wide",
@@ -239,7 +240,9 @@ def q_sector_performance(spark, d):
           dbl=("daily_return", "rsi_14"), coarse=("close", "ma_20", "ma_50", "ma_200"))
 def q_asset_prices(spark, d):
     """Asset prices, stocks with their technicals and coins without."""
-    return _m(spark, d).ref("asset_prices")
+    m = _m(spark, d)
+    closes = m.ref("stg_daily_prices").select("ticker", "price_date", "close_price")
+    return M.asset_prices(W.with_technicals(closes, ma_method="arrow"), m.ref("crypto_with_dominance"))
 
 
 @register("conditional_left_join", """

@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _iso(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+    return F.to_date(c).cast("string")
 
 
 # Stand-in naming: index tickers and which lineitem flag each one tracks.
