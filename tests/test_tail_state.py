@@ -81,3 +81,22 @@ def test_updates_are_read_once_and_old_versions_go(spark, tmpdir_path):
     time.sleep(1.1)
     assert INC.vacuum(spark, root, min_age_hours=0.0003) == ["000000-full", "000001-merge", "000002-merge"]
     assert INC.read_current(spark, root).count() == 70
+
+
+def test_runs_over_a_stored_table_store_no_input_again(spark, tmpdir_path):
+    """Frames in Arrow batches over a stored table: the rows of a rebuild, and no second copy of the input."""
+    from functools import partial
+
+    from tidemark.operators.windows import with_technicals
+    compute = partial(with_technicals, ma_method="arrow")
+    path, held, own = f"{tmpdir_path}/prices", [], TS.scratch_path
+    _prices(spark).select("ticker", "price_date", "close_price").write.parquet(path)
+    prices = spark.read.parquet(path)
+    try:
+        TS.scratch_path = lambda s, name: held.append(name) or own(s, name)
+        for until in (90, 320, 800):
+            out = TS.append_technicals(prices.filter(F.col("price_date") <= F.lit(day(until))), f"{tmpdir_path}/t",
+                                       compute=compute, stored=True)
+    finally:
+        TS.scratch_path = own
+    assert not held and _rows(out) == _rows(with_technicals(prices))

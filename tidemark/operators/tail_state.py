@@ -43,11 +43,13 @@ def new_rows(prices: DataFrame, tails: DataFrame | None, order: str) -> DataFram
 
 
 def append_technicals(prices: DataFrame, root: str, value: str = "close_price", by: str = "ticker", order: str = "price_date",
-                      keep: int = KEEP, compute: Callable[..., DataFrame] = sliding_technicals) -> DataFrame:
+                      keep: int = KEEP, compute: Callable[..., DataFrame] = sliding_technicals,
+                      stored: bool = False) -> DataFrame:
     """Technicals of the rows of ``prices`` that are newer than the last run's; returns all rows so far.
 
     ``compute`` takes (rows, value, by, order) and needs no more than ``keep`` rows before a row.
-    Runs without new rows write empty ones. Equal to ``compute`` over all rows at once, for rows
+    Rows are stored before they are read twice, unless ``stored`` says that ``prices`` is a stored
+    table. Runs without new rows write empty ones. Equal to ``compute`` over all rows at once, for rows
     that come in the order of their days.
     """
     spark = prices.sparkSession
@@ -57,13 +59,16 @@ def append_technicals(prices: DataFrame, root: str, value: str = "close_price",
     rows = new_rows(prices, tails, order).withColumn("_new", F.lit(True))
     if tails is not None:
         rows = rows.unionByName(tails.withColumn("_new", F.lit(False)), allowMissingColumns=True)
-    held = scratch_path(spark, "technicals-input")
-    rows.write.parquet(held)
-    rows = spark.read.schema(rows.schema).parquet(held)
-    compute(rows, value, by, order).filter("_new").drop("_new").write.mode("overwrite").parquet(f"{root}/rows/run={k}")
+    held = None if stored else scratch_path(spark, "technicals-input")
+    if held:
+        rows.write.parquet(held)
+        rows = spark.read.schema(rows.schema).parquet(held)
+    compute(rows, value, by, order).filter("_new").drop("_new").write.mode("overwrite") \
+        .option("compression", "zstd").parquet(f"{root}/rows/run={k}")
     top_k_per_group(rows.select(by, order, value), by, [F.col(order).desc_nulls_last()], keep, "_rank").drop("_rank") \
         .write.mode("overwrite").parquet(f"{root}/tails/run={k}")
-    remove(spark, held)
+    if held:
+        remove(spark, held)
     for old in runs[:-1]:  # the newest before this one stays for who may be reading it
         remove(spark, f"{root}/tails/run={old}")
     return read_rows(spark, root)

@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1297,9 +1298,10 @@ def q_incremental_snapshot(spark, d):
     """The snapshot merged by three runs over technicals that are kept incrementally: each reads the
     technicals after its high-water mark only, no window sees the history."""
     m, root = _m(spark, d), scratch_path(spark, "snapshot-runs")
-    stg, crypto = m.stored("stg_daily_prices"), m.stored("crypto_with_dominance")
+    stg, crypto = m.stored_columns("stg_daily_prices", "ticker", "price_date", "close_price"), m.stored("crypto_with_dominance")
     for prices in _runs_of_prices(stg):
-        technicals = TS.append_technicals(prices.select("ticker", "price_date", "close_price"), f"{root}-technicals")
+        technicals = TS.append_technicals(prices, f"{root}-technicals", stored=True,
+                                          compute=partial(W.with_technicals, ma_method="arrow"))
         out = INC.merge_into(spark, root, lambda after, t=technicals: M.daily_market_snapshot(
             t, m.seeds["tickers"], crypto, m.ref("stg_fear_greed"), m.ref("macro_pivot"), None, m.index_tickers,
             m.btc_id, after=after), "snapshot_date")
