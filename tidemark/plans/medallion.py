@@ -8,9 +8,9 @@ Gold tables are ordinary window / aggregate / join plans.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.indicators import series_window
@@ -29,18 +29,29 @@ def extract(raw: str, path: str, type_: str, strict: bool = True) -> Column:
     return fn(F.col(raw), f"$.{path}", type_)
 
 
-def _stage(bronze: DataFrame, fields: list[tuple[str, str, str]], keys: list[str],
-           strict: bool) -> DataFrame:
-    """Flatten ``(json_path, type, name)`` fields and keep the latest load per key.
+def _loads(bronze: DataFrame, fields: list[tuple[str, str, str]], keys: list[str], strict: bool,
+           columns: Sequence[str] | None = None) -> tuple[DataFrame, list[Column]]:
+    """Flattened ``(json_path, type, name)`` fields of every load, and the order in which the latest comes first.
 
     Ties on the load time are broken by file name and then by the extracted
-    values, all descending, so the result does not depend on task order.
+    values, all descending, so the result does not depend on task order. With
+    ``columns`` the values end at the last one named: rows that are alike up to
+    there do not differ in these columns, and no others need to be shuffled.
     """
-    cols = [extract("raw_data", p, t, strict).alias(n) for p, t, n in fields]
+    values = [n for _, _, n in fields if n not in keys]
+    if columns is not None:
+        values = values[:max((i + 1 for i, n in enumerate(values) if n in columns), default=0)]
+    cols = [extract("raw_data", p, t, strict).alias(n) for p, t, n in fields if n in keys or n in values]
     flat = bronze.select(*cols, F.col("_loaded_at").alias("loaded_at"), F.col("_file_name"))
-    order = [F.col("loaded_at").desc_nulls_first(), F.col("_file_name").desc_nulls_first()]
-    order += [F.col(n).desc_nulls_first() for _, _, n in fields if n not in keys]
-    return dedup_latest(flat, keys, order).drop("_file_name")
+    return flat, [F.col(n).desc_nulls_first() for n in ("loaded_at", "_file_name", *values)]
+
+
+def _stage(bronze: DataFrame, fields: list[tuple[str, str, str]], keys: list[str],
+           strict: bool, columns: Sequence[str] | None = None) -> DataFrame:
+    """The latest load of every key, whole or in the given ``columns``."""
+    flat, order = _loads(bronze, fields, keys, strict, columns)
+    latest = dedup_latest(flat, keys, order)
+    return latest.drop("_file_name") if columns is None else latest.select(*columns)
 
 
 # Bronze field maps: (json path, type, output column).
@@ -64,12 +75,24 @@ FEAR_GREED_FIELDS = [("date", "date", "reading_date"), ("value", NUMBER, "fng_va
                      ("classification", "string", "classification")]
 
 
-def stg_daily_prices(bronze: DataFrame, strict: bool = True) -> DataFrame:
-    return _stage(bronze, PRICE_FIELDS, ["ticker", "price_date"], strict)
+def stg_daily_prices(bronze: DataFrame, strict: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
+    return _stage(bronze, PRICE_FIELDS, ["ticker", "price_date"], strict, columns)
 
 
-def stg_fundamentals(bronze: DataFrame, strict: bool = True) -> DataFrame:
-    return _stage(bronze, FUNDAMENTAL_FIELDS, ["ticker", "snapshot_date"], strict)
+def stg_fundamentals(bronze: DataFrame, strict: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
+    return _stage(bronze, FUNDAMENTAL_FIELDS, ["ticker", "snapshot_date"], strict, columns)
+
+
+def newest_fundamentals(bronze: DataFrame, strict: bool = True) -> DataFrame:
+    """The rows of ``stg_fundamentals`` of each ticker's newest day (a NULL one is).
+
+    Loads of other days are dropped by the tasks that read them, before any exchange.
+    """
+    keys = ["ticker", "snapshot_date"]
+    flat, order = _loads(bronze, FUNDAMENTAL_FIELDS, keys, strict)
+    newest = Window.partitionBy("ticker").orderBy(F.col("snapshot_date").desc_nulls_first())
+    loads = flat.withColumn("_age", F.rank().over(newest)).filter(F.col("_age") == 1).drop("_age")
+    return dedup_latest(loads, keys, order).drop("_file_name")
 
 
 def stg_macro(bronze: DataFrame, strict: bool = True) -> DataFrame:
@@ -92,9 +115,9 @@ TECHNICAL_COLUMNS = ["ticker", "price_date", "open_price", "high_price", "low_pr
 
 
 def prices_with_technicals(stg_prices: DataFrame, ma_method: str = "frame") -> DataFrame:
-    """Per (ticker, day): change, return, MA 20/50/200, RSI 14, Bollinger 20/2."""
-    return with_technicals(stg_prices, "close_price", "ticker", "price_date", ma_method=ma_method).select(
-        *TECHNICAL_COLUMNS)
+    """Per (ticker, day): change, return, MA 20/50/200, RSI 14, Bollinger 20/2, beside the columns that were staged."""
+    out = with_technicals(stg_prices, "close_price", "ticker", "price_date", ma_method=ma_method)
+    return out.select(*[c for c in TECHNICAL_COLUMNS if c in out.columns])
 
 
 # Macro series ids and their wide column names, in model order.

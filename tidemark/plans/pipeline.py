@@ -9,7 +9,7 @@ folder and re-reads it, cutting the lineage for tables with many consumers.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +59,12 @@ class Medallion:
         self.macro_series = dict(macro_series)
         self._memo: dict[str, DataFrame] = {}
         self._kept: set[str] = set()
+        self._columns: dict[str, Sequence[str]] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
-            "stg_daily_prices": lambda: M.stg_daily_prices(self.bronze["raw_stock_prices"]),
-            "stg_fundamentals": lambda: M.stg_fundamentals(self.bronze["raw_stock_fundamentals"]),
+            "stg_daily_prices": lambda: M.stg_daily_prices(
+                self.bronze["raw_stock_prices"], columns=self._columns.get("stg_daily_prices")),
+            "stg_fundamentals": lambda: M.stg_fundamentals(
+                self.bronze["raw_stock_fundamentals"], columns=self._columns.get("stg_fundamentals")),
             "stg_macro": lambda: M.stg_macro(self.bronze["raw_fred_series"]),
             "stg_crypto": lambda: M.stg_crypto(self.bronze["raw_crypto_prices"]),
             "stg_fear_greed": lambda: M.stg_fear_greed(self.bronze["raw_fear_greed"]),
@@ -71,7 +74,7 @@ class Medallion:
             "crypto_with_dominance": lambda: M.crypto_with_dominance(self.ref("stg_crypto")),
             "asset_daily_returns": lambda: M.asset_daily_returns(
                 self.ref("prices_with_technicals"), self.ref("crypto_with_dominance")),
-            "dim_tickers": lambda: M.dim_tickers(self.seeds["tickers"], self.ref("stg_fundamentals"),
+            "dim_tickers": lambda: M.dim_tickers(self.seeds["tickers"], self._newest_fundamentals(),
                                                  self.seeds["sectors"]),
             "dim_sectors": lambda: M.dim_sectors(self.seeds["sectors"]),
             "daily_market_snapshot": lambda: M.daily_market_snapshot(
@@ -94,6 +97,19 @@ class Medallion:
             self._memo[name] = self._builders[name]()
         return self._memo[name]
 
+    def narrow(self, name: str, *columns: str) -> Medallion:
+        """Stage ``name`` in these columns only, for consumers that read no others."""
+        if name in self._memo or name not in ("stg_daily_prices", "stg_fundamentals"):
+            raise ValueError(f"{name} is built already or not one of the tables that can be narrowed")
+        self._columns[name] = columns
+        return self
+
+    def _newest_fundamentals(self) -> DataFrame:
+        """What ``dim_tickers`` reads of the staged fundamentals: all of a stored table, else the newest days."""
+        if "stg_fundamentals" in self._kept:
+            return self.ref("stg_fundamentals")
+        return M.newest_fundamentals(self.bronze["raw_stock_fundamentals"])
+
     def keep(self, name: str, stored: DataFrame) -> None:
         """Serve later refs of ``name`` from a stored table."""
         self._memo[name] = stored
@@ -128,7 +144,7 @@ class Medallion:
     def materialise(self, spark: SparkSession, name: str) -> DataFrame:
         """Write ``name`` under the shared folder and serve later refs from it."""
         path = scratch_path(spark, name)
-        self.ref(name).write.parquet(path)
+        self.ref(name).write.option("compression", "zstd").parquet(path)
         self.keep(name, spark.read.parquet(path))
         return self._memo[name]
 

@@ -94,6 +94,8 @@ def _m(spark, sf_dir):
     return standin_medallion(spark, sf_dir)
 
 
+#: What returns and day totals are made of.
+_CLOSES = ("ticker", "price_date", "close_price")
 PRICE_COLS = ("open_price", "high_price", "low_price", "close_price", "adj_close_price")
 
 # ------------------------------------------------------------------ staging (M1-M5)
@@ -1118,7 +1120,7 @@ FROM sector_perf s LEFT JOIN snapshot n ON s.price_date = n.snapshot_date""",
           dbl=("avg_daily_return", "sp500_return", "relative_return"))
 def q_sector_vs_index(spark, d):
     """Sector return relative to the index on the same day."""
-    m = _m(spark, d)
+    m = _m(spark, d).narrow("stg_daily_prices", *_CLOSES)
     m.stored("stg_daily_prices")  # the technicals of both sides come from it
     return X.sector_vs_index(m.ref("sector_performance"), m.ref("daily_market_snapshot"))
 
