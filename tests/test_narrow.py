@@ -72,3 +72,14 @@ def test_newest_fundamentals_drop_older_days_before_the_exchange(spark):
         "sectors": spark.createDataFrame([("s", "g", "")], "yahoo_sector string, gics_sector string, description string")})
     got = m.ref("dim_tickers")
     assert _rows(got) == _rows(M.dim_tickers(m.seeds["tickers"], M.stg_fundamentals(dated), m.seeds["sectors"]))
+
+
+def test_overlay_stages_closes_alone(spark, monkeypatch):
+    """``macro_overlay_carried`` and ``sector_vs_index`` store no price column that they do not read."""
+    from tidemark.plans import registry as R
+    from tidemark.plans.pipeline import standin_medallion
+    for name in ("macro_overlay_carried", "sector_vs_index"):
+        made = []
+        monkeypatch.setattr(R, "_m", lambda s, d: made.append(standin_medallion(s, d)) or made[-1])
+        R.REGISTRY[name].build(spark, "/root/testdata/sf0.001")
+        assert made[0].ref("stg_daily_prices").columns == ["ticker", "price_date", "close_price"]
