@@ -98,3 +98,24 @@ def test_all_pairs_in_blocks_equal_pairs_by_day(spark, monkeypatch):
         else:
             assert abs(got[k][1] - c) < 1e-9, k
     assert rolling.corr_all_pairs(long.limit(0), "day", "name", "v").count() == 0
+
+
+def test_a_series_goes_to_few_blocks(spark, monkeypatch):
+    """Many series are dealt into 8 blocks, however few of them are summed at once; pairs are those by day."""
+    from tidemark.operators import rolling
+    from tidemark.operators.rolling import corr_pairs
+    n = 1100
+    long = spark.range(n * 12).select(F.concat(F.lit("s"), (F.col("id") % n).cast("string")).alias("name"),
+                                      F.date_add(F.lit(day(0)), (F.col("id") / n).cast("int")).alias("day"),
+                                      F.when(F.col("id") % 13 > 0, F.rand(3)).alias("v")).repartition(4).cache()
+    dealt, own = [], type(long).repartitionById
+    monkeypatch.setattr(rolling, "BLOCK_SERIES", 50)
+    monkeypatch.setattr(type(long), "repartitionById", lambda df, k, c: dealt.append((df, k)) or own(df, k, c))
+    got = rolling.corr_all_pairs(long, "day", "name", "v", 10)
+    (rows, tiles), = dealt
+    assert tiles == 36 and rows.count() == 8 * n
+    want = corr_pairs(long, "day", "name", "v", min_obs=10).filter("n_obs >= 10")
+    both = got.withColumnRenamed("correlation", "c").join(want.withColumnRenamed("n_obs", "n"), ["left", "right"], "full")
+    bad = both.filter("not coalesce(n = n_obs and abs(c - correlation) < 1e-9, false)")
+    assert bad.count() == 0 and got.count() > 100_000
+    long.unpersist()

@@ -16,8 +16,8 @@ from tidemark.operators.sliding import with_halo
 from tidemark.operators.windows import global_row_index
 
 BUCKET_ROWS = 1024
-#: Rows and series of one block of ``corr_all_pairs``.
-BLOCK_ROWS, BLOCK_SERIES = 500_000, 1024
+#: Rows of one block of ``corr_all_pairs`` (12 bytes each, two blocks a task), and series of it whose sums are made at once.
+BLOCK_ROWS, BLOCK_SERIES = 4_000_000, 1024
 
 
 def unpivot_series(df: DataFrame, day: str, series: dict[str, str], name: str = "series", value: str = "value") -> DataFrame:
@@ -57,14 +57,15 @@ def corr_all_pairs(long: DataFrame, day: str, name: str, value: str, min_obs: in
     without a row per pair and day: ``day`` is a date.
 
     Series are dealt into blocks by a hash, and every two blocks meet in one task, where the sums of
-    all their pairs are products of matrices (series by days). So a series is shuffled once per block,
-    and a task holds two blocks and the sums of their pairs. Values are taken about their series' mean;
-    a pair one of whose sides nearly stands still is computed again from its own values.
+    their pairs are products of matrices (series by days). A series is shuffled once per block, so
+    there are no more blocks than memory and 36 tasks ask for. A task holds two blocks and the sums of
+    ``BLOCK_SERIES`` series of either at a time. Values are taken about their series' mean; a pair one
+    of whose sides nearly stands still is computed again from its own values.
     """
     rows = long.filter(F.col(day).isNotNull() & F.col(name).isNotNull() & F.col(value).isNotNull()).select(
         F.col(name).alias("name"), F.unix_date(F.col(day)).alias("d"), F.col(value).cast("double").alias("x"))
     size = rows.groupBy("name").agg(F.count("*").alias("n")).agg(F.count("*").alias("series"), F.sum("n").alias("n")).first()
-    blocks = max(-(-(size["n"] or 0) // BLOCK_ROWS), -(-size["series"] // BLOCK_SERIES), min(8, -(-size["series"] // 128)), 1)
+    blocks = max(-(-(size["n"] or 0) // BLOCK_ROWS), min(8, -(-size["series"] // 128)), 1)
     packed = rows.groupBy("name").agg(F.collect_list(F.struct("d", "x")).alias("s")).select(
         "name", F.pmod(F.xxhash64("name"), F.lit(blocks)).cast("int").alias("block"), F.col("s.d").alias("d"), F.col("s.x").alias("x"))
     dealt = packed.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")).select(
@@ -72,11 +73,11 @@ def corr_all_pairs(long: DataFrame, day: str, name: str, value: str, min_obs: in
     tile = F.col("lo") * blocks - F.expr("lo * (lo - 1) div 2").cast("int") + F.col("hi") - F.col("lo")
     tiles = dealt.repartitionById(blocks * (blocks + 1) // 2, tile)
     kind = rows.schema["name"].dataType.simpleString()
-    out = tiles.mapInArrow(_tile_correlations(min_obs), f"a {kind}, b {kind}, correlation double, n_obs bigint")
+    out = tiles.mapInArrow(_tile_correlations(min_obs, BLOCK_SERIES), f"a {kind}, b {kind}, correlation double, n_obs bigint")
     return out.select(F.least("a", "b").alias(left_name), F.greatest("a", "b").alias(right_name), "correlation", "n_obs")
 
 
-def _tile_correlations(min_obs: int, day_columns: int = 512, pairs_at_once: int = 1 << 16):
+def _tile_correlations(min_obs: int, series_at_once: int, day_columns: int = 512, pairs_at_once: int = 1 << 16):
     """The function of one task of ``corr_all_pairs``: all pairs of the two blocks it was given."""
 
     def correlate(batches):
@@ -108,20 +109,19 @@ def _tile_correlations(min_obs: int, day_columns: int = 512, pairs_at_once: int
             means.append(good.mean() if len(good) else 0.0)
         still = np.array([len(xs) > 0 and bool((xs == xs[0]).all()) for _, xs in series])
         odd = not all(np.isfinite(xs).all() for _, xs in series)
-        days = np.unique(np.concatenate([ds for ds, _ in series]))
 
-        def matrices(rows, since, until):
+        def matrices(rows, days):
             """Per series and day: rows, values, squares and values that are no finite numbers."""
-            cells, xs, width = [], [], until - since
+            cells, xs, width = [], [], len(days)
             for k, i in enumerate(rows):
                 ds, v = series[i]
-                a, b = np.searchsorted(ds, days[since]), np.searchsorted(ds, days[until - 1], side="right")
-                cells.append(np.searchsorted(days[since:until], ds[a:b]) + k * width)
+                a, b = np.searchsorted(ds, days[0]), np.searchsorted(ds, days[-1], side="right")
+                cells.append(np.searchsorted(days, ds[a:b]) + k * width)
                 xs.append(v[a:b] - means[i])
             cells, xs = np.concatenate(cells), np.concatenate(xs)
             fine = np.isfinite(xs)
             xs = np.where(fine, xs, 0.0)
-            return [np.bincount(cells, w, len(rows) * width).reshape(len(rows), width)
+            return [np.bincount(cells, w, len(rows) * width).reshape(len(rows), width).astype(float)
                     for w in (None, xs, xs * xs, *([(~fine).astype(float)] if odd else []))]
 
         def exact(i, j):
@@ -137,41 +137,48 @@ def _tile_correlations(min_obs: int, day_columns: int = 512, pairs_at_once: int
             below = np.sqrt((x * x).mean()) * np.sqrt((y * y).mean())
             return (x * y).mean() / below if below else None
 
-        n, sx, sy, sxy, sxx, syy, bad = (np.zeros((len(lefts), len(rights))) for _ in range(7))
-        for since in range(0, len(days), day_columns):
-            a = matrices(lefts, since, min(since + day_columns, len(days)))
-            b = a if diagonal else matrices(rights, since, min(since + day_columns, len(days)))
-            a[0], b[0] = a[0].astype(float), b[0].astype(float)
-            n += a[0] @ b[0].T
-            sx += a[1] @ b[0].T
-            sy += a[0] @ b[1].T
-            sxy += a[1] @ b[1].T
-            sxx += a[2] @ b[0].T
-            syy += a[0] @ b[2].T
-            if odd:
-                bad += a[3] @ b[0].T + a[0] @ b[3].T
-        step = max(1, pairs_at_once // len(rights))
-        for top in range(0, len(lefts), step):
-            part = slice(top, top + step)
-            wanted = n[part] >= max(min_obs, 1)
-            if diagonal:
-                wanted &= lefts[part][:, None] < rights[None, :]
-            i, j = np.nonzero(wanted)
-            at = i + top
-            count = n[at, j]
-            vx, vy = sxx[at, j] - sx[at, j] ** 2 / count, syy[at, j] - sy[at, j] ** 2 / count
-            with np.errstate(invalid="ignore", divide="ignore"):
-                c = (sxy[at, j] - sx[at, j] * sy[at, j] / count) / (np.sqrt(vx) * np.sqrt(vy))
-            none = still[lefts[at]] | still[rights[j]]
-            unsure = ~none & ~((vx > 1e-4 * sxx[at, j]) & (vy > 1e-4 * syy[at, j]))
-            broken = bad[at, j] > 0
-            for k in np.flatnonzero(unsure & ~broken):
-                found = exact(lefts[at[k]], rights[j[k]])
-                none[k], c[k] = found is None, 0.0 if found is None else found
-            c[broken], none[broken] = np.nan, False
-            yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(lefts[at])).cast(kind), names.take(pa.array(rights[j])).cast(kind),
-                 pa.array(c, mask=none), pa.array(count.astype("int64"))], ["a", "b", "correlation", "n_obs"])
+        def of(lefts, rights, same):
+            """The rows of the pairs of some series with some others, or of every two of the ``same``."""
+            days = np.unique(np.concatenate([series[i][0] for i in {*lefts, *rights}]))
+            n, sx, sy, sxy, sxx, syy, bad = (np.zeros((len(lefts), len(rights))) for _ in range(7))
+            for since in range(0, len(days), day_columns):
+                span = days[since:since + day_columns]
+                a = matrices(lefts, span)
+                b = a if same else matrices(rights, span)
+                n += a[0] @ b[0].T
+                sx += a[1] @ b[0].T
+                sy += a[0] @ b[1].T
+                sxy += a[1] @ b[1].T
+                sxx += a[2] @ b[0].T
+                syy += a[0] @ b[2].T
+                if odd:
+                    bad += a[3] @ b[0].T + a[0] @ b[3].T
+            step = max(1, pairs_at_once // len(rights))
+            for top in range(0, len(lefts), step):
+                part = slice(top, top + step)
+                wanted = n[part] >= max(min_obs, 1)
+                if same:
+                    wanted &= lefts[part][:, None] < rights[None, :]
+                i, j = np.nonzero(wanted)
+                at = i + top
+                count = n[at, j]
+                vx, vy = sxx[at, j] - sx[at, j] ** 2 / count, syy[at, j] - sy[at, j] ** 2 / count
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    c = (sxy[at, j] - sx[at, j] * sy[at, j] / count) / (np.sqrt(vx) * np.sqrt(vy))
+                none = still[lefts[at]] | still[rights[j]]
+                unsure = ~none & ~((vx > 1e-4 * sxx[at, j]) & (vy > 1e-4 * syy[at, j]))
+                broken = bad[at, j] > 0
+                for k in np.flatnonzero(unsure & ~broken):
+                    found = exact(lefts[at[k]], rights[j[k]])
+                    none[k], c[k] = found is None, 0.0 if found is None else found
+                c[broken], none[broken] = np.nan, False
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(lefts[at])).cast(kind), names.take(pa.array(rights[j])).cast(kind),
+                     pa.array(c, mask=none), pa.array(count.astype("int64"))], ["a", "b", "correlation", "n_obs"])
+
+        for i in range(0, len(lefts), series_at_once):
+            for j in range(i if diagonal else 0, len(rights), series_at_once):
+                yield from of(lefts[i:i + series_at_once], rights[j:j + series_at_once], diagonal and i == j)
 
     return correlate
 

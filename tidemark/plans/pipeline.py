@@ -126,7 +126,7 @@ class Medallion:
         if name in self._kept:
             return df
         path = scratch_path(df.sparkSession, name)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def names(self) -> list[str]:

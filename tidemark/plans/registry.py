@@ -1257,7 +1257,9 @@ FROM kept a JOIN kept b ON a.asset_date = b.asset_date AND a.asset_id < b.asset_
 GROUP BY ALL HAVING count(a.daily_return * b.daily_return) >= 30""", dbl=("corr",))
 def q_corr_all_assets(spark, d):
     """Return correlations of every two assets with at least 30 common days, any number of series."""
-    return X.corr_all_assets(_m(spark, d).stored("asset_daily_returns")).withColumnRenamed("correlation", "corr")
+    m = _m(spark, d).narrow("stg_daily_prices", *_CLOSES)
+    returns = m.stored_columns("asset_daily_returns", "asset_id", "asset_date", "daily_return")
+    return X.corr_all_assets(returns).withColumnRenamed("correlation", "corr")
 
 
 _FRAMED = tuple(c for c in TECH_COARSE if c.startswith(("ma_", "bb_")))
