@@ -8,8 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.windows import latest_per_key
+from tidemark.plans import jobs as J
 from tidemark.plans import medallion as M
-from tidemark.plans.pipeline import Medallion
+from tidemark.plans import registry as R
+from tidemark.plans.pipeline import BRONZE_TABLES, Medallion
+from tidemark.sources.seeds import default_seed
 
 
 def _bronze(spark, days=3, tickers=("A", "B", None)):
@@ -74,12 +77,22 @@ def test_newest_fundamentals_drop_older_days_before_the_exchange(spark):
     assert _rows(got) == _rows(M.dim_tickers(m.seeds["tickers"], M.stg_fundamentals(dated), m.seeds["sectors"]))
 
 
-def test_overlay_stages_closes_alone(spark, monkeypatch):
-    """``macro_overlay_carried`` and ``sector_vs_index`` store no price column that they do not read."""
-    from tidemark.plans import registry as R
-    from tidemark.plans.pipeline import standin_medallion
-    for name in ("macro_overlay_carried", "sector_vs_index"):
-        made = []
-        monkeypatch.setattr(R, "_m", lambda s, d: made.append(standin_medallion(s, d)) or made[-1])
-        R.REGISTRY[name].build(spark, "/root/testdata/sf0.001")
-        assert made[0].ref("stg_daily_prices").columns == ["ticker", "price_date", "close_price"]
+def _medallion(spark, bronze):
+    seeds = {"tickers": spark.createDataFrame([("A", "a", "s"), ("B", "b", "s"), ("D", "d", "s")],
+                                              "ticker string, company_name string, sector string"),
+             "sectors": spark.createDataFrame([("s", "g", "")], "yahoo_sector string, gics_sector string, description string"),
+             "series": default_seed(spark, "series")}
+    return Medallion(dict.fromkeys(BRONZE_TABLES, bronze), seeds)
+
+
+@pytest.mark.parametrize("name", ["macro_overlay_carried", "sector_vs_index", "dq_report"])
+def test_queries_stage_closes_alone(spark, monkeypatch, name):
+    """They shuffle and store no price column that they do not read, and their rows are those over the whole tables."""
+    made, bronze = [], _bronze(spark)
+    monkeypatch.setattr(R, "_m", lambda s, d: made.append(_medallion(s, bronze)) or made[-1])
+    found = R.REGISTRY[name].build(spark, "")
+    assert made[0].ref("stg_daily_prices").columns == ["ticker", "price_date", "close_price"]
+    assert "prices_with_technicals" not in made[0]._kept
+    got = _rows(found)
+    monkeypatch.setattr(Medallion, "narrow", lambda m, *a: m)
+    assert got == _rows(R.REGISTRY[name].build(spark, "")) and len(got) == {"dq_report": len(J.TESTS)}.get(name, 4)
