@@ -7,6 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import tail_state as TS
+from tidemark.operators.frames import first_in_task
 from tidemark.operators.windows import latest_per_key
 from tidemark.plans import jobs as J
 from tidemark.plans import medallion as M
@@ -96,3 +98,36 @@ def test_queries_stage_closes_alone(spark, monkeypatch, name):
     got = _rows(found)
     monkeypatch.setattr(Medallion, "narrow", lambda m, *a: m)
     assert got == _rows(R.REGISTRY[name].build(spark, "")) and len(got) == {"dq_report": len(J.TESTS)}.get(name, 4)
+
+
+def test_technicals_of_loads_are_those_of_the_latest(spark, tmpdir_path):
+    """One exchange, by ticker, dedups the loads and computes the frames; runs over them are a rebuild and copy no input."""
+    bronze = _bronze(spark, 40, ("A", "B", "C"))
+    bronze = bronze.filter(F.variant_get("raw_data", "$.date", "string").isNotNull())
+    loads, want = M.price_loads(bronze), M.prices_with_technicals(M.stg_daily_prices(bronze))
+    found = M.technicals_of_loads(loads)
+    assert _rows(found.select(*want.columns)) == _rows(want) and want.count() == 120
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # beside the one of the rows of this test
+    assert plan.count("Exchange") - plan.count("RoundRobin") == 1 and "Exchange hashpartitioning(ticker#" in plan
+    for until in ("2023-12-31", "2024-01-05", "2024-01-31", "2100-01-01"):
+        out = TS.append_technicals(loads.filter(F.col("price_date") <= F.lit(until).cast("date")), f"{tmpdir_path}/t",
+                                   compute=M.technicals_of_loads, stored=True)
+    assert _rows(out.select(*want.columns)) == _rows(want) and "loaded_at" not in out.columns
+
+
+def test_first_in_task_across_batches(spark):
+    rows = spark.range(0, 30_000, 1, 2).select((F.col("id") % 7000).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 2).alias("j"),
+                                               F.col("id").alias("v"))
+    rows = rows.withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    found = first_in_task(rows.coalesce(1), ["k", "j"], [F.col("v").desc()])
+    want = rows.groupBy("k", "j").agg(F.max("v").alias("v"))
+    assert found.columns == ["k", "j", "v"] and _rows(found) == _rows(want)
+    assert first_in_task(rows.limit(0), ["k"], [F.col("v")]).count() == 0
+
+
+def test_incremental_query_stores_no_staged_prices(spark, monkeypatch):
+    made, bronze = [], _bronze(spark, 6)
+    monkeypatch.setattr(R, "_m", lambda s, d: made.append(_medallion(s, bronze)) or made[-1])
+    found = R.REGISTRY["incremental_technicals"].build(spark, "")
+    assert not made[0]._kept and found.count() == 18 and found.columns == M.TECHNICAL_COLUMNS

@@ -13,11 +13,49 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 
+def _differs():
+    """The function is made here, so that it goes along to Python workers which do not have this package."""
+
+    def differs(column: pa.Array) -> np.ndarray:
+        """Whether each element but the first differs from the one before it; NULL equals NULL."""
+        a, b = column.slice(1), column.slice(0, len(column) - 1)
+        return np.asarray(pc.fill_null(pc.not_equal(a, b), False)) | (np.asarray(a.is_null()) != np.asarray(b.is_null()))
+
+    return differs
+
+
+def _firsts(keys: Sequence[str]):
+    """The function of one task of ``first_in_task``: sorted rows in, the first of each key out."""
+    differs = _differs()
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(k) for k in keys]
+            new = np.zeros(batch.num_rows, bool)
+            for i, c in enumerate(columns):
+                new[1:] |= differs(c)
+                new[0] |= last is None or bool(differs(pa.concat_arrays([last[i], c.slice(0, 1)]))[0])
+            yield batch.filter(pa.array(new))
+            last = [c.slice(len(c) - 1) for c in columns]
+
+    return stream
+
+
+def first_in_task(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row under ``order`` of each key among the rows of a task, before an exchange by fewer columns than ``keys``.
+
+    A key may come from many tasks. Where the exchange is by all ``keys``, ``windows.dedup_latest`` does as much.
+    """
+    return df.sortWithinPartitions(*keys, *order).mapInArrow(_firsts(list(keys)), df.schema)
+
+
 def _technicals(value: str, by: Sequence[str], names: Sequence[str], ma_windows: Sequence[int], rsi_periods: int,
                 bb_window: int, bb_std: float):
     """The function of one task of ``frame_technicals``: sorted rows in, the same rows with their technicals out.
@@ -68,10 +106,7 @@ def _technicals(value: str, by: Sequence[str], names: Sequence[str], ma_windows:
         ok = np.asarray(column.is_valid())
         return pc.fill_null(column, 0.0).to_numpy(zero_copy_only=False), ok
 
-    def differs(column: pa.Array) -> np.ndarray:
-        """Whether each element but the first differs from the one before it; NULL equals NULL."""
-        a, b = column.slice(1), column.slice(0, len(column) - 1)
-        return np.asarray(pc.fill_null(pc.not_equal(a, b), False)) | (np.asarray(a.is_null()) != np.asarray(b.is_null()))
+    differs = _differs()
 
     def divide(a, a_ok, b, b_ok):
         """``safe_divide``: NULL where either is NULL or the divisor is zero."""
@@ -127,14 +162,15 @@ def _technicals(value: str, by: Sequence[str], names: Sequence[str], ma_windows:
 
 
 def frame_technicals(df: DataFrame, value: str, by: Sequence[str], order: Sequence[str], ma_windows: Sequence[int],
-                     rsi_periods: int, bb_window: int, bb_std: float) -> DataFrame:
+                     rsi_periods: int, bb_window: int, bb_std: float, clustered: bool = False) -> DataFrame:
     """The columns of ``windows.with_technicals`` for a double ``value``, equal to its frames' in every bit.
 
-    The rows of a series are sorted in one task and streamed through it.
+    The rows of a series are sorted in one task and streamed through it; ``clustered`` says that they
+    are in one task already.
     """
     by, order = list(by), list(order)
     names = ["daily_change", "daily_return", *[f"ma_{n}" for n in ma_windows], f"rsi_{rsi_periods}",
              "bb_middle", "bb_upper", "bb_lower"]
     schema = StructType([*df.schema.fields, *[StructField(n, DoubleType()) for n in names]])
     stream = _technicals(value, by, names, ma_windows, rsi_periods, bb_window, bb_std)
-    return df.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(stream, schema)
+    return (df if clustered else df.repartition(*by)).sortWithinPartitions(*by, *order).mapInArrow(stream, schema)

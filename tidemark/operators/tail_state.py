@@ -47,10 +47,11 @@ def append_technicals(prices: DataFrame, root: str, value: str = "close_price",
                       stored: bool = False) -> DataFrame:
     """Technicals of the rows of ``prices`` that are newer than the last run's; returns all rows so far.
 
-    ``compute`` takes (rows, value, by, order) and needs no more than ``keep`` rows before a row.
-    Rows are stored before they are read twice, unless ``stored`` says that ``prices`` is a stored
-    table. Runs without new rows write empty ones. Equal to ``compute`` over all rows at once, for rows
-    that come in the order of their days.
+    ``compute`` takes (rows, value, by, order) and needs no more than ``keep`` rows before a row; it may
+    drop rows, as earlier loads of a key. Its input is stored first, for it may read it twice, unless
+    ``stored`` says that ``prices`` is a stored table or that it is read once. The tails come from the
+    rows written. Runs without new rows write empty ones. Equal to ``compute`` over all rows at once,
+    for rows that come in the order of their days.
     """
     spark = prices.sparkSession
     runs = _runs(spark, root)
@@ -63,10 +64,13 @@ def append_technicals(prices: DataFrame, root: str, value: str = "close_price",
     if held:
         rows.write.parquet(held)
         rows = spark.read.schema(rows.schema).parquet(held)
-    compute(rows, value, by, order).filter("_new").drop("_new").write.mode("overwrite") \
-        .option("compression", "zstd").parquet(f"{root}/rows/run={k}")
-    top_k_per_group(rows.select(by, order, value), by, [F.col(order).desc_nulls_last()], keep, "_rank").drop("_rank") \
-        .write.mode("overwrite").parquet(f"{root}/tails/run={k}")
+    out, path = compute(rows, value, by, order).filter("_new").drop("_new"), f"{root}/rows/run={k}"
+    out.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    ends = spark.read.schema(out.schema).parquet(path).select(by, order, value)
+    if tails is not None:
+        ends = ends.unionByName(tails)
+    top_k_per_group(ends, by, [F.col(order).desc_nulls_last()], keep, "_rank").drop("_rank") \
+        .write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/tails/run={k}")
     if held:
         remove(spark, held)
     for old in runs[:-1]:  # the newest before this one stays for who may be reading it

@@ -80,7 +80,7 @@ def prefix_moving_averages(df: DataFrame, value: str, by, order, windows: Sequen
 def with_technicals(df: DataFrame, value: str = "close_price", by="ticker",
                     order="price_date", ma_windows: Sequence[int] = (20, 50, 200),
                     rsi_periods: int = 14, bb_window: int = 20, bb_std: float = 2,
-                    ma_method: str = "frame") -> DataFrame:
+                    ma_method: str = "frame", clustered: bool = False) -> DataFrame:
     """Daily change/return, moving averages, RSI and Bollinger bands per series.
 
     All columns use the same (by, order) spec: one shuffle, one sort.
@@ -89,10 +89,11 @@ def with_technicals(df: DataFrame, value: str = "close_price", by="ticker",
     ``"prefix"`` uses exact running sums, O(1) per row, for very long windows;
     ``"arrow"`` computes all columns from Arrow batches of the sorted series, with
     the same bits as ``"frame"`` in far less time, for consumers of all columns
-    (filters and unused columns do not pass it; ``value`` is a double).
+    (filters and unused columns do not pass it; ``value`` is a double), without an
+    exchange where the series are ``clustered``: each one's rows in one task.
     """
     if ma_method == "arrow":
-        return frame_technicals(df, value, _cols(by), _cols(order), ma_windows, rsi_periods, bb_window, bb_std)
+        return frame_technicals(df, value, _cols(by), _cols(order), ma_windows, rsi_periods, bb_window, bb_std, clustered)
     out = with_returns(df, value, by, order, prev="_prev", change="daily_change",
                        ret="daily_return").drop("_prev")
     if ma_method == "prefix":

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.indicators import series_window
 from tidemark.functions.scalar import rate_regime, vol_regime
+from tidemark.operators.frames import first_in_task
 from tidemark.operators.relational import corr_matrix, pivot_long, union_all
 from tidemark.operators.windows import (
     dedup_latest, lag_k, latest_per_key, share_of_total, with_returns, with_technicals)
@@ -120,6 +121,25 @@ def prices_with_technicals(stg_prices: DataFrame, ma_method: str = "frame") -> D
     return out.select(*[c for c in TECHNICAL_COLUMNS if c in out.columns])
 
 
+def price_loads(bronze: DataFrame, strict: bool = True) -> DataFrame:
+    """Every load of every price: ``stg_daily_prices`` before the latest ones are chosen."""
+    return _loads(bronze, PRICE_FIELDS, ["ticker", "price_date"], strict)[0]
+
+
+def technicals_of_loads(loads: DataFrame, value: str = "close_price", by: str = "ticker",
+                        order: str = "price_date") -> DataFrame:
+    """``prices_with_technicals`` of the latest loads, and any further columns, with one exchange for both.
+
+    Each task sends its latest load of a (ticker, day); they are dealt by ticker
+    alone, so that the latest of all and the frames are found where they arrive.
+    """
+    latest = [F.col(n).desc_nulls_first() for n in (
+        "loaded_at", "_file_name", *[n for _, _, n in PRICE_FIELDS if n not in (by, order)])]
+    dealt = first_in_task(loads, [by, order], latest).repartition(by)
+    return with_technicals(dedup_latest(dealt, [by, order], latest).drop("loaded_at", "_file_name"),
+                           value, by, order, ma_method="arrow", clustered=True)
+
+
 # Macro series ids and their wide column names, in model order.
 MACRO_SERIES = {
     "DFF": "fed_funds_rate",

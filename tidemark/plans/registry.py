@@ -1282,7 +1282,7 @@ def q_technicals_sliding(spark, d):
 
 
 def _runs_of_prices(stg: DataFrame) -> list[DataFrame]:
-    """The staged prices as three runs would find them: each sees what was there by its day."""
+    """The prices, staged or loaded, as three runs would find them: each sees what was there by its day."""
     return [stg.filter(F.col("price_date") <= F.to_date(F.lit(day))) for day in ("1994-12-31", "1997-06-30", "2100-01-01")]
 
 
@@ -1290,9 +1290,9 @@ def _runs_of_prices(stg: DataFrame) -> list[DataFrame]:
 def q_incremental_technicals(spark, d):
     """The technicals built by three runs, each from its new rows and the last 200 rows of every
     series, equal to a full rebuild (means and bands shifted as in ``technicals_sliding``)."""
-    stg, root = _m(spark, d).stored("stg_daily_prices"), scratch_path(spark, "technicals-runs")
-    for prices in _runs_of_prices(stg):
-        out = TS.append_technicals(prices, root)
+    loads, root = M.price_loads(_m(spark, d).bronze["raw_stock_prices"]), scratch_path(spark, "technicals-runs")
+    for prices in _runs_of_prices(loads):  # a run stages the loads of its own days, which its filters take from Bronze
+        out = TS.append_technicals(prices, root, compute=M.technicals_of_loads, stored=True)
     return _shifted(out)
 
 
